@@ -1,0 +1,99 @@
+"""Column statistics of a source or sink: count, mean, standard deviation, minimum, maximum."""
+
+from __future__ import annotations
+
+import json
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from specflow.plans.spec import quoted
+
+# The statistics, in the order they are reported.
+STATISTICS = ("count", "mean", "stddev", "min", "max")
+
+PROFILE_SCHEMA = T.StructType(
+    [
+        T.StructField("column_name", T.StringType()),
+        T.StructField("count", T.LongType()),
+        T.StructField("mean", T.DoubleType()),
+        T.StructField("stddev", T.DoubleType()),
+        T.StructField("min", T.StringType()),
+        T.StructField("max", T.StringType()),
+    ]
+)
+
+
+def profiled_columns(df: DataFrame) -> list[str]:
+    """Numbers and text are profiled; other types have no mean."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType))]
+
+
+def _statistics(df: DataFrame, name: str) -> dict[str, Column]:
+    value = F.col(quoted(name))
+    number = value.try_cast("double")
+    return {
+        "count": F.count(value),
+        "mean": F.avg(number),
+        "stddev": F.stddev(number),
+        "min": F.min(value).cast("string"),
+        "max": F.max(value).cast("string"),
+    }
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """One row per column, from a single pass with partial aggregation on each task."""
+    names = profiled_columns(df)
+    if not names:
+        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
+    rows = [
+        F.struct(F.lit(name).alias("column_name"), *(c.alias(s) for s, c in _statistics(df, name).items()))
+        for name in names
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def profiled(df: DataFrame, name: str) -> tuple[DataFrame, "ProfileObservation"]:
+    """The frame with its row count and profile gathered by whichever write consumes it."""
+    columns = profiled_columns(df)
+    observation = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for position, column in enumerate(columns):
+        metrics += [c.alias(f"{s}_{position}") for s, c in _statistics(df, column).items()]
+    return df.observe(observation, *metrics), ProfileObservation(observation, columns)
+
+
+class ProfileObservation:
+    """Results of :func:`profiled`, available once the write has finished."""
+
+    def __init__(self, observation: Observation, columns: list[str]) -> None:
+        self._observation = observation
+        self._columns = columns
+
+    @property
+    def rows(self) -> int:
+        return self._observation.get["rows"]
+
+    def records(self) -> list[dict[str, Any]]:
+        values = self._observation.get
+        return [
+            {"column_name": column, **{s: values[f"{s}_{position}"] for s in STATISTICS}}
+            for position, column in enumerate(self._columns)
+        ]
+
+
+def profile_frame(spark: SparkSession, records: list[dict[str, Any]]) -> DataFrame:
+    """Profile records, one per column, as a frame."""
+    rows = [tuple(record[field.name] for field in PROFILE_SCHEMA.fields) for record in records]
+    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+
+
+def profile_json(records: list[dict[str, Any]]) -> str:
+    """Profile records as the JSON published with a run: one object per statistic."""
+    summary = []
+    for statistic in STATISTICS:
+        values = {r["column_name"]: str(r[statistic]) for r in records if r[statistic] is not None}
+        summary.append({"summary": statistic, **values})
+    return json.dumps(summary)
