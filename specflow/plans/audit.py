@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from specflow.sinks.write import Written
 
 EVENT_SCHEMA = (
-    "key string, pipeline_id string, at timestamp, level string, message string, "
+    "key string, pipeline_id string, step int, at timestamp, level string, message string, "
     "target string, rows bigint, detail string"
 )
 
@@ -49,11 +49,12 @@ class AuditLog:
         context = self._spark.sparkContext
         now = datetime.now(timezone.utc)
         key = f"{pipeline_id}-{context.appName}-{context.applicationId}-{now:%Y-%m-%d}"
-        self._events.append((key, pipeline_id, now, level, message, target, rows, detail))
+        step = 1 + sum(event[1] == pipeline_id for event in self._events)
+        self._events.append((key, pipeline_id, step, now, level, message, target, rows, detail))
 
     def frame(self) -> DataFrame:
-        """The events so far, in the order they happened."""
-        return self._spark.createDataFrame(self._events, EVENT_SCHEMA).coalesce(1)
+        """The events so far; ``step`` numbers those of each pipeline."""
+        return self._spark.createDataFrame(self._events, EVENT_SCHEMA)
 
     def append_to(self, path: str) -> None:
         """Add the events so far to an audit table."""

@@ -77,13 +77,7 @@ def _by_source(base: DataFrame, pipeline: Pipeline) -> DataFrame:
     Columns of different sources may share a name; packed, they can be stored
     and are still addressed as source.column.
     """
-    packed = []
-    for source in pipeline.sources:
-        names = [column.name for column in source.columns]
-        packed.append(
-            F.struct(*(F.col(quoted(source.id, name)).alias(name) for name in names)).alias(source.id)
-        )
-    return base.select(*packed)
+    return base.select(*(F.struct(f"{quoted(source.id)}.*").alias(source.id) for source in pipeline.sources))
 
 
 def write_sinks(
