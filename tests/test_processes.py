@@ -1,0 +1,360 @@
+"""Whole processes from JSON metadata to sinks, with the expected results of each.
+
+Processes whose source or sink was a database use catalog tables here: no
+database is available, and the pipeline is the same but for the end points.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import fixture_data as data
+import pytest
+from metadata_files import MetadataFiles
+
+from specflow import MetadataStore, run_all
+
+CATEGORY = "category_id Int, category_department_id String, category_name String"
+CREATED = "from_unixtime(unix_timestamp(), 'yy-MM-dd hh:mm:ssZ')"
+
+
+@pytest.fixture(scope="module")
+def world(spark, tmp_path_factory):
+    return World(spark, tmp_path_factory.mktemp("processes"))
+
+
+class World:
+    """Input files, tables and the metadata that describes them."""
+
+    def __init__(self, spark, root) -> None:
+        self.spark, self.root = spark, root
+        self.suffix = uuid.uuid4().hex
+        self.files = MetadataFiles(root / "config")
+        for name in ("CATEGORY", "DEPARTMENT_NAMES", "CATEGORY_QUOTE", "CATEGORY_DELIMITER", "CATEGORY_VALIDATION",
+                     "FIXED_WIDTH", "FIXED_WIDTH_STATUS"):
+            (root / name).write_text(getattr(data, name), encoding="utf-8")
+        self._csv("category", "CATEGORY")
+        self._csv("category_quote", "CATEGORY_QUOTE", header="true", quote="?")
+        self._csv("category_delimiter", "CATEGORY_DELIMITER", delimiter="¿")
+        self._csv("category_validation", "CATEGORY_VALIDATION")
+        self._csv("dept", "DEPARTMENT_NAMES", columns="department_id Int, department_name String")
+        self.files.source(
+            "fixed", "category_id Int, category_department_id Int, category_name String", (9, 14, 5),
+            fileType="fixedWidth", srcLocation=str(root / "FIXED_WIDTH"), recordSize=28,
+        )
+        self.files.source(
+            "status", "category_id Int, status String, dept_id Int, created_date String, assigned_to String",
+            (9, 8, 4, 19, 6), fileType="fixedWidth", srcLocation=str(root / "FIXED_WIDTH_STATUS"),
+        )
+        employee = "empId empName job manager hiredate salary comm deptno".split()
+        department = "deptno dname loc".split()
+        self._table("employee", employee, data.EMPLOYEES)
+        self._table("department", department, data.DEPARTMENTS)
+
+    def _csv(self, source_id, file, columns=CATEGORY, **fields):
+        fields = {"inferSchema": "false", "header": "false", **fields}
+        self.files.source(source_id, columns, fileType="csv", srcLocation=str(self.root / file), **fields)
+
+    def _table(self, name, columns, rows):
+        self.spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).write.saveAsTable(
+            self.table(name)
+        )
+        self.files.source(
+            name, ", ".join(f"{c} String" for c in columns), fileType="hivetable", table=self.table(name)
+        )
+
+    def table(self, name):
+        return f"{name}_{self.suffix}"
+
+    @property
+    def out(self):
+        return str(self.root / "out") + "/"
+
+    def run(self, process_id):
+        store = MetadataStore.under(str(self.root / "config"))
+        return run_all(self.spark, [store.pipeline(process_id)])[0]
+
+
+def category_sink(world, sink_id, links_id, **sink):
+    """The joined category shape: transform, default function and a column of the second source."""
+    world.files.sink(
+        sink_id,
+        [
+            {"colName": "cat_id", "colType": "Int"},
+            {"colName": "cat_dpt_id", "transFunc": "concat({0} ,'_X_Y_Z')"},
+            {"colName": "cat_name", "transFunc": "NA"},
+            {"colName": "created_date", "default": CREATED},
+            {"colName": "dept_name"},
+        ],
+        **sink,
+    )
+    links = [("category", 1, sink_id, 1), ("category", 2, sink_id, 2), ("category", 3, sink_id, 3)]
+    links += [("category", -1, sink_id, 4), ("dept", 2, sink_id, 5)]
+    world.files.process(
+        links_id, links, joinCol="category:2=dept:1", filterCondition="dept:2@='Fitness'"
+    )
+
+
+def employee_sink(world, sink_id, process_id, **sink):
+    world.files.sink(
+        sink_id,
+        [
+            {"colName": "employeeName"},
+            {"colName": "job"},
+            {"colName": "salary"},
+            {"colName": "deptName"},
+            {"colName": "source", "default": "'hr'"},
+            {"colName": "created", "default": CREATED},
+        ],
+        **sink,
+    )
+    links = [("employee", 2, sink_id, 1), ("employee", 3, sink_id, 2), ("employee", 6, sink_id, 3)]
+    links += [("department", 2, sink_id, 4), ("employee", -1, sink_id, 5), ("employee", -1, sink_id, 6)]
+    world.files.process(
+        process_id, links, joinCol="employee:8=department:1", filterCondition="department:1@='10'"
+    )
+
+
+def hired_sink(world, sink_id, process_id, **sink):
+    world.files.sink(
+        sink_id,
+        [
+            {"colName": "employeeName"},
+            {"colName": "salary"},
+            {"colName": "departmentNo"},
+            {"colName": "hireDate", "transFunc": "from_unixtime(unix_timestamp({0}, 'dd-MM-yyyy'))"},
+        ],
+        **sink,
+    )
+    links = [("employee", 2, sink_id, 1), ("employee", 6, sink_id, 2), ("employee", 8, sink_id, 3)]
+    world.files.process(process_id, links + [("employee", 5, sink_id, 4)], filterCondition="employee:8@='20'")
+
+
+def test_1_join_filter_transform_to_partitioned_json(world):
+    category_sink(world, "d1", "p1", fileType="json", destLocation=world.out, partitionBy="d1:5")
+    world.run("p1")
+    rows = world.spark.read.json(world.out + "d1_json/json/")
+    assert rows.count() == 8
+    assert rows.where("cat_dpt_id = '2_X_Y_Z' and dept_name = 'Fitness'").count() == 8
+    assert (world.root / "out/d1_json/json/dept_name=Fitness").is_dir()
+
+
+def test_2_default_literal_to_compressed_json(world):
+    world.files.sink(
+        "d2",
+        [{"colName": "id", "colType": "Int"}, {"colName": "name"}, {"colName": "x", "default": "'test_default_value'"}],
+        fileType="json", destLocation=world.out, compression="bzip2",
+    )
+    world.files.process(
+        "p2", [("dept", 1, "d2", 1), ("dept", 2, "d2", 2), ("dept", -1, "d2", 3)], filterCondition="dept:2@='Fitness'"
+    )
+    world.run("p2")
+    rows = world.spark.read.json(world.out + "d2_json/json/").collect()
+    assert [(r.id, r.name, r.x) for r in rows] == [(2, "Fitness", "test_default_value")]
+    assert [f for f in (world.root / "out/d2_json/json").iterdir() if f.name.endswith(".bz2")]
+
+
+def test_3_query_left_join_count(world):
+    world.files.sink("d3", [{"colName": "other"}], fileType="json", destLocation=world.out, numPartitions=1)
+    world.files.query(
+        "p3", ["category", "dept"], ["d3"],
+        "select s1.category_department_id,count(s1.category_id) as cnt_cat from category s1 left outer join dept s2 "
+        "on s1.category_department_id = s2.department_id group by s1.category_department_id",
+    )
+    world.run("p3")
+    rows = world.spark.read.json(world.out + "d3_json/json/")
+    assert rows.where("category_department_id = 8 and cnt_cat = 10").count() == 1
+    assert len(rows.inputFiles()) == 1
+
+
+@pytest.mark.parametrize("number", [4, 7, 12, 14])
+def test_4_7_12_14_employee_join_to_table(world, number):
+    table = world.table(f"dest{number}")
+    employee_sink(world, f"d{number}", f"p{number}", fileType="hivetable", table=table)
+    world.run(f"p{number}")
+    rows = {r.employeeName: r for r in world.spark.table(table).where("deptName = 'ACCOUNTING'").collect()}
+    assert {name: row.job for name, row in rows.items()} == {"KING": "PRESIDENT", "CLARK": "MANAGER", "MILLER": "CLERK"}
+    assert rows["KING"].salary == "5000"
+
+
+@pytest.mark.parametrize("number", [5, 8])
+def test_5_8_date_reformat_to_table(world, number):
+    table = world.table(f"dest{number}")
+    hired_sink(world, f"d{number}", f"p{number}", fileType="hivetable", table=table)
+    world.run(f"p{number}")
+    rows = {r.employeeName: r for r in world.spark.table(table).collect()}
+    assert set(rows) == {"JONES", "SCOTT", "FORD", "SMITH", "ADAMS"}
+    assert rows["ADAMS"].salary == "1100"
+    assert rows["JONES"].salary == "2975"
+    assert rows["JONES"].hireDate == "1981-04-02 00:00:00"
+
+
+@pytest.mark.parametrize("number", [6, 9])
+def test_6_9_query_employees_per_location(world, number):
+    table = world.table(f"dest{number}")
+    world.files.sink(f"d{number}", [{"colName": "location"}], fileType="hivetable", table=table)
+    world.files.query(
+        f"p{number}", ["department", "employee"], [f"d{number}"],
+        "select s7.loc, count(empId) as empCount from employee s8 left outer join department s7 "
+        "on s8.deptno = s7.deptno group by s7.loc",
+    )
+    world.run(f"p{number}")
+    assert dict(world.spark.table(table).collect()) == {"NEW YORK": 3, "BOSTON": 5, "CHICAGO": 6}
+
+
+@pytest.mark.parametrize("number", [10, 11])
+def test_10_11_category_join_to_table(world, number):
+    table = world.table(f"dest{number}")
+    category_sink(world, f"d{number}", f"p{number}", fileType="hivetable", table=table)
+    world.run(f"p{number}")
+    names = {r.cat_id: r.cat_name for r in world.spark.table(table).where("dept_name = 'Fitness'").collect()}
+    assert (names[7], names[2]) == ("Hockey", "Soccer")
+
+
+@pytest.mark.parametrize("number, file_type, compression", [(13, "json", None), (15, "orc", "snappy")])
+def test_13_15_employee_join_to_files(world, number, file_type, compression):
+    fields = {"compression": compression} if compression else {"numPartitions": 1}
+    employee_sink(world, f"d{number}", f"p{number}", fileType=file_type, destLocation=world.out, **fields)
+    world.run(f"p{number}")
+    rows = world.spark.read.format(file_type).load(world.out + f"d{number}_{file_type}/{file_type}/")
+    manager = rows.where("deptName = 'ACCOUNTING' and job = 'MANAGER'").collect()
+    assert [r.employeeName for r in manager] == ["CLARK"]
+
+
+def test_16_fixed_width_record_size(world):
+    world.files.sink(
+        "d16",
+        [{"colName": "cat_id", "colType": "Int"}, {"colName": "dept"}, {"colName": "name"}],
+        fileType="json", destLocation=world.out, compression="bzip2",
+    )
+    world.files.process("p16", [("fixed", n, "d16", n) for n in (1, 2, 3)])
+    world.run("p16")
+    rows = world.spark.read.json(world.out + "d16_json/json/")
+    assert rows.count() == 10
+    assert rows.where("cat_id = 38727664").first().asDict() == {
+        "cat_id": 38727664, "dept": "0521829914551", "name": "6034",
+    }
+    assert [f for f in (world.root / "out/d16_json/json").iterdir() if f.name.endswith(".bz2")]
+
+
+STATUS_COLUMNS = [
+    {"colName": "cat_id", "colType": "Int"},
+    {"colName": "status"},
+    {"colName": "dep_id"},
+    {
+        "colName": "created_date",
+        "transFunc": "from_unixtime(unix_timestamp({0}, 'yyyy-dd-MM HH:mm:ss'),'yyyy/MM/dd')",
+    },
+    {"colName": "assigned_to"},
+]
+
+
+def test_17_fixed_width_date_reformat_to_partitioned_table(world):
+    table = world.table("dest17")
+    world.files.sink("d17", STATUS_COLUMNS, fileType="hivetable", table=table, partitionBy="d17:4")
+    world.files.process("p17", [("status", n, "d17", n) for n in range(1, 6)])
+    world.run("p17")
+    rows = world.spark.table(table)
+    assert rows.where("status = 'Resolved'").first().cat_id == 815681323
+    assert {r.created_date for r in rows.collect()} == {"2010/05/03"}
+
+
+def test_18_fixed_width_join(world):
+    table = world.table("dest18")
+    extra = [{"colName": "cat_dept_id"}, {"colName": "cat_name"}]
+    world.files.sink("d18", STATUS_COLUMNS + extra, fileType="hivetable", table=table)
+    links = [("status", n, "d18", n) for n in range(1, 6)] + [("fixed", 2, "d18", 6), ("fixed", 3, "d18", 7)]
+    world.files.process("p18", links, joinCol="fixed:1=status:1", filterCondition="status:2@='Assigned'")
+    world.run("p18")
+    (row,) = world.spark.table(table).collect()
+    assert (row.assigned_to, row.cat_id, row.cat_name) == ("Sridar", 309863616, "2250")
+
+
+def test_19_query_count_by_status(world):
+    table = world.table("dest19")
+    world.files.sink("d19", [{"colName": "status"}], fileType="hivetable", table=table)
+    world.files.query(
+        "p19", ["fixed", "status"], ["d19"],
+        "select s6.status,count(s6.status) as cnt_status from status s6 left outer join fixed s3 "
+        "on s6.category_id = s3.category_id group by s6.status",
+    )
+    world.run("p19")
+    assert dict(world.spark.table(table).collect()) == {"Assigned": 1, "Open": 1, "Resolved": 1}
+
+
+def plain_category_sink(world, number, source_id, **sink):
+    world.files.sink(
+        f"d{number}",
+        [{"colName": "cat_id", "colType": "Int"}, {"colName": "cat_dpt_id"}, {"colName": "cat_name"}],
+        destLocation=world.out, **sink,
+    )
+    world.files.process(f"p{number}", [(source_id, n, f"d{number}", n) for n in (1, 2, 3)])
+    world.run(f"p{number}")
+
+
+def test_20_quote_and_header(world):
+    plain_category_sink(world, 20, "category_quote", fileType="json")
+    rows = {r.cat_id: r.cat_name for r in world.spark.read.json(world.out + "d20_json/json/").collect()}
+    assert rows == {1: "Football", 2: "Soccer", 3: "Baseball, & Softball", 4: "Basketball", 5: "Lacrosse,123"}
+
+
+def test_21_delimiter(world):
+    plain_category_sink(world, 21, "category_delimiter", fileType="json")
+    assert world.spark.read.json(world.out + "d21_json/json/").count() == 4
+
+
+def test_22_csv_sink_with_delimiter_and_quote(world):
+    plain_category_sink(world, 22, "category", fileType="csv", header="false", delimiter="|", quote="?")
+    rows = world.spark.read.option("sep", "|").csv(world.out + "d22_csv/csv/")
+    assert len(rows.columns) == 3
+    assert rows.count() == 58
+
+
+def test_23_validation_to_twin_csv_sinks(world):
+    world.files.sink(
+        "d23",
+        [
+            {"colName": "cat_id", "colType": "Int", "required": "True", "minimum": 1, "maximum": 9},
+            {"colName": "cat_dpt_id"},
+            {"colName": "cat_name", "minLength": "7", "maxLength": 20},
+        ],
+        fileType="csv", destLocation=world.out, header="false", delimiter=",",
+    )
+    world.files.process("p23", [("category_validation", n, "d23", n) for n in (1, 2, 3)], validation="True")
+    result = world.run("p23")
+    valid = world.spark.read.csv(world.out + "d23_csv/csv/").collect()
+    invalid = world.spark.read.csv(world.out + "d23_csv/csv_INVALID/").collect()
+    assert sorted(tuple(r)[:4] for r in valid) == [
+        ("3", "2", "Baseball & Softball", "Y"),
+        ("4", "2", "Basketball", "Y"),
+    ]
+    assert sorted(r[4] for r in invalid) == [
+        "'Foot' is too short",
+        "'Football12sasdsdewdffffs' is too long",
+        "'Soccer' is too short",
+        "'cat_id' is a required property",
+        "-1 is less than the minimum of 1",
+        "10 is greater than the maximum of 9",
+    ]
+    assert [w.rows for w in result.written] == [2, 6]
+
+
+def test_24_join_and_validation_to_twin_tables(world):
+    table = world.table("dest24")
+    world.files.sink(
+        "d24",
+        [
+            {"colName": "cat_id", "colType": "Int", "minimum": 11, "maximum": 54},
+            {"colName": "cat_dpt_id", "transFunc": "concat({0} ,'_X_Y_Z')"},
+            {"colName": "cat_name", "transFunc": "NA", "minLength": 7, "maxLength": 19},
+            {"colName": "created_date", "default": CREATED},
+            {"colName": "dept_name"},
+        ],
+        fileType="hivetable", table=table,
+    )
+    links = [("category", 1, "d24", 1), ("category", 2, "d24", 2), ("category", 3, "d24", 3)]
+    links += [("category", -1, "d24", 4), ("dept", 2, "d24", 5)]
+    world.files.process("p24", links, joinCol="category:2=dept:1", validation="True")
+    world.run("p24")
+    assert world.spark.table(table).count() == 36
+    assert world.spark.table(table + "_INVALID").count() == 12
