@@ -1,7 +1,7 @@
 """The steps of a pipeline, each a DataFrame in and a DataFrame out."""
 
-from specflow.operators.profile import profile, profile_json, profiled
-from specflow.operators.project import project
+from specflow.operators.profiling import observed, profile, profile_json
+from specflow.operators.project import project, sink_columns
 from specflow.operators.relate import join_sources, sql_step, where
 from specflow.operators.rules import ERROR_COLUMN, VALID_COLUMN, with_rules
 
@@ -9,10 +9,11 @@ __all__ = [
     "ERROR_COLUMN",
     "VALID_COLUMN",
     "join_sources",
+    "observed",
     "profile",
     "profile_json",
-    "profiled",
     "project",
+    "sink_columns",
     "sql_step",
     "where",
     "with_rules",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,14 +27,19 @@ PROFILE_SCHEMA = T.StructType(
 )
 
 
-def profiled_columns(df: DataFrame) -> list[str]:
-    """Numbers and text are profiled; other types have no mean."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType))]
+# Text that reads as a number; checking first is far cheaper than a failed cast on every row.
+_NUMBER = r"(?i)^\s*[-+]?((\d+\.?\d*|\.\d+)(e[-+]?\d+)?[df]?|nan|inf|infinity)\s*$"
+
+
+def _columns_of(df: DataFrame, kind: type[T.DataType]) -> list[str]:
+    return [field.name for field in df.schema.fields if isinstance(field.dataType, kind)]
 
 
 def _statistics(df: DataFrame, name: str) -> dict[str, Column]:
     value = F.col(quoted(name))
     number = value.try_cast("double")
+    if isinstance(df.schema[name].dataType, T.StringType):
+        number = F.when(value.rlike(_NUMBER), number)
     return {
         "count": F.count(value),
         "mean": F.avg(number),
@@ -44,29 +50,40 @@ def _statistics(df: DataFrame, name: str) -> dict[str, Column]:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column, from a single pass with partial aggregation on each task."""
-    names = profiled_columns(df)
-    if not names:
+    """One row per number or text column; other types have no mean.
+
+    Numbers and text are aggregated apart, each with partial aggregation in every
+    task: the numbers then keep to generated code, which text minima and maxima
+    would rule out, and each side scans only its own columns.
+    """
+    parts = []
+    for kind in (T.NumericType, T.StringType):
+        rows = [
+            F.struct(F.lit(name).alias("column_name"), *(c.alias(s) for s, c in _statistics(df, name).items()))
+            for name in _columns_of(df, kind)
+        ]
+        if rows:
+            parts.append(df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")))
+    if not parts:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
-    rows = [
-        F.struct(F.lit(name).alias("column_name"), *(c.alias(s) for s, c in _statistics(df, name).items()))
-        for name in names
-    ]
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return reduce(DataFrame.union, parts)
 
 
-def profiled(df: DataFrame, name: str) -> tuple[DataFrame, "ProfileObservation"]:
-    """The frame with its row count and profile gathered by whichever write consumes it."""
-    columns = profiled_columns(df)
+def observed(df: DataFrame, name: str, full: bool) -> tuple[DataFrame, "WriteObservation"]:
+    """The frame with its rows counted, and profiled if asked, by whichever write consumes it.
+
+    Counting is free. A full profile adds work to every row, but no further pass.
+    """
+    columns = _columns_of(df, T.NumericType) + _columns_of(df, T.StringType) if full else []
     observation = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")]
     for position, column in enumerate(columns):
         metrics += [c.alias(f"{s}_{position}") for s, c in _statistics(df, column).items()]
-    return df.observe(observation, *metrics), ProfileObservation(observation, columns)
+    return df.observe(observation, *metrics), WriteObservation(observation, columns)
 
 
-class ProfileObservation:
-    """Results of :func:`profiled`, available once the write has finished."""
+class WriteObservation:
+    """Results of :func:`observed`, available once the write has finished."""
 
     def __init__(self, observation: Observation, columns: list[str]) -> None:
         self._observation = observation
@@ -84,6 +101,11 @@ class ProfileObservation:
         ]
 
 
+def records_of(stats: DataFrame) -> list[dict[str, Any]]:
+    """The rows of :func:`profile`, one per column, as plain records."""
+    return [row.asDict() for row in stats.collect()]
+
+
 def profile_frame(spark: SparkSession, records: list[dict[str, Any]]) -> DataFrame:
     """Profile records, one per column, as a frame."""
     rows = [tuple(record[field.name] for field in PROFILE_SCHEMA.fields) for record in records]

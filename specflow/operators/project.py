@@ -10,14 +10,16 @@ from specflow.plans.spec import Link, Pipeline, Sink, quoted, spark_type
 
 
 def project(df: DataFrame, pipeline: Pipeline, sink: Sink) -> DataFrame:
-    """The sink's columns from a frame whose columns are addressed as source.column.
+    """The sink's columns from a frame whose columns are addressed as source.column."""
+    return df.select(*sink_columns(pipeline, sink))
 
-    Columns follow the mapping, grouped by source in order of first appearance.
-    """
+
+def sink_columns(pipeline: Pipeline, sink: Sink) -> list[Column]:
+    """The sink's columns, grouped by source in order of first appearance in the mapping."""
     links = [link for link in pipeline.links if link.sink_id == sink.id]
     groups = list(dict.fromkeys(link.source_id for link in links))
     links.sort(key=lambda link: groups.index(link.source_id))
-    return df.select(*(mapped_column(pipeline, sink, link) for link in links))
+    return [mapped_column(pipeline, sink, link) for link in links]
 
 
 def mapped_column(pipeline: Pipeline, sink: Sink, link: Link) -> Column:

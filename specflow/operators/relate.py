@@ -42,14 +42,20 @@ def join_sources(
 
 
 def _key_equality(frames: Mapping[str, DataFrame], sources: Mapping[str, Source], key: JoinKey) -> Column:
-    """Equality of two key columns; text is read as the other side's type."""
+    """Equality of two key columns; text is read as the other side's type.
+
+    Text that does not read as that type matches nothing. Saying so lets such rows
+    be dropped before they are shuffled, all with the same null key.
+    """
     left, left_type = _key(frames, sources, key.left_id, key.left_column)
     right, right_type = _key(frames, sources, key.right_id, key.right_column)
     if left_type != right_type:
         if isinstance(left_type, T.StringType):
             left = left.try_cast(right_type)
-        elif isinstance(right_type, T.StringType):
+            return (left == right) & left.isNotNull()
+        if isinstance(right_type, T.StringType):
             right = right.try_cast(left_type)
+            return (left == right) & right.isNotNull()
     return left == right
 
 

@@ -33,7 +33,10 @@ class AuditLog:
     def error(self, pipeline_id: str, message: str, detail: str) -> None:
         self._add(pipeline_id, "ERROR", message, detail=detail)
 
-    def written(self, pipeline_id: str, written: Written, profile: str) -> None:
+    def profiled(self, pipeline_id: str, source_id: str, profile: str) -> None:
+        self._add(pipeline_id, "INFO", f"Profiled {source_id}", source_id, detail=profile)
+
+    def written(self, pipeline_id: str, written: Written, profile: str | None = None) -> None:
         verb = "Skipped" if written.skipped else "Wrote"
         self._add(pipeline_id, "INFO", f"{verb} {written.target}", written.target, written.rows, profile)
 

@@ -10,12 +10,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.operators.profile import profile_json
-from specflow.operators.project import project
+from specflow.operators.profiling import profile, profile_json, records_of
+from specflow.operators.project import project, sink_columns
 from specflow.operators.relate import join_sources, sql_step, where
 from specflow.operators.rules import with_rules
 from specflow.plans.audit import AuditLog
-from specflow.plans.session import pipeline_session, size_shuffles
+from specflow.plans.session import pipeline_session, size_tasks
 from specflow.plans.spec import Pipeline, quoted
 from specflow.sinks.storage import written_once
 from specflow.sinks.write import Written, write, write_split
@@ -60,64 +60,73 @@ def sink_frames(
     session: SparkSession, pipeline: Pipeline, given: dict[str, DataFrame] | None = None
 ) -> dict[str, DataFrame]:
     """The lazy frame of each sink, checked where the pipeline validates."""
-    return _frames_of(combined(session, pipeline, given), pipeline)
-
-
-def _frames_of(base: DataFrame, pipeline: Pipeline) -> dict[str, DataFrame]:
-    frames = {}
-    for sink in pipeline.sinks:
-        frame = base if pipeline.query is not None else project(base, pipeline, sink)
-        frames[sink.id] = with_rules(frame, sink.columns) if pipeline.validation else frame
-    return frames
-
+    base = combined(session, pipeline, given)
+    if pipeline.query is not None:
+        frames = {sink.id: base for sink in pipeline.sinks}
+    else:
+        frames = {sink.id: project(base, pipeline, sink) for sink in pipeline.sinks}
+    return _checked(frames, pipeline)
 
-def _by_source(base: DataFrame, pipeline: Pipeline) -> DataFrame:
-    """The joined columns packed into one struct per source.
 
-    Columns of different sources may share a name; packed, they can be stored
-    and are still addressed as source.column.
-    """
-    return base.select(*(F.struct(f"{quoted(source.id)}.*").alias(source.id) for source in pipeline.sources))
+def _checked(frames: dict[str, DataFrame], pipeline: Pipeline) -> dict[str, DataFrame]:
+    if not pipeline.validation:
+        return frames
+    return {sink.id: with_rules(frames[sink.id], sink.columns) for sink in pipeline.sinks}
 
 
-def write_sinks(
-    session: SparkSession, pipeline: Pipeline, given: dict[str, DataFrame] | None = None
-) -> list[Written]:
+def write_sinks(session: SparkSession, pipeline: Pipeline, profiles: bool = False) -> list[Written]:
     """Write every sink of a pipeline.
 
     A join or query that feeds several sinks is computed once. A single source is
     scanned by each sink instead, for the columns that sink needs.
     """
-    base = combined(session, pipeline, given)
-    if len(pipeline.sinks) > 1 and (pipeline.joins or pipeline.query is not None):
-        shared = base if pipeline.query is not None else _by_source(base, pipeline)
-        with written_once(shared) as rows:
-            return _write_frames(_frames_of(rows, pipeline), pipeline)
-    return _write_frames(_frames_of(base, pipeline), pipeline)
-
-
-def _write_frames(frames: dict[str, DataFrame], pipeline: Pipeline) -> list[Written]:
+    if len(pipeline.sinks) == 1 or not (pipeline.joins or pipeline.query is not None):
+        return _write_frames(sink_frames(session, pipeline), pipeline, profiles)
+    base = combined(session, pipeline)
+    if pipeline.query is not None:
+        with written_once(base) as rows:
+            frames = {sink.id: rows for sink in pipeline.sinks}
+            return _write_frames(_checked(frames, pipeline), pipeline, profiles, stored=True)
+    # One struct per sink: only mapped columns are stored, and names may repeat between sinks.
+    packed = base.select(*(F.struct(*sink_columns(pipeline, sink)).alias(sink.id) for sink in pipeline.sinks))
+    with written_once(packed) as rows:
+        frames = {sink.id: rows.select(f"{quoted(sink.id)}.*") for sink in pipeline.sinks}
+        return _write_frames(_checked(frames, pipeline), pipeline, profiles, stored=True)
+
+
+def _write_frames(
+    frames: dict[str, DataFrame], pipeline: Pipeline, profiles: bool, stored: bool = False
+) -> list[Written]:
     written: list[Written] = []
     for sink in pipeline.sinks:
         if pipeline.validation:
-            written += write_split(frames[sink.id], sink)
+            written += write_split(frames[sink.id], sink, profiles=profiles, stored=stored)
         else:
-            written.append(write(frames[sink.id], sink))
+            written.append(write(frames[sink.id], sink, profiles=profiles))
     return written
 
 
-def run(spark: SparkSession, pipeline: Pipeline, audit: AuditLog | None = None) -> RunResult:
-    """Run one pipeline; a failure is recorded in the result and the audit log."""
+def run(
+    spark: SparkSession, pipeline: Pipeline, audit: AuditLog | None = None, profiles: bool = False
+) -> RunResult:
+    """Run one pipeline; a failure is recorded in the result and the audit log.
+
+    With ``profiles``, the log also gets the column statistics of every source,
+    at the cost of one more scan of each, and of every sink.
+    """
     audit = audit if audit is not None else AuditLog(spark)
     result = RunResult(pipeline.id)
     started = time.monotonic()
     audit.info(pipeline.id, f"Started processing {pipeline.id}")
     try:
         session = pipeline_session(spark)
-        size_shuffles(session, pipeline.sources)
-        result.written = write_sinks(session, pipeline)
+        size_tasks(session, pipeline.sources)
+        if profiles:
+            for source in pipeline.sources:
+                audit.profiled(pipeline.id, source.id, profile_json(records_of(profile(read(session, source)))))
+        result.written = write_sinks(session, pipeline, profiles)
         for written in result.written:
-            audit.written(pipeline.id, written, profile_json(written.profile))
+            audit.written(pipeline.id, written, profile_json(written.profile) if profiles else None)
         audit.info(pipeline.id, f"Finished processing {pipeline.id}")
     except Exception as failure:
         result.error = f"{type(failure).__name__}: {failure}"
@@ -127,13 +136,15 @@ def run(spark: SparkSession, pipeline: Pipeline, audit: AuditLog | None = None)
     return result
 
 
-def run_all(spark: SparkSession, pipelines: Iterable[Pipeline], audit: AuditLog | None = None) -> list[RunResult]:
+def run_all(
+    spark: SparkSession, pipelines: Iterable[Pipeline], audit: AuditLog | None = None, profiles: bool = False
+) -> list[RunResult]:
     """Run the active pipelines one after another; failures do not stop the others.
 
     Once all were tried, failures are raised together.
     """
     audit = audit if audit is not None else AuditLog(spark)
-    results = [run(spark, pipeline, audit) for pipeline in pipelines if pipeline.active]
+    results = [run(spark, pipeline, audit, profiles) for pipeline in pipelines if pipeline.active]
     failed = [result for result in results if not result.succeeded]
     if failed:
         raise PipelineFailures("; ".join(f"{r.pipeline_id}: {r.error}" for r in failed))

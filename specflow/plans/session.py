@@ -26,8 +26,9 @@ EXECUTION = {
 
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-_BYTES_PER_PARTITION = 64 * 1024 * 1024
-_MOST_PARTITIONS = 200_000
+_SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+_SHUFFLE_BYTES = 64 * 1024 * 1024
+_MOST_TASKS = 200_000
 
 
 def pipeline_session(spark: SparkSession) -> SparkSession:
@@ -45,15 +46,23 @@ def pipeline_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def size_shuffles(session: SparkSession, sources: Iterable[Source]) -> None:
-    """Start shuffles wide enough for the input; the running query merges small partitions.
+def size_tasks(session: SparkSession, sources: Iterable[Source]) -> None:
+    """Fit the tasks of scans and shuffles to the input, as far as the caller left that open.
 
-    Only raises what the caller configured, and only for file sources, whose size
-    is known from their listing.
+    Shuffles start wide enough that a partition fits in memory, and the running
+    query merges small ones. Scans of a very large input read more per task, so
+    their number stays within what one driver can schedule. Only file sources
+    count; their size is known from their listing.
     """
-    locations = [source.location for source in sources if source.location]
-    total = sum(size_in_bytes(session, location) for location in locations)
-    wanted = min(total // _BYTES_PER_PARTITION, _MOST_PARTITIONS)
+    total = sum(size_in_bytes(session, source.location) for source in sources if source.location)
+    shuffle_tasks = min(total // _SHUFFLE_BYTES, _MOST_TASKS)
     configured = session.conf.get(_INITIAL_PARTITIONS, None) or session.conf.get(_SHUFFLE_PARTITIONS)
-    if wanted > int(configured):
-        session.conf.set(_INITIAL_PARTITIONS, str(wanted))
+    if shuffle_tasks > int(configured):
+        session.conf.set(_INITIAL_PARTITIONS, str(shuffle_tasks))
+    scan_bytes = total // _MOST_TASKS
+    if _SCAN_BYTES not in session.conf.getAll and scan_bytes > _bytes(session.conf.get(_SCAN_BYTES)):
+        session.conf.set(_SCAN_BYTES, str(scan_bytes))
+
+
+def _bytes(setting: str) -> int:
+    return int(setting.removesuffix("b"))

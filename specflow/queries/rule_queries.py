@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.operators.profile import profile, profile_frame
+from specflow.operators.profiling import profile, profile_frame
 from specflow.plans.audit import AuditLog
 from specflow.plans.run import run, sink_frames
 from specflow.plans.spec import JoinKey, Pipeline, Sink, SinkColumn
@@ -194,7 +194,7 @@ def profile_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = given("orders", sf_dir)
     columns, links = mapped(orders, same_columns(orders))
     sink = Sink("out", "parquet", columns, new_folder(session, "query"))
-    result = run(session, Pipeline("profiled", (orders,), (sink,), links))
+    result = run(session, Pipeline("profiled", (orders,), (sink,), links), profiles=True)
     return _comparable(profile_frame(session, result.written[0].profile))
 
 

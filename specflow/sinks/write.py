@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.operators.profile import profiled
+from specflow.operators.profiling import observed
 from specflow.operators.rules import VALID_COLUMN
 from specflow.plans.spec import Sink, quoted
 from specflow.sinks.storage import exists, written_once
@@ -31,8 +31,8 @@ def target_of(sink: Sink, suffix: str = "", folder: str = "") -> str:
     return sink.path + suffix + folder if sink.is_file else sink.table + suffix
 
 
-def write(df: DataFrame, sink: Sink, suffix: str = "", folder: str = "") -> Written:
-    """Write all rows in one pass, which also counts and profiles them.
+def write(df: DataFrame, sink: Sink, suffix: str = "", folder: str = "", profiles: bool = False) -> Written:
+    """Write all rows in one pass, which also counts them and, if asked, profiles them.
 
     An ``ignore`` write into a JDBC table is left to the database and not counted.
     """
@@ -43,20 +43,29 @@ def write(df: DataFrame, sink: Sink, suffix: str = "", folder: str = "") -> Writ
             return Written(target, skipped=False, rows=None, profile=[])
         if _is_there(df.sparkSession, sink, target):
             return Written(target, skipped=True, rows=None, profile=[])
-    observed, observation = profiled(df, f"profile of {target}")
-    _save(_writer(distributed(observed, sink), sink), sink, target)
+    counted, observation = observed(df, f"rows of {target}", profiles)
+    _save(_writer(distributed(counted, sink), sink), sink, target)
     return Written(target, skipped=False, rows=observation.rows, profile=observation.records())
 
 
-def write_split(checked: DataFrame, sink: Sink, folder: str = "") -> tuple[Written, Written]:
+def write_split(
+    checked: DataFrame, sink: Sink, folder: str = "", profiles: bool = False, stored: bool = False
+) -> tuple[Written, Written]:
     """Write valid rows to the sink and the rest beside it, under ``_INVALID``.
 
     The checked rows are computed once, into a table laid out by validity, so
-    each side then reads only its own files.
+    each side then reads only its own files. Rows that are ``stored`` already are
+    read from there.
     """
+    if stored:
+        return _write_sides(checked, sink, folder, profiles)
     with written_once(checked, partition_by=(VALID_COLUMN,)) as rows:
-        valid = write(rows.where(F.col(VALID_COLUMN) == "Y"), sink, folder=folder)
-        invalid = write(rows.where(F.col(VALID_COLUMN) == "N"), sink, _INVALID_SUFFIX, folder)
+        return _write_sides(rows, sink, folder, profiles)
+
+
+def _write_sides(rows: DataFrame, sink: Sink, folder: str, profiles: bool) -> tuple[Written, Written]:
+    valid = write(rows.where(F.col(VALID_COLUMN) == "Y"), sink, "", folder, profiles)
+    invalid = write(rows.where(F.col(VALID_COLUMN) == "N"), sink, _INVALID_SUFFIX, folder, profiles)
     return valid, invalid
 
 

@@ -1,0 +1,202 @@
+"""Descriptions: what is accepted, what is refused, and how the JSON records are read."""
+
+from __future__ import annotations
+
+import pytest
+from metadata_files import MetadataFiles
+from pyspark.sql import types as T
+
+from specflow import JoinKey, Link, MetadataStore, Pipeline, Predicate, Sink, SinkColumn, Source, SourceColumn, SpecError
+from specflow.plans.metadata import flag, number, whole
+from specflow.plans.spec import secret, spark_type
+from specflow.sources import declared_schema
+
+
+def source(source_id="a", columns=(SourceColumn("x", "Int", 1), SourceColumn("y", "String", 2)), **fields):
+    return Source(source_id, fields.pop("file_type", "csv"), columns, fields.pop("location", "/in"), **fields)
+
+
+def sink(sink_id="o", columns=(SinkColumn("x", "Int", 1),), **fields):
+    return Sink(sink_id, fields.pop("file_type", "json"), columns, fields.pop("location", "/out"), **fields)
+
+
+@pytest.mark.parametrize(
+    "names, expected",
+    [
+        (("String", "STRING"), T.StringType()),
+        (("Int", "integer", "INT"), T.IntegerType()),
+        (("Long", "LongInteger"), T.LongType()),
+        (("Float", "SingleReal"), T.FloatType()),
+        (("Double", "Real"), T.DoubleType()),
+        (("Boolean", "Bool"), T.BooleanType()),
+        (("Timestamp", "DateTime"), T.TimestampType()),
+    ],
+)
+def test_type_names_in_any_case(names, expected):
+    for position, name in enumerate(names, 1):
+        schema = declared_schema(source(columns=(SourceColumn("c", name, position, position, 7),)))
+        assert schema["c"].dataType == expected
+        assert schema["c"].metadata == {"colPos": position, "length": 7}
+
+
+def test_source_types_are_strict_and_sink_types_are_any_spark_type():
+    with pytest.raises(SpecError, match="decimal"):
+        declared_schema(source(columns=(SourceColumn("c", "decimal(10,2)", 1),)))
+    assert spark_type("decimal(10,2)", strict=False) == "decimal(10,2)"
+    assert spark_type("LongInteger", strict=False) == "bigint"
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda: source(file_type="xml"),
+        lambda: source(location=None),
+        lambda: source(columns=()),
+        lambda: source(infer_schema=True),
+        lambda: source(file_type="json", infer_schema=True, header=True),
+        lambda: source(file_type="hivetable"),
+        lambda: source(file_type="jdbcclient", table="t"),
+        lambda: source(columns=(SourceColumn("x", "Int", 1), SourceColumn("x", "Int", 2))),
+        lambda: source(columns=(SourceColumn("x", "Int", 1), SourceColumn("y", "Int", 1))),
+        lambda: sink(mode="replace"),
+        lambda: sink(file_type="fixedWidth"),
+        lambda: sink(num_partitions=0),
+        lambda: sink(file_type="jdbcclient", table="t", url="jdbc:x", partition_by=("x",)),
+    ],
+)
+def test_refused_ends(make):
+    with pytest.raises(SpecError):
+        make()
+
+
+def test_ids_match_exactly():
+    """An id that begins like another is a different id."""
+    first, tenth = source("s_1"), source("s_10")
+    links = (Link("s_1", "o", 1, 1),)
+    with pytest.raises(SpecError):
+        Pipeline("p", (first,), (sink(),), links, predicate=Predicate.parse("s_10:1@=1"))
+    pipeline = Pipeline("p", (tenth, first), (sink(),), links, JoinKey.parse("s_1:1=s_10:1"))
+    assert pipeline.source("s_10") is tenth
+
+
+def test_predicate_is_split_at_the_first_at_sign_only():
+    assert Predicate.parse("a:2@='x@y'") == Predicate("a", 2, "='x@y'")
+
+
+@pytest.mark.parametrize("text", ["a:2='x'", "a@='x'", "a:x@='x'", ":2@='x'"])
+def test_refused_predicates(text):
+    with pytest.raises(SpecError):
+        Predicate.parse(text)
+
+
+@pytest.mark.parametrize("text", ["a:1", "a:1=b:1=c:1", "a=b", "a:1=b:y"])
+def test_refused_joins(text):
+    with pytest.raises(SpecError):
+        JoinKey.parse(text)
+
+
+def test_several_sources_need_a_join():
+    with pytest.raises(SpecError, match="join"):
+        Pipeline("p", (source("a"), source("b")), (sink(),), (Link("a", "o", 1, 1),))
+
+
+def test_a_missing_source_column_is_an_error_not_a_default():
+    column = SinkColumn("x", "Int", 1, default="7")
+    with pytest.raises(SpecError, match="no column with id 9"):
+        Pipeline("p", (source(),), (sink(columns=(column,)),), (Link("a", "o", 1, 9),))
+
+
+def test_a_missing_default_is_an_error():
+    with pytest.raises(SpecError, match="default"):
+        Pipeline("p", (source(),), (sink(),), (Link("a", "o", 1),))
+
+
+def test_every_sink_needs_a_mapping():
+    with pytest.raises(SpecError, match="nothing is mapped"):
+        Pipeline("p", (source(),), (sink(), sink("q")), (Link("a", "o", 1, 1),))
+
+
+def test_a_query_stands_alone():
+    with pytest.raises(SpecError):
+        Pipeline("p", (source(),), (sink(),), (Link("a", "o", 1, 1),), query="select 1")
+
+
+def test_sink_paths():
+    assert sink("d", location="/out/").path == "/out/d_json/json"
+    assert sink("d", file_type="delimited").path == "/out/d_delimited/delimited"
+    assert sink("d", file_type="delimited").format == "csv"
+
+
+def test_flags_and_numbers_are_parsed():
+    assert flag("True") and flag(True) and not flag("False") and not flag(None)
+    assert whole("7") == 7 and whole("") is None
+    assert (number("1.5"), number("7"), number(2), number(None)) == (1.5, 7, 2, None)
+    for parse, text in ((flag, "__import__('os')"), (whole, "7.5"), (number, "seven")):
+        with pytest.raises(SpecError):
+            parse(text)
+
+
+def test_credentials_come_from_the_environment_and_are_not_shown(monkeypatch):
+    monkeypatch.setenv("TEST_SECRET", "hidden-word")
+    assert secret("${env:TEST_SECRET}") == "hidden-word"
+    assert secret("plain") == "plain"
+    with pytest.raises(SpecError):
+        secret("${env:TEST_SECRET_MISSING}")
+    end = source(file_type="jdbcclient", table="t", url="jdbc:x", user="someone", password="plain-word")
+    assert "plain-word" not in repr(end) and "someone" not in repr(end)
+
+
+@pytest.fixture
+def files(tmp_path):
+    made = MetadataFiles(tmp_path)
+    made.source("s", "x Int, y String", fileType="csv", srcLocation="/in")
+    made.sink("d", [{"colName": "x", "colType": "Int", "required": "False", "transFunc": "NA"}, {"colName": "y"}],
+              fileType="csv", destLocation="/out", partitionBy="d:2", numPartitions="3")
+    made.process("p", [("s", 1, "d", 1), ("s", 2, "d", 2)])
+    return made
+
+
+def test_records_become_a_pipeline(files):
+    pipeline = MetadataStore.under(str(files.root)).pipeline("p")
+    assert [c.name for c in pipeline.sources[0].columns] == ["x", "y"]
+    target = pipeline.sinks[0]
+    assert target.partition_by == ("y",) and target.num_partitions == 3
+    assert target.column(1).required is False and target.column(1).transform is None
+    assert pipeline.links == (Link("s", "d", 1, 1), Link("s", "d", 2, 2))
+
+
+def test_folders_from_an_ini_file(files):
+    ini = files.root / "config.cnf"
+    folders = {"prcDetails": "process", "prcMapping": "process", "srcDetails": "source", "srcCols": "source",
+               "destDetails": "dest", "destCols": "dest"}
+    ini.write_text("[folders]\n" + "".join(f"{k} = {files.root / v}\n" for k, v in folders.items()))
+    store = MetadataStore.from_ini(str(ini), "folders")
+    assert store.process_files() == ["prc_p.json"]
+    assert [p.id for p in store.pipelines("prc_p.json")] == ["p"]
+    for path, section in ((ini, "other"), (files.root / "none.cnf", "folders")):
+        with pytest.raises(SpecError):
+            MetadataStore.from_ini(str(path), section)
+
+
+def test_inactive_processes_are_left_out(files):
+    files.process("idle", [("s", 1, "d", 1)], isActive="False")
+    store = MetadataStore.under(str(files.root))
+    assert list(store.pipelines("prc_idle.json")) == []
+    with pytest.raises(SpecError):
+        store.pipeline("idle")
+
+
+def test_partition_column_of_another_sink_is_refused(files):
+    files.sink("e", [{"colName": "x"}], fileType="json", destLocation="/out", partitionBy="d:1")
+    files.process("q", [("s", 1, "e", 1)])
+    with pytest.raises(SpecError, match="another sink"):
+        MetadataStore.under(str(files.root)).pipeline("q")
+
+
+def test_broken_or_missing_files_are_named(files):
+    store = MetadataStore.under(str(files.root))
+    with pytest.raises(SpecError, match="prc_none.json"):
+        store.pipeline("none")
+    (files.root / "source/src_s.json").write_text("{")
+    with pytest.raises(SpecError, match="src_s.json"):
+        store.pipeline("p")
