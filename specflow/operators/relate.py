@@ -63,7 +63,7 @@ def _key(
     frames: Mapping[str, DataFrame], sources: Mapping[str, Source], source_id: str, col_id: int
 ) -> tuple[Column, T.DataType]:
     name = sources[source_id].column(col_id).name
-    return F.col(quoted(source_id, name)), frames[source_id].schema[name].dataType
+    return F.col(quoted(source_id, name)), frames[source_id].select(quoted(name)).schema[0].dataType
 
 
 def where(df: DataFrame, predicate: Predicate, sources: Mapping[str, Source]) -> DataFrame:

@@ -19,13 +19,14 @@ def with_rules(df: DataFrame, columns: Iterable[SinkColumn]) -> DataFrame:
 
     Rules are tried in column order and, within a column, in the order required,
     type, minimum, maximum, minimum length, maximum length. A null passes every
-    rule but ``required``.
+    rule but ``required``. Columns that already carry the two names are replaced.
     """
     messages = [message for column in columns for message in rule_messages(df.schema, column)]
     error = F.coalesce(*messages, F.lit("")) if messages else F.lit("")
-    checked = df.withColumn(ERROR_COLUMN, error)
+    kept = [name for name in df.columns if name.lower() not in (VALID_COLUMN, ERROR_COLUMN.lower())]
+    checked = df.select(*(quoted(name) for name in kept), error.alias(ERROR_COLUMN))
     valid = F.when(F.col(ERROR_COLUMN) == "", "Y").otherwise("N").alias(VALID_COLUMN)
-    return checked.select(*(quoted(name) for name in df.columns), valid, ERROR_COLUMN)
+    return checked.select(*(quoted(name) for name in kept), valid, ERROR_COLUMN)
 
 
 def rule_messages(schema: T.StructType, column: SinkColumn) -> Iterator[Column]:

@@ -17,11 +17,13 @@ SEMANTICS = {
     "spark.sql.legacy.timeParserPolicy": "LEGACY",
 }
 
-# Let the running query split hot join keys, even where that costs a further shuffle.
+# Let the running query split hot join keys, even where that costs a further shuffle,
+# and let a task that writes few partition values keep a file open for each, unsorted.
 EXECUTION = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"

@@ -28,15 +28,16 @@ def _landed(spark: SparkSession, sf_dir: str, targets: list, validation: bool) -
     return session, sink
 
 
-@query("stream_landing", "SELECT event_id AS id, event_type AS kind, value * 2 AS doubled FROM events")
+@query("stream_landing", "SELECT event_id AS id, ts AS happened, event_type AS kind, value * 2 AS doubled FROM events")
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = [
         ("event_id", SinkColumn("id", "Long")),
+        ("ts", SinkColumn("happened", "timestamp_ntz")),
         ("event_type", SinkColumn("kind", "String")),
         ("value", SinkColumn("doubled", "Double", transform="{0} * 2")),
     ]
     session, sink = _landed(spark, sf_dir, targets, validation=False)
-    return session.read.schema("id bigint, kind string, doubled double").parquet(sink.path).drop("batch_id")
+    return session.read.schema("id bigint, happened timestamp_ntz, kind string, doubled double").parquet(sink.path).drop("batch_id")
 
 
 @query(

@@ -15,6 +15,7 @@ from specflow.sinks.storage import exists, written_once
 from specflow.sources.tables import connection_options
 
 _INVALID_SUFFIX = "_INVALID"
+_CONNECTIONS = 8
 
 
 @dataclass(frozen=True)
@@ -73,13 +74,16 @@ def distributed(df: DataFrame, sink: Sink) -> DataFrame:
     """How rows are spread over output files.
 
     A requested number of partitions is made by a shuffle, so the work before it
-    keeps its full width. Output partitioned by column is rebalanced on those
+    keeps its full width; a database gets a bounded number of connections either
+    way. Output partitioned by column is rebalanced on those
     columns: each value lands in few, evenly sized files, and a value holding a
     large share of the rows is split over many tasks. All other output is written
     where it is computed.
     """
     if sink.num_partitions is not None:
         return df.repartition(sink.num_partitions)
+    if sink.file_type == "jdbcclient":
+        return df.repartition(_CONNECTIONS)
     if sink.partition_by and sink.rebalance:
         return df.hint("rebalance", *(F.col(quoted(name)) for name in sink.partition_by))
     return df

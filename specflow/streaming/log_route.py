@@ -30,15 +30,18 @@ def routable() -> Column:
     return F.col("key").isNotNull() & F.col("value").isNotNull()
 
 
-def route_log(events: DataFrame, target: str, checkpoint: str) -> None:
+def route_log(events: DataFrame, target: str, checkpoint: str, files_per_key: int | None = None) -> None:
     """Append each event's value to the folder of its key.
 
-    Tasks write their own files, so a key holding most of the events is spread
-    over all of them.
+    Tasks write where they read, so a key holding most of the events is spread
+    over all of them. Where many tasks meet many keys, ``files_per_key`` gathers
+    each key of a batch into at most so many files, at the cost of a shuffle.
     """
+    kept = events.where(routable())
+    if files_per_key is not None:
+        kept = kept.repartition("key", F.pmod(F.xxhash64("value"), F.lit(files_per_key)))
     query = (
-        events.where(routable())
-        .writeStream.format("text")
+        kept.writeStream.format("text")
         .partitionBy("key")
         .option("path", target)
         .option("checkpointLocation", checkpoint)

@@ -293,6 +293,13 @@ def test_a_required_column_that_is_not_there(session):
     assert rows(df) == [(1, "N", "'x' is a required property")]
 
 
+def test_columns_named_like_the_verdict_are_replaced(session):
+    df = session.createDataFrame([(1, "x", "y")], "i int, Valid string, errMsg string")
+    columns = (SinkColumn("i", "Int", 1), SinkColumn("errMsg", "String", 2, min_length=2))
+    checked = with_rules(df, columns)
+    assert checked.columns == ["i", "valid", "errMsg"] and rows(checked) == [(1, "N", "'y' is too short")]
+
+
 def test_no_rules_means_all_valid(session):
     assert rows(with_rules(session.createDataFrame([(1,)], "i int"), ())) == [(1, "Y", "")]
 

@@ -121,6 +121,17 @@ def test_unavailable_codecs_are_errors(session, tmp_path):
             write(numbers(session, 5), sink(tmp_path / codec, compression=codec))
 
 
+def test_microseconds_survive_text_with_a_format(session, tmp_path):
+    stamp = "2024-01-02 03:04:05.678901"
+    df = session.sql(f"select timestamp'{stamp}' as t")
+    own = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    for file_type in ("csv", "json"):
+        target = sink(tmp_path, file_type, options=own)
+        write(df, target)
+        back = Source("b", file_type, (SourceColumn("t", "Timestamp", 1),), target.path, options=own)
+        assert read(session, back).select(F.col("t").cast("string")).first()[0] == stamp
+
+
 def test_text_with_breaks_and_quotes_survives(session, tmp_path):
     texts = ['a "quoted" word', "two\nlines", "a,b|c", "", "back\\slash", None]
     df = session.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
@@ -296,6 +307,13 @@ def test_jdbc_writes_name_the_invalid_table(monkeypatch, session):
     assert connection_options(end)["dbtable"] == "t"
 
 
+def test_a_database_gets_few_connections(monkeypatch, session):
+    monkeypatch.setenv("DB_WORD", "w")
+    df = numbers(session, 100, partitions=20)
+    assert distributed(df, Sink("j", "jdbcclient", mode="append", **JDBC)).rdd.getNumPartitions() == 8
+    assert distributed(df, Sink("j", "jdbcclient", num_partitions=3, **JDBC)).rdd.getNumPartitions() == 3
+
+
 def test_an_unknown_jdbc_driver_is_an_error(monkeypatch, session):
     monkeypatch.setenv("DB_WORD", "w")
     with pytest.raises(Exception, match="some.Driver"):

@@ -116,3 +116,14 @@ def test_log_events_go_to_the_folder_of_their_key(spark, tmp_path):
     route_log(keyed_events(spark, str(topic)), logs, str(tmp_path / "checkpoint"))
     rows = spark.read.schema("value string, key string").text(logs).collect()
     assert sorted((r.key, r.value) for r in rows) == [("p 1/a", '{"m":1}'), ("q", "three"), ("q", "two")]
+
+
+def test_log_keys_can_be_gathered_into_few_files(spark, tmp_path):
+    spark.range(0, 4000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('k', id % 5)) as key", "cast(id as string) as value"
+    ).write.json(str(tmp_path / "topic"))
+    logs = tmp_path / "logs"
+    route_log(keyed_events(spark, str(tmp_path / "topic")), str(logs), str(tmp_path / "checkpoint"), files_per_key=2)
+    rows = spark.read.schema("value string, key string").text(str(logs))
+    assert rows.select("value").distinct().count() == rows.count() == 4000
+    assert {len(list(folder.glob("part-*"))) for folder in logs.glob("key=*")} <= {1, 2}
