@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ class AuditLog:
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
         self._events: list[tuple] = []
+        self._steps: Counter[str] = Counter()
 
     def info(self, pipeline_id: str, message: str) -> None:
         self._add(pipeline_id, "INFO", message)
@@ -52,16 +54,16 @@ class AuditLog:
         context = self._spark.sparkContext
         now = datetime.now(timezone.utc)
         key = f"{pipeline_id}-{context.appName}-{context.applicationId}-{now:%Y-%m-%d}"
-        step = 1 + sum(event[1] == pipeline_id for event in self._events)
-        self._events.append((key, pipeline_id, step, now, level, message, target, rows, detail))
+        self._steps[pipeline_id] += 1
+        self._events.append((key, pipeline_id, self._steps[pipeline_id], now, level, message, target, rows, detail))
 
     def frame(self) -> DataFrame:
         """The events so far; ``step`` numbers those of each pipeline."""
         return self._spark.createDataFrame(self._events, EVENT_SCHEMA)
 
     def append_to(self, path: str) -> None:
-        """Add the events so far to an audit table."""
-        self.frame().write.mode("append").json(path)
+        """Add the events so far to an audit table, as one small file."""
+        self.frame().coalesce(1).write.mode("append").json(path)
 
     def topic_frame(self) -> DataFrame:
         """The events as keyed JSON messages, ready for a topic writer."""

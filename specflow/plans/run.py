@@ -74,35 +74,41 @@ def _checked(frames: dict[str, DataFrame], pipeline: Pipeline) -> dict[str, Data
     return {sink.id: with_rules(frames[sink.id], sink.columns) for sink in pipeline.sinks}
 
 
-def write_sinks(session: SparkSession, pipeline: Pipeline, profiles: bool = False) -> list[Written]:
-    """Write every sink of a pipeline.
+def write_sinks(
+    session: SparkSession,
+    pipeline: Pipeline,
+    profiles: bool = False,
+    given: dict[str, DataFrame] | None = None,
+    folder: str = "",
+) -> list[Written]:
+    """Write every sink of a pipeline, file sinks into ``folder`` below their path.
 
     A join or query that feeds several sinks is computed once. A single source is
     scanned by each sink instead, for the columns that sink needs.
     """
     if len(pipeline.sinks) == 1 or not (pipeline.joins or pipeline.query is not None):
-        return _write_frames(sink_frames(session, pipeline), pipeline, profiles)
-    base = combined(session, pipeline)
+        return _write_frames(sink_frames(session, pipeline, given), pipeline, profiles, folder)
+    base = combined(session, pipeline, given)
     if pipeline.query is not None:
         with written_once(base) as rows:
             frames = {sink.id: rows for sink in pipeline.sinks}
-            return _write_frames(_checked(frames, pipeline), pipeline, profiles, stored=True)
+            return _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, stored=True)
     # One struct per sink: only mapped columns are stored, and names may repeat between sinks.
     packed = base.select(*(F.struct(*sink_columns(pipeline, sink)).alias(sink.id) for sink in pipeline.sinks))
     with written_once(packed) as rows:
         frames = {sink.id: rows.select(f"{quoted(sink.id)}.*") for sink in pipeline.sinks}
-        return _write_frames(_checked(frames, pipeline), pipeline, profiles, stored=True)
+        return _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, stored=True)
 
 
 def _write_frames(
-    frames: dict[str, DataFrame], pipeline: Pipeline, profiles: bool, stored: bool = False
+    frames: dict[str, DataFrame], pipeline: Pipeline, profiles: bool, folder: str, stored: bool = False
 ) -> list[Written]:
     written: list[Written] = []
     for sink in pipeline.sinks:
         if pipeline.validation:
-            written += write_split(frames[sink.id], sink, profiles=profiles, stored=stored)
+            written += write_split(frames[sink.id], sink, folder, profiles, stored)
         else:
-            written.append(write(frames[sink.id], sink, profiles=profiles))
+            written.append(write(frames[sink.id], sink, "", folder, profiles))
     return written
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from specflow.plans.run import sink_frames
+from specflow.plans.run import write_sinks
 from specflow.plans.session import pipeline_session
 from specflow.plans.spec import Pipeline, SpecError
-from specflow.sinks.write import write, write_split
 from specflow.sources.files import file_options, reader_format, slice_lines
 from specflow.sources.schema import declared_schema
+from specflow.streaming.trigger import started
 
 
 def land(
@@ -21,40 +22,31 @@ def land(
     archive: str | None = None,
     streamed_source: str | None = None,
     max_files_per_batch: int | None = None,
-) -> None:
+    every: str | None = None,
+) -> StreamingQuery:
     """Run a pipeline over the files that arrived since the last call.
 
     One source is read as a stream (the first, unless named); the others are read
     whole for each increment. Files are remembered in ``checkpoint``, so each is
     processed once even across restarts, and moved to ``archive`` afterwards; the
     latest batch is archived by the next call. ``max_files_per_batch`` bounds an
-    increment, so a backlog is worked off in steps that fit the cluster.
+    increment, so a backlog is worked off in steps that fit the cluster. With
+    ``every``, the query keeps running and looks for files at that interval.
     """
     session = pipeline_session(spark)
     source_id = streamed_source or pipeline.sources[0].id
     increments = _arrivals(session, pipeline, source_id, archive, max_files_per_batch)
-
     for sink in pipeline.sinks:
         if not sink.is_file:
             raise SpecError(f"sink {sink.id}: increments are written to files")
+    # Each increment has a folder of its own, replaced when the increment is retried.
+    retryable = replace(pipeline, sinks=tuple(replace(sink, mode="overwrite") for sink in pipeline.sinks))
 
     def write_increment(arrived: DataFrame, batch_id: int) -> None:
-        # A folder for each increment, replaced when the increment is retried.
-        folder = f"/batch_id={batch_id}"
-        for sink_id, frame in sink_frames(arrived.sparkSession, pipeline, {source_id: arrived}).items():
-            sink = replace(pipeline.sink(sink_id), mode="overwrite")
-            if pipeline.validation:
-                write_split(frame, sink, folder)
-            else:
-                write(frame, sink, folder=folder)
+        write_sinks(arrived.sparkSession, retryable, given={source_id: arrived}, folder=f"/batch_id={batch_id}")
 
-    query = (
-        increments.writeStream.foreachBatch(write_increment)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = increments.writeStream.foreachBatch(write_increment).option("checkpointLocation", checkpoint)
+    return started(writer, every)
 
 
 def _arrivals(

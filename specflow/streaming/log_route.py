@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from specflow.streaming.trigger import started
 
 _EVENT_SCHEMA = "key string, value string"
 
@@ -30,22 +33,23 @@ def routable() -> Column:
     return F.col("key").isNotNull() & F.col("value").isNotNull()
 
 
-def route_log(events: DataFrame, target: str, checkpoint: str, files_per_key: int | None = None) -> None:
+def route_log(
+    events: DataFrame, target: str, checkpoint: str, files_per_key: int | None = None, every: str | None = None
+) -> StreamingQuery:
     """Append each event's value to the folder of its key.
 
     Tasks write where they read, so a key holding most of the events is spread
     over all of them. Where many tasks meet many keys, ``files_per_key`` gathers
-    each key of a batch into at most so many files, at the cost of a shuffle.
+    each key of a batch into at most so many files, at the cost of a shuffle. With
+    ``every``, the query keeps running at that interval.
     """
     kept = events.where(routable())
     if files_per_key is not None:
         kept = kept.repartition("key", F.pmod(F.xxhash64("value"), F.lit(files_per_key)))
-    query = (
+    writer = (
         kept.writeStream.format("text")
         .partitionBy("key")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    return started(writer, every)

@@ -86,6 +86,34 @@ def test_increments_join_a_whole_source(spark, tmp_path):
     assert sorted((r.v, r.name) for r in spark.read.parquet(sink.path).collect()) == [("a", "one"), ("b", "two")]
 
 
+def test_increments_feed_several_checked_sinks(spark, tmp_path):
+    (tmp_path / "names.csv").write_text("1,one\n2,two\n")
+    names = Source("names", "csv", COLUMNS, str(tmp_path / "names.csv"))
+    sinks = tuple(Sink(n, "parquet", (SinkColumn("k", "Int", 1, minimum=2),), str(tmp_path / "out")) for n in "mn")
+    links = (Link("s", "m", 1, 1), Link("names", "n", 1, 1))
+    pipeline = Pipeline("p", (arrivals(tmp_path), names), sinks, links, JoinKey.parse("s:1=names:1"), validation=True)
+    for name, line in (("one.csv", "1,a"), ("two.csv", "2,b")):
+        deliver(tmp_path, name, line)
+        run_once(spark, tmp_path, pipeline)
+    for sink in sinks:
+        sides = [spark.read.parquet(sink.path + suffix) for suffix in ("", "_INVALID")]
+        assert [[(r.k, r.batch_id) for r in side.collect()] for side in sides] == [[(2, 1)], [(1, 0)]]
+
+
+def test_a_landing_can_keep_running(spark, tmp_path):
+    pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
+    deliver(tmp_path, "one.csv", "1,a")
+    query = land(spark, pipeline, str(tmp_path / "checkpoint"), every="1 second")
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+        deliver(tmp_path, "two.csv", "2,b")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.v for r in spark.read.json(pipeline.sinks[0].path).collect()) == ["A", "B"]
+
+
 def test_fixed_width_increments(spark, tmp_path):
     columns = (SourceColumn("k", "Int", 1, 1, 2), SourceColumn("v", "String", 2, 2, 3))
     (tmp_path / "landing").mkdir()
