@@ -125,7 +125,7 @@ def run(
     started = time.monotonic()
     audit.info(pipeline.id, f"Started processing {pipeline.id}")
     try:
-        session = pipeline_session(spark)
+        session = pipeline_session(spark, pipeline)
         size_tasks(session, pipeline.sources)
         if profiles:
             for source in pipeline.sources:

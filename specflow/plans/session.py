@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from specflow.functions.masking import register_masks
-from specflow.plans.spec import Source
+from specflow.plans.spec import Pipeline, Source
 from specflow.sinks.storage import size_in_bytes
 
 # Settings that make templates and queries behave as documented:
@@ -28,23 +28,29 @@ EXECUTION = {
 
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
-_SHUFFLE_BYTES = 64 * 1024 * 1024
-_MOST_TASKS = 200_000
+_MEGABYTE = 1024 * 1024
+_SHUFFLE_BYTES = 64 * _MEGABYTE
+_LARGEST_MERGED = 512 * _MEGABYTE
+_MOST_SHUFFLE_TASKS = 50_000
+_MOST_SCAN_TASKS = 200_000
 
 
-def pipeline_session(spark: SparkSession) -> SparkSession:
+def pipeline_session(spark: SparkSession, pipeline: Pipeline | None = None) -> SparkSession:
     """A session of its own for one run: same cluster and catalog, own views and settings.
 
-    It starts from the caller's settings and leaves them untouched.
+    It starts from the caller's settings and leaves them untouched. The masking
+    functions are defined unless the given pipeline mentions none.
     """
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():
-        if session.conf.isModifiable(name):
+        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
             session.conf.set(name, value)
     for name, value in {**EXECUTION, **SEMANTICS}.items():
         session.conf.set(name, value)
-    register_masks(session)
+    if pipeline is None or any("mask_" in text.lower() for text in pipeline.sql_texts()):
+        register_masks(session)
     return session
 
 
@@ -52,18 +58,20 @@ def size_tasks(session: SparkSession, sources: Iterable[Source]) -> None:
     """Fit the tasks of scans and shuffles to the input, as far as the caller left that open.
 
     Shuffles start wide enough that a partition fits in memory, and the running
-    query merges small ones. Scans of a very large input read more per task, so
-    their number stays within what one driver can schedule. Only file sources
-    count; their size is known from their listing.
+    query merges small ones. For a very large input, tasks read and merge more
+    bytes, so that their number stays within what one driver can schedule and
+    output does not fall apart into small files. Only file sources count; their
+    size is known from their listing.
     """
     total = sum(size_in_bytes(session, source.location) for source in sources if source.location)
-    shuffle_tasks = min(total // _SHUFFLE_BYTES, _MOST_TASKS)
-    configured = session.conf.get(_INITIAL_PARTITIONS, None) or session.conf.get(_SHUFFLE_PARTITIONS)
-    if shuffle_tasks > int(configured):
-        session.conf.set(_INITIAL_PARTITIONS, str(shuffle_tasks))
-    scan_bytes = total // _MOST_TASKS
-    if _SCAN_BYTES not in session.conf.getAll and scan_bytes > _bytes(session.conf.get(_SCAN_BYTES)):
-        session.conf.set(_SCAN_BYTES, str(scan_bytes))
+    chosen = session.conf.getAll
+    width = min(total // _SHUFFLE_BYTES, _MOST_SHUFFLE_TASKS)
+    if _INITIAL_PARTITIONS not in chosen and width > int(session.conf.get(_SHUFFLE_PARTITIONS)):
+        session.conf.set(_INITIAL_PARTITIONS, str(width))
+    per_task = total // _MOST_SCAN_TASKS
+    for setting, wanted in ((_SCAN_BYTES, per_task), (_MERGED_BYTES, min(per_task, _LARGEST_MERGED))):
+        if setting not in chosen and wanted > _bytes(session.conf.get(setting)):
+            session.conf.set(setting, str(wanted))
 
 
 def _bytes(setting: str) -> int:

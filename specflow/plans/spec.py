@@ -319,3 +319,10 @@ class Pipeline:
             if sink.id == sink_id:
                 return sink
         raise SpecError(f"pipeline {self.id} has no sink {sink_id}")
+
+    def sql_texts(self) -> list[str]:
+        """All SQL that the description holds: query, filter, templates and defaults."""
+        columns = [column for sink in self.sinks for column in sink.columns]
+        texts = [self.query, self.predicate and self.predicate.tail]
+        texts += [text for column in columns for text in (column.transform, column.default)]
+        return [text for text in texts if text]

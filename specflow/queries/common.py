@@ -53,8 +53,8 @@ def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def session_for(spark: SparkSession) -> SparkSession:
-    session = pipeline_session(spark)
+def session_for(spark: SparkSession, pipeline: Pipeline | None = None) -> SparkSession:
+    session = pipeline_session(spark, pipeline)
     session.conf.set("spark.sql.session.timeZone", "UTC")
     return session
 
@@ -98,7 +98,7 @@ def lazy(spark: SparkSession, source: Source, targets: list[tuple[str | None, Si
     columns, links = mapped(source, targets)
     sink = Sink("out", "parquet", columns, location="unused")
     pipeline = Pipeline("query", (source,), (sink,), links, **settings)
-    return plain_times(sink_frames(session_for(spark), pipeline)["out"])
+    return plain_times(sink_frames(session_for(spark, pipeline), pipeline)["out"])
 
 
 def copy(

@@ -110,7 +110,7 @@ def related(
         links.append(link(source, name, "out", position))
     sink = Sink("out", "parquet", tuple(columns), location="unused")
     pipeline = Pipeline("query", sources, (sink,), tuple(links), **settings)
-    return plain_times(sink_frames(session_for(spark), pipeline)["out"])
+    return plain_times(sink_frames(session_for(spark, pipeline), pipeline)["out"])
 
 
 @query(
@@ -228,7 +228,7 @@ def queried(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], text: str
     """The result of a SQL step; the sink's own column list is not applied."""
     sink = Sink("out", "json", (SinkColumn("unused", "String", 1),), new_folder(spark, "query"))
     pipeline = Pipeline("query", tuple(given(table, sf_dir) for table in tables), (sink,), query=text)
-    return plain_times(sink_frames(session_for(spark), pipeline)["out"])
+    return plain_times(sink_frames(session_for(spark, pipeline), pipeline)["out"])
 
 
 _LEFT_JOIN_COUNT = """select c.c_mktsegment, count(o.o_orderkey) as cnt_orders

@@ -104,7 +104,7 @@ def rule_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = Sink("out", "json", columns, new_folder(spark, "query"))
     text = "select o_orderkey, o_orderstatus from orders"
     pipeline = Pipeline("query", (given("orders", sf_dir),), (sink,), query=text, validation=True)
-    return sink_frames(session_for(spark), pipeline)["out"]
+    return sink_frames(session_for(spark, pipeline), pipeline)["out"]
 
 
 _VALIDATE_SQL = _checked_sql(

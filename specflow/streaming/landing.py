@@ -33,7 +33,7 @@ def land(
     increment, so a backlog is worked off in steps that fit the cluster. With
     ``every``, the query keeps running and looks for files at that interval.
     """
-    session = pipeline_session(spark)
+    session = pipeline_session(spark, pipeline)
     source_id = streamed_source or pipeline.sources[0].id
     increments = _arrivals(session, pipeline, source_id, archive, max_files_per_batch)
     for sink in pipeline.sinks:

@@ -80,6 +80,14 @@ def test_masks_take_four_unless_told(session, name):
     assert df.select(F.expr(f"{name}(s) = {name}(s, 4)")).first()[0]
 
 
+def test_masks_are_defined_where_a_pipeline_uses_them(spark, tmp_path):
+    source = text_source(tmp_path, "a", ["Ab1"], [("v", "String")])
+    for template in ("mask_first_n({0}, 2)", "MASK_SHOW_LAST_N({0}, 1)"):
+        pipeline = simple(source, SinkColumn("v", transform=template))
+        df = sink_frames(pipeline_session(spark, pipeline), pipeline)["o"]
+        assert rows(df) == [("Xx1",)]
+
+
 # Mapping
 
 
@@ -323,12 +331,39 @@ def test_profile_without_profiled_columns(session):
 # Task sizes
 
 
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+SCANNED = "spark.sql.files.maxPartitionBytes"
+
+
+def sized(spark, tmp_path, monkeypatch, total, **chosen):
+    session = pipeline_session(spark)
+    for name, value in chosen.items():
+        session.conf.set(name, value)
+    monkeypatch.setattr("specflow.plans.session.size_in_bytes", lambda *_: total)
+    size_tasks(session, [text_source(tmp_path, "a", ["1"], [("k", "Int")])])
+    return tuple(session.conf.get(name, None) for name in (INITIAL, MERGED, SCANNED))
+
+
+def test_small_inputs_change_nothing(spark, tmp_path, monkeypatch):
+    before = tuple(spark.conf.get(name, None) for name in (INITIAL, MERGED, SCANNED))
+    assert sized(spark, tmp_path, monkeypatch, 1000) == before
+
+
 def test_tasks_follow_the_input_size(spark, tmp_path, monkeypatch):
-    source = text_source(tmp_path, "a", ["1"], [("k", "Int")])
+    terabyte = 1024**4
+    width, merged, scanned = sized(spark, tmp_path, monkeypatch, terabyte)
+    assert (width, merged, scanned) == (str(terabyte // (64 * 1024**2)), None, None)
+    each = str(100 * terabyte // 200_000)
+    assert sized(spark, tmp_path, monkeypatch, 100 * terabyte) == ("50000", each, each)
+
+
+def test_chosen_task_sizes_are_kept(spark, tmp_path, monkeypatch):
+    chosen = {INITIAL: "123", MERGED: "32MB", SCANNED: "64MB"}
+    assert sized(spark, tmp_path, monkeypatch, 100 * 1024**4, **chosen) == ("123", "32MB", "64MB")
+
+
+def test_a_source_without_files_has_no_size(spark, tmp_path):
     session = pipeline_session(spark)
-    size_tasks(session, [source])
-    assert session.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
-    monkeypatch.setattr("specflow.plans.session.size_in_bytes", lambda *_: 100 * 1024**4)
-    size_tasks(session, [source])
-    assert session.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "200000"
-    assert int(session.conf.get("spark.sql.files.maxPartitionBytes")) == 100 * 1024**4 // 200_000
+    size_tasks(session, [Source("t", "hivetable", (SourceColumn("k", "Int", 1),), table="t")])
+    assert session.conf.get(INITIAL, None) is None

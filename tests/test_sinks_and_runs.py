@@ -224,6 +224,17 @@ def test_a_query_feeds_several_checked_sinks(spark, tmp_path):
     assert [(r.k, r.v, r.errMsg) for r in rows] == [(1, "A", "1 is less than the minimum of 2")]
 
 
+@pytest.mark.parametrize("profiles", [True, False])
+@pytest.mark.parametrize("validation", [True, False])
+def test_queries_that_are_known_to_be_empty(spark, tmp_path, profiles, validation):
+    sinks = (Sink("o", "parquet", KV, str(tmp_path / "out")),)
+    text = "select k, v from s where 1 = 0"
+    pipeline = Pipeline("p", (small_source(tmp_path),), sinks, query=text, validation=validation)
+    result = run_all(spark, [pipeline], profiles=profiles)[0]
+    assert {w.rows for w in result.written} == {0}
+    assert all(p["count"] == 0 for w in result.written for p in w.profile)
+
+
 def test_failures_are_recorded_and_do_not_stop_other_pipelines(spark, tmp_path):
     source = small_source(tmp_path)
     links = (Link("s", "o", 1, 1), Link("s", "o", 2, 2))
