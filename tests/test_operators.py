@@ -354,8 +354,8 @@ def test_tasks_follow_the_input_size(spark, tmp_path, monkeypatch):
     terabyte = 1024**4
     width, merged, scanned = sized(spark, tmp_path, monkeypatch, terabyte)
     assert (width, merged, scanned) == (str(terabyte // (64 * 1024**2)), None, None)
-    each = str(100 * terabyte // 200_000)
-    assert sized(spark, tmp_path, monkeypatch, 100 * terabyte) == ("50000", each, each)
+    scanned_each, largest_merged = str(100 * terabyte // 200_000), str(512 * 1024**2)
+    assert sized(spark, tmp_path, monkeypatch, 100 * terabyte) == ("50000", largest_merged, scanned_each)
 
 
 def test_chosen_task_sizes_are_kept(spark, tmp_path, monkeypatch):
