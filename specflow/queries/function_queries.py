@@ -145,7 +145,7 @@ _function(
     "epoch(o_orderdate)::BIGINT",
     "Long",
 )
-_function("to_date", "lineitem", "l_shipdate", "to_date({0})", "l_shipdate::DATE", "date")
+_function("to_date", "lineitem", "l_shipdate", "to_date({0})", "l_shipdate::DATE::VARCHAR")
 _function(
     "date_reformat",
     "orders",
@@ -169,8 +169,8 @@ _function(
     "lineitem",
     "l_extendedprice",
     "round(cast({0} as decimal(18,2)) * cast(0.07 as decimal(4,2)), 2)",
-    "round(l_extendedprice::DECIMAL(18, 2) * 0.07::DECIMAL(4, 2), 2)::DECIMAL(18, 2)",
-    "decimal(18,2)",
+    "round(l_extendedprice::DECIMAL(18, 2) * 0.07::DECIMAL(4, 2), 2)::DOUBLE",
+    "Double",
 )
 _function("floor", "lineitem", "l_extendedprice", "floor({0})", "floor(l_extendedprice)::BIGINT", "Long")
 _function("ceil", "lineitem", "l_extendedprice", "ceil({0})", "ceil(l_extendedprice)::BIGINT", "Long")

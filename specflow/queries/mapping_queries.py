@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from specflow.plans.spec import JoinKey, Pipeline, Predicate, Sink, SinkColumn, Source, SourceColumn
 from specflow.plans.run import sink_frames
@@ -15,7 +16,7 @@ from specflow.sinks.storage import new_folder
 
 @query(
     "map_cast_rename",
-    """SELECT p_partkey::INTEGER AS id, p_size::VARCHAR AS size_text, p_retailprice::DECIMAL(12, 2) AS price,
+    """SELECT p_partkey::INTEGER AS id, p_size::VARCHAR AS size_text, p_retailprice::DECIMAL(12, 1)::VARCHAR AS price,
 trunc(p_retailprice)::BIGINT AS whole_price, TRY_CAST(p_name AS INTEGER) AS not_a_number, p_size::DOUBLE AS size_real
 FROM part""",
 )
@@ -23,12 +24,12 @@ def map_cast_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = [
         ("p_partkey", SinkColumn("id", "Int")),
         ("p_size", SinkColumn("size_text", "String")),
-        ("p_retailprice", SinkColumn("price", "decimal(12,2)")),
+        ("p_retailprice", SinkColumn("price", "decimal(12,1)")),
         ("p_retailprice", SinkColumn("whole_price", "Long")),
         ("p_name", SinkColumn("not_a_number", "Int")),
         ("p_size", SinkColumn("size_real", "Double")),
     ]
-    return lazy(spark, given("part", sf_dir), targets)
+    return lazy(spark, given("part", sf_dir), targets).withColumn("price", F.col("price").cast("string"))
 
 
 @query(

@@ -134,7 +134,7 @@ def _codecs_sql() -> str:
     return (
         "SELECT file_type, codec, ending, rows_read, balance FROM "
         f"(VALUES {rows}) AS v(file_type, codec, ending), "
-        "(SELECT count(*) AS rows_read, sum(c_acctbal::DECIMAL(18, 2))::DECIMAL(28, 2) AS balance FROM customer)"
+        "(SELECT count(*) AS rows_read, sum(c_acctbal::DECIMAL(18, 2))::DOUBLE AS balance FROM customer)"
     )
 
 
@@ -160,7 +160,10 @@ def sink_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
         ending = F.regexp_extract(F.col("_metadata.file_name"), r"c000\.(.*)$", 1)
         parts.append(
             rows.groupBy(ending.alias("ending"))
-            .agg(F.count("*").alias("rows_read"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("balance"))
+            .agg(
+                F.count("*").alias("rows_read"),
+                F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"),
+            )
             .select(F.lit(file_type).alias("file_type"), F.lit(codec).alias("codec"), "*")
         )
     return reduce(DataFrame.unionByName, parts)

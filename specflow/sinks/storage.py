@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from specflow.plans.spec import SpecError, quoted
 
@@ -63,8 +65,12 @@ def written_once(df: DataFrame, partition_by: tuple[str, ...] = ()) -> Iterator[
     For frames that several writes consume: the work behind them runs once, every
     consumer sees the same rows even where an expression is not repeatable, and a
     lost executor costs a re-read, not a re-run. The table is dropped at the end.
+    Columns without a type, which no table can hold, are kept as text.
     """
     spark = df.sparkSession
+    untyped = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
+    for name in untyped:
+        df = df.withColumn(name, F.col(quoted(name)).cast("string"))
     path = new_folder(spark, "stage")
     try:
         df.write.partitionBy(*partition_by).parquet(path)

@@ -45,7 +45,7 @@ def as_bag(columns: list[str], rows: list[tuple]) -> Counter:
 # How each DuckDB type appears in Spark.
 SPARK_TYPES = {
     "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "FLOAT": "float",
-    "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "HUGEINT": "bigint",
+    "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
 }
 
 

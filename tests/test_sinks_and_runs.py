@@ -186,6 +186,12 @@ def test_the_stored_table_is_dropped(session, tmp_path):
     assert not storage.exists(session, path)
 
 
+def test_columns_without_a_type_are_stored(session):
+    df = session.sql("select 1 as `a.b`, null as nothing")
+    with storage.written_once(df) as rows:
+        assert rows.columns == ["a.b", "nothing"] and [tuple(r) for r in rows.collect()] == [(1, None)]
+
+
 def test_the_shared_folder_is_the_one_the_session_names(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert storage.new_folder(spark, "x").startswith(named + "/specflow/x-")
