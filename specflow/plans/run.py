@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import traceback
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,36 +80,48 @@ def write_sinks(
     profiles: bool = False,
     given: dict[str, DataFrame] | None = None,
     folder: str = "",
-) -> list[Written]:
+    report: Callable[[Written], None] = lambda written: None,
+) -> None:
     """Write every sink of a pipeline, file sinks into ``folder`` below their path.
 
-    A join or query that feeds several sinks is computed once. A single source is
-    scanned by each sink instead, for the columns that sink needs.
+    What several sinks share is computed once and stored, unless it is no more than
+    a columnar source: each sink then scans the columns it needs. Every finished
+    write is reported.
     """
-    if len(pipeline.sinks) == 1 or not (pipeline.joins or pipeline.query is not None):
-        return _write_frames(sink_frames(session, pipeline, given), pipeline, profiles, folder)
+    if len(pipeline.sinks) == 1 or _is_columnar_scan(pipeline):
+        _write_frames(sink_frames(session, pipeline, given), pipeline, profiles, folder, report)
+        return
     base = combined(session, pipeline, given)
-    if pipeline.query is not None:
-        with written_once(base) as rows:
+    if pipeline.query is None:
+        # One struct per sink: only mapped columns are stored, and names may repeat between sinks.
+        base = base.select(*(F.struct(*sink_columns(pipeline, sink)).alias(sink.id) for sink in pipeline.sinks))
+    with written_once(base) as rows:
+        if pipeline.query is not None:
             frames = {sink.id: rows for sink in pipeline.sinks}
-            return _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, stored=True)
-    # One struct per sink: only mapped columns are stored, and names may repeat between sinks.
-    packed = base.select(*(F.struct(*sink_columns(pipeline, sink)).alias(sink.id) for sink in pipeline.sinks))
-    with written_once(packed) as rows:
-        frames = {sink.id: rows.select(f"{quoted(sink.id)}.*") for sink in pipeline.sinks}
-        return _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, stored=True)
+        else:
+            frames = {sink.id: rows.select(f"{quoted(sink.id)}.*") for sink in pipeline.sinks}
+        _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, report, stored=True)
+
+
+def _is_columnar_scan(pipeline: Pipeline) -> bool:
+    columnar = all(source.file_type in ("parquet", "orc", "hivetable") for source in pipeline.sources)
+    return columnar and not pipeline.joins and pipeline.query is None
 
 
 def _write_frames(
-    frames: dict[str, DataFrame], pipeline: Pipeline, profiles: bool, folder: str, stored: bool = False
-) -> list[Written]:
-    written: list[Written] = []
+    frames: dict[str, DataFrame],
+    pipeline: Pipeline,
+    profiles: bool,
+    folder: str,
+    report: Callable[[Written], None],
+    stored: bool = False,
+) -> None:
     for sink in pipeline.sinks:
         if pipeline.validation:
-            written += write_split(frames[sink.id], sink, folder, profiles, stored)
+            for side in write_split(frames[sink.id], sink, folder, profiles, stored):
+                report(side)
         else:
-            written.append(write(frames[sink.id], sink, "", folder, profiles))
-    return written
+            report(write(frames[sink.id], sink, "", folder, profiles))
 
 
 def run(
@@ -130,9 +142,12 @@ def run(
         if profiles:
             for source in pipeline.sources:
                 audit.profiled(pipeline.id, source.id, profile_json(records_of(profile(read(session, source)))))
-        result.written = write_sinks(session, pipeline, profiles)
-        for written in result.written:
+
+        def report(written: Written) -> None:
+            result.written.append(written)
             audit.written(pipeline.id, written, profile_json(written.profile) if profiles else None)
+
+        write_sinks(session, pipeline, profiles, report=report)
         audit.info(pipeline.id, f"Finished processing {pipeline.id}")
     except Exception as failure:
         result.error = f"{type(failure).__name__}: {failure}"

@@ -7,7 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from specflow.plans.spec import SinkColumn
 from specflow.queries.common import QUERIES, ORACLES, given, lazy
 
-_KEYS = {"customer": "c_custkey", "documents": "doc_id", "lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey"}
+_KEYS = {
+    "customer": "c_custkey",
+    "documents": "doc_id",
+    "lineitem": "l_orderkey",
+    "orders": "o_orderkey",
+    "part": "p_partkey",
+}
 
 
 def _function(name: str, table: str, column: str, template: str, sql: str, kind: str = "String") -> None:

@@ -17,7 +17,7 @@ from specflow.sinks.storage import new_folder
 @query(
     "map_cast_rename",
     """SELECT p_partkey::INTEGER AS id, p_size::VARCHAR AS size_text, p_retailprice::DECIMAL(12, 1)::VARCHAR AS price,
-trunc(p_retailprice)::BIGINT AS whole_price, TRY_CAST(p_name AS INTEGER) AS not_a_number, p_size::DOUBLE AS size_real
+trunc(p_retailprice)::BIGINT AS whole_price, TRY_CAST(p_name AS DOUBLE) AS not_a_number, p_size::DOUBLE AS size_real
 FROM part""",
 )
 def map_cast_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def map_cast_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("p_size", SinkColumn("size_text", "String")),
         ("p_retailprice", SinkColumn("price", "decimal(12,1)")),
         ("p_retailprice", SinkColumn("whole_price", "Long")),
-        ("p_name", SinkColumn("not_a_number", "Int")),
+        ("p_name", SinkColumn("not_a_number", "Double")),
         ("p_size", SinkColumn("size_real", "Double")),
     ]
     return lazy(spark, given("part", sf_dir), targets).withColumn("price", F.col("price").cast("string"))

@@ -201,11 +201,9 @@ def profile_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "audit_events",
     """WITH joined AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey)
-SELECT * FROM (VALUES ('good', 1, 'INFO', 'Started', NULL::BIGINT), ('good', 2, 'INFO', 'Wrote', -1),
-('good', 3, 'INFO', 'Wrote', -2), ('good', 4, 'INFO', 'Finished', NULL), ('good', 5, 'INFO', 'Total', NULL),
-('bad', 1, 'INFO', 'Started', NULL), ('bad', 2, 'ERROR', 'AnalysisException:', NULL),
-('bad', 3, 'INFO', 'Total', NULL)) AS v(pipeline_id, step, level, word, rows_written)
-WHERE rows_written IS NULL
+SELECT pipeline_id, step, level, word, -1::BIGINT AS rows_written FROM (VALUES ('good', 1, 'INFO', 'Started'),
+('good', 4, 'INFO', 'Finished'), ('good', 5, 'INFO', 'Total'), ('bad', 1, 'INFO', 'Started'),
+('bad', 2, 'ERROR', 'AnalysisException:'), ('bad', 3, 'INFO', 'Total')) AS v(pipeline_id, step, level, word)
 UNION ALL SELECT 'good', 2, 'INFO', 'Wrote', count(*) FROM joined WHERE o_totalprice >= 1000
 UNION ALL SELECT 'good', 3, 'INFO', 'Wrote', count(*) FROM joined WHERE o_totalprice < 1000""",
 )
@@ -226,5 +224,5 @@ def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "step",
         "level",
         F.split("message", " ")[0].alias("word"),
-        F.col("rows").alias("rows_written"),
+        F.coalesce("rows", F.lit(-1)).cast("bigint").alias("rows_written"),
     )

@@ -28,7 +28,10 @@ def _landed(spark: SparkSession, sf_dir: str, targets: list, validation: bool) -
     return session, sink
 
 
-@query("stream_landing", "SELECT event_id AS id, ts AS happened, event_type AS kind, value * 2 AS doubled FROM events")
+@query(
+    "stream_landing",
+    "SELECT event_id AS id, ts AS happened, event_type AS kind, value * 2 AS doubled FROM events",
+)
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = [
         ("event_id", SinkColumn("id", "Long")),

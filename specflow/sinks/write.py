@@ -75,10 +75,9 @@ def distributed(df: DataFrame, sink: Sink) -> DataFrame:
 
     A requested number of partitions is made by a shuffle, so the work before it
     keeps its full width; a database gets a bounded number of connections either
-    way. Output partitioned by column is rebalanced on those
-    columns: each value lands in few, evenly sized files, and a value holding a
-    large share of the rows is split over many tasks. All other output is written
-    where it is computed.
+    way. Output partitioned by column is rebalanced on those columns: each value
+    lands in few, evenly sized files, and a value holding a large share of the rows
+    is split over many tasks. All other output is written where it is computed.
     """
     if sink.num_partitions is not None:
         return df.repartition(sink.num_partitions)

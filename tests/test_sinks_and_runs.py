@@ -221,6 +221,34 @@ def test_validated_mesh_of_joined_sources_and_sinks(spark, tmp_path):
     assert [(r.v, r.k) for r in read_back["n"]] == [("b", 2)]
 
 
+@pytest.mark.parametrize("file_type", ["csv", "parquet"])
+def test_one_source_feeds_several_sinks(spark, tmp_path, file_type):
+    """A text source is read once for all sinks, a columnar one by each sink."""
+    source = small_source(tmp_path)
+    if file_type == "parquet":
+        path = str(tmp_path / "columnar")
+        read(spark, source).write.parquet(path)
+        source = Source("s", "parquet", source.columns, path)
+    names, drawn = (SinkColumn("v", "String", 1, transform="upper({0})"),), (SinkColumn("r", "Double", 1, default="rand()"),)
+    sinks = (Sink("m", "csv", names, str(tmp_path / "out")), Sink("n", "orc", drawn, str(tmp_path / "out")),
+             Sink("o", "orc", drawn, str(tmp_path / "out")))
+    links = (Link("s", "m", 1, 2), Link("s", "n", 1), Link("s", "o", 1))
+    result = run_all(spark, [Pipeline("p", (source,), sinks, links)])[0]
+    assert [w.rows for w in result.written] == [3, 3, 3]
+    assert sorted(r[0] for r in spark.read.csv(sinks[0].path).collect()) == ["A", "B", "C"]
+
+
+def test_a_failed_sink_leaves_the_finished_ones_on_record(spark, tmp_path):
+    source = small_source(tmp_path)
+    sinks = tuple(Sink(n, "json", KV, str(tmp_path / "out"), mode="errorifexists") for n in "mn")
+    (tmp_path / "out/n_json/json").mkdir(parents=True)
+    links = tuple(Link("s", n, 1, 1) for n in "mn")
+    audit = AuditLog(spark)
+    result = run(spark, Pipeline("p", (source,), sinks, links), audit)
+    assert not result.succeeded and [w.target for w in result.written] == [sinks[0].path]
+    assert [e.rows for e in audit.frame().where("message like 'Wrote%'").collect()] == [3]
+
+
 def test_a_query_feeds_several_checked_sinks(spark, tmp_path):
     sinks = tuple(Sink(n, "json", KV, str(tmp_path / "out")) for n in ("m", "n"))
     text = "select k, upper(v) as v from s"
