@@ -2,7 +2,7 @@
 
 from specflow.plans.audit import AuditLog
 from specflow.plans.metadata import MetadataStore
-from specflow.plans.run import PipelineFailures, RunResult, run, run_all, sink_frames
+from specflow.plans.run import PipelineFailures, RunResult, run, run_all, run_processes, sink_frames
 from specflow.plans.session import pipeline_session
 from specflow.plans.spec import (
     JoinKey,
@@ -33,5 +33,6 @@ __all__ = [
     "pipeline_session",
     "run",
     "run_all",
+    "run_processes",
     "sink_frames",
 ]

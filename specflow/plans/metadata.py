@@ -9,9 +9,11 @@ driver-side configuration; the data they describe never passes through here.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from configparser import ConfigParser
 from dataclasses import dataclass
+from functools import partial
 from pathlib import Path
 from typing import Any
 
@@ -221,19 +223,24 @@ class MetadataStore:
             raise SpecError(f"sink {sink_id}: expected one record, found {len(records)}")
         return sink_from(records[0], self._owned(self.sink_columns, "destCols", "destId", sink_id))
 
-    def process_files(self) -> list[str]:
-        return sorted(path.name for path in Path(self.processes).glob("prc_*.json"))
+    def process_files(self, pattern: str = r"prc_.*\.json") -> list[str]:
+        """The process files whose whole name matches."""
+        names = (path.name for path in Path(self.processes).glob("*.json"))
+        return sorted(name for name in names if re.fullmatch(pattern, name))
+
+    def active(self, process_file: str) -> list[tuple[str, Callable[[], Pipeline]]]:
+        """The active processes of a file: their ids, and how to load each."""
+        records = self._records(self.processes, process_file)
+        return [(_required(r, "prcId"), partial(self._pipeline, r)) for r in records if flag(r.get("isActive"))]
 
     def pipelines(self, process_file: str) -> Iterator[Pipeline]:
         """The active pipelines of one process file."""
-        for record in self._records(self.processes, process_file):
-            if flag(record.get("isActive")):
-                yield self._pipeline(record)
+        return (load() for _, load in self.active(process_file))
 
     def pipeline(self, process_id: str) -> Pipeline:
-        for pipeline in self.pipelines(f"prc_{process_id}.json"):
-            if pipeline.id == process_id:
-                return pipeline
+        for active_id, load in self.active(f"prc_{process_id}.json"):
+            if active_id == process_id:
+                return load()
         raise SpecError(f"process {process_id} is not active or not described")
 
     def _pipeline(self, record: dict[str, Any]) -> Pipeline:

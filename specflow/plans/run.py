@@ -15,8 +15,9 @@ from specflow.operators.project import project, sink_columns
 from specflow.operators.relate import join_sources, sql_step, where
 from specflow.operators.rules import with_rules
 from specflow.plans.audit import AuditLog
+from specflow.plans.metadata import MetadataStore
 from specflow.plans.session import pipeline_session, size_tasks
-from specflow.plans.spec import Pipeline, quoted
+from specflow.plans.spec import Pipeline, SpecError, quoted
 from specflow.sinks.storage import written_once
 from specflow.sinks.write import Written, write, write_split
 from specflow.sources import read
@@ -165,7 +166,31 @@ def run_all(
     Once all were tried, failures are raised together.
     """
     audit = audit if audit is not None else AuditLog(spark)
-    results = [run(spark, pipeline, audit, profiles) for pipeline in pipelines if pipeline.active]
+    return _all_succeeded([run(spark, pipeline, audit, profiles) for pipeline in pipelines if pipeline.active])
+
+
+def run_processes(
+    spark: SparkSession, store: MetadataStore, pattern: str, audit: AuditLog | None = None, profiles: bool = False
+) -> list[RunResult]:
+    """Run the active processes of all process files whose name matches, as :func:`run_all` does.
+
+    A process whose description is faulty counts as failed.
+    """
+    audit = audit if audit is not None else AuditLog(spark)
+    results = []
+    for process_file in store.process_files(pattern):
+        for process_id, load in store.active(process_file):
+            try:
+                pipeline = load()
+            except SpecError as fault:
+                results.append(RunResult(process_id, error=f"SpecError: {fault}"))
+                audit.error(process_id, results[-1].error, traceback.format_exc())
+            else:
+                results.append(run(spark, pipeline, audit, profiles))
+    return _all_succeeded(results)
+
+
+def _all_succeeded(results: list[RunResult]) -> list[RunResult]:
     failed = [result for result in results if not result.succeeded]
     if failed:
         raise PipelineFailures("; ".join(f"{r.pipeline_id}: {r.error}" for r in failed))

@@ -6,6 +6,7 @@ import json
 from pathlib import Path
 
 import pytest
+from metadata_files import MetadataFiles
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from specflow import (
     AuditLog,
     JoinKey,
     Link,
+    MetadataStore,
     Pipeline,
     PipelineFailures,
     Sink,
@@ -23,6 +25,7 @@ from specflow import (
     pipeline_session,
     run,
     run_all,
+    run_processes,
 )
 from specflow.sinks import storage, write, write_split
 from specflow.sinks.write import distributed, target_of
@@ -291,6 +294,21 @@ def test_failures_are_recorded_and_do_not_stop_other_pipelines(spark, tmp_path):
     ]
 
 
+def test_process_files_are_chosen_by_their_whole_name(spark, tmp_path):
+    files = MetadataFiles(tmp_path / "config")
+    files.source("s", "k Int, v String", fileType="csv", srcLocation=small_source(tmp_path).location)
+    files.sink("d", [{"colName": "k", "colType": "Int"}], fileType="json", destLocation=str(tmp_path / "out"))
+    for name, column in (("1", 1), ("2", 9), ("12", 1), ("3", 2)):
+        files.process(name, [("s", column, "d", 1)])
+    store, audit = MetadataStore.under(str(tmp_path / "config")), AuditLog(spark)
+    assert store.process_files(r"prc_[0-9]\.json") == ["prc_1.json", "prc_2.json", "prc_3.json"]
+    with pytest.raises(PipelineFailures, match="^2: SpecError: source s has no column with id 9$"):
+        run_processes(spark, store, r"prc_[0-9]\.json", audit)
+    assert {e.pipeline_id: e.level for e in audit.frame().where("step = 1").collect()} == {
+        "1": "INFO", "2": "ERROR", "3": "INFO",
+    }
+
+
 def test_audit_rows_can_be_kept_and_published(spark, tmp_path):
     source = small_source(tmp_path)
     pipeline = Pipeline("p", (source,), (Sink("o", "json", KV, str(tmp_path / "out")),), (Link("s", "o", 1, 1),))
