@@ -17,11 +17,15 @@ SEMANTICS = {
     "spark.sql.legacy.timeParserPolicy": "LEGACY",
 }
 
-# Let the running query split hot join keys, even where that costs a further shuffle,
-# and let a task that writes few partition values keep a file open for each, unsorted.
+# Defaults the caller may override. The running query splits hot join keys, even where
+# that costs a further shuffle, and early: a hot key's rows compress well, so by bytes it
+# looks smaller than it is. A task that writes few partition values keeps a file open for
+# each instead of sorting.
 EXECUTION = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
@@ -44,11 +48,10 @@ def pipeline_session(spark: SparkSession, pipeline: Pipeline | None = None) -> S
     functions are defined unless the given pipeline mentions none.
     """
     session = spark.newSession()
-    for name, value in spark.conf.getAll.items():
-        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
+    chosen = {name: value for name, value in spark.conf.getAll.items() if name.startswith("spark.sql.")}
+    for name, value in {**EXECUTION, **chosen, **SEMANTICS}.items():
+        if session.conf.isModifiable(name):
             session.conf.set(name, value)
-    for name, value in {**EXECUTION, **SEMANTICS}.items():
-        session.conf.set(name, value)
     if pipeline is None or any("mask_" in text.lower() for text in pipeline.sql_texts()):
         register_masks(session)
     return session
