@@ -7,10 +7,11 @@ from specflow.functions.masking import (
     mask_show_last_n,
     register_masks,
 )
-from specflow.functions.templates import expand
+from specflow.functions.templates import expand, is_repeatable
 
 __all__ = [
     "expand",
+    "is_repeatable",
     "mask_first_n",
     "mask_last_n",
     "mask_show_first_n",

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from specflow.functions.templates import is_repeatable
 from specflow.operators.profiling import profile, profile_json, records_of
 from specflow.operators.project import project, sink_columns
 from specflow.operators.relate import join_sources, sql_step, where
@@ -86,11 +87,14 @@ def write_sinks(
     """Write every sink of a pipeline, file sinks into ``folder`` below their path.
 
     What several sinks share is computed once and stored, unless it is no more than
-    a columnar source: each sink then scans the columns it needs. Every finished
-    write is reported.
+    a columnar source: each sink then scans the columns it needs. The two sides of
+    a checked sink likewise share a stored table, or scan a columnar source twice
+    where its expressions are repeatable. Every finished write is reported.
     """
-    if len(pipeline.sinks) == 1 or _is_columnar_scan(pipeline):
-        _write_frames(sink_frames(session, pipeline, given), pipeline, profiles, folder, report)
+    scan = _is_columnar_scan(pipeline)
+    if len(pipeline.sinks) == 1 or scan:
+        repeatable = scan and all(is_repeatable(text) for text in pipeline.sql_texts())
+        _write_frames(sink_frames(session, pipeline, given), pipeline, profiles, folder, report, repeatable)
         return
     base = combined(session, pipeline, given)
     if pipeline.query is None:
@@ -101,7 +105,7 @@ def write_sinks(
             frames = {sink.id: rows for sink in pipeline.sinks}
         else:
             frames = {sink.id: rows.select(f"{quoted(sink.id)}.*") for sink in pipeline.sinks}
-        _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, report, stored=True)
+        _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, report, repeatable=True)
 
 
 def _is_columnar_scan(pipeline: Pipeline) -> bool:
@@ -115,11 +119,11 @@ def _write_frames(
     profiles: bool,
     folder: str,
     report: Callable[[Written], None],
-    stored: bool = False,
+    repeatable: bool,
 ) -> None:
     for sink in pipeline.sinks:
         if pipeline.validation:
-            for side in write_split(frames[sink.id], sink, folder, profiles, stored):
+            for side in write_split(frames[sink.id], sink, folder, profiles, repeatable):
                 report(side)
         else:
             report(write(frames[sink.id], sink, "", folder, profiles))

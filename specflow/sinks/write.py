@@ -50,15 +50,15 @@ def write(df: DataFrame, sink: Sink, suffix: str = "", folder: str = "", profile
 
 
 def write_split(
-    checked: DataFrame, sink: Sink, folder: str = "", profiles: bool = False, stored: bool = False
+    checked: DataFrame, sink: Sink, folder: str = "", profiles: bool = False, repeatable: bool = False
 ) -> tuple[Written, Written]:
     """Write valid rows to the sink and the rest beside it, under ``_INVALID``.
 
     The checked rows are computed once, into a table laid out by validity, so
-    each side then reads only its own files. Rows that are ``stored`` already are
-    read from there.
+    each side then reads only its own files. Rows that are ``repeatable``, because
+    a second reading is cheap and surely the same, are read by each side instead.
     """
-    if stored:
+    if repeatable:
         return _write_sides(checked, sink, folder, profiles)
     with written_once(checked, partition_by=(VALID_COLUMN,)) as rows:
         return _write_sides(rows, sink, folder, profiles)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from specflow import JoinKey, Link, Pipeline, Predicate, Sink, SinkColumn, Source, SourceColumn, SpecError
 from specflow import pipeline_session, sink_frames
-from specflow.functions import mask_first_n, mask_last_n, mask_show_first_n, mask_show_last_n
+from specflow.functions import is_repeatable, mask_first_n, mask_last_n, mask_show_first_n, mask_show_last_n
 from specflow.operators import profile, with_rules
 from specflow.operators.profiling import profile_json, records_of
 from specflow.plans.run import combined
@@ -88,6 +88,24 @@ def test_masks_are_defined_where_a_pipeline_uses_them(spark, tmp_path):
         assert rows(df) == [("Xx1",)]
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("concat({0} ,'_X_Y_Z')", True),
+        ("from_unixtime(unix_timestamp({0}, 'dd-MM-yyyy'),'yyyy/MM/dd')", True),
+        ("{0} + 1", True),
+        ("RAND()", False),
+        ("`rand`(3)", False),
+        ("rand/**/()", False),
+        ("upper(uuid ())", False),
+        ("{0} in (select 1)", True),
+        ("exists (select 1)", False),
+    ],
+)
+def test_repeatable_templates(text, expected):
+    assert is_repeatable(text) is expected
+
+
 # Mapping
 
 

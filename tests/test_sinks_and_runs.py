@@ -27,6 +27,7 @@ from specflow import (
     run_all,
     run_processes,
 )
+from specflow.plans.run import write_sinks
 from specflow.sinks import storage, write, write_split
 from specflow.sinks.write import distributed, target_of
 from specflow.sources import read
@@ -158,10 +159,10 @@ def checked(session, rows):
     [[(1, "Y", ""), (2, "N", "bad"), (3, "Y", "")], [(1, "Y", "")], [(1, "N", "bad")], []],
 )
 @pytest.mark.parametrize("file_type", ["parquet", "json", "csv"])
-@pytest.mark.parametrize("stored", [True, False])
-def test_split(session, tmp_path, rows, file_type, stored):
+@pytest.mark.parametrize("repeatable", [True, False])
+def test_split(session, tmp_path, rows, file_type, repeatable):
     target = sink(tmp_path, file_type)
-    valid, invalid = write_split(checked(session, rows), target, stored=stored)
+    valid, invalid = write_split(checked(session, rows), target, repeatable=repeatable)
     expected = {flag: [r for r in rows if r[1] == flag] for flag in "YN"}
     assert (valid.rows, invalid.rows) == (len(expected["Y"]), len(expected["N"]))
     assert (valid.target, invalid.target) == (target.path, target.path + "_INVALID")
@@ -182,6 +183,35 @@ def test_unrepeatable_values_are_split_consistently(session, tmp_path):
     assert sides[0].union(sides[1]).select("id").distinct().count() == 2000
 
 
+@pytest.mark.parametrize(
+    "file_type, template, stores",
+    [
+        ("parquet", "substr({0}, 1, 2)", 0),
+        ("parquet", "CASE WHEN {0} in ('a') THEN upper ({0}) ELSE cast({0} as string) END", 0),
+        ("parquet", "concat({0}, rand())", 1),
+        ("parquet", "my_function({0})", 1),
+        ("csv", "upper({0})", 1),
+    ],
+)
+def test_checked_rows_are_stored_unless_a_second_scan_is_cheap_and_the_same(
+    spark, tmp_path, monkeypatch, file_type, template, stores
+):
+    source = small_source(tmp_path)
+    if file_type == "parquet":
+        read(spark, source).write.parquet(str(tmp_path / "columnar"))
+        source = Source("s", "parquet", source.columns, str(tmp_path / "columnar"))
+    columns = (KV[0], SinkColumn("v", "String", 2, transform=template))
+    sink = Sink("o", "json", columns, str(tmp_path / "out"))
+    pipeline = Pipeline("p", (source,), (sink,), (Link("s", "o", 1, 1), Link("s", "o", 2, 2)), validation=True)
+    folders = []
+    monkeypatch.setattr(storage, "new_folder", lambda spark, purpose: folders.append(str(tmp_path / purpose)) or folders[-1])
+    session = pipeline_session(spark, pipeline)
+    session.sql("CREATE TEMPORARY FUNCTION my_function(s STRING) RETURNS STRING RETURN upper(s)")
+    written = []
+    write_sinks(session, pipeline, report=written.append)
+    assert ([w.rows for w in written], len(folders)) == ([2, 1], stores)
+
+
 def test_the_stored_table_is_dropped(session, tmp_path):
     with storage.written_once(numbers(session, 10)) as rows:
         (path,) = {str(Path(f).parent) for f in (p.replace("file://", "") for p in rows.inputFiles())}
