@@ -1,0 +1,84 @@
+"""Each stage of the pipeline on its own input, against plain versions of its decision."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from specflow.llm import language, mixing, near_dedup
+from specflow.llm.tables import written
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir, documents):
+    found, rows = {"documents": documents}, documents
+    for name, stage in corpus_pipeline.STAGES:
+        rows = written(stage(spark, rows, sf_dir), name)
+        found[name] = rows
+    return found
+
+
+def _ids(frame):
+    return Counter(r.doc_id for r in frame.select("doc_id").collect())
+
+
+def test_stages_keep_the_columns(stages):
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert stages[name].columns == stages["documents"].columns
+
+
+def test_language_id(stages):
+    told = language.languages(stages["documents"]).collect()
+    expected = Counter(r.doc_id for r in told if r.lang_pred != "und" and r.score >= 0.5)
+    assert _ids(stages["language_id"]) == expected and len(expected) >= 0.98 * len(told)
+
+
+def test_exact_dedup(stages):
+    import re
+
+    first = {}
+    for r in stages["language_id"].collect():
+        text = re.sub(r"[\x20\x09-\x0D]+", " ", r.text)
+        first[text] = min(first.get(text, r.doc_id), r.doc_id)
+    assert _ids(stages["exact_dedup"]) == Counter(first.values())
+
+
+def test_near_dedup(stages):
+    found = near_dedup.near_duplicates(stages["exact_dedup"]).collect()
+    assert _ids(stages["near_dedup"]) == Counter({r.class_id for r in found})
+    assert len({r.class_id for r in found}) < len(found)
+
+
+def test_mixture(stages):
+    expected = Counter()
+    for r in mixing.mixed(stages["near_dedup"]).collect():
+        if r.times:
+            expected[r.doc_id] += r.times
+    assert _ids(stages["mixture"]) == expected and max(expected.values()) == 2
+
+
+def test_packing(stages):
+    sizes = Counter()
+    for r in stages["mixture"].collect():
+        sizes[r.doc_id] += len(r.text.encode().split())
+    packed = Counter()
+    for r in stages["packing"].collect():
+        packed[r.doc_id] += r.n_tokens
+    assert packed == sizes
+
+
+def test_run(spark, sf_dir, stages):
+    assert corpus_pipeline.run(spark, sf_dir).count() == stages["packing"].count()
+
+
+def test_empty_and_repeated_rows(spark, sf_dir, docs_of):
+    rows = [(1, "Der Hund und die Katze", "de", "s"), (1, "Der Hund und die Katze", "de", "s"), (None, None), (2, "the cat and the dog", "en", None)] * 2
+    for docs in (docs_of([]), docs_of(rows)):
+        out = docs
+        for name, stage in corpus_pipeline.STAGES:
+            out = written(stage(spark, out, sf_dir), name)
+            if name != "packing":
+                assert out.columns == docs.columns
+        assert {r.doc_id for r in out.collect()} <= {1, 2}
