@@ -6,7 +6,7 @@ A document alone in its group has no equal and leaves. Documents whose text has
 No digest decides: the text itself is compared, piece after piece.
 
 A round counts its groups with map-side sums and joins the counts back, a join that Spark splits where one
-group holds much of the rows. What is left is written to the shared folder: it has copies and long common
+group holds much of the rows (a merge join at every size, so that the work grows evenly). What is left is written to the shared folder: it has copies and long common
 beginnings only, each with the rest of its text.
 
 Texts are equal when they are identical after each run of ``[\\x20\\x09-\\x0D]`` became one space.
@@ -33,11 +33,14 @@ def normalised(text: Column) -> Column:
 
 
 def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The groups of several rows: their keys, how many rows, the smallest id, and the smallest row number if there is one."""
+    """The groups of several rows: their keys, how many rows, the smallest id, and the smallest row number if there is one.
+
+    Written, so that the join with them has its own exchange on either side, which Spark can split at a hot group.
+    """
     sums = [F.count("*").alias("size"), F.min("doc_id").alias("keep_id")]
     if "row" in rows.columns:
         sums.append(F.min("row").alias("next_group"))
-    return rows.groupBy(*keys).agg(*sums).filter(F.col("size") > 1)
+    return written(rows.groupBy(*keys).agg(*sums).filter(F.col("size") > 1), "radix-groups")
 
 
 def equal_groups(docs: DataFrame) -> DataFrame:
@@ -45,7 +48,7 @@ def equal_groups(docs: DataFrame) -> DataFrame:
     text = normalised(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long"), text.alias("rest"))
     rows = rows.withColumn("piece", F.substring("rest", 1, _FIRST_PIECE))
-    met = rows.join(_groups(rows, ["piece"]), "piece")
+    met = rows.join(_groups(rows, ["piece"]).hint("merge"), "piece")
     whole = F.sha2("rest", 256).alias("text_sha256")
     ended = F.length("piece") < _FIRST_PIECE
     # the row number is fixed by this write; all later rounds name rows and groups by it
@@ -57,8 +60,7 @@ def equal_groups(docs: DataFrame) -> DataFrame:
     while not left.isEmpty():
         # the first of these rounds begins at the text's first character, as the group so far has no number
         rows = left.select("doc_id", "row", "group", "text_sha256", "rest").withColumn("piece", F.substring("rest", at, length))
-        groups = _groups(rows, ["group", "piece"])
-        met = rows.join(groups, ["group", "piece"])
+        met = rows.join(_groups(rows, ["group", "piece"]).hint("merge"), ["group", "piece"])
         ended = F.length("piece") < length
         rest = F.when(ended, F.lit("")).otherwise(F.expr(f"substring(rest, {length + 1})"))
         left = met.select(
