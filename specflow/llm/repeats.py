@@ -23,45 +23,37 @@ are each other's repeats; extra columns of the input are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specflow.llm.arrays import Words, run_hashes, slices, words_of
-from specflow.llm.tables import numbered_copies
+from specflow.llm.tables import id_of_row, named_rows
 
 WINDOW = 35
 PREFIX = 8
 
-_PLACE = np.dtype([("doc_id", "<i8"), ("copy", "<i4"), ("at", "<i4")])
-_LEAF = "prefix long, blocks long, doc_id long, no_id boolean, copy int, at int, more binary"
-_LEAF_ARROW = pa.schema(
-    [("prefix", pa.int64()), ("blocks", pa.int64()), ("doc_id", pa.int64()), ("no_id", pa.bool_()),
-     ("copy", pa.int32()), ("at", pa.int32()), ("more", pa.binary())]
-)
+#: A word's place: its row's id_key, and in one number the row's copy and the word's position.
+_PLACE = np.dtype([("id_key", "<i8"), ("place", "<i8")])
+_POSITION_BITS = 32
+_LEAF = "prefix long, blocks long, id_key long, place long, more binary"
 
 
-class _Places:
-    """Where the rows of a batch come from. A null id travels as 0 with a negative copy number."""
-
-    def __init__(self, batch: pa.RecordBatch) -> None:
-        ids, copies = batch.column("doc_id"), batch.column("copy").to_numpy()
-        missing = np.asarray(ids.is_null())
-        self.ids = ids.fill_null(0).to_numpy().astype(np.int64)
-        self.copies = np.where(missing, -copies, copies).astype(np.int32)
-
-    def at(self, rows: np.ndarray, positions: np.ndarray) -> np.ndarray:
-        found = np.empty(len(rows), _PLACE)
-        found["doc_id"], found["copy"], found["at"] = self.ids[rows], self.copies[rows], positions
-        return found
+def _places(rows: pa.RecordBatch, numbers: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    """The places of words, by the number of their row in the batch and their position in its text."""
+    found = np.empty(len(numbers), _PLACE)
+    found["id_key"] = rows.column("id_key").to_numpy()[numbers]
+    copies = rows.column("copy").to_numpy().astype(np.int64)[numbers]
+    found["place"] = (copies << _POSITION_BITS) | positions
+    return found
 
 
 def _leaves(prefix: np.ndarray, blocks: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """One row for each path: its first place and, packed, its others."""
-    order = np.lexsort((places["at"], places["copy"], places["doc_id"], blocks, prefix))
+    """One row for each path: its first place and, packed, its others (null if it has none)."""
+    order = np.lexsort((places["place"], places["id_key"], blocks, prefix))
     prefix, blocks, places = prefix[order], blocks[order], places[order]
     first = np.ones(len(prefix), bool)
     first[1:] = (prefix[1:] != prefix[:-1]) | (blocks[1:] != blocks[:-1])
@@ -69,22 +61,16 @@ def _leaves(prefix: np.ndarray, blocks: np.ndarray, places: np.ndarray) -> pa.Re
     sizes = np.diff(np.append(heads, len(prefix))) - 1
     ends = np.zeros(len(heads) + 1, np.int32)
     np.cumsum(sizes * _PLACE.itemsize, out=ends[1:])
-    more = pa.Array.from_buffers(
-        pa.binary(), len(heads), [None, pa.py_buffer(ends), pa.py_buffer(places[~first].tobytes())]
-    )
-    head = places[heads]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(prefix[heads].view(np.int64)),
-            pa.array(blocks[heads].view(np.int64)),
-            pa.array(head["doc_id"]),
-            pa.array(head["copy"] < 0),
-            pa.array(np.abs(head["copy"])),
-            pa.array(head["at"]),
-            more,
-        ],
-        schema=_LEAF_ARROW,
-    )
+    others = pa.py_buffer(places[~first].tobytes())
+    valid = pa.py_buffer(np.packbits(sizes > 0, bitorder="little"))
+    columns = {
+        "prefix": pa.array(prefix[heads].view(np.int64)),
+        "blocks": pa.array(blocks[heads].view(np.int64)),
+        "id_key": pa.array(places["id_key"][heads]),
+        "place": pa.array(places["place"][heads]),
+        "more": pa.Array.from_buffers(pa.binary(), len(heads), [valid, pa.py_buffer(ends), others]),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def _representatives(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +103,7 @@ def _representative_leaves(window: int):
                 runs, place = _representatives(words, window)
                 place = np.unique(place[words.runs_from(window)])
                 rows = words.texts[place]
-                places = _Places(piece).at(rows, place - words.offsets[rows])
+                places = _places(piece, rows, place - words.offsets[rows])
                 parts.append((runs[place], np.zeros(len(place), np.uint64), places))
             yield from _gathered(parts)
 
@@ -143,23 +129,25 @@ def _window_leaves(window: int):
                 runs, place = _representatives(words, window)
                 if not len(place):
                     continue
-                twin = _marked(words, piece.column("starts"))
+                twin = _marked(words, piece)
                 starts = np.flatnonzero(words.runs_from(window) & twin[place])
                 if len(starts):
                     rows = words.texts[starts]
-                    places = _Places(piece).at(rows, starts - words.offsets[rows])
+                    places = _places(piece, rows, starts - words.offsets[rows])
                     parts.append((*_path(words, runs, starts, window), places))
             yield from _gathered(parts)
 
     return plant
 
 
-def _marked(words: Words, lists: pa.Array) -> np.ndarray:
-    """Which words the lists of positions, one for each text, name."""
+def _marked(words: Words, rows: pa.RecordBatch) -> np.ndarray:
+    """Which words the rows' lists of places name. A list has the places of all rows with its id_key."""
     marked = np.zeros(len(words.codes), bool)
-    values = np.asarray(lists.flatten()).astype(np.int64)
-    lengths = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
-    marked[values + np.repeat(words.offsets[:-1], lengths)] = True
+    lists = rows.column("places")
+    places = np.asarray(lists.flatten()).astype(np.int64)
+    numbers = np.repeat(np.arange(rows.num_rows), np.asarray(lists.value_lengths().fill_null(0)))
+    own = places >> _POSITION_BITS == rows.column("copy").to_numpy().astype(np.int64)[numbers]
+    marked[words.offsets[numbers[own]] + (places[own] & ((1 << _POSITION_BITS) - 1))] = True
     return marked
 
 
@@ -185,85 +173,69 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _places_below(rows: pa.RecordBatch, met: bool, complete: bool) -> Iterator[pa.RecordBatch]:
     prefix, blocks = rows.column("prefix").to_numpy(), rows.column("blocks").to_numpy()
-    more = rows.column("more")
-    extra = np.asarray(pc.binary_length(more)) > 0
     alike = (prefix[1:] == prefix[:-1]) & (blocks[1:] == blocks[:-1])
-    several = extra.copy()
+    several = np.asarray(rows.column("more").is_valid())
     several[1:] |= alike
     several[:-1] |= alike
     several[0] |= met
     if not complete:
         several[-1] = False
-    chosen = np.flatnonzero(several)
-    if not len(chosen):
-        return
-    picked = rows.take(pa.array(chosen))
-    rest = np.frombuffer(b"".join(picked.column("more").to_pylist()), _PLACE)
-    copies = np.concatenate([picked.column("copy").to_numpy(), np.abs(rest["copy"])])
-    missing = np.concatenate([np.asarray(picked.column("no_id")), rest["copy"] < 0])
-    ids = np.concatenate([picked.column("doc_id").to_numpy(), rest["doc_id"]])
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, mask=missing),
-            pa.array(copies),
-            pa.array(np.concatenate([picked.column("at").to_numpy(), rest["at"]])),
-        ],
-        names=["doc_id", "copy", "at"],
-    )
-
-
-def _by_row(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """The rows with the array ``starts`` of their places, null if they have none."""
-    starts = places.groupBy("doc_id", "copy").agg(F.collect_list("at").alias("starts"))
-    met = F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.copy") == F.col("p.copy"))
-    return rows.alias("r").join(starts.alias("p"), met, "left").select("r.*", "p.starts")
+    picked = rows.filter(pa.array(several))
+    others = np.frombuffer(b"".join(picked.column("more").drop_null().to_pylist()), _PLACE)
+    columns = {name: pa.array(np.concatenate([picked.column(name).to_numpy(), others[name]])) for name in _PLACE.names}
+    yield pa.RecordBatch.from_pydict(columns)
+
+
+def _with_places(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """The rows with ``places``, those found for their id_key. Both sides are dealt out by id_key alone."""
+    found = places.groupBy(F.col("id_key").alias("of")).agg(F.collect_list("place").alias("places"))
+    return rows.join(found, F.col("id_key") == F.col("of"), how).drop("of")
 
 
 def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text, copy, and ``starts``: the words at which a window begins that also begins elsewhere (or null).
+    """id_key, no_id, text, copy, and ``places``: where windows begin that also begin elsewhere (null for none).
 
-    All of it is one plan: the documents are dealt out by id once and read from that exchange three times.
+    All of it is one plan: the documents are dealt out once and read from that exchange three times.
     """
     if window <= PREFIX + 2:
         raise ValueError(f"a window needs more than {PREFIX + 2} words")
-    rows = numbered_copies(docs)
-    place = "doc_id long, copy int, at int"
+    rows = named_rows(docs)
+    place = "id_key long, place long"
     representatives = rows.mapInArrow(_representative_leaves(window), _LEAF)
     twins = representatives.repartition("prefix").sortWithinPartitions("prefix", "blocks").mapInArrow(_repeated, place)
-    candidates = _by_row(rows, twins).filter(F.col("starts").isNotNull())
-    leaves = candidates.mapInArrow(_window_leaves(window), _LEAF)
+    leaves = _with_places(rows, twins, "inner").mapInArrow(_window_leaves(window), _LEAF)
     subtrees = leaves.repartitionByRange("prefix", "blocks").sortWithinPartitions("prefix", "blocks")
-    return _by_row(rows, subtrees.mapInArrow(_repeated, place))
+    return _with_places(rows, subtrees.mapInArrow(_repeated, place), "left")
 
 
-_KEPT = "doc_id long, n_words long, n_removed long, kept string"
+_KEPT = "id_key long, no_id boolean, n_words long, n_removed long, kept string"
 
 
 def _without(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
-                out: dict[str, list] = {"n_words": [], "n_removed": [], "kept": []}
-                for text, starts in zip(piece.column("text"), piece.column("starts"), strict=True):
-                    words = (text.as_py() or "").encode().split()
-                    covered = np.zeros(len(words) + 1, np.int32)
-                    if starts.is_valid:
-                        at = starts.values.to_numpy()
-                        np.add.at(covered, at, 1)
-                        np.add.at(covered, at + window, -1)
-                        gone = np.cumsum(covered)[:-1] > 0
-                        kept = [word for word, drop in zip(words, gone.tolist(), strict=True) if not drop]
-                    else:
-                        kept = words
-                    out["n_words"].append(len(words))
-                    out["n_removed"].append(len(words) - len(kept))
-                    out["kept"].append(b" ".join(kept).decode())
-                columns = [pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept"], pa.string())]
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], names=["doc_id", *out])
+                words = words_of(piece.column("text"))
+                # a window covers the words from its start: starts so far less ends so far
+                steps = np.zeros(len(words.codes) + window, np.int32)
+                starts = np.flatnonzero(_marked(words, piece))
+                steps[starts] += 1
+                steps[starts + window] -= 1
+                stays = np.cumsum(steps)[: len(words.codes)] == 0
+                kept = []
+                for text, begin, end in zip(piece.column("text").to_pylist(), words.offsets, words.offsets[1:], strict=False):
+                    kept.append(b" ".join(compress((text or "").encode().split(), stays[begin:end].tolist())).decode())
+                removed = words.counts - np.add.reduceat(np.append(stays, False).astype(np.int64), words.offsets[:-1]) * (words.counts > 0)
+                columns = {
+                    "id_key": piece.column("id_key"), "no_id": piece.column("no_id"),
+                    "n_words": pa.array(words.counts), "n_removed": pa.array(removed), "kept": pa.array(kept, pa.string()),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
 
     return cut
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and ``kept``: the words outside all repeated windows, joined by one space."""
-    return repeated_starts(docs, window).select("doc_id", "text", "starts").mapInArrow(_without(window), _KEPT)
+    cut = repeated_starts(docs, window).mapInArrow(_without(window), _KEPT)
+    return cut.select(id_of_row(), "n_words", "n_removed", "kept")

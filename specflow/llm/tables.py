@@ -32,14 +32,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold_of(doc_id) == HELD_OUT_REMAINDER, F.lit(False))
 
 
-def numbered_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``copy``, which numbers the rows of one doc_id from 1; (doc_id, copy) names a row.
+def named_rows(docs: DataFrame) -> DataFrame:
+    """id_key, no_id, text, copy: the rows named by two numbers, whatever ids repeat or are missing.
 
-    The number follows the text's hash, so any evaluation gives rows of different text the same one;
-    rows that are alike in both are interchangeable.
+    id_key is the id, or 0 if it is missing (no_id); ``copy`` numbers the rows of one id_key from 1, by the hash of
+    their text, so any evaluation gives rows of different text the same number. Rows that are alike in both are
+    interchangeable. The rows are dealt out by id_key.
     """
-    order = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return docs.select(F.col("doc_id").cast("long"), "text").withColumn("copy", F.row_number().over(order))
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(F.coalesce(doc_id, F.lit(0)).alias("id_key"), doc_id.isNull().alias("no_id"), "text")
+    order = W.partitionBy("id_key").orderBy("no_id", F.xxhash64("text"))
+    return rows.withColumn("copy", F.row_number().over(order))
+
+
+def id_of_row() -> Column:
+    return F.when(F.col("no_id"), F.lit(None)).otherwise(F.col("id_key")).cast("long").alias("doc_id")
 
 
 def rows_kept(docs: DataFrame, identity: Column, decisions: DataFrame, name: str) -> DataFrame:
