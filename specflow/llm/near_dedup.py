@@ -13,10 +13,16 @@ of 65,536 draws by its hash.
 Candidates are verified: weighted Jaccard similarity of the whole texts of at least ``SIMILARITY`` is a link, and a
 class is what links connect. Documents with equal words are one text from the start and need no pairs. In a bucket
 every text is first compared with one member drawn by hash, another in each band, so a large group of near copies
-becomes one class from pairs in proportion to its size. Then, in buckets that still hold several classes, only
-the texts of other classes are paired, and of those only pairs that the triangle inequality of the
-distance (it is a metric) and the ratio of total weights leave possible. So each pair of a bucket
-is linked through its class, verified, or proven too far apart; there is no cap.
+becomes one class from pairs in proportion to its size. What is left are buckets that still hold several classes.
+Those of at most ``SMALL`` members are compared in full. The others are groups of texts that are mostly somewhat
+alike; their members are banded anew with ``FINE_BANDS`` keys of ``FINE_ROWS`` draws, which part texts under the
+similarity far better and join those above it as surely (a pair at the similarity is missed by all bands with a
+probability of about one in a thousand), and the buckets of these bands are compared in full where they hold several
+classes.
+
+Comparing a bucket in full is one task's work on texts that it holds together: those outside the bucket's largest
+class against all of other classes. Only links that join classes leave the task, no pairs. A bucket of more than
+``BLOCK`` texts is dealt out as pairs of blocks, so no task holds more than two blocks, and there is no cap.
 
 Defined results: null and blank texts have no shingles and are alone in their classes; rows alike in id and
 text are in one class; rows without an id are classed by their text, and a class of them alone has a null id; a
@@ -30,7 +36,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specflow.llm.arrays import Words, mix, run_hashes, slices, words_of
@@ -40,6 +46,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 12
 ROWS = 3
+SMALL = 8
+FINE_BANDS = 60
+FINE_ROWS = 10
+BLOCK = 1_000
 COMMON = 1e-3
 IDF_SHARE = 0.25
 _COLUMN_BITS = 22
@@ -134,34 +144,54 @@ def weights_of(docs: DataFrame) -> Weights:
 
 
 @cache
-def _draws() -> np.ndarray:
-    """r and c of the gamma distribution with shape 2, and beta uniform; as r, log(c), beta, 1/r."""
+def _draws() -> tuple[np.ndarray, ...]:
+    """r and c of the gamma distribution with shape 2, and beta uniform; as r, log(c), beta.
+
+    And what follows from them for the weight that most shingles have: level and rank.
+    """
     random = np.random.default_rng(20_100_613)
-    r, c = random.gamma(2, 1, _DRAWS), random.gamma(2, 1, _DRAWS)
-    return np.stack([r, np.log(c), random.random(_DRAWS), 1 / r])
+    r, log_c, beta = random.gamma(2, 1, _DRAWS), np.log(random.gamma(2, 1, _DRAWS)), random.random(_DRAWS)
+    level, rank = _level_and_rank(np.log(1 + IDF_SHARE), r, log_c, beta)
+    return r, log_c, beta, level, rank
+
+
+def _level_and_rank(log_weight, r: np.ndarray, log_c: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The level of the weight under these draws, and the logarithm of what the least of wins."""
+    level = np.floor(log_weight / r + beta)
+    return level.astype(np.int64), log_c - r * (level - beta + 1)
+
 
+def band_keys(
+    owner: np.ndarray, shingles: np.ndarray, weights: np.ndarray, bands: int = BANDS, rows: int = ROWS, first: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """The texts that have shingles, and the keys of their bands (one row for each text).
 
-def band_keys(owner: np.ndarray, shingles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts that have shingles, and the keys of their bands (one row for each text)."""
+    ``first`` is the number of the first hash function used.
+    """
     heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
     if not len(heads):
-        return heads, np.zeros((0, BANDS), np.uint64)
+        return heads, np.zeros((0, bands), np.uint64)
     sizes = np.diff(np.append(heads, len(owner)))
-    r, log_c, beta, inverse_r = _draws()
-    log_weight = np.log(weights)
-    keys = np.empty((len(heads), BANDS), np.uint64)
-    for band in range(BANDS):
-        key = np.full(len(heads), band, np.uint64)
-        for row in range(ROWS):
-            number = band * ROWS + row
-            draw = mix(shingles + np.uint64(0x9E3779B97F4A7C15 * (number + 1) & (2**64 - 1))) >> np.uint64(48)
-            level = np.floor(log_weight * inverse_r[draw] + beta[draw])
-            rank = log_c[draw] - r[draw] * (level - beta[draw] + 1)
+    r, log_c, beta, usual_level, usual_rank = _draws()
+    other = np.flatnonzero(weights != 1 + IDF_SHARE)
+    log_other = np.log(weights[other])
+    keys = np.empty((len(heads), bands), np.uint64)
+    odd = mix(np.arange(first + 1, first + bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
+    for band in range(bands):
+        key = np.full(len(heads), first + band, np.uint64)
+        for row in range(rows):
+            # shingles are hashes already; the high bits of a product with an odd number choose the draw
+            draw = (shingles * odd[band * rows + row]) >> np.uint64(48)
+            rank = usual_rank[draw]
+            level_of_other, rank[other] = _level_and_rank(log_other, *(x[draw[other]] for x in (r, log_c, beta)))
             least = np.flatnonzero(rank == np.repeat(np.minimum.reduceat(rank, heads), sizes))
             # the first of equal ranks; shingles are in order
             chosen = least[np.searchsorted(least, heads)]
-            drawn = mix(shingles[chosen] ^ (level[chosen].astype(np.int64).view(np.uint64) << np.uint64(1)))
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + drawn)
+            level = usual_level[draw[chosen]]
+            at = np.minimum(np.searchsorted(other, chosen), max(0, len(other) - 1))
+            if len(other):
+                level = np.where(other[at] == chosen, level_of_other[at], level)
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + mix(shingles[chosen] ^ (level.view(np.uint64) << np.uint64(1))))
         keys[:, band] = key
     return owner[heads], keys
 
@@ -196,6 +226,30 @@ def _sign(weights):
     return sign
 
 
+_FINE = "words long, weight double, bands array<long>"
+
+
+def _sign_finely(weights):
+    """The finer bands of texts that have words."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigh = weights.value
+        for batch in batches:
+            for piece in slices(batch):
+                owner, shingles, counts = _shingles(words_of(piece.column("text")))
+                weight = weigh(shingles, counts)
+                texts, keys = band_keys(owner, shingles, weight, FINE_BANDS, FINE_ROWS, first=BANDS * ROWS)
+                ends = pa.array(np.arange(0, keys.size + 1, FINE_BANDS, dtype=np.int32))
+                columns = {
+                    "words": piece.column("words").take(pa.array(texts)),
+                    "weight": pa.array(np.bincount(owner, weight, minlength=piece.num_rows)[texts]),
+                    "bands": pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1).view(np.int64))),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return sign
+
+
 def _similarities(weights):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh = weights.value
@@ -241,6 +295,26 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
+def _class_of(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs a, b with the classes a_class and b_class; a text in no class is one by itself."""
+    for side in ("a", "b"):
+        named = classes.select(F.col("node").alias(side), F.col("class").alias(f"{side}_class"))
+        pairs = pairs.join(named, side, "left").withColumn(f"{side}_class", F.coalesce(f"{side}_class", side))
+    return pairs
+
+
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """node and class after more links; only links between classes are followed, each once."""
+    across = _class_of(links.select("a", "b"), classes).filter("a_class <> b_class").select("a_class", "b_class").distinct()
+    across = written(across, "links")
+    if across.isEmpty():
+        return classes
+    onto = connected(across, "a_class", "b_class").select(F.col("node").alias("old"), F.col("class").alias("new"))
+    moved = classes.join(onto, F.col("class") == F.col("old"), "left").select("node", F.coalesce("new", "class").alias("class"))
+    joined = onto.join(classes, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("new").alias("class"))
+    return written(moved.unionByName(joined), "labels")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the smallest id of its class), class_size, kept (the row that stays), text_hash of every document."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"))
@@ -249,23 +323,37 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     # one node for each text: its words' hash names it
     texts = signed.filter(F.col("words").isNotNull()).groupBy("words")
     texts = texts.agg(F.first("bands").alias("bands"), F.first("weight").alias("weight"))
+    members = _buckets(texts)
+    candidates = _texts_of(rows, signed, members.select("words").distinct())
+    verified = written(_verify(_stars(members, similarity), candidates, weights), "verified")
+    classes = connected(verified.filter(F.col("similarity") >= similarity))
+    unresolved = _unresolved(members, classes)
+    large = unresolved.filter(F.col("n") > SMALL).select("words").distinct()
+    small = _within(unresolved.filter(F.col("n") <= SMALL), candidates, weights, similarity)
+    classes = _merged(classes, written(small, "links"))
+    finely = candidates.join(large, "words", "left_semi").mapInArrow(_sign_finely(weights), _FINE)
+    fine = _buckets(written(finely, "signatures"))
+    classes = _merged(classes, written(_within(_unresolved(fine, classes), candidates, weights, similarity), "links"))
+    return _by_document(signed, classes)
+
+
+def _buckets(texts: DataFrame) -> DataFrame:
+    """words, weight, band, key for each text in each bucket that holds several, with the bucket's size n and hub.
+
+    From words, weight and bands of the texts.
+    """
     members = texts.select("words", "weight", F.posexplode("bands").alias("band", "key"))
     drawn = F.min(F.struct(F.xxhash64("words", "band").alias("drawn"), "words", "weight"))
     buckets = members.groupBy("band", "key").agg(drawn.alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    buckets = buckets.select("band", "key", F.col("hub.words").alias("hub"), F.col("hub.weight").alias("hub_weight"))
-    members = written(members.join(buckets, ["band", "key"]), "buckets")
-    candidates = _texts_of(rows, signed, members.select("words").distinct())
+    buckets = buckets.select("band", "key", "n", F.col("hub.words").alias("hub"), F.col("hub.weight").alias("hub_weight"))
+    return written(members.join(buckets, ["band", "key"]), "buckets")
+
+
+def _stars(members: DataFrame, similarity: float) -> DataFrame:
+    """The pairs a, b of each member with its bucket's hub that the ratio of their weights leaves possible."""
     ratio = F.least("weight", "hub_weight") >= similarity * F.greatest("weight", "hub_weight")
-    stars = members.filter((F.col("words") != F.col("hub")) & ratio).select(
-        F.least("words", "hub").alias("a"), F.greatest("words", "hub").alias("b")
-    )
-    verified = written(_verify(stars.distinct(), candidates, weights), "verified")
-    classes = connected(verified.filter(F.col("similarity") >= similarity))
-    rest = written(_rest(members, verified, classes, similarity), "rest")
-    if not rest.isEmpty():
-        more = written(_verify(rest, candidates, weights), "verified")
-        classes = connected(verified.unionByName(more).filter(F.col("similarity") >= similarity))
-    return _by_document(signed, classes)
+    pairs = members.filter((F.col("words") != F.col("hub")) & ratio)
+    return pairs.select(F.least("words", "hub").alias("a"), F.greatest("words", "hub").alias("b")).distinct()
 
 
 def _texts_of(rows: DataFrame, signed: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -285,32 +373,61 @@ def _verify(pairs: DataFrame, candidates: DataFrame, weights) -> DataFrame:
     return whole.mapInArrow(_similarities(weights), "a long, b long, similarity double")
 
 
-def _rest(members: DataFrame, verified: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs of a bucket that are in different classes, not yet verified, and not proven too far apart.
-
-    Pairs are made from the texts outside the class that most of the bucket is in, so a bucket with one large class
-    and a few others makes few of them.
-    """
+def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of buckets that hold several classes, with their class and whether it is their bucket's largest (main)."""
     known = members.join(classes.withColumnRenamed("node", "words"), "words", "left")
     known = known.withColumn("class", F.coalesce("class", "words"))
-    sizes = known.groupBy("band", "key", "class").agg(F.count("*").alias("n"))
-    several = sizes.groupBy("band", "key").agg(F.count("*").alias("classes"), F.max(F.struct("n", "class")).alias("most"))
-    several = several.filter("classes > 1").select("band", "key", F.col("most.class").alias("main"))
-    known = known.join(several, ["band", "key"])
-    # how far each member is from its bucket's hub, where that was measured
-    pair = (F.least("words", "hub") == F.col("a")) & (F.greatest("words", "hub") == F.col("b"))
-    far = F.when(F.col("words") == F.col("hub"), 0.0).otherwise(1 - F.col("similarity"))
-    known = known.join(verified, pair, "left").withColumn("far", far)
-    known = written(known.select("band", "key", "words", "weight", "class", "main", "far"), "unresolved")
-    x, y = known.filter(F.col("class") != F.col("main")).alias("x"), known.alias("y")
-    possible: Column = (
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.class") != F.col("y.class"))
-        & ((F.col("y.class") == F.col("y.main")) | (F.col("x.words") < F.col("y.words")))
-        & (F.least("x.weight", "y.weight") >= similarity * F.greatest("x.weight", "y.weight"))
-        & F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - similarity + 1e-9, F.lit(True))
-    )
-    pairs = x.join(y, possible).select(F.least("x.words", "y.words").alias("a"), F.greatest("x.words", "y.words").alias("b"))
-    return pairs.distinct().join(verified.select("a", "b"), ["a", "b"], "left_anti")
+    sizes = known.groupBy("band", "key", "class").agg(F.count("*").alias("members"))
+    several = sizes.groupBy("band", "key").agg(F.count("*").alias("classes"), F.max(F.struct("members", "class")).alias("most"))
+    several = several.filter("classes > 1").select("band", "key", F.col("most.class").alias("largest"))
+    known = known.join(several, ["band", "key"]).withColumn("main", F.col("class") == F.col("largest"))
+    return written(known.select("band", "key", "n", "words", "weight", "class", "main"), "unresolved")
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _links_within(weights, similarity: float):
+    """Of texts held together, links that join classes, enough of them to connect what is similar."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        names, classes, main = (group.column(c).to_numpy() for c in ("words", "class", "main"))
+        owner, shingles, counts = _shingles(words_of(group.column("text").combine_chunks()))
+        weight = weights.value(shingles, counts)
+        totals = np.bincount(owner, weight, minlength=len(names))
+        offsets = np.searchsorted(owner, np.arange(len(names) + 1))
+        _, column = np.unique(shingles, return_inverse=True)
+        own = np.zeros(column.max() + 1 if len(column) else 0)
+        # labels of classes joined so far in this group
+        _, label = np.unique(classes, return_inverse=True)
+        links = []
+        for i in np.flatnonzero(~main):
+            mine = slice(offsets[i], offsets[i + 1])
+            own[column[mine]] = weight[mine]
+            shared = np.bincount(owner, np.minimum(own[column], weight), minlength=len(names))
+            own[column[mine]] = 0
+            near = shared >= similarity * (totals + totals[i] - shared)
+            near[i] = False
+            for j in np.flatnonzero(near):
+                if label[i] != label[j]:
+                    links.append((names[i], names[j]))
+                    label[label == label[j]] = label[i]
+        return pa.Table.from_pydict({"a": [a for a, _ in links], "b": [b for _, b in links]}, schema=_LINKS)
+
+    return compare
+
+
+def _within(unresolved: DataFrame, candidates: DataFrame, weights, similarity: float) -> DataFrame:
+    """Links a, b between texts of different classes in one bucket, each bucket compared in full.
+
+    A large bucket's members are in blocks by hash, and each two blocks (one with itself too) are a group.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.pmod(F.xxhash64("words"), blocks)
+    dealt = unresolved.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    held = dealt.select("band", "key", "low", "high", "words", "class", "main").join(candidates, "words")
+    return held.groupBy("band", "key", "low", "high").applyInArrow(_links_within(weights, similarity), "a long, b long")
 
 
 def _by_document(signed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -321,7 +438,8 @@ def _by_document(signed: DataFrame, classes: DataFrame) -> DataFrame:
     # nulls come last: a row without an id doesn't stay if another can
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "words", "hash")).alias("first")
     names = rows.filter(F.col("class").isNotNull()).groupBy("class").agg(first, F.sum("n").alias("class_size"))
-    joined = rows.join(names, "class", "left").withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    # written, so that Spark can split the join at a large class
+    joined = rows.join(written(names, "classes"), "class", "left").withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
     alone = F.col("class").isNull()
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("words") == F.col("first.words"))
     stays &= (F.col("hash") == F.col("first.hash")) & (F.col("number") == 1)
