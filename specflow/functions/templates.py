@@ -2,25 +2,12 @@
 
 from __future__ import annotations
 
-import re
+from pyspark.sql import DataFrame
 
 _PLACEHOLDER = "{0}"
 
-# The documented functions, and the SQL words that may also stand before a
-# bracket. Each gives the same result for the same row whenever it is evaluated.
-REPEATABLE = frozenset(
-    """
-    concat concat_ws encode format_number length lower lpad repeat replace reverse substr substring trim upper ucase
-    nvl coalesce nullif
-    mask mask_first_n mask_last_n mask_show_first_n mask_show_last_n
-    aes_decrypt base64 unbase64
-    from_unixtime unix_timestamp to_date date_format
-    round floor ceil ceiling
-    cast decimal in and or not like between when then else
-    """.split()
-)
-_NAME_BEFORE_BRACKET = re.compile(r"([A-Za-z_][A-Za-z0-9_]*)`?\s*\(")
-_COMMENT = re.compile(r"/\*|--")
+# Functions that draw random numbers although the optimizer takes them for repeatable.
+_RANDOM = ("aes_encrypt(",)
 
 
 def expand(template: str, column: str) -> str:
@@ -28,11 +15,12 @@ def expand(template: str, column: str) -> str:
     return template.replace(_PLACEHOLDER, column)
 
 
-def is_repeatable(text: str) -> bool:
-    """Whether SQL text surely gives each row the same result every time.
+def is_repeatable(df: DataFrame) -> bool:
+    """Whether a second evaluation of the frame surely gives the same rows, as its analysed plan tells.
 
-    Errs on the side of no: a function not listed counts as unrepeatable.
+    Every expression must be deterministic, and none may read the clock, which each evaluation reads anew.
     """
-    if _COMMENT.search(text):
-        return False
-    return all(name.lower() in REPEATABLE for name in _NAME_BEFORE_BRACKET.findall(text))
+    plan = df._jdf.queryExecution().analyzed()
+    clock = df.sparkSession._jvm.org.apache.spark.sql.catalyst.trees.TreePattern.CURRENT_LIKE()
+    text = plan.toString().lower()
+    return plan.deterministic() and not plan.containsPattern(clock) and not any(name in text for name in _RANDOM)

@@ -49,11 +49,13 @@ def rule_messages(schema: T.StructType, column: SinkColumn) -> Iterator[Column]:
             yield F.when(
                 value > column.maximum, F.concat(shown, F.lit(f" is greater than the maximum of {column.maximum}"))
             )
-    if isinstance(data_type, T.StringType):
+    if isinstance(data_type, T.StringType) or _kind(spark_type(column.type, strict=False)) is None:
+        # types outside the documented ones are checked as the text they are written as
+        length = F.length(value.cast("string"))
         if column.min_length is not None:
-            yield F.when(F.length(value) < column.min_length, F.concat(shown, F.lit(" is too short")))
+            yield F.when(length < column.min_length, F.concat(shown, F.lit(" is too short")))
         if column.max_length is not None:
-            yield F.when(F.length(value) > column.max_length, F.concat(shown, F.lit(" is too long")))
+            yield F.when(length > column.max_length, F.concat(shown, F.lit(" is too long")))
 
 
 def _missing(column: SinkColumn) -> str:

@@ -87,19 +87,19 @@ def write_sinks(
     """Write every sink of a pipeline, file sinks into ``folder`` below their path.
 
     What several sinks share is computed once and stored, unless it is no more than
-    a columnar source: each sink then scans the columns it needs. The two sides of
-    a checked sink likewise share a stored table, or scan a columnar source twice
-    where its expressions are repeatable. Every finished write is reported.
+    a columnar source with repeatable expressions: each sink then scans the columns it
+    needs. The two sides of a checked sink follow the same rule. Every finished write
+    is reported.
     """
-    scan = _is_columnar_scan(pipeline)
-    if len(pipeline.sinks) == 1 or scan:
-        repeatable = scan and all(is_repeatable(text) for text in pipeline.sql_texts())
-        _write_frames(sink_frames(session, pipeline, given), pipeline, profiles, folder, report, repeatable)
+    frames = sink_frames(session, pipeline, given)
+    repeatable = _is_columnar_scan(pipeline) and all(is_repeatable(frame) for frame in frames.values())
+    if len(pipeline.sinks) == 1 or repeatable:
+        _write_frames(frames, pipeline, profiles, folder, report, repeatable)
         return
     base = combined(session, pipeline, given)
     if pipeline.query is None:
         # One struct per sink: only mapped columns are stored, and names may repeat between sinks.
-        base = base.select(*(F.struct(*sink_columns(pipeline, sink)).alias(sink.id) for sink in pipeline.sinks))
+        base = base.select(*(F.struct(*sink_columns(base, pipeline, sink)).alias(sink.id) for sink in pipeline.sinks))
     with written_once(base) as rows:
         if pipeline.query is not None:
             frames = {sink.id: rows for sink in pipeline.sinks}
@@ -143,16 +143,17 @@ def run(
     audit.info(pipeline.id, f"Started processing {pipeline.id}")
     try:
         session = pipeline_session(spark, pipeline)
-        size_tasks(session, pipeline.sources)
+        frames = {source.id: read(session, source) for source in pipeline.sources}
+        size_tasks(session, frames.values())
         if profiles:
-            for source in pipeline.sources:
-                audit.profiled(pipeline.id, source.id, profile_json(records_of(profile(read(session, source)))))
+            for source_id, frame in frames.items():
+                audit.profiled(pipeline.id, source_id, profile_json(records_of(profile(frame))))
 
         def report(written: Written) -> None:
             result.written.append(written)
             audit.written(pipeline.id, written, profile_json(written.profile) if profiles else None)
 
-        write_sinks(session, pipeline, profiles, report=report)
+        write_sinks(session, pipeline, profiles, given=frames, report=report)
         audit.info(pipeline.id, f"Finished processing {pipeline.id}")
     except Exception as failure:
         result.error = f"{type(failure).__name__}: {failure}"

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from specflow.functions.masking import register_masks
-from specflow.plans.spec import Pipeline, Source
-from specflow.sinks.storage import size_in_bytes
+from specflow.plans.spec import Pipeline
 
 # Settings that make templates and queries behave as documented:
 # a value that does not fit becomes null, and date patterns are read leniently.
@@ -39,6 +38,7 @@ _SHUFFLE_BYTES = 64 * _MEGABYTE
 _LARGEST_MERGED = 512 * _MEGABYTE
 _MOST_SHUFFLE_TASKS = 50_000
 _MOST_SCAN_TASKS = 200_000
+_UNKNOWN_BYTES = 1 << 60
 
 
 def pipeline_session(spark: SparkSession, pipeline: Pipeline | None = None) -> SparkSession:
@@ -57,16 +57,17 @@ def pipeline_session(spark: SparkSession, pipeline: Pipeline | None = None) -> S
     return session
 
 
-def size_tasks(session: SparkSession, sources: Iterable[Source]) -> None:
-    """Fit the tasks of scans and shuffles to the input, as far as the caller left that open.
+def size_tasks(session: SparkSession, frames: Iterable[DataFrame]) -> None:
+    """Fit the tasks of scans and shuffles to the sources, as far as the caller left that open.
 
     Shuffles start wide enough that a partition fits in memory, and the running
     query merges small ones. For a very large input, tasks read and merge more
     bytes, so that their number stays within what one driver can schedule and
-    output does not fall apart into small files. Only file sources count; their
-    size is known from their listing.
+    output does not fall apart into small files: beyond ``_MOST_SHUFFLE_TASKS``
+    (about 3 TB) partitions grow with the input. A caller who wants them smaller
+    sets the initial number of partitions. Files and tables count alike.
     """
-    total = sum(size_in_bytes(session, source.location) for source in sources if source.location)
+    total = sum(plan_bytes(frame) for frame in frames)
     chosen = session.conf.getAll
     width = min(total // _SHUFFLE_BYTES, _MOST_SHUFFLE_TASKS)
     if _INITIAL_PARTITIONS not in chosen and width > int(session.conf.get(_SHUFFLE_PARTITIONS)):
@@ -77,5 +78,11 @@ def size_tasks(session: SparkSession, sources: Iterable[Source]) -> None:
             session.conf.set(setting, str(wanted))
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """What the optimizer knows of a frame's size, from listings it keeps; 0 if it knows nothing."""
+    known = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 0 if known >= _UNKNOWN_BYTES else known
+
+
 def _bytes(setting: str) -> int:
     return int(setting.removesuffix("b"))

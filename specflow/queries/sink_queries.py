@@ -75,25 +75,28 @@ def sink_mode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reread(spark, sink, columns_of("customer"))
 
 
-@query("sink_mode_overwrite", "SELECT * FROM customer")
-def sink_mode_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = copy(spark, given("customer", sf_dir), "parquet", times=2, mode="overwrite")
-    return reread(spark, sink, columns_of("customer"))
-
-
-@query("sink_mode_ignore", "SELECT * FROM customer")
-def sink_mode_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second write, which would change every balance, is ignored."""
+def _written_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """All customers, written twice; the second write changes every balance."""
     customer = given("customer", sf_dir)
-    sink = copy(spark, customer, "parquet", mode="ignore")
+    sink = copy(spark, customer, "parquet", mode=mode)
     changed = [
         (name, SinkColumn(column.name, column.type, transform="{0} + 1" if name == "c_acctbal" else None))
         for name, column in same_columns(customer)
     ]
-    copy(spark, customer, "parquet", changed, mode="ignore", location=sink.location)
+    copy(spark, customer, "parquet", changed, mode=mode, location=sink.location)
     return reread(spark, sink, columns_of("customer"))
 
 
+@query("sink_mode_overwrite", "SELECT * REPLACE (c_acctbal + 1 AS c_acctbal) FROM customer")
+def sink_mode_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written_twice(spark, sf_dir, "overwrite")
+
+
+@query("sink_mode_ignore", "SELECT * FROM customer")
+def sink_mode_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written_twice(spark, sf_dir, "ignore")
+
+
 @query("sink_mode_error", "SELECT *, true AS refused FROM customer")
 def sink_mode_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = session_for(spark)
@@ -169,10 +172,13 @@ def sink_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("sink_partition_by", "SELECT * FROM orders")
+@query("sink_partition_by", "SELECT *, o_orderstatus AS folder FROM orders")
 def sink_partition_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, with the status that the path of their file names."""
     sink = copy(spark, given("orders", sf_dir), "parquet", partition_by=("o_orderstatus", "o_orderpriority"))
-    return reread(spark, sink, columns_of("orders"))
+    rows = read(session_for(spark), Source("back", "parquet", columns_of("orders"), sink.path))
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "/o_orderstatus=([^/]*)/o_orderpriority=", 1)
+    return plain_times(rows.withColumn("folder", folder))
 
 
 @query("sink_num_partitions", "SELECT 4::BIGINT AS files, count(*) AS rows_read FROM orders")
@@ -211,6 +217,49 @@ def sink_valid_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
+@query("sink_valid_invalid_now", "SELECT c_custkey AS id, 1::BIGINT AS copies, true AS right_side, 1::BIGINT AS stamps FROM customer")
+def sink_valid_invalid_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule on a value that depends on the clock: each row lands on one side, by the value it has there."""
+    session = session_for(spark)
+    customer = given("customer", sf_dir)
+    columns, links = mapped(
+        customer,
+        [
+            ("c_custkey", SinkColumn("id", "Long", required=True)),
+            ("c_custkey", SinkColumn("odd", "Long", transform="nullif((unix_micros(current_timestamp()) + {0}) % 2, 0)", required=True)),
+            (None, SinkColumn("stamp", "Timestamp", default="current_timestamp()")),
+        ],
+    )
+    sink = Sink("out", "parquet", columns, new_folder(session, "query"))
+    run_all(session, [Pipeline("split", (customer,), (sink,), links, validation=True)])
+    schema = "id bigint, odd bigint, stamp timestamp, errMsg string"
+    sides = [session.read.schema(schema).parquet(sink.path + suffix) for suffix in ("", "_INVALID")]
+    rows = sides[0].withColumn("right_side", F.col("odd").isNotNull()).unionByName(
+        sides[1].withColumn("right_side", F.col("odd").isNull())
+    )
+    stamps = rows.agg(F.countDistinct("stamp").alias("stamps"))
+    copies = rows.groupBy("id").agg(F.count("*").alias("copies"), F.bool_and("right_side").alias("right_side"))
+    return copies.join(stamps)
+
+
+@query("fan_out_now", "SELECT 0::BIGINT AS ids_in_one_sink_only, 0::BIGINT AS repeated_ids")
+def fan_out_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter that reads the clock: both sinks hold the same rows."""
+    session = session_for(spark)
+    orders = given("orders", sf_dir)
+    left, left_links = mapped(orders, [("o_orderkey", SinkColumn("id", "Long"))], "left")
+    right, right_links = mapped(orders, [("o_orderkey", SinkColumn("id", "Long"))], "right")
+    location = new_folder(session, "query")
+    sinks = (Sink("left", "parquet", left, location), Sink("right", "parquet", right, location))
+    predicate = Predicate.parse("orders:1@ % 3 = unix_micros(current_timestamp()) % 3")
+    run_all(session, [Pipeline("fan", (orders,), sinks, left_links + right_links, predicate=predicate)])
+    both = [session.read.schema("id bigint").parquet(sink.path) for sink in sinks]
+    held = both[0].unionByName(both[1]).groupBy("id").count()
+    return held.agg(
+        F.count_if(F.col("count") < 2).alias("ids_in_one_sink_only"), F.count_if(F.col("count") > 2).alias("repeated_ids")
+    )
+
+
 @query(
     "fan_out",
     """SELECT 'prices' AS sink, o_orderkey AS id, o_totalprice AS price, NULL::VARCHAR AS status FROM orders

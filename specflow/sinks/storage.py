@@ -51,11 +51,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
-def size_in_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under a path or pattern, from file listings alone."""
+def rename(spark: SparkSession, path: str, name: str) -> None:
+    """Give a file another name in its folder."""
     file_system, hadoop_path = _file_system(spark, path)
-    matching = file_system.globStatus(hadoop_path) or []
-    return sum(file_system.getContentSummary(status.getPath()).getLength() for status in matching)
+    target = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), name)
+    if not file_system.rename(hadoop_path, target):
+        raise OSError(f"could not rename {path} to {name}")
 
 
 @contextmanager

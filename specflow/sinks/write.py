@@ -44,8 +44,9 @@ def write(df: DataFrame, sink: Sink, suffix: str = "", folder: str = "", profile
             return Written(target, skipped=False, rows=None, profile=[])
         if _is_there(df.sparkSession, sink, target):
             return Written(target, skipped=True, rows=None, profile=[])
-    counted, observation = observed(df, f"rows of {target}", profiles)
-    _save(_writer(distributed(counted, sink), sink), sink, target)
+    # above the last shuffle, so that only tasks that commit their output count
+    counted, observation = observed(distributed(df, sink), f"rows of {target}", profiles)
+    _save(_writer(counted, sink), sink, target)
     return Written(target, skipped=False, rows=observation.rows, profile=observation.records())
 
 

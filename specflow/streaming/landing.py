@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from specflow.plans.run import write_sinks
 from specflow.plans.session import pipeline_session
-from specflow.plans.spec import Pipeline, SpecError
+from specflow.plans.spec import Pipeline, Source, SpecError
+from specflow.sinks.storage import exists, rename
 from specflow.sources.files import file_options, reader_format, slice_lines
 from specflow.sources.schema import declared_schema
-from specflow.streaming.trigger import started
+from specflow.streaming.trigger import NO_AGE_LIMIT, started
 
 
 def land(
@@ -29,12 +31,15 @@ def land(
     One source is read as a stream (the first, unless named); the others are read
     whole for each increment. Files are remembered in ``checkpoint``, so each is
     processed once even across restarts, and moved to ``archive`` afterwards; the
-    latest batch is archived by the next call. ``max_files_per_batch`` bounds an
+    latest batch is archived by the next call. A file delivered under a name that was
+    read before is renamed at the start of a call, and so read too; however old a file
+    is, it is read. ``max_files_per_batch`` bounds an
     increment, so a backlog is worked off in steps that fit the cluster. With
     ``every``, the query keeps running and looks for files at that interval.
     """
     session = pipeline_session(spark, pipeline)
     source_id = streamed_source or pipeline.sources[0].id
+    _rename_repeated(session, pipeline.source(source_id), checkpoint)
     increments = _arrivals(session, pipeline, source_id, archive, max_files_per_batch)
     for sink in pipeline.sinks:
         if not sink.is_file:
@@ -49,6 +54,31 @@ def land(
     return started(writer, every)
 
 
+def _rename_repeated(session: SparkSession, source: Source, checkpoint: str) -> None:
+    """Give files whose name was read before, at another time, a name of their own.
+
+    The stream knows files by path alone and would pass them over.
+    """
+    log = f"{checkpoint}/sources/0"
+    if not source.location or not exists(session, log):
+        return
+    entry = F.from_json("value", "path string, timestamp long").alias("e")
+    read = session.read.text(log).where(F.col("value").startswith("{")).select(entry).select("e.*")
+    read = read.select(_plain_path(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("known"), "timestamp")
+    read = read.groupBy("known").agg(F.collect_set("timestamp").alias("times"))
+    there = session.read.format("binaryFile").option("recursiveFileLookup", "true").load(source.location)
+    there = there.select("path", F.unix_millis("modificationTime").alias("time"))
+    # only names delivered again reach the driver
+    again = there.join(read, _plain_path(F.col("path")) == F.col("known")).where(~F.array_contains("times", F.col("time")))
+    for row in again.select("path", "time").collect():
+        stem, dot, ending = row.path.rpartition("/")[2].partition(".")
+        rename(session, row.path, f"{stem}-{row.time}{dot}{ending}")
+
+
+def _plain_path(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def _arrivals(
     session: SparkSession, pipeline: Pipeline, source_id: str, archive: str | None, max_files: int | None
 ) -> DataFrame:
@@ -58,6 +88,7 @@ def _arrivals(
     if source.infer_schema:
         raise SpecError(f"source {source.id}: a landing folder needs declared columns")
     reader = session.readStream.format(reader_format(source)).options(**file_options(source))
+    reader = reader.option("maxFileAge", NO_AGE_LIMIT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive is not None:

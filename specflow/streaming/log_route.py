@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from specflow.streaming.trigger import started
+from specflow.streaming.trigger import NO_AGE_LIMIT, started
 
 _EVENT_SCHEMA = "key string, value string"
 
 
 def keyed_events(spark: SparkSession, location: str) -> DataFrame:
     """A stream of key and value from JSON files."""
-    return spark.readStream.schema(_EVENT_SCHEMA).json(location)
+    return spark.readStream.schema(_EVENT_SCHEMA).option("maxFileAge", NO_AGE_LIMIT).json(location)
 
 
 def topic_events(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:

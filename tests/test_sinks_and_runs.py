@@ -189,7 +189,9 @@ def test_unrepeatable_values_are_split_consistently(session, tmp_path):
         ("parquet", "substr({0}, 1, 2)", 0),
         ("parquet", "CASE WHEN {0} in ('a') THEN upper ({0}) ELSE cast({0} as string) END", 0),
         ("parquet", "concat({0}, rand())", 1),
-        ("parquet", "my_function({0})", 1),
+        ("parquet", "my_function({0})", 0),  # its body tells that it is repeatable
+        ("parquet", "concat({0}, current_timestamp)", 1),
+        ("parquet", "concat({0}, unix_timestamp())", 1),
         ("csv", "upper({0})", 1),
     ],
 )

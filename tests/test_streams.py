@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -45,6 +47,23 @@ def test_each_file_is_processed_once_and_archived(spark, tmp_path):
     assert [p.name for p in Path(tmp_path / "archive").rglob("*.csv")] == ["one.csv"]
 
 
+def test_a_name_delivered_again_and_an_old_file_are_read(spark, tmp_path):
+    pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
+    deliver(tmp_path, "day one.csv", "1,a")
+    run_once(spark, tmp_path, pipeline)
+    old = time.time() - 30 * 86_400
+    for archived in (False, True):
+        deliver(tmp_path, "day one.csv", f"{2 + archived},b")
+        deliver(tmp_path, f"late{archived}.csv", f"{4 + archived},c")
+        for name in ("day one.csv", f"late{archived}.csv"):
+            os.utime(tmp_path / "landing" / name, (old, old))
+        run_once(spark, tmp_path, pipeline)
+        run_once(spark, tmp_path, pipeline)
+        old += 60
+    found = sorted(r.k for r in spark.read.json(pipeline.sinks[0].path).collect())
+    assert found == [1, 2, 3, 4, 5]
+
+
 def test_a_backlog_is_worked_off_in_steps(spark, tmp_path):
     pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
     for number in range(5):
