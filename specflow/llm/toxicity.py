@@ -5,13 +5,14 @@ digits and signs that stand for letters become those letters, and i and l are on
 becomes a space. An entry matches at the beginning of a folded word and may be a stem.
 
 The lexicon is a short general list plus what the labels teach: the stems that labelled toxic documents have far
-more often than clean ones, weighted by the logarithm of the odds, if a likelihood-ratio test finds that too unlikely
+more often than clean ones (near copies of a sampled document are left out, as they are no further evidence), weighted by the logarithm of the odds, if a likelihood-ratio test finds that too unlikely
 to be chance among all stems looked at. An exception phrase is an entry's word with the word after it which clean
 documents have; where it stands, the entry doesn't count. The general list has its own.
 
 The score is 1 - exp(-sum / norm): the weights of all matches, over a norm that grows with the logarithm of the length.
 
-Learning uses at most ``SAMPLE`` documents of each label, the least hashes of their ids, outside the held-out fold.
+Learning uses at most ``SAMPLE`` toxic and twice as many clean documents, the least hashes of their ids, outside the
+held-out fold.
 
 Defined results: null and empty texts score 0; a document labelled twice is toxic if one label says so; without
 labels the general list is used alone; repeated rows score alike; extra columns are ignored.
@@ -32,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specflow.llm.arrays import slices
-from specflow.llm.tables import HELD_OUT_REMAINDER, fold_of, held_out
+from specflow.llm.arrays import mix, run_hashes, slices, words_of
+from specflow.llm.tables import HELD_OUT_REMAINDER, fold_of, held_out, written
 
 THRESHOLD = 0.3
 SAMPLE = 3_000
@@ -139,6 +140,39 @@ def _surprise(toxic: str, clean: str, all_toxic: int, all_clean: int):
     )
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each document the least of three hashes of its runs of five words."""
+    for batch in batches:
+        for piece in slices(batch):
+            words = words_of(piece.column("text"))
+            runs = run_hashes(words.codes, 5)
+            runs = runs[:, None] * mix(np.arange(1, 4, dtype=np.uint64)) | np.uint64(1)
+            least = words.wholes[:, None].repeat(3, axis=1)
+            usable = words.runs_from(5)
+            for i in np.flatnonzero(words.counts >= 5):
+                least[i] = runs[words.offsets[i] : words.offsets[i + 1]][usable[words.offsets[i] : words.offsets[i + 1]]].min(axis=0)
+            columns = {name: piece.column(name) for name in ("id", "hash", "toxic")}
+            columns |= {f"m{k}": pa.array(least[:, k].view(np.int64)) for k in range(3)}
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def _without_copies(sample: DataFrame) -> list[tuple[int, int, bool]]:
+    """id, hash, toxic of the sample's documents but those that share one of three signatures with one before them.
+
+    A few numbers for each document of the bounded sample reach the driver.
+    """
+    ddl = "id long, hash long, toxic boolean, m0 long, m1 long, m2 long"
+    rows = sorted(map(tuple, sample.select("id", "hash", "toxic", "text").mapInArrow(_signatures, ddl).collect()))
+    met: set[tuple[int, int]] = set()
+    kept = []
+    for doc_id, hashed, toxic, *signature in rows:
+        own = set(enumerate(signature))
+        if not own & met:
+            kept.append((doc_id, hashed, toxic))
+        met |= own
+    return kept
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     """The general list and what labelled documents outside the held-out fold add to it."""
     general = general_lexicon()
@@ -147,21 +181,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     )
     rows = rows.groupBy("id").agg(F.max("toxic").alias("toxic"))
     drawn = F.xxhash64("id")
-    parts = [rows.filter(F.col("toxic") == label).orderBy(drawn, "id").limit(sample) for label in (0, 1)]
-    ids = parts[0].unionByName(parts[1])  # twice ``sample`` ids at most, so it may be sent to every task
+    parts = [rows.filter(F.col("toxic") == label).orderBy(drawn, "id").limit(n) for label, n in ((0, 2 * sample), (1, sample))]
+    ids = parts[0].unionByName(parts[1])  # three times ``sample`` ids at most, so it may be sent to every task
     chosen = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids), "id")
-    counts = chosen.select("text", (F.col("toxic") == 1).alias("toxic")).mapInArrow(_stem_counts, "term string, toxic long, clean long")
-    sizes = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    all_toxic, all_clean = sizes.get(1, 0), sizes.get(0, 0)
+    chosen = written(chosen.select("id", F.xxhash64("text").alias("hash"), "text", (F.col("toxic") == 1).alias("toxic")), "sample")
+    kept = _without_copies(chosen)
+    all_toxic, all_clean = sum(row[2] for row in kept), sum(not row[2] for row in kept)
     if not all_toxic or not all_clean:
         return general
+    names = docs.sparkSession.createDataFrame([row[:2] for row in kept], "id long, hash long")
+    chosen = chosen.join(F.broadcast(names), ["id", "hash"])
+    counts = chosen.select("text", "toxic").mapInArrow(_stem_counts, "term string, toxic long, clean long")
     counts = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (all_toxic + 1)) - F.log((F.col("clean") + 0.5) / (all_clean + 1))
     counts = counts.withColumn("odds", odds).withColumn("surprise", _surprise("toxic", "clean", all_toxic, all_clean))
     # 40: chance passes this once in a billion and a half terms
     stems = counts.filter(~F.col("term").contains(" ") & (F.col("odds") >= _LEAST_LOG_ODDS) & (F.col("surprise") >= 40)).collect()
     learned: dict[str, float] = {}
-    for row in sorted(stems, key=lambda r: (-r["odds"], -len(r["term"]), r["term"])):
+    # of stems with about the same odds the longest, which say more
+    for row in sorted(stems, key=lambda r: (-round(4 * r["odds"]), -len(r["term"]), -r["odds"], r["term"])):
         if not any(row["term"].startswith(s) or s.startswith(row["term"]) for s in learned):
             learned[row["term"]] = row["odds"]
     lexicon = Lexicon({**general.stems, **learned}, list(general.exceptions))
