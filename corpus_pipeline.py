@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specflow.llm import exact_dedup, language, mixing, near_dedup, packing
-from specflow.llm.registry import query, table
+from specflow.llm.registry import importable, query, table
 from specflow.llm.tables import rows_kept, written
 
 #: A document goes if no language has at least this probability.
@@ -52,11 +52,11 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language_id", language_id),
-    ("exact_dedup", exact_duplicates),
-    ("near_dedup", near_duplicates),
-    ("mixture", mixture),
-    ("packing", packed),
+    ("language_id", importable(language_id)),
+    ("exact_dedup", importable(exact_duplicates)),
+    ("near_dedup", importable(near_duplicates)),
+    ("mixture", importable(mixture)),
+    ("packing", importable(packed)),
 ]
 
 #: Learned models, random draws and a greedy packing: SQL can't express run().
