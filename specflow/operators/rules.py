@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from specflow.plans.spec import NUMERIC_TYPES, SinkColumn, quoted, spark_type
+from specflow.plans.spec import NUMERIC_TYPES, SinkColumn, SpecError, quoted, spark_type
 
 VALID_COLUMN = "valid"
 ERROR_COLUMN = "errMsg"
@@ -20,6 +20,8 @@ def with_rules(df: DataFrame, columns: Iterable[SinkColumn]) -> DataFrame:
     Rules are tried in column order and, within a column, in the order required,
     type, minimum, maximum, minimum length, maximum length. A null passes every
     rule but ``required``. Columns that already carry the two names are replaced.
+    Bounds on what is no number, lengths of what is no text, and either on a column
+    that is not there are refused.
     """
     messages = [message for column in columns for message in rule_messages(df.schema, column)]
     error = F.coalesce(*messages, F.lit("")) if messages else F.lit("")
@@ -31,6 +33,7 @@ def with_rules(df: DataFrame, columns: Iterable[SinkColumn]) -> DataFrame:
 
 def rule_messages(schema: T.StructType, column: SinkColumn) -> Iterator[Column]:
     """For each rule of a column, its message where the rule is broken and null elsewhere."""
+    _refuse_unusable(schema, column)
     if column.name not in schema.names:
         if column.required:
             yield F.lit(_missing(column))
@@ -58,6 +61,23 @@ def rule_messages(schema: T.StructType, column: SinkColumn) -> Iterator[Column]:
             yield F.when(length > column.max_length, F.concat(shown, F.lit(" is too long")))
 
 
+def _refuse_unusable(schema: T.StructType, column: SinkColumn) -> None:
+    """Rules that no row could ever break are a mistake in the description."""
+    bounded = column.minimum is not None or column.maximum is not None
+    measured = column.min_length is not None or column.max_length is not None
+    if column.name not in schema.names:
+        if bounded or measured:
+            raise SpecError(f"column {column.name}: its rules need a column of that name")
+        return
+    # a column that is not what it is declared as breaks the type rule instead
+    declared = spark_type(column.type, strict=False)
+    data_type, kind = schema[column.name].dataType, _kind(declared)
+    if bounded and not isinstance(data_type, T.NumericType) and kind not in ("integer", "number"):
+        raise SpecError(f"column {column.name}: a minimum or maximum needs numbers")
+    if measured and not isinstance(data_type, T.StringType) and kind is not None and declared != "string":
+        raise SpecError(f"column {column.name}: a minimum or maximum length needs text")
+
+
 def _missing(column: SinkColumn) -> str:
     return f"'{column.name}' is a required property"
 

@@ -419,3 +419,24 @@ def test_lengths_of_other_types(session):
     frame = session.sql("SELECT date'2020-01-02' AS d")
     column = SinkColumn("d", "date", 1, min_length=50)
     assert [r.valid for r in with_rules(frame, [column]).collect()] == ["N"]
+
+
+@pytest.mark.parametrize(
+    "column, message",
+    [
+        (SinkColumn("v", "String", 1, minimum=2), "needs numbers"),
+        (SinkColumn("k", "Int", 1, max_length=2), "needs text"),
+        (SinkColumn("t", "Timestamp", 1, min_length=2), "needs text"),
+        (SinkColumn("K", "Int", 1, minimum=2), "of that name"),
+    ],
+)
+def test_rules_that_cannot_apply_are_refused(session, column, message):
+    frame = session.sql("SELECT 1 AS k, 'a' AS v, timestamp'2020-01-01' AS t")
+    with pytest.raises(SpecError, match=message):
+        with_rules(frame, [column])
+
+
+def test_aes_gives_the_published_cipher_text(session):
+    """The example of Spark's own function reference."""
+    cipher = session.sql("SELECT base64(aes_encrypt('Spark SQL', '1234567890abcdef', 'ECB', 'PKCS'))").head()[0]
+    assert cipher == "3lmwu+Mw0H3fi5NDvcu9lg=="
