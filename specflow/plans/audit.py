@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import json
+import time
+import traceback
 from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +26,29 @@ class AuditLog:
     """Collects the events of a run; a handful of rows for each pipeline.
 
     Events carry a key of pipeline, application and day, under which a log topic
-    can be routed (see :mod:`specflow.streaming.log_route`).
+    can be routed (see :mod:`specflow.streaming.log_route`). Several threads may add
+    to one log.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
         self._events: list[tuple] = []
         self._steps: Counter[str] = Counter()
+        self._lock = Lock()
+
+    @contextmanager
+    def recorded(self, pipeline_id: str, work: str) -> Iterator[None]:
+        """Record the start, the end or failure, and the time of what happens inside; a failure is raised again."""
+        started = time.monotonic()
+        self.info(pipeline_id, f"Started processing {work}")
+        try:
+            yield
+            self.info(pipeline_id, f"Finished processing {work}")
+        except Exception as failure:
+            self.error(pipeline_id, f"{type(failure).__name__}: {failure}", traceback.format_exc())
+            raise
+        finally:
+            self.info(pipeline_id, f"Total time taken to process {work} is {time.monotonic() - started:.1f} s")
 
     def info(self, pipeline_id: str, message: str) -> None:
         self._add(pipeline_id, "INFO", message)
@@ -54,8 +75,9 @@ class AuditLog:
         context = self._spark.sparkContext
         now = datetime.now(timezone.utc)
         key = f"{pipeline_id}-{context.appName}-{context.applicationId}-{now:%Y-%m-%d}"
-        self._steps[pipeline_id] += 1
-        self._events.append((key, pipeline_id, self._steps[pipeline_id], now, level, message, target, rows, detail))
+        with self._lock:
+            self._steps[pipeline_id] += 1
+            self._events.append((key, pipeline_id, self._steps[pipeline_id], now, level, message, target, rows, detail))
 
     def frame(self) -> DataFrame:
         """The events so far; ``step`` numbers those of each pipeline."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 import time
 import traceback
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,10 +83,10 @@ def write_sinks(
     pipeline: Pipeline,
     profiles: bool = False,
     given: dict[str, DataFrame] | None = None,
-    folder: str = "",
+    increment: int | None = None,
     report: Callable[[Written], None] = lambda written: None,
 ) -> None:
-    """Write every sink of a pipeline, file sinks into ``folder`` below their path.
+    """Write every sink of a pipeline, or one ``increment`` of each.
 
     What several sinks share is computed once and stored, unless it is no more than
     a columnar source with repeatable expressions: each sink then scans the columns it
@@ -94,7 +96,7 @@ def write_sinks(
     frames = sink_frames(session, pipeline, given)
     repeatable = _is_columnar_scan(pipeline) and all(is_repeatable(frame) for frame in frames.values())
     if len(pipeline.sinks) == 1 or repeatable:
-        _write_frames(frames, pipeline, profiles, folder, report, repeatable)
+        _write_frames(frames, pipeline, profiles, increment, report, repeatable)
         return
     base = combined(session, pipeline, given)
     if pipeline.query is None:
@@ -105,7 +107,7 @@ def write_sinks(
             frames = {sink.id: rows for sink in pipeline.sinks}
         else:
             frames = {sink.id: rows.select(f"{quoted(sink.id)}.*") for sink in pipeline.sinks}
-        _write_frames(_checked(frames, pipeline), pipeline, profiles, folder, report, repeatable=True)
+        _write_frames(_checked(frames, pipeline), pipeline, profiles, increment, report, repeatable=True)
 
 
 def _is_columnar_scan(pipeline: Pipeline) -> bool:
@@ -117,16 +119,16 @@ def _write_frames(
     frames: dict[str, DataFrame],
     pipeline: Pipeline,
     profiles: bool,
-    folder: str,
+    increment: int | None,
     report: Callable[[Written], None],
     repeatable: bool,
 ) -> None:
     for sink in pipeline.sinks:
         if pipeline.validation:
-            for side in write_split(frames[sink.id], sink, folder, profiles, repeatable):
+            for side in write_split(frames[sink.id], sink, increment, profiles, repeatable):
                 report(side)
         else:
-            report(write(frames[sink.id], sink, "", folder, profiles))
+            report(write(frames[sink.id], sink, "", increment, profiles))
 
 
 def run(
@@ -140,59 +142,78 @@ def run(
     audit = audit if audit is not None else AuditLog(spark)
     result = RunResult(pipeline.id)
     started = time.monotonic()
-    audit.info(pipeline.id, f"Started processing {pipeline.id}")
+
+    def report(written: Written) -> None:
+        result.written.append(written)
+        audit.written(pipeline.id, written, profile_json(written.profile) if profiles else None)
+
     try:
-        session = pipeline_session(spark, pipeline)
-        frames = {source.id: read(session, source) for source in pipeline.sources}
-        size_tasks(session, frames.values())
-        if profiles:
-            for source_id, frame in frames.items():
-                audit.profiled(pipeline.id, source_id, profile_json(records_of(profile(frame))))
-
-        def report(written: Written) -> None:
-            result.written.append(written)
-            audit.written(pipeline.id, written, profile_json(written.profile) if profiles else None)
-
-        write_sinks(session, pipeline, profiles, given=frames, report=report)
-        audit.info(pipeline.id, f"Finished processing {pipeline.id}")
+        with audit.recorded(pipeline.id, pipeline.id):
+            session = pipeline_session(spark, pipeline)
+            frames = {source.id: read(session, source) for source in pipeline.sources}
+            size_tasks(session, frames.values())
+            if profiles:
+                for source_id, frame in frames.items():
+                    audit.profiled(pipeline.id, source_id, profile_json(records_of(profile(frame))))
+            write_sinks(session, pipeline, profiles, given=frames, report=report)
     except Exception as failure:
         result.error = f"{type(failure).__name__}: {failure}"
-        audit.error(pipeline.id, result.error, traceback.format_exc())
     result.seconds = time.monotonic() - started
-    audit.info(pipeline.id, f"Total time taken to process {pipeline.id} is {result.seconds:.1f} s")
     return result
 
 
 def run_all(
-    spark: SparkSession, pipelines: Iterable[Pipeline], audit: AuditLog | None = None, profiles: bool = False
+    spark: SparkSession,
+    pipelines: Iterable[Pipeline],
+    audit: AuditLog | None = None,
+    profiles: bool = False,
+    at_once: int = 1,
 ) -> list[RunResult]:
-    """Run the active pipelines one after another; failures do not stop the others.
+    """Run the active pipelines, ``at_once`` at a time; failures do not stop the others.
 
-    Once all were tried, failures are raised together.
+    Once all were tried, failures are raised together. Pipelines that run at the
+    same time must not depend on each other.
     """
     audit = audit if audit is not None else AuditLog(spark)
-    return _all_succeeded([run(spark, pipeline, audit, profiles) for pipeline in pipelines if pipeline.active])
+    active = [pipeline for pipeline in pipelines if pipeline.active]
+    return _all_succeeded(_each(lambda pipeline: run(spark, pipeline, audit, profiles), active, at_once))
+
+
+def _each(work: Callable[[Any], RunResult], items: list, at_once: int) -> list[RunResult]:
+    if at_once < 1:
+        raise SpecError("at least one pipeline runs at a time")
+    if at_once == 1:
+        return [work(item) for item in items]
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(work, items))
 
 
 def run_processes(
-    spark: SparkSession, store: MetadataStore, pattern: str, audit: AuditLog | None = None, profiles: bool = False
+    spark: SparkSession,
+    store: MetadataStore,
+    pattern: str,
+    audit: AuditLog | None = None,
+    profiles: bool = False,
+    at_once: int = 1,
 ) -> list[RunResult]:
     """Run the active processes of all process files whose name matches, as :func:`run_all` does.
 
     A process whose description is faulty counts as failed.
     """
     audit = audit if audit is not None else AuditLog(spark)
-    results = []
-    for process_file in store.process_files(pattern):
-        for process_id, load in store.active(process_file):
-            try:
-                pipeline = load()
-            except SpecError as fault:
-                results.append(RunResult(process_id, error=f"SpecError: {fault}"))
-                audit.error(process_id, results[-1].error, traceback.format_exc())
-            else:
-                results.append(run(spark, pipeline, audit, profiles))
-    return _all_succeeded(results)
+
+    def process(described: tuple[str, Callable[[], Pipeline]]) -> RunResult:
+        process_id, load = described
+        try:
+            pipeline = load()
+        except SpecError as fault:
+            failed = RunResult(process_id, error=f"SpecError: {fault}")
+            audit.error(process_id, failed.error, traceback.format_exc())
+            return failed
+        return run(spark, pipeline, audit, profiles)
+
+    active = [described for process_file in store.process_files(pattern) for described in store.active(process_file)]
+    return _all_succeeded(_each(process, active, at_once))
 
 
 def _all_succeeded(results: list[RunResult]) -> list[RunResult]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,7 +57,7 @@ def pipeline_session(spark: SparkSession, pipeline: Pipeline | None = None) -> S
     return session
 
 
-def size_tasks(session: SparkSession, frames: Iterable[DataFrame]) -> None:
+def size_tasks(session: SparkSession, frames: Iterable[DataFrame], chosen: Mapping[str, str] | None = None) -> None:
     """Fit the tasks of scans and shuffles to the sources, as far as the caller left that open.
 
     Shuffles start wide enough that a partition fits in memory, and the running
@@ -65,17 +65,23 @@ def size_tasks(session: SparkSession, frames: Iterable[DataFrame]) -> None:
     bytes, so that their number stays within what one driver can schedule and
     output does not fall apart into small files: beyond ``_MOST_SHUFFLE_TASKS``
     (about 3 TB) partitions grow with the input. A caller who wants them smaller
-    sets the initial number of partitions. Files and tables count alike.
+    sets the initial number of partitions. Files and tables count alike. What the
+    caller set is read from the session, or given where a session is sized anew for
+    each increment.
     """
     total = sum(plan_bytes(frame) for frame in frames)
-    chosen = session.conf.getAll
+    chosen = session.conf.getAll if chosen is None else chosen
     width = min(total // _SHUFFLE_BYTES, _MOST_SHUFFLE_TASKS)
-    if _INITIAL_PARTITIONS not in chosen and width > int(session.conf.get(_SHUFFLE_PARTITIONS)):
-        session.conf.set(_INITIAL_PARTITIONS, str(width))
+    if _INITIAL_PARTITIONS not in chosen:
+        session.conf.unset(_INITIAL_PARTITIONS)
+        if width > int(session.conf.get(_SHUFFLE_PARTITIONS)):
+            session.conf.set(_INITIAL_PARTITIONS, str(width))
     per_task = total // _MOST_SCAN_TASKS
     for setting, wanted in ((_SCAN_BYTES, per_task), (_MERGED_BYTES, min(per_task, _LARGEST_MERGED))):
-        if setting not in chosen and wanted > _bytes(session.conf.get(setting)):
-            session.conf.set(setting, str(wanted))
+        if setting not in chosen:
+            session.conf.unset(setting)
+            if wanted > _bytes(session.conf.get(setting)):
+                session.conf.set(setting, str(wanted))
 
 
 def plan_bytes(df: DataFrame) -> int:

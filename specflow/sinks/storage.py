@@ -37,8 +37,12 @@ def _single_process_folder() -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """An unused path in the shared folder."""
-    return f"{shared_folder(spark)}/specflow/{purpose}-{uuid.uuid4().hex}"
+    """An unused path in the shared folder, in a part of it that is removed when the application ends."""
+    own = f"{shared_folder(spark)}/specflow/{spark.sparkContext.applicationId}"
+    file_system, hadoop_path = _file_system(spark, own)
+    file_system.mkdirs(hadoop_path)
+    file_system.deleteOnExit(hadoop_path)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from specflow.operators.profiling import observed
 from specflow.operators.rules import VALID_COLUMN
-from specflow.plans.spec import Sink, quoted
+from specflow.plans.spec import Sink, SpecError, quoted
 from specflow.sinks.storage import exists, written_once
 from specflow.sources.tables import connection_options
 
@@ -28,16 +28,25 @@ class Written:
     profile: list[dict[str, Any]]
 
 
-def target_of(sink: Sink, suffix: str = "", folder: str = "") -> str:
-    return sink.path + suffix + folder if sink.is_file else sink.table + suffix
+#: Names the increments of a landing: a folder level of files, a partition column of tables.
+INCREMENT = "batch_id"
 
 
-def write(df: DataFrame, sink: Sink, suffix: str = "", folder: str = "", profiles: bool = False) -> Written:
+def target_of(sink: Sink, suffix: str = "", increment: int | None = None) -> str:
+    if not sink.is_file:
+        return sink.table + suffix
+    return sink.path + suffix + ("" if increment is None else f"/{INCREMENT}={increment}")
+
+
+def write(
+    df: DataFrame, sink: Sink, suffix: str = "", increment: int | None = None, profiles: bool = False
+) -> Written:
     """Write all rows in one pass, which also counts them and, if asked, profiles them.
 
     An ``ignore`` write into a JDBC table is left to the database and not counted.
+    An ``increment`` of a table replaces that partition and no other.
     """
-    target = target_of(sink, suffix, folder)
+    target = target_of(sink, suffix, increment)
     if sink.mode == "ignore":
         if sink.file_type == "jdbcclient":
             _save(_writer(distributed(df, sink), sink), sink, target)
@@ -46,12 +55,15 @@ def write(df: DataFrame, sink: Sink, suffix: str = "", folder: str = "", profile
             return Written(target, skipped=True, rows=None, profile=[])
     # above the last shuffle, so that only tasks that commit their output count
     counted, observation = observed(distributed(df, sink), f"rows of {target}", profiles)
-    _save(_writer(counted, sink), sink, target)
+    if increment is not None and not sink.is_file:
+        _replace_increment(counted, sink, target, increment)
+    else:
+        _save(_writer(counted, sink), sink, target)
     return Written(target, skipped=False, rows=observation.rows, profile=observation.records())
 
 
 def write_split(
-    checked: DataFrame, sink: Sink, folder: str = "", profiles: bool = False, repeatable: bool = False
+    checked: DataFrame, sink: Sink, increment: int | None = None, profiles: bool = False, repeatable: bool = False
 ) -> tuple[Written, Written]:
     """Write valid rows to the sink and the rest beside it, under ``_INVALID``.
 
@@ -60,14 +72,14 @@ def write_split(
     a second reading is cheap and surely the same, are read by each side instead.
     """
     if repeatable:
-        return _write_sides(checked, sink, folder, profiles)
+        return _write_sides(checked, sink, increment, profiles)
     with written_once(checked, partition_by=(VALID_COLUMN,)) as rows:
-        return _write_sides(rows, sink, folder, profiles)
+        return _write_sides(rows, sink, increment, profiles)
 
 
-def _write_sides(rows: DataFrame, sink: Sink, folder: str, profiles: bool) -> tuple[Written, Written]:
-    valid = write(rows.where(F.col(VALID_COLUMN) == "Y"), sink, "", folder, profiles)
-    invalid = write(rows.where(F.col(VALID_COLUMN) == "N"), sink, _INVALID_SUFFIX, folder, profiles)
+def _write_sides(rows: DataFrame, sink: Sink, increment: int | None, profiles: bool) -> tuple[Written, Written]:
+    valid = write(rows.where(F.col(VALID_COLUMN) == "Y"), sink, "", increment, profiles)
+    invalid = write(rows.where(F.col(VALID_COLUMN) == "N"), sink, _INVALID_SUFFIX, increment, profiles)
     return valid, invalid
 
 
@@ -117,6 +129,20 @@ def _save(writer: DataFrameWriter, sink: Sink, target: str) -> None:
         writer.save(target)
 
 
+def _replace_increment(df: DataFrame, sink: Sink, table: str, increment: int) -> None:
+    """Make the rows one partition of a table, in place of what an earlier try left there."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        partitioned = replace(sink, mode="ignore", partition_by=(INCREMENT, *sink.partition_by))
+        columns = df.withColumn(INCREMENT, F.lit(increment).cast("bigint")).schema
+        _save(_writer(spark.createDataFrame([], columns), partitioned), partitioned, table)
+    if not any(column.name == INCREMENT and column.isPartition for column in spark.catalog.listColumns(table)):
+        raise SpecError(f"sink {sink.id}: table {table} has no partition column {INCREMENT}")
+    names = ", ".join(quoted(name) for name in spark.table(table).columns if name != INCREMENT)
+    places = ", ".join([f"{INCREMENT} = {increment}", *(quoted(name) for name in sink.partition_by)])
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({places}) SELECT {names} FROM {{rows}}", rows=df)
+
+
 def _is_there(spark: SparkSession, sink: Sink, target: str) -> bool:
     if sink.file_type == "hivetable":
         return spark.catalog.tableExists(target)

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from specflow.plans.audit import AuditLog
 from specflow.plans.run import write_sinks
-from specflow.plans.session import pipeline_session
+from specflow.plans.session import pipeline_session, size_tasks
 from specflow.plans.spec import Pipeline, Source, SpecError
 from specflow.sinks.storage import exists, rename
+from specflow.sinks.write import INCREMENT
+from specflow.sources import read
 from specflow.sources.files import file_options, reader_format, slice_lines
 from specflow.sources.schema import declared_schema
 from specflow.streaming.trigger import NO_AGE_LIMIT, started
@@ -25,6 +28,7 @@ def land(
     streamed_source: str | None = None,
     max_files_per_batch: int | None = None,
     every: str | None = None,
+    audit: AuditLog | None = None,
 ) -> StreamingQuery:
     """Run a pipeline over the files that arrived since the last call.
 
@@ -36,19 +40,31 @@ def land(
     is, it is read. ``max_files_per_batch`` bounds an
     increment, so a backlog is worked off in steps that fit the cluster. With
     ``every``, the query keeps running and looks for files at that interval.
+
+    Each increment is a folder of its own below a file sink, or a partition of a
+    table, named by ``batch_id``; a retry replaces it. ``audit`` gets the events of
+    every increment. A failed increment ends the query.
     """
     session = pipeline_session(spark, pipeline)
     source_id = streamed_source or pipeline.sources[0].id
     _rename_repeated(session, pipeline.source(source_id), checkpoint)
     increments = _arrivals(session, pipeline, source_id, archive, max_files_per_batch)
     for sink in pipeline.sinks:
-        if not sink.is_file:
-            raise SpecError(f"sink {sink.id}: increments are written to files")
-    # Each increment has a folder of its own, replaced when the increment is retried.
+        if sink.file_type == "jdbcclient":
+            raise SpecError(f"sink {sink.id}: increments are written to files or catalog tables")
+        if any(column.name.lower() == INCREMENT for column in sink.columns):
+            raise SpecError(f"sink {sink.id}: {INCREMENT} names the increments")
+    # Each increment has a place of its own, replaced when the increment is retried.
     retryable = replace(pipeline, sinks=tuple(replace(sink, mode="overwrite") for sink in pipeline.sinks))
+    log = audit if audit is not None else AuditLog(spark)
+    chosen = session.conf.getAll
 
     def write_increment(arrived: DataFrame, batch_id: int) -> None:
-        write_sinks(arrived.sparkSession, retryable, given={source_id: arrived}, folder=f"/batch_id={batch_id}")
+        with log.recorded(pipeline.id, f"increment {batch_id} of {pipeline.id}"):
+            own = arrived.sparkSession
+            frames = {s.id: arrived if s.id == source_id else read(own, s) for s in pipeline.sources}
+            size_tasks(own, frames.values(), chosen)
+            write_sinks(own, retryable, given=frames, increment=batch_id, report=lambda w: log.written(pipeline.id, w))
 
     writer = increments.writeStream.foreachBatch(write_increment).option("checkpointLocation", checkpoint)
     return started(writer, every)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -229,7 +232,32 @@ def test_columns_without_a_type_are_stored(session):
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert storage.new_folder(spark, "x").startswith(named + "/specflow/x-")
+    own = f"{named}/specflow/{spark.sparkContext.applicationId}"
+    folder = storage.new_folder(spark, "x")
+    assert folder.startswith(own + "/x-") and storage.exists(spark, own) and not storage.exists(spark, folder)
+
+
+_LEAVES_A_FOLDER = """
+import sys
+from pyspark.sql import SparkSession
+from specflow.sinks.storage import new_folder
+builder = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+spark = builder.config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+spark.range(3).write.parquet(new_folder(spark, "x"))
+print(len(list(__import__("pathlib").Path(sys.argv[1], "specflow").iterdir())))
+"""
+
+
+def test_scratch_folders_go_when_the_application_ends(tmp_path):
+    shared, root = tmp_path / "shared", str(Path(__file__).resolve().parent.parent)
+    command = [sys.executable, "-c", _LEAVES_A_FOLDER, str(shared)]
+    done = subprocess.run(command, capture_output=True, text=True, cwd=root, timeout=120, check=True)
+    assert done.stdout.split()[-1] == "1"
+    for _ in range(50):  # the JVM ends a little later
+        if not list((shared / "specflow").iterdir()):
+            return
+        time.sleep(0.2)
+    raise AssertionError("the folder is still there")
 
 
 # Whole runs
@@ -413,3 +441,18 @@ def test_an_unknown_jdbc_driver_is_an_error(monkeypatch, session):
     monkeypatch.setenv("DB_WORD", "w")
     with pytest.raises(Exception, match="some.Driver"):
         write(numbers(session, 3), Sink("j", "jdbcclient", mode="append", **JDBC))
+
+
+def test_pipelines_can_run_at_the_same_time(spark, tmp_path):
+    source, audit = small_source(tmp_path), AuditLog(spark)
+    links = (Link(source.id, "o", 1, 1), Link(source.id, "o", 2, 2))
+    pipelines = [
+        Pipeline(f"p{n}", (source,), (Sink("o", "json", KV, str(tmp_path / f"out{n}")),), links) for n in range(4)
+    ]
+    bad = Pipeline("bad", (Source("x", "parquet", source.columns, str(tmp_path / "none")),), pipelines[0].sinks, (Link("x", "o", 1, 1),))
+    with pytest.raises(PipelineFailures, match="^bad: [^;]*$"):
+        run_all(spark, [*pipelines, bad], audit, at_once=3)
+    counts = [spark.read.json(p.sinks[0].path).count() for p in pipelines]
+    assert len(set(counts)) == 1 and counts[0] > 0
+    steps = audit.frame().groupBy("pipeline_id").agg(F.sort_array(F.collect_list("step")).alias("steps")).collect()
+    assert {r.pipeline_id: r.steps for r in steps} == {**{f"p{n}": [1, 2, 3, 4] for n in range(4)}, "bad": [1, 2, 3]}

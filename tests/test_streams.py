@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import time
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
-from specflow import JoinKey, Link, Pipeline, Sink, SinkColumn, Source, SourceColumn, SpecError
+from specflow import AuditLog, JoinKey, Link, Pipeline, Sink, SinkColumn, Source, SourceColumn, SpecError
+from specflow.sinks import write
 from specflow.streaming import keyed_events, land, route_log
 
 COLUMNS = (SourceColumn("k", "Int", 1), SourceColumn("v", "String", 2))
@@ -145,14 +148,98 @@ def test_fixed_width_increments(spark, tmp_path):
 
 def test_refused_landings(spark, tmp_path):
     source = arrivals(tmp_path)
-    table = Sink("o", "hivetable", (SinkColumn("k", "Int", 1),), table="t")
-    with pytest.raises(SpecError, match="written to files"):
-        run_once(spark, tmp_path, Pipeline("p", (source,), (table,), (Link("s", "o", 1, 1),)))
+    database = Sink("o", "jdbcclient", (SinkColumn("k", "Int", 1),), table="t", url="jdbc:none", driver="none")
+    with pytest.raises(SpecError, match="files or catalog tables"):
+        run_once(spark, tmp_path, Pipeline("p", (source,), (database,), (Link("s", "o", 1, 1),)))
+    clash = Sink("o", "json", (SinkColumn("Batch_Id", "Int", 1),), str(tmp_path / "out"))
+    with pytest.raises(SpecError, match="names the increments"):
+        run_once(spark, tmp_path, Pipeline("p", (source,), (clash,), (Link("s", "o", 1, 1),)))
     inferred = Source("s", "csv", COLUMNS, source.location, header=True, infer_schema=True)
     with pytest.raises(SpecError, match="declared columns"):
         run_once(spark, tmp_path, pipeline_of(tmp_path, inferred))
 
 
+def uncommit(tmp_path, batch):
+    for name in (str(batch), f".{batch}.crc"):
+        (tmp_path / "checkpoint/commits" / name).unlink(missing_ok=True)
+
+
+def test_increments_are_partitions_of_a_table(spark, tmp_path):
+    columns = (SinkColumn("k", "Int", 1, minimum=2), SinkColumn("v", "String", 2))
+    sink = Sink("o", "hivetable", columns, table="landed")
+    links = (Link("s", "o", 1, 1), Link("s", "o", 2, 2))
+    pipeline = Pipeline("p", (arrivals(tmp_path),), (sink,), links, validation=True)
+    try:
+        for number, name in enumerate(("one", "two")):
+            deliver(tmp_path, f"{name}.csv", f"1,{name}", f"{2 + number},{name}")
+            run_once(spark, tmp_path, pipeline)
+        uncommit(tmp_path, 1)
+        run_once(spark, tmp_path, pipeline)
+        valid = spark.table("landed").collect()
+        assert sorted((r.k, r.v, r.batch_id) for r in valid) == [(2, "one", 0), (3, "two", 1)]
+        invalid = spark.table("landed_INVALID").collect()
+        assert sorted((r.k, r.v, r.batch_id) for r in invalid) == [(1, "one", 0), (1, "two", 1)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS landed")
+        spark.sql("DROP TABLE IF EXISTS landed_INVALID")
+
+
+def test_a_retry_without_rows_leaves_none(spark, tmp_path):
+    frame, sink = spark.range(3).toDF("k"), Sink("o", "hivetable", (SinkColumn("k", "Long", 1),), table="retried")
+    try:
+        assert write(frame, sink, increment=7).rows == 3
+        assert write(frame, sink, increment=8).rows == 3
+        assert write(frame.where("k < 0"), sink, increment=7).rows == 0
+        assert [r.batch_id for r in spark.table("retried").collect()] == [8, 8, 8]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS retried")
+
+
+def test_a_table_without_increments_is_refused(spark):
+    sink = Sink("o", "hivetable", (SinkColumn("k", "Long", 1),), table="unparted")
+    spark.range(3).toDF("k").write.saveAsTable("unparted")
+    try:
+        with pytest.raises(SpecError, match="no partition column"):
+            write(spark.range(3).toDF("k"), sink, increment=0)
+        assert spark.table("unparted").count() == 3
+    finally:
+        spark.sql("DROP TABLE unparted")
+
+
+def test_increments_leave_events(spark, tmp_path):
+    pipeline, audit = pipeline_of(tmp_path, arrivals(tmp_path)), AuditLog(spark)
+    deliver(tmp_path, "one.csv", "1,a", "2,b")
+    run_once(spark, tmp_path, pipeline, audit=audit)
+    events = audit.frame().orderBy("step").collect()
+    assert [(r.message.split()[0], r.rows) for r in events] == [("Started", None), ("Wrote", 2), ("Finished", None), ("Total", None)]
+    assert "increment 0 of p" in events[0].message
+    deliver(tmp_path, "two.csv", "3,c")
+    failing = replace(pipeline, sinks=(replace(pipeline.sinks[0], compression="none", options={"encoding": "none"}),))
+    with pytest.raises(StreamingQueryException):
+        run_once(spark, tmp_path, failing, audit=audit)
+    assert [r.level for r in audit.frame().orderBy("step").collect()][4:] == ["INFO", "ERROR", "INFO"]
+    run_once(spark, tmp_path, pipeline, audit=audit)
+    assert sorted(r.v for r in spark.read.json(pipeline.sinks[0].path).collect()) == ["A", "B", "C"]
+
+
+def test_each_increment_sizes_its_shuffles(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("specflow.plans.session._SHUFFLE_BYTES", 64)
+    widths = []
+
+    def noted(session, *arguments, **settings):
+        widths.append(session.conf.getAll.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+
+    monkeypatch.setattr("specflow.streaming.landing.write_sinks", noted)
+    pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
+    for number, lines in enumerate((1_000, 1)):
+        deliver(tmp_path, f"{number}.csv", *["1,a"] * lines)
+    (old, new) = (time.time() - 60, time.time())
+    os.utime(tmp_path / "landing/0.csv", (old, old))
+    os.utime(tmp_path / "landing/1.csv", (new, new))
+    run_once(spark, tmp_path, pipeline, max_files_per_batch=1)
+    assert int(widths[0]) == 4_000 // 64 and widths[1] is None
+
+
 def test_log_events_go_to_the_folder_of_their_key(spark, tmp_path):
     topic, logs = tmp_path / "topic", str(tmp_path / "logs")
     topic.mkdir()
