@@ -125,6 +125,23 @@ _function(
     "cast(aes_decrypt(aes_encrypt({0}, '1234567890123456', 'ECB'), '1234567890123456', 'ECB') as string)",
     "c_name",
 )
+# The cipher text, by its length: whole blocks, and a nonce and a tag around the text.
+_function(
+    "aes_encrypt_blocks",
+    "customer",
+    "c_name",
+    "octet_length(aes_encrypt({0}, '1234567890123456', 'ECB')) + if(aes_encrypt({0}, '1234567890123456', 'ECB') <> cast({0} as binary), 0, 1)",
+    "(16 * (strlen(c_name) // 16 + 1))::INTEGER",
+    "Int",
+)
+_function(
+    "aes_encrypt_nonce",
+    "documents",
+    "text",
+    "octet_length(aes_encrypt({0}, '1234567890123456'))",
+    "(strlen(text) + 28)::INTEGER",
+    "Int",
+)
 
 # Dates
 _function(

@@ -200,7 +200,7 @@ def join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "join_fixed_width",
-    f"""SELECT a.c_custkey AS id, a.c_name AS name, b.c_mktsegment AS segment
+    f"""SELECT a.c_custkey AS id, a.c_name AS name, b.c_acctbal AS balance, b.c_mktsegment AS segment
 FROM ({_FIXED_WIDTH_SQL}) a JOIN ({_FIXED_WIDTH_SQL}) b ON a.c_custkey = b.c_custkey
 WHERE b.c_mktsegment <> 'BUILDING'""",
 )
@@ -209,11 +209,12 @@ def join_fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _customer_lines(spark, sf_dir)
     left, right = (
         Source(source_id, "fixedWidth", declared.columns, lines, record_size=declared.record_size)
-        for source_id, declared in (("a", _fixed_width(lines, 50)), ("b", _fixed_width(lines, 50)))
+        for source_id, declared in (("a", _fixed_width(lines, 62)), ("b", _fixed_width(lines, 62)))
     )
     mapped = [
         (left, "c_custkey", SinkColumn("id", "String")),
         (left, "c_name", SinkColumn("name", "String")),
+        (right, "c_acctbal", SinkColumn("balance", "String")),
         (right, "c_mktsegment", SinkColumn("segment", "String")),
     ]
     return related(
@@ -221,7 +222,7 @@ def join_fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
         (left, right),
         mapped,
         joins=JoinKey.parse("a:1=b:1"),
-        predicate=Predicate.parse("b:4@<>'BUILDING'"),
+        predicate=Predicate.parse("b:5@<>'BUILDING'"),
     )
 
 

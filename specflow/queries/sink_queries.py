@@ -43,17 +43,32 @@ def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reread(spark, sink, columns_of("lineitem"))
 
 
-@query("sink_csv", "SELECT * FROM documents")
+@query("sink_csv", "SELECT *, 1 AS headers_per_file, true AS quoted FROM documents")
 def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = {"header": True, "delimiter": "|", "quote": '"'}
-    sink = copy(spark, given("documents", sf_dir), "csv", options={"escape": '"'}, **settings)
-    return reread(spark, sink, columns_of("documents"), options={"escape": '"', "multiLine": "true"}, **settings)
+    """All rows read back, and what the files' raw text says of header, delimiter and quote."""
+    settings = {"header": True, "delimiter": "|", "quote": "?"}
+    sink = copy(spark, given("documents", sf_dir), "csv", options={"escape": "?"}, **settings)
+    header = "|".join(column.name for column in columns_of("documents"))
+    raw = session_for(spark).read.text(sink.path)
+    seen = raw.agg(
+        F.count_if(F.col("value") == header).alias("headers"),
+        F.countDistinct(F.col("_metadata.file_path")).alias("files"),
+        F.coalesce(F.bool_or(F.col("value").rlike(r"^[0-9]+\|\?")), F.lit(False)).alias("quoted"),
+    ).head()
+    rows = reread(spark, sink, columns_of("documents"), options={"escape": "?", "multiLine": "true"}, **settings)
+    return rows.withColumns(
+        {"headers_per_file": F.lit(seen.headers // max(1, seen.files)), "quoted": F.lit(seen.quoted)}
+    )
 
 
-@query("sink_delimited", "SELECT * FROM part")
+@query(
+    "sink_delimited",
+    "SELECT concat_ws(chr(9), p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) AS line FROM part",
+)
 def sink_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the files, as they are."""
     sink = copy(spark, given("part", sf_dir), "delimited", delimiter="\t")
-    return reread(spark, sink, columns_of("part"), delimiter="\t")
+    return session_for(spark).read.text(sink.path).withColumnRenamed("value", "line")
 
 
 @query("sink_table", "SELECT * FROM orders")

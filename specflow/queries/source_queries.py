@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specflow.plans.spec import SinkColumn, Source, SourceColumn
@@ -18,23 +19,48 @@ def src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reread(spark, copy(spark, given("orders", sf_dir), "csv"), columns_of("orders"))
 
 
+def _lines(table: str, delimiter: str, quote: str = "") -> Column:
+    """The columns of a given table as one line of text, made without any CSV option; quoted text doubles the quote."""
+
+    def field(column: SourceColumn) -> Column:
+        value = F.col(column.name).cast("string")
+        if quote and column.type == "string":
+            value = F.concat(F.lit(quote), F.replace(value, F.lit(quote), F.lit(2 * quote)), F.lit(quote))
+        return F.coalesce(value, F.lit(""))
+
+    return F.concat_ws(delimiter, *map(field, columns_of(table))).alias("value")
+
+
+def _declared_text(spark: SparkSession, location: str, table: str, **settings: Any) -> DataFrame:
+    return plain_times(read(session_for(spark), Source("text", "csv", columns_of(table), location, **settings)))
+
+
 @query("src_csv_delimiter", "SELECT * FROM customer")
 def src_csv_delimiter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = copy(spark, given("customer", sf_dir), "csv", delimiter="¿")
-    return reread(spark, sink, columns_of("customer"), delimiter="¿")
+    path = new_folder(spark, "query")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select(_lines("customer", "¿")).write.text(path)
+    return _declared_text(spark, path, "customer", delimiter="¿")
 
 
 @query("src_csv_quote", "SELECT * FROM documents")
 def src_csv_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts hold line breaks, delimiters and the quote itself."""
-    sink = copy(spark, given("documents", sf_dir), "csv", quote="?", options={"escape": "?"})
-    return reread(spark, sink, columns_of("documents"), quote="?", options={"escape": "?", "multiLine": "true"})
+    path = new_folder(spark, "query")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select(_lines("documents", ",", "?")).write.text(path)
+    return _declared_text(spark, path, "documents", quote="?", options={"escape": "?", "multiLine": "true"})
 
 
 @query("src_csv_header", "SELECT * FROM part")
 def src_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = copy(spark, given("part", sf_dir), "csv", header=True)
-    return reread(spark, sink, columns_of("part"), header=True)
+    """Eight files, each beginning with a header line."""
+    path = new_folder(spark, "query")
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    lines = parts.select(F.pmod("p_partkey", F.lit(8)).alias("file"), F.lit(1).alias("place"), _lines("part", ","))
+    names = F.lit(",".join(column.name for column in columns_of("part")))
+    headers = spark.range(8).select(F.col("id").alias("file"), F.lit(0).alias("place"), names.alias("value"))
+    files = headers.unionByName(lines).repartition(8, "file").sortWithinPartitions("file", "place")
+    files.select("file", "value").write.partitionBy("file").text(path)
+    return _declared_text(spark, path, "part", header=True, options={"recursiveFileLookup": "true"})
 
 
 @query(
@@ -61,8 +87,8 @@ def src_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reread(spark, copy(spark, given("lineitem", sf_dir), "orc"), columns_of("lineitem"))
 
 
-# Field widths of the rendered customer lines, 50 characters in all.
-_WIDTHS = {"c_custkey": 12, "c_name": 22, "c_nationkey": 4, "c_mktsegment": 12}
+# Field widths of the rendered customer lines, 62 characters in all.
+_WIDTHS = {"c_custkey": 12, "c_name": 22, "c_nationkey": 4, "c_acctbal": 12, "c_mktsegment": 12}
 
 
 def _customer_lines(spark: SparkSession, sf_dir: str) -> str:
@@ -85,7 +111,7 @@ def _fixed_width(location: str, record_size: int = 0) -> Source:
 
 
 _FIXED_WIDTH_SQL = """SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey,
-c_mktsegment FROM customer"""
+c_acctbal::VARCHAR AS c_acctbal, c_mktsegment FROM customer"""
 
 
 @query("src_fixed_width", f"{_FIXED_WIDTH_SQL} UNION ALL {_FIXED_WIDTH_SQL}")

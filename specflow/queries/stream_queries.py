@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.plans.spec import Pipeline, Sink, SinkColumn, Source
-from specflow.queries.common import columns_of, given, mapped, query, session_for
+from specflow.plans.spec import JoinKey, Pipeline, Sink, SinkColumn, Source
+from specflow.queries.common import col_id, columns_of, copy, given, link, mapped, query, session_for
 from specflow.sinks.storage import new_folder
 from specflow.sources import read
 from specflow.streaming import keyed_events, land, route_log
@@ -43,6 +45,32 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session.read.schema("id bigint, happened timestamp_ntz, kind string, doubled double").parquet(sink.path).drop("batch_id")
 
 
+@query(
+    "stream_landing_table",
+    """SELECT e.event_id AS id, c.c_name AS name, e.value AS value, (e.event_type NOT IN ('click', 'view'))::INTEGER AS batch
+FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE e.value >= 10""",
+)
+def stream_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two increments of events, joined with a catalog table, into a catalog table."""
+    session = session_for(spark)
+    root = new_folder(session, "query")
+    names, target = (f"specflow_{uuid.uuid4().hex}" for _ in range(2))
+    copy(session, given("customer", sf_dir), "hivetable", table=names, options={"path": f"{root}/names"})
+    customers = Source("customer", "hivetable", columns_of("customer"), table=names)
+    arrivals = Source("events", "json", columns_of("events"), f"{root}/landing")
+    columns = (SinkColumn("id", "Long", 1), SinkColumn("name", "String", 2), SinkColumn("value", "Double", 3, minimum=10))
+    links = (link(arrivals, "event_id", "out", 1), link(customers, "c_name", "out", 2), link(arrivals, "value", "out", 3))
+    sink = Sink("out", "hivetable", columns, table=target)
+    joins = JoinKey.parse(f"events:{col_id(arrivals, 'user_id')}=customer:{col_id(customers, 'c_custkey')}")
+    pipeline = Pipeline("landing", (arrivals, customers), (sink,), links, joins, validation=True)
+    events = session.read.parquet(f"{sf_dir}/events.parquet")
+    early = F.col("event_type").isin("click", "view")
+    for delivery in (early, ~early):
+        events.where(delivery).write.mode("append").json(arrivals.location)
+        land(session, pipeline, f"{root}/checkpoint", f"{root}/archive")
+    return session.table(target).select("id", "name", "value", F.col("batch_id").cast("int").alias("batch"))
+
+
 @query(
     "stream_landing_validated",
     """SELECT event_id AS id, value, value >= 50 AS in_target,
