@@ -35,12 +35,12 @@ def held_out(doc_id: Column) -> Column:
 def named_rows(docs: DataFrame) -> DataFrame:
     """id_key, no_id, text, copy: the rows named by two numbers, whatever ids repeat or are missing.
 
-    id_key is the id, or 0 if it is missing (no_id); ``copy`` numbers the rows of one id_key from 1, by the hash of
+    id_key is the id, or the hash of the text if it is missing (no_id), so such rows meet only where their texts are alike; ``copy`` numbers the rows of one id_key from 1, by the hash of
     their text, so any evaluation gives rows of different text the same number. Rows that are alike in both are
     interchangeable. The rows are dealt out by id_key.
     """
     doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(F.coalesce(doc_id, F.lit(0)).alias("id_key"), doc_id.isNull().alias("no_id"), "text")
+    rows = docs.select(F.coalesce(doc_id, F.xxhash64("text")).alias("id_key"), doc_id.isNull().alias("no_id"), "text")
     order = W.partitionBy("id_key").orderBy("no_id", F.xxhash64("text"))
     return rows.withColumn("copy", F.row_number().over(order))
 
