@@ -22,7 +22,8 @@ classes.
 
 Comparing a bucket in full is one task's work on texts that it holds together: those outside the bucket's largest
 class against all of other classes. Only links that join classes leave the task, no pairs. A bucket of more than
-``BLOCK`` texts is dealt out as pairs of blocks, so no task holds more than two blocks, and there is no cap.
+``BLOCK`` texts, or of texts that weigh more than ``BLOCK_WEIGHT`` together (about as many words), is dealt out as pairs
+of blocks, so no task holds more than about two blocks, and there is no cap.
 
 Defined results: null and blank texts have no shingles and are alone in their classes; rows alike in id and
 text are in one class; rows without an id are classed by their text, and a class of them alone has a null id; a
@@ -50,6 +51,7 @@ SMALL = 8
 FINE_BANDS = 60
 FINE_ROWS = 10
 BLOCK = 1_000
+BLOCK_WEIGHT = 2_000_000
 COMMON = 1e-3
 IDF_SHARE = 0.25
 _COLUMN_BITS = 22
@@ -338,14 +340,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 
 def _buckets(texts: DataFrame) -> DataFrame:
-    """words, weight, band, key for each text in each bucket that holds several, with the bucket's size n and hub.
+    """words, weight, band, key for each text in each bucket that holds several, with the bucket's size n, heft and hub.
 
     From words, weight and bands of the texts.
     """
     members = texts.select("words", "weight", F.posexplode("bands").alias("band", "key"))
     drawn = F.min(F.struct(F.xxhash64("words", "band").alias("drawn"), "words", "weight"))
-    buckets = members.groupBy("band", "key").agg(drawn.alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    buckets = buckets.select("band", "key", "n", F.col("hub.words").alias("hub"), F.col("hub.weight").alias("hub_weight"))
+    buckets = members.groupBy("band", "key").agg(drawn.alias("hub"), F.count("*").alias("n"), F.sum("weight").alias("heft")).filter("n > 1")
+    buckets = buckets.select("band", "key", "n", "heft", F.col("hub.words").alias("hub"), F.col("hub.weight").alias("hub_weight"))
     return written(members.join(buckets, ["band", "key"]), "buckets")
 
 
@@ -381,7 +383,7 @@ def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
     several = sizes.groupBy("band", "key").agg(F.count("*").alias("classes"), F.max(F.struct("members", "class")).alias("most"))
     several = several.filter("classes > 1").select("band", "key", F.col("most.class").alias("largest"))
     known = known.join(several, ["band", "key"]).withColumn("main", F.col("class") == F.col("largest"))
-    return written(known.select("band", "key", "n", "words", "weight", "class", "main"), "unresolved")
+    return written(known.select("band", "key", "n", "heft", "words", "weight", "class", "main"), "unresolved")
 
 
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -422,7 +424,7 @@ def _within(unresolved: DataFrame, candidates: DataFrame, weights, similarity: f
 
     A large bucket's members are in blocks by hash, and each two blocks (one with itself too) are a group.
     """
-    blocks = F.ceil(F.col("n") / BLOCK)
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("heft") / BLOCK_WEIGHT))
     own = F.pmod(F.xxhash64("words"), blocks)
     dealt = unresolved.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
