@@ -6,6 +6,7 @@ import hashlib
 
 import pytest
 from conftest import fold
+from pyspark.sql import functions as F
 
 from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, repeats, tokens, toxicity
 from specflow.llm.queries import tokenizer_path
@@ -120,3 +121,24 @@ def test_toxicity(docs_of):
     found = {r.doc_id: r for r in RUNS["toxicity"](docs_of(rows)).collect()}
     assert found[1].predicted == 1
     assert all(found[i].score == 0 for i in (2, 3, 4, 5))
+
+
+def test_repeats_without_ids(docs_of):
+    """Rows without an id lose the same words as if they had one, whichever of them are alike."""
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [f"{' '.join(f'a{n}b{i}' for i in range(20))} {shared if n % 3 else ''}" for n in range(30)]
+    rows += [rows[0], rows[1], rows[1], None, None, ""]
+    given = docs_of(list(enumerate(rows)))
+    cut = [repeats.without_repeats(docs) for docs in (given, given.withColumn("doc_id", F.lit(None).cast("long")))]
+    found = [sorted(map(tuple, df.select("n_words", "n_removed", "kept").collect())) for df in cut]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    assert sum(removed for _, removed, _ in found[0]) >= 20 * 40
+
+
+@pytest.mark.parametrize("limit", ["BLOCK", "BLOCK_WEIGHT"])
+def test_near_in_small_blocks(documents, monkeypatch, limit):
+    """Dealing a bucket out in blocks finds the same classes, whether texts or words are many."""
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    whole = {tuple(r) for r in near_dedup.near_duplicates(documents).select("doc_id", "class_id").collect()}
+    monkeypatch.setattr(near_dedup, limit, 2)
+    assert {tuple(r) for r in near_dedup.near_duplicates(documents).select("doc_id", "class_id").collect()} == whole
