@@ -106,11 +106,11 @@ class Model:
 
 
 def _vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The columns a text has, and the share of its n-grams in each."""
+    """The columns a text has, and the number of its n-grams in each."""
     characters, offsets = _characters([text])
     found = np.concatenate([columns[use] for columns, use in _all_columns(characters, offsets)])
     columns, counts = np.unique(found, return_counts=True)
-    return columns.astype(np.int64), counts / max(1, len(found))
+    return columns.astype(np.uint16), counts.astype(np.int32)
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +180,30 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(min(grid, key=loss))
 
 
+def sampled(usable: DataFrame, sample: int) -> DataFrame:
+    """doc_id, lang, hash (of the text) of each language's ``sample`` rows with the least hashes of their ids.
+
+    Ids are counted first, approximately, so that only about twice as many as wanted are ever ranked, however large the
+    language is: with so many expected, chance leaves less than wanted in far under one of 10^20 draws.
+    """
+    known = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))  # a row for each language
+    draw = F.xxhash64("doc_id")
+    low = draw / float(1 << 64) + 0.5 < (2 * sample + 100) / F.col("ids")
+    ids = usable.join(F.broadcast(known), "lang").filter(low).select("lang", "doc_id", F.xxhash64("text").alias("hash")).distinct()
+    order = W.partitionBy("lang").orderBy(draw, "doc_id", "hash")
+    return ids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample).drop("rank")
+
+
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Instead of texts, the columns they have with the counts of their n-grams, packed: bounded, however long a text is."""
+    for batch in batches:
+        for piece in slices(batch):
+            found = [_vector(text) for text in piece.column("text").to_pylist()]
+            packed = [pa.array([x[k].tobytes() for x in found], pa.binary()) for k in (0, 1)]
+            columns = [*(piece.column(c) for c in ("doc_id", "lang", "hash")), *packed]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "hash", "columns", "counts"])
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from the documents that have an id outside the held-out fold, a text and a language."""
     usable = docs.select(F.col("doc_id").cast("long"), "text", "lang").filter(
@@ -188,24 +212,25 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     rows = usable.select("text").mapInArrow(_frequencies, "column long, n long")
     frequency = {r["column"]: r["n"] for r in rows.groupBy("column").agg(F.sum("n").alias("n")).collect()}
     documents = frequency.pop(-1, 0)
-    # the least hashes of each language: a bounded sample, whatever the order or number of rows
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "hash")
-    ids = usable.select("lang", "doc_id", F.xxhash64("text").alias("hash")).withColumn("rank", F.row_number().over(order))
-    ids = ids.filter(F.col("rank") <= sample)
-    chosen = usable.join(F.broadcast(ids.select("doc_id", "hash").distinct()), "doc_id").filter(F.xxhash64("text") == F.col("hash"))
-    picked = sorted({(r["doc_id"], r["lang"], r["text"]) for r in chosen.select("doc_id", "lang", "text").collect()})
-    picked = [r for r in picked if any(c.isalpha() for c in r[2])]
+    names = sampled(usable, sample).select("doc_id", "hash").distinct()  # ``sample`` rows for each language at most
+    chosen = usable.withColumn("hash", F.xxhash64("text")).join(F.broadcast(names), ["doc_id", "hash"])
+    vectors = chosen.select("doc_id", "lang", "hash", "text").mapInArrow(
+        _vectors, "doc_id long, lang string, hash long, columns binary, counts binary"
+    )
+    # a row that is there several times is learned from once
+    rows = vectors.dropDuplicates(["doc_id", "lang", "hash"]).collect()
+    picked = sorted((r for r in rows if r["columns"]), key=lambda r: (r["doc_id"], r["lang"], r["hash"]))
     if not picked:
         return None
-    languages = sorted({r[1] for r in picked})
+    languages = sorted({r["lang"] for r in picked})
     inverse = np.zeros(1 << BITS)
     for column, count in frequency.items():
         inverse[column] = np.log((1 + documents) / (1 + count)) + 1
     vectors = []
-    for _, _, text in picked:
-        columns, shares = _vector(text)
-        vectors.append((columns, shares * inverse[columns] * 10))
-    labels = np.array([languages.index(r[1]) for r in picked])
+    for row in picked:
+        columns, counts = np.frombuffer(row["columns"], np.uint16), np.frombuffer(row["counts"], np.int32)
+        vectors.append((columns.astype(np.int64), counts / counts.sum() * inverse[columns] * 10))
+    labels = np.array([languages.index(r["lang"]) for r in picked])
     aside = np.random.default_rng(11).permutation(len(picked))
     aside, fitted = aside[: len(picked) // 5], aside[len(picked) // 5 :]
     weights, bias = ftrl([vectors[i] for i in fitted], labels[fitted], len(languages), 1 << BITS)

@@ -87,6 +87,16 @@ def test_language(docs_of):
     assert [found[i].held_out for i in range(1, 9)] == [fold(i) == 2 for i in range(1, 9)]
 
 
+def test_language_sample(spark):
+    """The least hashes of each language, counted by text, also where copies of one row are a third of all."""
+    rows = [(i, f"t{i}", "en" if i % 5 else "de") for i in range(6_000)] + [(1, "t1", "en")] * 3_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = sorted((r.lang, r.draw, r.doc_id) for r in docs.distinct().select("lang", "doc_id", F.xxhash64("doc_id").alias("draw")).collect())
+    expected = {d for lang in ("de", "en") for d in [x[2] for x in drawn if x[0] == lang][:50]}
+    found = [r.doc_id for r in language.sampled(docs, 50).collect()]
+    assert len(found) == 100 and set(found) == expected
+
+
 def test_fingerprints(docs_of):
     found = {}
     for r in fingerprints.fingerprints(docs_of(ROWS)).collect():
