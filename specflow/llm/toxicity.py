@@ -5,8 +5,9 @@ digits and signs that stand for letters become those letters, and i and l are on
 becomes a space. An entry matches at the beginning of a folded word and may be a stem.
 
 The lexicon is a short general list plus what the labels teach: the stems that labelled toxic documents have far
-more often than clean ones (near copies of a sampled document are left out, as they are no further evidence), weighted by the logarithm of the odds, if a likelihood-ratio test finds that too unlikely
-to be chance among all stems looked at. An exception phrase is an entry's word with the word after it which clean
+more often than clean ones (near copies of a sampled document are left out, as they are no further evidence),
+weighted by the logarithm of the odds, if a likelihood-ratio test finds that too unlikely to be chance among all
+stems looked at. An exception phrase is an entry's word with the word after it which clean
 documents have; where it stands, the entry doesn't count. The general list has its own.
 
 The score is 1 - exp(-sum / norm): the weights of all matches, over a norm that grows with the logarithm of the length.
@@ -173,6 +174,17 @@ def _without_copies(sample: DataFrame) -> list[tuple[int, int, bool]]:
     return kept
 
 
+def _drawn(rows: DataFrame, label: int, n: int) -> DataFrame:
+    """The n ids of a label with the least hashes.
+
+    Ids are counted first, so that only about twice as many as wanted are ever ordered, however many labels there are.
+    """
+    rows = rows.filter(F.col("toxic") == label)
+    draw = F.xxhash64("id")
+    low = draw / float(1 << 64) + 0.5 < F.lit((2 * n + 100) / max(1, rows.count()))
+    return rows.filter(low).orderBy(draw, "id").limit(n)
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     """The general list and what labelled documents outside the held-out fold add to it."""
     general = general_lexicon()
@@ -180,9 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
         (fold_of(F.col("id")) != HELD_OUT_REMAINDER) & F.col("toxic").isNotNull()
     )
     rows = rows.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    drawn = F.xxhash64("id")
-    parts = [rows.filter(F.col("toxic") == label).orderBy(drawn, "id").limit(n) for label, n in ((0, 2 * sample), (1, sample))]
-    ids = parts[0].unionByName(parts[1])  # three times ``sample`` ids at most, so it may be sent to every task
+    ids = _drawn(rows, 0, 2 * sample).unionByName(_drawn(rows, 1, sample))  # three times ``sample`` ids at most, so it may be sent to every task
     chosen = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids), "id")
     chosen = written(chosen.select("id", F.xxhash64("text").alias("hash"), "text", (F.col("toxic") == 1).alias("toxic")), "sample")
     kept = _without_copies(chosen)
