@@ -54,7 +54,7 @@ def likeness(a: bytes, b: bytes) -> float:
 
 
 def _bounds_below(value: Column, bounds: list[int]) -> Column:
-    """How many of the ascending bounds are less than the value; a null value has none.
+    """How many of the ascending bounds are less than the value, which is not null.
 
     In two steps, so that a row is compared with a few hundred of them at most.
     """
@@ -65,22 +65,27 @@ def _bounds_below(value: Column, bounds: list[int]) -> Column:
     below = lambda numbers: F.size(F.filter(numbers, lambda b: b < value))
     before = F.greatest(below(F.array(*(F.lit(g[0]) for g in groups))) - 1, F.lit(0))
     group = F.element_at(F.array(*(F.array(*map(F.lit, g)) for g in groups)), before + 1)
-    return F.when(value.isNull(), 0).otherwise(before * step + below(group))
+    return before * step + below(group)
 
 
 def with_next(docs: DataFrame, rows_per_range: int = 4_000) -> DataFrame:
     """doc_id, text, part, halo: ranges of ascending doc_id, each followed by the first row of the next range.
 
-    The ranges' bounds are quantiles of all ids; as literals they give every evaluation the same ranges. After the
-    last range comes the very first row again. Halo rows only serve their predecessors. The number of ranges follows
-    the rows up to ``_MOST_RANGES``, beyond which ranges grow (they are sorted with spilling and read as a stream).
+    The ranges' bounds are quantiles of all ids; as literals they give every evaluation the same ranges. Rows without
+    an id come first, in ranges of the hash of their text. After the last range comes the very first row again. Halo
+    rows only serve their predecessors. The number of ranges follows the rows up to ``_MOST_RANGES`` of either kind,
+    beyond which ranges grow (they are sorted with spilling and read as a stream).
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = min(_MOST_RANGES, max(1, rows.select("doc_id").count() // rows_per_range))
+    every, named = rows.agg(F.count("*"), F.count("doc_id")).head()
+    parts = min(_MOST_RANGES, max(1, named // rows_per_range))
     shares = [i / parts for i in range(1, parts)]
     bounds = rows.agg(F.percentile_approx("doc_id", shares, 10 * parts).alias("b")).head()["b"] if shares else []
-    rows = rows.withColumn("part", _bounds_below(F.col("doc_id"), sorted(set(bounds or []))).cast("int"))
+    unnamed = min(_MOST_RANGES, -(-(every - named) // rows_per_range))
+    by_text = F.least(F.floor((F.xxhash64("text") / float(1 << 64) + 0.5) * unnamed), F.lit(unnamed - 1))
+    by_id = unnamed + _bounds_below(F.col("doc_id"), sorted(set(bounds or [])))
+    rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), by_text).otherwise(by_id).cast("int"))
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", F.xxhash64("text"))
     firsts = sorted(rows.groupBy("part").agg(F.min(order).alias("o")).collect())  # one small row for each range
     if not firsts:
@@ -94,7 +99,7 @@ def with_next(docs: DataFrame, rows_per_range: int = 4_000) -> DataFrame:
     halos = found.groupBy("before").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
     halos = halos.select("doc_id", "text", F.col("before").alias("part"), F.lit(True).alias("halo"))
     both = rows.withColumn("halo", F.lit(False)).unionByName(halos)
-    return both.repartition(parts, "part").sortWithinPartitions(
+    return both.repartition(parts + unnamed, "part").sortWithinPartitions(
         "part", "halo", F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     )
 
@@ -105,6 +110,10 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
+RESULT = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double"
+)
 _RESULT = pa.schema(
     [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
      ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
@@ -134,8 +143,4 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row for each document: digests of its text and of its edited text, and how alike they and the next one are."""
-    ddl = (
-        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
-    )
-    return with_next(docs).select("doc_id", "text", "halo").mapInArrow(_compare, ddl)
+    return with_next(docs).select("doc_id", "text", "halo").mapInArrow(_compare, RESULT)

@@ -106,6 +106,27 @@ def test_fingerprints(docs_of):
     assert found[5][0].near_next == 1.0
 
 
+def test_fingerprints_of_many_rows_without_ids(docs_of):
+    """Ranges of rows without an id, followed by those with one, give what one range gives."""
+    docs = docs_of([(i if i % 3 else None, f"text number {i * i}") for i in range(200)])
+    columns = ("doc_id", "text", "halo")
+
+    def printed(rows_per_range):
+        rows = fingerprints.with_next(docs, rows_per_range).select(*columns)
+        return {tuple(r) for r in rows.mapInArrow(fingerprints._compare, fingerprints.RESULT).collect()}
+
+    assert printed(7) == printed(1_000) and len(printed(7)) == 200
+    parts = fingerprints.with_next(docs, 7).filter("doc_id is null and not halo").groupBy("part").count().collect()
+    assert len(parts) >= 8 and max(r["count"] for r in parts) <= 25
+
+
+def test_toxicity_sample(spark):
+    rows = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(8_000)], "id long, toxic int")
+    expected = [r.id for r in rows.filter("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(100).collect()]
+    assert sorted(r.id for r in toxicity._drawn(rows, 1, 100).collect()) == sorted(expected)
+    assert toxicity._drawn(rows, 1, 5_000).count() == 2_000 and toxicity._drawn(rows, 2, 5).count() == 0
+
+
 def test_repeats(docs_of):
     found = {r.doc_id: r for r in repeats.without_repeats(docs_of(ROWS)).collect()}
     assert (found[5].n_words, found[5].n_removed, found[5].kept) == (60_000, 60_000, "")
