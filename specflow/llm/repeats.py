@@ -17,7 +17,7 @@ Two measures keep the trees small; neither loses a repeat:
   share is one row per batch, not one per document.
 
 Defined results: a null or blank text has no words; texts shorter than a window lose nothing; repeated rows
-are each other's repeats; extra columns of the input are ignored.
+are each other's repeats, looked for once and counted; extra columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specflow.llm.arrays import Words, run_hashes, slices, words_of
-from specflow.llm.tables import id_of_row, named_rows
+from specflow.llm.tables import NUMBER_BITS, counted, id_of_row, named_rows
 
 WINDOW = 35
 PREFIX = 8
 
 #: A word's place: its row's id_key, and in one number the row's copy and the word's position.
 _PLACE = np.dtype([("id_key", "<i8"), ("place", "<i8")])
-_POSITION_BITS = 32
+_POSITION_BITS = 30  # a text has less than 2^31 bytes
 _LEAF = "prefix long, blocks long, id_key long, place long, more binary"
 
 
@@ -141,13 +141,15 @@ def _window_leaves(window: int):
 
 
 def _marked(words: Words, rows: pa.RecordBatch) -> np.ndarray:
-    """Which words the rows' lists of places name. A list has the places of all rows with its id_key."""
+    """Which words the rows' lists of places name. The lists have the places of all rows with their id_key and tag."""
     marked = np.zeros(len(words.codes), bool)
-    lists = rows.column("places")
-    places = np.asarray(lists.flatten()).astype(np.int64)
-    numbers = np.repeat(np.arange(rows.num_rows), np.asarray(lists.value_lengths().fill_null(0)))
-    own = places >> _POSITION_BITS == rows.column("copy").to_numpy().astype(np.int64)[numbers]
-    marked[words.offsets[numbers[own]] + (places[own] & ((1 << _POSITION_BITS) - 1))] = True
+    copies = rows.column("copy").to_numpy() & ((1 << NUMBER_BITS) - 1)
+    for name in ("places", "others"):
+        lists = rows.column(name)
+        places = np.asarray(lists.flatten()).astype(np.int64)
+        numbers = np.repeat(np.arange(rows.num_rows), np.asarray(lists.value_lengths().fill_null(0)))
+        own = places >> _POSITION_BITS == copies[numbers]
+        marked[words.offsets[numbers[own]] + (places[own] & ((1 << _POSITION_BITS) - 1))] = True
     return marked
 
 
@@ -187,14 +189,22 @@ def _places_below(rows: pa.RecordBatch, met: bool, complete: bool) -> Iterator[p
 
 
 def _with_places(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
-    """The rows with ``places``, those found for their id_key. Both sides are dealt out by id_key alone."""
-    found = places.groupBy(F.col("id_key").alias("of")).agg(F.collect_list("place").alias("places"))
-    return rows.join(found, F.col("id_key") == F.col("of"), how).drop("of")
+    """The rows with what is found for their id_key and tag: ``places`` of number 0, as positions, and ``others``.
+
+    Both sides are dealt out by these two. Few texts of one id share a tag, so a row meets hardly any places but its own.
+    """
+    tag = F.shiftright("place", _POSITION_BITS + NUMBER_BITS)
+    place = F.col("place").bitwiseAND((1 << _POSITION_BITS + NUMBER_BITS) - 1)
+    first = place < 1 << _POSITION_BITS
+    lists = F.collect_list(F.when(first, place.cast("int"))).alias("places"), F.collect_list(F.when(~first, place)).alias("others")
+    found = places.groupBy(F.col("id_key").alias("of"), tag.alias("of_tag")).agg(*lists)
+    return rows.join(found, (F.col("id_key") == F.col("of")) & (F.col("tag") == F.col("of_tag")), how).drop("of", "of_tag")
 
 
 def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """id_key, no_id, text, copy, and ``places``: where windows begin that also begin elsewhere (null for none).
+    """id_key, tag, no_id, text, n, copy, ``places`` and ``others``: where windows begin that also begin elsewhere.
 
+    Rows alike in id and text are one row here, ``n`` of them; with ``n`` over 1 every window is a repeat, listed or not.
     All of it is one plan: the documents are dealt out once and read from that exchange three times.
     """
     if window <= PREFIX + 2:
@@ -205,10 +215,13 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     twins = representatives.repartition("prefix").sortWithinPartitions("prefix", "blocks").mapInArrow(_repeated, place)
     leaves = _with_places(rows, twins, "inner").mapInArrow(_window_leaves(window), _LEAF)
     subtrees = leaves.repartitionByRange("prefix", "blocks").sortWithinPartitions("prefix", "blocks")
-    return _with_places(rows, subtrees.mapInArrow(_repeated, place), "left")
+    return counted(_with_places(rows, subtrees.mapInArrow(_repeated, place), "left"), docs)
+
 
+_KEPT = "id_key long, no_id boolean, n long, n_words long, n_removed long, kept string"
 
-_KEPT = "id_key long, no_id boolean, n_words long, n_removed long, kept string"
+#: Rows alike are listed again in lists of at most this many.
+_LISTED = 10_000
 
 
 def _without(window: int):
@@ -218,7 +231,9 @@ def _without(window: int):
                 words = words_of(piece.column("text"))
                 # a window covers the words from its start: starts so far less ends so far
                 steps = np.zeros(len(words.codes) + window, np.int32)
-                starts = np.flatnonzero(_marked(words, piece))
+                marked, whole = _marked(words, piece), words.runs_from(window)
+                marked[: len(whole)] |= whole & (piece.column("n").to_numpy() > 1)[words.texts[: len(whole)]]
+                starts = np.flatnonzero(marked)
                 steps[starts] += 1
                 steps[starts + window] -= 1
                 stays = np.cumsum(steps)[: len(words.codes)] == 0
@@ -227,7 +242,7 @@ def _without(window: int):
                     kept.append(b" ".join(compress((text or "").encode().split(), stays[begin:end].tolist())).decode())
                 removed = words.counts - np.add.reduceat(np.append(stays, False).astype(np.int64), words.offsets[:-1]) * (words.counts > 0)
                 columns = {
-                    "id_key": piece.column("id_key"), "no_id": piece.column("no_id"),
+                    "id_key": piece.column("id_key"), "no_id": piece.column("no_id"), "n": piece.column("n"),
                     "n_words": pa.array(words.counts), "n_removed": pa.array(removed), "kept": pa.array(kept, pa.string()),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
@@ -238,4 +253,7 @@ def _without(window: int):
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and ``kept``: the words outside all repeated windows, joined by one space."""
     cut = repeated_starts(docs, window).mapInArrow(_without(window), _KEPT)
-    return cut.select(id_of_row(), "n_words", "n_removed", "kept")
+    lists = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_LISTED).cast("long")))
+    listed = cut.withColumn("before", lists).withColumn("left", F.least(F.col("n") - F.col("before"), F.lit(_LISTED)))
+    rows = listed.withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "left")))
+    return rows.select(id_of_row(), "n_words", "n_removed", "kept")

@@ -8,7 +8,7 @@ import pytest
 from conftest import fold
 from pyspark.sql import functions as F
 
-from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, repeats, tokens, toxicity
+from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, repeats, tables, tokens, toxicity
 from specflow.llm.queries import tokenizer_path
 
 LONG = " ".join(f"w{i % 9000}" for i in range(60_000))
@@ -166,6 +166,24 @@ def test_repeats_without_ids(docs_of):
     assert sum(removed for _, removed, _ in found[0]) >= 20 * 40
 
 
+@pytest.mark.parametrize("tag_bits", [tables.TAG_BITS, 1])
+def test_repeats_of_many_rows_alike(docs_of, monkeypatch, tag_bits):
+    """Places grow with the words, not with the square of a group: copies of a row, with and without id, and texts of one id."""
+    def text(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(1, text("a", 60))] * 400 + [(None, text("b", 60))] * 400 + [(2, f"c{n} {text('c', 60)}") for n in range(400)]
+    rows += [(3, text("a", 40)), (3, "x"), (None, text("b", 36)), (4, text("d", 60)), (5, "y z"), (5, "y z")]
+    if tag_bits == tables.TAG_BITS:
+        lists = repeats.repeated_starts(docs_of(rows)).select("places").collect()
+        assert sum(len(r.places or []) for r in lists) <= sum(len(row[1].split()) for row in rows)
+    monkeypatch.setattr(tables, "TAG_BITS", tag_bits)  # with one bit, texts of one id are told apart by number
+    found = [tuple(r) for r in repeats.without_repeats(docs_of(rows)).collect()]
+    expected = [(1, 60, 60, "")] * 400 + [(None, 60, 60, "")] * 400 + [(2, 61, 60, f"c{n}") for n in range(400)]
+    expected += [(3, 40, 40, ""), (3, 1, 0, "x"), (None, 36, 36, ""), (4, 60, 0, text("d", 60)), (5, 2, 0, "y z"), (5, 2, 0, "y z")]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
 @pytest.mark.parametrize("limit", ["BLOCK", "BLOCK_WEIGHT"])
 def test_near_in_small_blocks(documents, monkeypatch, limit):
     """Dealing a bucket out in blocks finds the same classes, whether texts or words are many."""
