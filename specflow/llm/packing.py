@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import bisect
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,22 +66,24 @@ def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS) -> tuple[list[tup
 
 
 _PIECES = "doc_id long, text_hash long, piece int, size long, n_tokens int, pack_group long, bin int, offset int, capacity int"
+_NAMES = [column.split()[0] for column in _PIECES.split(", ")]
+_TYPES = [{"long": pa.int64(), "int": pa.int32()}[column.split()[1]] for column in _PIECES.split(", ")]
 
 
 def _pack_group(lengths: tuple[int, ...]):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def run(group: pa.Table) -> pa.Table:
         rows = []
         longest = max(lengths)
-        for doc_id, copy, size in zip(group["doc_id"], group["text_hash"], group["size"], strict=True):
-            for piece, start in enumerate(range(0, int(size), longest)):
-                rows.append((min(longest, int(size) - start), doc_id, copy, piece, int(size)))
+        columns = (group.column(name).to_pylist() for name in ("doc_id", "text_hash", "size"))
+        for doc_id, copy, size in zip(*columns, strict=True):
+            for piece, start in enumerate(range(0, size, longest)):
+                rows.append((min(longest, size - start), doc_id, copy, piece, size))
         # missing ids sort as the largest
-        rows.sort(key=lambda r: (-r[0], pd.isna(r[1]), 0 if pd.isna(r[1]) else r[1], r[2], r[3]))
+        rows.sort(key=lambda r: (-r[0], r[1] is None, r[1] or 0, r[2], r[3]))
         placed, capacities = pack([r[0] for r in rows], lengths)
-        number = group["pack_group"].iloc[0]
+        number = group.column("pack_group")[0].as_py()
         out = [(d, c, p, s, n, number, b, o, capacities[b]) for (n, d, c, p, s), (b, o) in zip(rows, placed, strict=True)]
-        names = ["doc_id", "text_hash", "piece", "size", "n_tokens", "pack_group", "bin", "offset", "capacity"]
-        return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+        return pa.Table.from_arrays([pa.array(column, t) for column, t in zip(zip(*out, strict=True), _TYPES, strict=True)], _NAMES)
 
     return run
 
@@ -98,4 +100,4 @@ def pieces(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, size: Column | N
     rows = rows.filter(F.col("size") > 0).groupBy("doc_id", "text_hash", "size").agg(F.count("*").alias("n"))
     rows = rows.withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
     dealt = F.pmod(F.xxhash64("doc_id", "text_hash", "number"), F.lit(groups))
-    return rows.withColumn("pack_group", dealt).groupBy("pack_group").applyInPandas(_pack_group(lengths), _PIECES)
+    return rows.withColumn("pack_group", dealt).groupBy("pack_group").applyInArrow(_pack_group(lengths), _PIECES)

@@ -147,6 +147,13 @@ def test_packing(docs_of):
     assert sum(r.n_tokens for r in found) == 7 * 3 + 2 * 60_000 + 3
 
 
+def test_packing_keeps_long_ids_beside_a_missing_one(docs_of):
+    ids = [2**53 + 1, 2**53 + 2, 2**62 + 1, -(2**62) - 1, 2**63 - 1, None]
+    found = packing.pieces(docs_of([(i, f"a b {n}") for n, i in enumerate(ids)])).collect()
+    assert len({r.pack_group for r in found}) == 1
+    assert sorted(map(str, (r.doc_id for r in found))) == sorted(map(str, ids))
+
+
 def test_toxicity(docs_of):
     rows = [(1, "You іdi0t, you  ST@PID m0r0n."), (2, "the loser bracket"), (3, None), (4, ""), (5, "a fine day, mormon")]
     found = {r.doc_id: r for r in RUNS["toxicity"](docs_of(rows)).collect()}
