@@ -101,3 +101,12 @@ def pieces(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, size: Column | N
     rows = rows.withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
     dealt = F.pmod(F.xxhash64("doc_id", "text_hash", "number"), F.lit(groups))
     return rows.withColumn("pack_group", dealt).groupBy("pack_group").applyInArrow(_pack_group(lengths), _PIECES)
+
+
+def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, size: Column | None = None) -> DataFrame:
+    """The pieces, and one row without a bin for each document without words."""
+    size = F.coalesce(size_in_words(F.col("text")) if size is None else size, F.lit(0)).cast("long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), size.alias("size")).filter("size <= 0")
+    missing = {name: F.lit(None).cast("int") for name in ("piece", "bin", "offset", "capacity")}
+    wordless = rows.withColumns({**missing, "n_tokens": F.lit(0), "pack_group": F.lit(None).cast("long")})
+    return pieces(docs, lengths, size).unionByName(wordless)

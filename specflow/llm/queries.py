@@ -55,7 +55,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_packing")
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pieces(table(spark, sf_dir, "documents"))
+    return packing.packed(table(spark, sf_dir, "documents"))
 
 
 @query("op7_tokens")

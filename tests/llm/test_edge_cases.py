@@ -147,6 +147,13 @@ def test_packing(docs_of):
     assert sum(r.n_tokens for r in found) == 7 * 3 + 2 * 60_000 + 3
 
 
+def test_packed_has_documents_without_words(docs_of):
+    found = packing.packed(docs_of(ROWS)).collect()
+    assert {r.doc_id for r in found} == {r[0] for r in ROWS}
+    assert sorted(str(r.doc_id) for r in found if r.bin is None) == ["2", "3", "4", "None"]
+    assert len(found) == packing.pieces(docs_of(ROWS)).count() + 4
+
+
 def test_packing_keeps_long_ids_beside_a_missing_one(docs_of):
     ids = [2**53 + 1, 2**53 + 2, 2**62 + 1, -(2**62) - 1, 2**63 - 1, None]
     found = packing.pieces(docs_of([(i, f"a b {n}") for n, i in enumerate(ids)])).collect()
