@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, repeats, tokens, toxicity, warc
+from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, phrases, repeats, tokens, toxicity, warc
 from specflow.llm.registry import query, table
 
 #: The folder of the public tokenizers' vocabularies.
@@ -108,3 +108,44 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op13_phrases",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+        FROM documents
+    ), w AS (
+        SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces
+    ), s AS (
+        SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w
+    ), g AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM s, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+    ), n AS (
+        SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang
+    ), c AS (
+        SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= 30
+    ), cuts AS (
+        SELECT c.*, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+        FROM c, (SELECT unnest([1, 2, 3]) AS j) WHERE j < k
+    ), scored AS (
+        SELECT cuts.lang, cuts.phrase, a, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score,
+               row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY 2000000::HUGEINT * a // (x.f + y.f), j) AS nth
+        FROM cuts JOIN g x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN g y ON y.lang = cuts.lang AND y.phrase = cuts.y
+    ), inside AS (
+        SELECT lang, array_to_string(w[b:b + m - 1], ' ') AS phrase, max(a) AS longer
+        FROM c, (SELECT unnest([2, 3]) AS m), (SELECT unnest([1, 2, 3]) AS b) WHERE m < k AND b + m - 1 <= k GROUP BY ALL
+    ), kept AS (
+        SELECT s.* FROM scored s LEFT JOIN inside i USING (lang, phrase)
+        WHERE nth = 1 AND (longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+    ), ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM kept
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+    """,
+)
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
