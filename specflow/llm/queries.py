@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, phrases, repeats, tokens, toxicity, warc
+from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, phrases, repeats, spelling, tokens, toxicity, warc
 from specflow.llm.registry import query, table
 
 #: The folder of the public tokenizers' vocabularies.
@@ -110,6 +110,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_spelling")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op13_phrases",
     r"""
