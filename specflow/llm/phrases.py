@@ -10,7 +10,7 @@ then longer phrases all of whose pairs may be. "May be" is a Bloom filter of a b
 In a task, phrases go into a HAT-trie: a shallow trie over the digits of the word ids, whose leaves are containers of
 phrases kept by hash, equal ones as one with a count. A container that grows too large is burst into one for each
 next digit. When the trie holds too many phrases, its largest subtree is spilled whole, as a run sorted by word ids.
-Spark deals the runs out by the phrases' first words, and merges them per partition by summing.
+Spark deals the runs out by the phrases' words, a hot first word over many partitions, and merges them there by summing.
 
 Scores are exact: sums and products are decimals of 38 digits.
 
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -60,6 +61,11 @@ def _language_codes(langs: pa.Array, seed: int) -> np.ndarray:
     return np.array(of, np.uint64)[coded.indices.to_numpy()] if of else np.zeros(0, np.uint64)
 
 
+#: The columns of the vocabulary, and how many words a task holds before equal ones become one and go on.
+_WORD = ["id", "lang", "word", "n"]
+WORDS_HELD = 400_000
+
+
 class _Text:
     """The words of some texts: ids, whether the next word follows in the same piece, and where they stand."""
 
@@ -76,31 +82,54 @@ class _Text:
         self.rows = np.searchsorted(offsets, self.starts, side="right") - 1
         hashes = span_hashes(_BYTE_CODES[self.bytes], self.starts, self.stops)
         self.ids = mix(hashes ^ _language_codes(rows.column("lang"), seed)[self.rows])
-        breaks = np.zeros(len(solid) + 1, np.int64)
+        breaks = np.zeros(len(solid) + 1, np.int32)
         np.cumsum(_BREAK[self.bytes], out=breaks[1:])
         self.joined = np.zeros(len(self.ids), bool)
         same = self.rows[1:] == self.rows[:-1]
         self.joined[:-1] = same & (breaks[self.starts[1:]] == breaks[self.stops[:-1]])
 
 
+def _first_words(rows: pa.RecordBatch, seed: int) -> pa.Table:
+    """id, lang, word, n of the words of some rows."""
+    text = _Text(rows, seed)
+    order = np.argsort(text.ids, kind="stable")
+    ids = text.ids[order]
+    heads = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
+    first, data = order[heads], text.bytes.tobytes()
+    words = [data[s:e] for s, e in zip(text.starts[first].tolist(), text.stops[first].tolist(), strict=True)]
+    langs = rows.column("lang").fill_null(UNKNOWN).take(pa.array(text.rows[first]))
+    n = np.diff(np.append(heads, len(ids)))
+    return pa.table([pa.array(ids[heads].view(np.int64)), langs, pa.array(words, pa.binary()).cast(pa.string()), pa.array(n)], _WORD)
+
+
 def _vocabulary(seed: int):
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        rows = pa.concat_tables(parts)
+        ids = rows.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        heads = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+        n = pa.array(np.add.reduceat(rows.column("n").to_numpy()[order], heads))
+        # words that share an id within a task would hide here: they are told apart by their texts
+        first = rows.take(pa.array(order[heads]))
+        own = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(ids))))
+        texts, expected = rows.column("word").take(pa.array(order)), first.column("word").take(pa.array(own))
+        if not pc.all(pc.equal(texts, expected)).as_py():
+            return rows
+        return first.set_column(3, "n", n)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            for piece in slices(batch, most=1 << 23):
-                text = _Text(piece, seed)
-                if not len(text.ids):
-                    continue
-                order = np.argsort(text.ids, kind="stable")
-                ids = text.ids[order]
-                heads = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-                first, data = order[heads], text.bytes.tobytes()
-                words = [data[s:e] for s, e in zip(text.starts[first].tolist(), text.stops[first].tolist(), strict=True)]
-                langs = piece.column("lang").fill_null(UNKNOWN).take(pa.array(text.rows[first]))
-                columns = {
-                    "id": pa.array(ids[heads].view(np.int64)), "lang": langs, "word": pa.array(words, pa.binary()).cast(pa.string()),
-                    "n": pa.array(np.diff(np.append(heads, len(ids)))),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
+            for piece in slices(batch):
+                found = _first_words(piece, seed)
+                if found.num_rows:
+                    parts.append(found)
+                    held += found.num_rows
+                if held > WORDS_HELD:
+                    yield from merged(parts).combine_chunks().to_batches(1 << 16)
+                    parts, held = [], 0
+        if parts:
+            yield from merged(parts).combine_chunks().to_batches(1 << 16)
 
     return count
 
@@ -260,7 +289,9 @@ def _longer(seed: int, longest: int, frequent):
 
 def _merged(runs: DataFrame, least: int, width: int) -> DataFrame:
     """The runs merged: c1 to c4 (zero where shorter) and a, of the phrases that are frequent."""
-    sums = runs.groupBy(*_IDS[:width]).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+    # the tries have summed already: a sum before the shuffle would only hold the same phrases once more
+    dealt = runs.repartition(*_IDS[:width])
+    sums = dealt.groupBy(*_IDS[:width]).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
     return sums.select(*(F.col(c) if i < width else F.lit(0).cast("long").alias(c) for i, c in enumerate(_IDS)), "a")
 
 

@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.llm import exact_dedup, fingerprints, language, mixing, near_dedup, packing, phrases, repeats, spelling, tokens, toxicity, warc
+from specflow.llm import copies, exact_dedup, fingerprints, language, mixing, near_dedup, packing, phrases, repeats, spelling, tokens, toxicity, warc
 from specflow.llm.registry import query, table
 
 #: The folder of the public tokenizers' vocabularies.
@@ -115,6 +115,17 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+@query("op12_copies")
+def op12_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda sum_, span: sum_ + span["end"] - span["begin"])
+    n_spans = F.size("removed").cast("long")
+    cut = copies.cut_texts(docs).select(
+        "k1", "k2", "first_id", "n", "n_bytes", n_removed.alias("n_removed"), n_spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+    return copies.of_documents(docs, cut).drop("whole")
+
+
 @query(
     "op13_phrases",
     r"""
