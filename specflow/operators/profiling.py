@@ -35,8 +35,8 @@ def _columns_of(df: DataFrame, kind: type[T.DataType]) -> list[str]:
     return [field.name for field in df.schema.fields if isinstance(field.dataType, kind)]
 
 
-def _statistics(df: DataFrame, name: str) -> dict[str, Column]:
-    value = F.col(quoted(name))
+def _statistics(df: DataFrame, name: str, where: Column | None = None) -> dict[str, Column]:
+    value = F.col(quoted(name)) if where is None else F.when(where, F.col(quoted(name)))
     number = value.try_cast("double")
     if isinstance(df.schema[name].dataType, T.StringType):
         number = F.when(value.rlike(_NUMBER), number)
@@ -82,21 +82,39 @@ def observed(df: DataFrame, name: str, full: bool) -> tuple[DataFrame, "WriteObs
     return df.observe(observation, *metrics), WriteObservation(observation, columns)
 
 
+def observed_sides(
+    df: DataFrame, name: str, side: str, values: tuple[str, ...], full: bool
+) -> tuple[DataFrame, list["WriteObservation"]]:
+    """As :func:`observed`, for each value of the column ``side`` by itself."""
+    own = df.drop(side)
+    columns = _columns_of(own, T.NumericType) + _columns_of(own, T.StringType) if full else []
+    observation = Observation(name)
+    metrics = []
+    for number, value in enumerate(values):
+        where = F.col(side) == value
+        metrics.append(F.count_if(where).alias(f"rows_of_{number}"))
+        for position, column in enumerate(columns):
+            metrics += [c.alias(f"{s}_{position}_of_{number}") for s, c in _statistics(own, column, where).items()]
+    sides = [WriteObservation(observation, columns, f"_of_{number}") for number in range(len(values))]
+    return df.observe(observation, *metrics), sides
+
+
 class WriteObservation:
     """Results of :func:`observed`, available once the write has finished."""
 
-    def __init__(self, observation: Observation, columns: list[str]) -> None:
+    def __init__(self, observation: Observation, columns: list[str], suffix: str = "") -> None:
         self._observation = observation
         self._columns = columns
+        self._suffix = suffix
 
     @property
     def rows(self) -> int:
-        return self._observation.get["rows"]
+        return self._observation.get[f"rows{self._suffix}"]
 
     def records(self) -> list[dict[str, Any]]:
         values = self._observation.get
         return [
-            {"column_name": column, **{s: values[f"{s}_{position}"] for s in STATISTICS}}
+            {"column_name": column, **{s: values[f"{s}_{position}{self._suffix}"] for s in STATISTICS}}
             for position, column in enumerate(self._columns)
         ]
 

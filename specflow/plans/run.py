@@ -88,15 +88,13 @@ def write_sinks(
 ) -> None:
     """Write every sink of a pipeline, or one ``increment`` of each.
 
-    What several sinks share is computed once and stored, unless it is no more than
-    a columnar source with repeatable expressions: each sink then scans the columns it
-    needs. The two sides of a checked sink follow the same rule. Every finished write
-    is reported.
+    What several sinks share is computed once and stored, so that sources are read once, however many sinks there are,
+    and every sink sees the same rows. Every finished write is reported.
     """
-    frames = sink_frames(session, pipeline, given)
-    repeatable = _is_columnar_scan(pipeline) and all(is_repeatable(frame) for frame in frames.values())
-    if len(pipeline.sinks) == 1 or repeatable:
-        _write_frames(frames, pipeline, profiles, increment, report, repeatable)
+    if len(pipeline.sinks) == 1:
+        frames = sink_frames(session, pipeline, given)
+        twice = pipeline.validation and not pipeline.sinks[0].is_file and _is_columnar_scan(pipeline) and all(is_repeatable(f) for f in frames.values())
+        _write_frames(frames, pipeline, profiles, increment, report, twice)
         return
     base = combined(session, pipeline, given)
     if pipeline.query is None:

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.plans.run import run_all, write_sinks
+from specflow.plans.run import run, run_all, write_sinks
 from specflow.plans.spec import JoinKey, Link, Pipeline, Predicate, Sink, SinkColumn, Source
 from specflow.queries.common import (
     columns_of,
@@ -257,7 +257,64 @@ def sink_valid_invalid_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.join(stamps)
 
 
-@query("fan_out_now", "SELECT 0::BIGINT AS ids_in_one_sink_only, 0::BIGINT AS repeated_ids")
+_ENCRYPTED = "hex(aes_encrypt(cast({0} as string), '0000111122223333'))"
+
+
+@query(
+    "sink_valid_invalid_wide",
+    "SELECT c_custkey AS id, 1::BIGINT AS copies, true AS right_side, c_name AS name, c_acctbal AS balance FROM customer",
+)
+def sink_valid_invalid_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide sink whose last column, encrypted under a new nonce for each row, decides the side of the row."""
+    session = session_for(spark)
+    customer = given("customer", sf_dir)
+    drawn = f"case when substr({_ENCRYPTED}, 1, 1) < '8' then {{0}} end"
+    targets = [
+        *same_columns(customer),
+        *(("c_acctbal", SinkColumn(f"balance_{i}", "Double", transform=f"{{0}} + {i}")) for i in range(35)),
+        ("c_custkey", SinkColumn("drawn", "Long", transform=drawn, required=True)),
+    ]
+    columns, links = mapped(customer, targets)
+    sink = Sink("out", "parquet", columns, new_folder(session, "query"))
+    run_all(session, [Pipeline("split", (customer,), (sink,), links, validation=True)])
+    schema = "c_custkey bigint, c_name string, c_acctbal double, drawn bigint"
+    sides = [session.read.schema(schema).parquet(sink.path + suffix) for suffix in ("", "_INVALID")]
+    rows = sides[0].withColumn("right_side", F.col("drawn").isNotNull()).unionByName(
+        sides[1].withColumn("right_side", F.col("drawn").isNull())
+    )
+    return rows.groupBy(F.col("c_custkey").alias("id")).agg(
+        F.count("*").alias("copies"),
+        F.bool_and("right_side").alias("right_side"),
+        F.min("c_name").alias("name"),
+        F.min("c_acctbal").alias("balance"),
+    )
+
+
+@query("sink_overwrite_failed", "SELECT *, true AS failed, 0::BIGINT AS left_over FROM customer")
+def sink_overwrite_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An overwrite whose job fails at its last customer: the rows that were there stay, and nothing else."""
+    session = session_for(spark)
+    customer = given("customer", sf_dir)
+    sink = copy(spark, customer, "parquet", mode="overwrite")
+    last = read(session, customer).agg(F.max("c_custkey")).first()[0]
+    failing = f"if({{0}} = {last}, raise_error('the last customer'), {{0}})"
+    columns, links = mapped(
+        customer,
+        [
+            (name, SinkColumn(column.name, column.type, transform=failing if name == "c_custkey" else None))
+            for name, column in same_columns(customer)
+        ],
+    )
+    again = Sink("out", "parquet", columns, sink.location, "overwrite")
+    result = run(session, Pipeline("copy", (customer,), (again,), links))
+    failed = result.error is not None and "the last customer" in result.error
+    parent = sink.path.rpartition("/")[0]
+    left_over = session.read.format("binaryFile").option("recursiveFileLookup", "true").load(parent)
+    left_over = left_over.where(F.col("path").contains("_specflow")).count()
+    return reread(spark, sink, columns_of("customer")).withColumns({"failed": F.lit(failed), "left_over": F.lit(left_over).cast("bigint")})
+
+
+@query("fan_out_now", "SELECT 0::BIGINT AS ids_in_one_sink_only, 0::BIGINT AS repeated_ids, true AS a_third FROM orders HAVING count(*) > 0")
 def fan_out_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A filter that reads the clock: both sinks hold the same rows."""
     session = session_for(spark)
@@ -270,9 +327,17 @@ def fan_out_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_all(session, [Pipeline("fan", (orders,), sinks, left_links + right_links, predicate=predicate)])
     both = [session.read.schema("id bigint").parquet(sink.path) for sink in sinks]
     held = both[0].unionByName(both[1]).groupBy("id").count()
-    return held.agg(
-        F.count_if(F.col("count") < 2).alias("ids_in_one_sink_only"), F.count_if(F.col("count") > 2).alias("repeated_ids")
+    # the clock's remainder decides which third of the keys is taken, so the sinks can't be empty
+    thirds = read(session, orders).groupBy((F.col("o_orderkey") % 3).alias("third")).count().agg(
+        F.min("count").alias("least"), F.max("count").alias("most")
+    )
+    found = held.agg(
+        F.count_if(F.col("count") < 2).alias("ids_in_one_sink_only"),
+        F.count_if(F.col("count") > 2).alias("repeated_ids"),
+        F.count("*").alias("ids"),
     )
+    both = found.join(thirds)
+    return both.select("ids_in_one_sink_only", "repeated_ids", F.col("ids").between(F.col("least"), F.col("most")).alias("a_third"))
 
 
 @query(

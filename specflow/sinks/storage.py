@@ -84,3 +84,72 @@ def written_once(df: DataFrame, partition_by: tuple[str, ...] = ()) -> Iterator[
         file_system, hadoop_path = _file_system(spark, path)
         file_system.delete(hadoop_path, True)
 
+
+def delete(spark: SparkSession, path: str) -> None:
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Give a file or folder another path, where nothing is yet."""
+    file_system, hadoop_path = _file_system(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if file_system.exists(new):
+        raise FileExistsError(target)
+    file_system.mkdirs(new.getParent())
+    if not file_system.rename(hadoop_path, new):
+        raise OSError(f"could not move {path} to {target}")
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.create(hadoop_path, True).close()
+
+
+def files_below(spark: SparkSession, path: str) -> Iterator[tuple[str, str]]:
+    """Each file below a folder: its path, and the part of it after the folder."""
+    file_system, hadoop_path = _file_system(spark, path)
+    root = file_system.makeQualified(hadoop_path).toString()
+    listed = file_system.listFiles(hadoop_path, True)
+    while listed.hasNext():
+        found = listed.next().getPath().toString()
+        yield found, found[len(root) + 1 :]
+
+
+def beside(path: str, purpose: str) -> str:
+    """A name in the path's folder that readers pass over, for rows that wait to take the path's place."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    # a name with = would be read as a partition, hidden or not
+    return f"{folder}/_specflow_{purpose}_{name.replace('=', '-')}"
+
+
+def swap_in(spark: SparkSession, staged: str, target: str) -> None:
+    """Let a folder take the place of a path; what was there goes only when the folder is in its place.
+
+    Three renames, each of which :func:`recover` can tell from what it finds: the folder is named as the coming one,
+    which says that it is whole; the old one is put aside; the coming one takes the path.
+    """
+    recover(spark, target)
+    move(spark, staged, beside(target, "new"))
+    recover(spark, target)
+
+
+def recover(spark: SparkSession, target: str) -> None:
+    """Finish a swap that broke off at a path, if there is one."""
+    new, old = beside(target, "new"), beside(target, "old")
+    if exists(spark, new):
+        if exists(spark, target):
+            delete(spark, old)
+            move(spark, target, old)
+        move(spark, new, target)
+    if exists(spark, old):
+        if exists(spark, target):
+            delete(spark, old)
+        else:
+            move(spark, old, target)
+
+
+def move_into(spark: SparkSession, staged: str, target: str) -> None:
+    """Add the files of a folder to another, in the same places below it."""
+    for path, place in list(files_below(spark, staged)):
+        move(spark, path, f"{target}/{place}")

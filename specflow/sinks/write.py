@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from specflow.operators.profiling import observed
+from specflow.operators.profiling import observed, observed_sides
 from specflow.operators.rules import VALID_COLUMN
 from specflow.plans.spec import Sink, SpecError, quoted
-from specflow.sinks.storage import exists, written_once
+from specflow.sinks.storage import beside, create_empty, delete, exists, move_into, recover, swap_in, written_once
 from specflow.sources.tables import connection_options
 
 _INVALID_SUFFIX = "_INVALID"
@@ -57,6 +59,8 @@ def write(
     counted, observation = observed(distributed(df, sink), f"rows of {target}", profiles)
     if increment is not None and not sink.is_file:
         _replace_increment(counted, sink, target, increment)
+    elif sink.is_file:
+        _save_files(counted, sink, target)
     else:
         _save(_writer(counted, sink), sink, target)
     return Written(target, skipped=False, rows=observation.rows, profile=observation.records())
@@ -67,22 +71,72 @@ def write_split(
 ) -> tuple[Written, Written]:
     """Write valid rows to the sink and the rest beside it, under ``_INVALID``.
 
-    The checked rows are computed once, into a table laid out by validity, so
-    each side then reads only its own files. Rows that are ``repeatable``, because
-    a second reading is cheap and surely the same, are read by each side instead.
+    Files are written in one pass, into a layout split by side whose folders then take their places. Tables are
+    written one after the other: the checked rows are computed once, into a table laid out by validity, so each side
+    reads only its own files. Rows that are ``repeatable``, because a second reading is cheap and surely the same, are
+    read by each side instead.
     """
+    if sink.is_file and not _is_dynamic(checked.sparkSession, sink):
+        return _write_tagged(checked, sink, increment, profiles)
     if repeatable:
         return _write_sides(checked, sink, increment, profiles)
     with written_once(checked, partition_by=(VALID_COLUMN,)) as rows:
         return _write_sides(rows, sink, increment, profiles)
 
 
+#: What marks the rows of either side, and what its place is called.
+_SIDES = {"Y": "", "N": _INVALID_SUFFIX}
+
+
 def _write_sides(rows: DataFrame, sink: Sink, increment: int | None, profiles: bool) -> tuple[Written, Written]:
-    valid = write(rows.where(F.col(VALID_COLUMN) == "Y"), sink, "", increment, profiles)
-    invalid = write(rows.where(F.col(VALID_COLUMN) == "N"), sink, _INVALID_SUFFIX, increment, profiles)
+    valid, invalid = (write(rows.where(F.col(VALID_COLUMN) == f), sink, s, increment, profiles) for f, s in _SIDES.items())
     return valid, invalid
 
 
+def _write_tagged(checked: DataFrame, sink: Sink, increment: int | None, profiles: bool) -> tuple[Written, Written]:
+    spark = checked.sparkSession
+    targets = {flag: target_of(sink, suffix, increment) for flag, suffix in _SIDES.items()}
+    there = {flag: _is_there(spark, sink, target) for flag, target in targets.items()}
+    if sink.mode == "errorifexists" and any(there.values()):
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] a path of sink {sink.id} is there already: {', '.join(targets.values())}")
+    skipped = [flag for flag in _SIDES if sink.mode == "ignore" and there[flag]]
+    if len(skipped) == len(_SIDES):
+        return tuple(Written(target, skipped=True, rows=None, profile=[]) for target in targets.values())
+    tag = f"side_{uuid.uuid4().hex}"
+    rows = distributed(checked.withColumn(tag, F.col(VALID_COLUMN)), replace(sink, partition_by=_tagged(sink, tag)))
+    counted, sides = observed_sides(rows, f"rows of {targets['Y']}", tag, tuple(_SIDES), profiles)
+    staged = f"{beside(targets['Y'], 'side')}_{uuid.uuid4().hex}"
+    try:
+        _save(_writer(counted, replace(sink, mode="errorifexists", partition_by=(tag, *sink.partition_by))), sink, staged)
+        for flag, target in targets.items():
+            if flag not in skipped:
+                _commit_side(spark, checked, sink, f"{staged}/{tag}={flag}", target)
+    finally:
+        delete(spark, staged)
+    return tuple(
+        Written(targets[flag], skipped=True, rows=None, profile=[]) if flag in skipped
+        else Written(targets[flag], skipped=False, rows=side.rows, profile=side.records())
+        for flag, side in zip(_SIDES, sides, strict=True)
+    )
+
+
+def _tagged(sink: Sink, tag: str) -> tuple[str, ...]:
+    """What rows are rebalanced on: without partition columns nothing, as each task may write both sides."""
+    return (tag, *sink.partition_by) if sink.partition_by else ()
+
+
+def _commit_side(spark: SparkSession, checked: DataFrame, sink: Sink, staged: str, target: str) -> None:
+    if not exists(spark, staged):
+        # no rows on this side: a file that has the columns, where the format keeps them
+        _save_files(spark.createDataFrame([], checked.schema), sink, target)
+    elif sink.mode == "append":
+        move_into(spark, staged, target)
+        create_empty(spark, f"{target}/_SUCCESS")
+    else:
+        create_empty(spark, f"{staged}/_SUCCESS")
+        swap_in(spark, staged, target)
+
+
 def distributed(df: DataFrame, sink: Sink) -> DataFrame:
     """How rows are spread over output files.
 
@@ -129,6 +183,28 @@ def _save(writer: DataFrameWriter, sink: Sink, target: str) -> None:
         writer.save(target)
 
 
+def _save_files(df: DataFrame, sink: Sink, target: str) -> None:
+    """Write files; what they overwrite stays until they are all there."""
+    spark = df.sparkSession
+    recover(spark, target)
+    if sink.mode != "overwrite" or _is_dynamic(spark, sink):
+        _save(_writer(df, sink), sink, target)
+        return
+    staged = f"{beside(target, 'stage')}_{uuid.uuid4().hex}"
+    try:
+        _save(_writer(df, replace(sink, mode="errorifexists")), sink, staged)
+        swap_in(spark, staged, target)
+    finally:
+        delete(spark, staged)
+
+
+def _is_dynamic(spark: SparkSession, sink: Sink) -> bool:
+    """Whether an overwrite replaces only the partitions that it writes."""
+    name = "partitionOverwriteMode"
+    chosen = {k.lower(): str(v) for k, v in sink.options.items()}.get(name.lower(), spark.conf.get(f"spark.sql.sources.{name}"))
+    return sink.mode == "overwrite" and bool(sink.partition_by) and chosen.lower() == "dynamic"
+
+
 def _replace_increment(df: DataFrame, sink: Sink, table: str, increment: int) -> None:
     """Make the rows one partition of a table, in place of what an earlier try left there."""
     spark = df.sparkSession

@@ -107,13 +107,21 @@ def test_masks_are_defined_where_a_pipeline_uses_them(spark, tmp_path):
         ("now()", False),
         ("date_add(current_date(), 1)", False),
         ("hex(aes_encrypt(v, '0000111122223333'))", False),
+        ("hex(aes_encrypt(v, '0000111122223333', 'CBC'))", False),
+        ("hex(aes_encrypt(v, '0000111122223333', 'ECB'))", True),
+        ("hex(aes_encrypt(v, '0000111122223333', 'GCM', 'DEFAULT', unhex('000000000000000000000000')))", True),
+        ("v in (select hex(aes_encrypt('1', '0000111122223333')))", False),
+        ("concat(v, 'aes_encrypt(')", True),
+        ("own_function(v)", False),
     ],
 )
 def test_repeatable_frames(spark, text, expected):
-    frame = spark.createDataFrame([("1",)], "v string")
-    assert is_repeatable(frame.select(F.expr(text))) is expected
-    if " in (" not in text and "uuid" not in text:
-        assert is_repeatable(frame.where(F.expr(f"({text}) is not null"))) is expected
+    spark.udf.register("own_function", lambda v: v)
+    for width in (1, 2, 26, 60):  # a plan's text is shortened beyond 25 columns
+        frame = spark.range(1).select(*(F.lit("1").alias(f"c{i}") for i in range(1, width)), F.lit("1").alias("v"))
+        assert is_repeatable(frame.select("*", F.expr(text))) is expected
+        if " in (" not in text and "uuid" not in text:
+            assert is_repeatable(frame.where(F.expr(f"({text}) is not null"))) is expected
 
 
 # Mapping

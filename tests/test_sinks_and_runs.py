@@ -198,23 +198,146 @@ def test_unrepeatable_values_are_split_consistently(session, tmp_path):
         ("csv", "upper({0})", 1),
     ],
 )
-def test_checked_rows_are_stored_unless_a_second_scan_is_cheap_and_the_same(
-    spark, tmp_path, monkeypatch, file_type, template, stores
+@pytest.mark.parametrize("target", ["json", "hivetable"])
+def test_checked_rows_of_tables_are_stored_unless_a_second_scan_is_cheap_and_the_same(
+    spark, tmp_path, monkeypatch, file_type, template, stores, target
 ):
+    """Files take one pass, so nothing has to be stored for them."""
     source = small_source(tmp_path)
     if file_type == "parquet":
         read(spark, source).write.parquet(str(tmp_path / "columnar"))
         source = Source("s", "parquet", source.columns, str(tmp_path / "columnar"))
     columns = (KV[0], SinkColumn("v", "String", 2, transform=template))
-    sink = Sink("o", "json", columns, str(tmp_path / "out"))
+    sink = Sink("o", target, columns, str(tmp_path / "out")) if target == "json" else Sink("o", target, columns, table="checked_rows")
     pipeline = Pipeline("p", (source,), (sink,), (Link("s", "o", 1, 1), Link("s", "o", 2, 2)), validation=True)
     folders = []
     monkeypatch.setattr(storage, "new_folder", lambda spark, purpose: folders.append(str(tmp_path / purpose)) or folders[-1])
     session = pipeline_session(spark, pipeline)
     session.sql("CREATE TEMPORARY FUNCTION my_function(s STRING) RETURNS STRING RETURN upper(s)")
     written = []
-    write_sinks(session, pipeline, report=written.append)
-    assert ([w.rows for w in written], len(folders)) == ([2, 1], stores)
+    try:
+        write_sinks(session, pipeline, report=written.append)
+    finally:
+        for suffix in ("", "_INVALID"):
+            spark.sql(f"DROP TABLE IF EXISTS checked_rows{suffix}")
+    assert ([w.rows for w in written], len(folders)) == ([2, 1], stores if target == "hivetable" else 0)
+
+
+@pytest.mark.parametrize("width", [2, 26, 60])
+@pytest.mark.parametrize("n_sinks", [1, 2])
+def test_wide_checked_sinks_keep_every_row(spark, tmp_path, width, n_sinks):
+    """A value that each evaluation draws anew decides the side of a row: it is drawn once for both sides and all sinks."""
+    source = Source("s", "parquet", (SourceColumn("id", "Long", 1),), str(tmp_path / "in"))
+    spark.range(0, 3000, 1, 4).write.parquet(source.location)
+    drawn = "case when substr(hex(aes_encrypt(cast({0} as string), '0000111122223333')), 1, 1) < '8' then {0} end"
+    columns = (*(SinkColumn(f"c{i}", "Long", i) for i in range(1, width)), SinkColumn("drawn", "Long", width, transform=drawn, required=True))
+    sinks = tuple(Sink(f"o{n}", "parquet", columns, str(tmp_path / "out")) for n in range(n_sinks))
+    links = tuple(Link("s", sink.id, i, 1) for sink in sinks for i in range(1, width + 1))
+    result = run_all(spark, [Pipeline("p", (source,), sinks, links, validation=True)])[0]
+    for sink, valid, invalid in zip(sinks, result.written[::2], result.written[1::2], strict=True):
+        assert valid.rows + invalid.rows == 3000 and min(valid.rows, invalid.rows) > 1000
+        sides = [spark.read.parquet(sink.path + suffix) for suffix in ("", "_INVALID")]
+        assert sides[0].unionByName(sides[1]).select("c1").distinct().count() == 3000
+        assert sides[0].where("drawn is null").count() == sides[1].where("drawn is not null").count() == 0
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite", "ignore", "errorifexists"])
+@pytest.mark.parametrize("partition_by", [(), ("id",)])
+def test_twin_sinks_in_every_mode(session, tmp_path, mode, partition_by):
+    """Both sides in one pass, added to, put in place of, or left out for what is there."""
+    rows = [(1, "Y", ""), (2, "N", "bad"), (3, "Y", "")]
+    target = sink(tmp_path, mode=mode, partition_by=partition_by)
+    schema = "id int, valid string, errMsg string"
+
+    def held():
+        sides = [session.read.schema(schema).parquet(target.path + suffix) for suffix in ("", "_INVALID")]
+        return [sorted(r.id for r in side.collect()) for side in sides]
+
+    assert [w.rows for w in write_split(checked(session, rows), target)] == [2, 1]
+    assert held() == [[1, 3], [2]]
+    again = checked(session, [(7, "Y", ""), (8, "Y", "")])
+    if mode == "errorifexists":
+        with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+            write_split(again, target)
+    else:
+        written = write_split(again, target)
+        assert [w.skipped for w in written] == [mode == "ignore"] * 2
+    assert held() == {"append": [[1, 3, 7, 8], [2]], "overwrite": [[7, 8], []]}.get(mode, [[1, 3], [2]])
+    assert not [p for p in (tmp_path / "out").rglob("_specflow*")]
+
+
+def test_twin_sinks_profile_either_side(session, tmp_path):
+    rows = [(1, "Y", ""), (2, "N", "bad"), (4, "Y", ""), (9, "Y", "")]
+    valid, invalid = write_split(checked(session, rows), sink(tmp_path), profiles=True)
+    by = [{r["column_name"]: r for r in side.profile} for side in (valid, invalid)]
+    assert [(p["id"]["count"], p["id"]["min"], p["id"]["max"]) for p in by] == [(3, "1", "9"), (1, "2", "2")]
+    assert by[1]["errMsg"]["max"] == "bad" and set(by[0]) == {"id", "valid", "errMsg"}
+
+
+# Overwriting
+
+
+def test_a_failed_overwrite_leaves_the_old_rows(session, tmp_path):
+    target = sink(tmp_path, mode="overwrite")
+    write(numbers(session, 10), target)
+    failing = session.range(0, 100, 1, 4).select(F.expr("if(id = 99, raise_error('midway'), id)").alias("id"), F.lit("x").alias("part"))
+    with pytest.raises(Exception, match="midway"):
+        write(failing, target)
+    assert sorted(r.id for r in session.read.parquet(target.path).collect()) == list(range(10))
+    assert write(numbers(session, 4), target).rows == 4
+    assert session.read.parquet(target.path).count() == 4
+    # a sink may be overwritten with what is read from it
+    write(session.read.parquet(target.path).where("id > 1"), target)
+    assert sorted(r.id for r in session.read.parquet(target.path).collect()) == [2, 3]
+    assert not list((tmp_path / "out").rglob("_specflow*"))
+
+
+def test_dynamic_overwrites_replace_their_partitions_only(session, tmp_path):
+    target = sink(tmp_path, mode="overwrite", partition_by=("part",), options={"partitionOverwriteMode": "dynamic"})
+    write(numbers(session, 9), target)
+    write(numbers(session, 9).where("part = '1'").select((F.col("id") + 100).alias("id"), "part"), target)
+    assert sorted(r.id for r in session.read.parquet(target.path).collect()) == [0, 2, 3, 5, 6, 8, 101, 104, 107]
+
+
+@pytest.mark.parametrize("name", ["out", "batch_id=3"])
+@pytest.mark.parametrize("step", range(4))
+def test_a_swap_that_broke_off_is_finished(session, tmp_path, name, step):
+    """Whichever rename came last, the next write finds one whole set of rows at the path."""
+    path = str(tmp_path / name)
+    session.range(3).write.parquet(path)
+    session.range(5).write.parquet(str(tmp_path / "staged"))
+    new, old = storage.beside(path, "new"), storage.beside(path, "old")
+    renames = [(str(tmp_path / "staged"), new), (path, old), (new, path)][:step]
+    for a, b in renames:
+        storage.move(session, a, b)
+    storage.recover(session, path)
+    assert session.read.parquet(path).count() == (5 if step else 3)
+    assert not storage.exists(session, new) and not storage.exists(session, old)
+    storage.move(session, path, old)  # nothing has come: the old rows go back
+    storage.recover(session, path)
+    assert session.read.parquet(path).count() == (5 if step else 3)
+
+
+@pytest.mark.parametrize("n_sinks, scans", [(1, 1), (3, 1)])
+def test_sources_are_scanned_once(spark, tmp_path, n_sinks, scans):
+    """However many sinks there are, and with both sides of each: rows read from the source, as its tasks report them."""
+    source = Source("s", "parquet", (SourceColumn("id", "Long", 1),), str(tmp_path / "in"))
+    spark.range(0, 1000, 1, 4).write.parquet(source.location)
+    columns = (SinkColumn("id", "Long", 1, minimum=500),)
+    sinks = tuple(Sink(f"o{n}", ("parquet", "json", "orc")[n], columns, str(tmp_path / "out")) for n in range(n_sinks))
+    pipeline = Pipeline("p", (source,), sinks, tuple(Link("s", s.id, 1, 1) for s in sinks), validation=True)
+    session = pipeline_session(spark, pipeline)
+    counter = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    given = {"s": read(session, source).mapInArrow(counted, "id long")}
+    write_sinks(session, pipeline, given=given)
+    assert counter.value == 1000 * scans
+    assert [spark.read.schema("id long").parquet(sinks[0].path + suffix).count() for suffix in ("", "_INVALID")] == [500, 500]
 
 
 def test_the_stored_table_is_dropped(session, tmp_path):
