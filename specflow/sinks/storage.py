@@ -55,12 +55,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
-def rename(spark: SparkSession, path: str, name: str) -> None:
-    """Give a file another name in its folder."""
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
     file_system, hadoop_path = _file_system(spark, path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), name)
-    if not file_system.rename(hadoop_path, target):
-        raise OSError(f"could not rename {path} to {name}")
+    return [entry.getPath().getName() for entry in file_system.listStatus(hadoop_path)] if file_system.exists(hadoop_path) else []
+
+
+def file_status(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """A file's time and length; None if it is not there."""
+    file_system, hadoop_path = _file_system(spark, path)
+    if not file_system.exists(hadoop_path):
+        return None
+    status = file_system.getFileStatus(hadoop_path)
+    return status.getModificationTime(), status.getLen()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small file that is there whole or not at all."""
+    file_system, hadoop_path = _file_system(spark, path)
+    waiting = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f".{hadoop_path.getName()}.{uuid.uuid4().hex}")
+    stream = file_system.create(waiting, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    file_system.delete(hadoop_path, False)
+    if not file_system.rename(waiting, hadoop_path):
+        raise OSError(f"could not write {path}")
 
 
 @contextmanager

@@ -37,6 +37,17 @@ def read_file(spark: SparkSession, source: Source) -> DataFrame:
     return reader.load(source.location)
 
 
+def read_files(spark: SparkSession, source: Source, paths: list[str]) -> DataFrame:
+    """As :func:`read_file`, over these files; their names are taken as they are, also where they look like patterns."""
+    if not paths:
+        empty = spark.createDataFrame([], "value string" if source.file_type == "fixedWidth" else declared_schema(source))
+        return slice_lines(empty, source) if source.file_type == "fixedWidth" else empty
+    reader = spark.read.format(reader_format(source)).options(**file_options(source)).option("__globPaths__", "false")
+    if source.file_type == "fixedWidth":
+        return slice_lines(reader.load(paths), source)
+    return reader.schema(declared_schema(source)).load(paths)
+
+
 def slice_lines(lines: DataFrame, source: Source) -> DataFrame:
     """Cut each line into trimmed text fields by position and length.
 

@@ -4,20 +4,17 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from specflow.plans.audit import AuditLog
 from specflow.plans.run import write_sinks
 from specflow.plans.session import pipeline_session, size_tasks
 from specflow.plans.spec import Pipeline, Source, SpecError
-from specflow.sinks.storage import exists, rename
 from specflow.sinks.write import INCREMENT
 from specflow.sources import read
-from specflow.sources.files import file_options, reader_format, slice_lines
-from specflow.sources.schema import declared_schema
-from specflow.streaming.trigger import NO_AGE_LIMIT, started
+from specflow.sources.files import read_files
+from specflow.streaming.deliveries import Deliveries, RunningDeliveries
 
 
 def land(
@@ -29,17 +26,15 @@ def land(
     max_files_per_batch: int | None = None,
     every: str | None = None,
     audit: AuditLog | None = None,
-) -> StreamingQuery:
+) -> StreamingQuery | RunningDeliveries:
     """Run a pipeline over the files that arrived since the last call.
 
-    One source is read as a stream (the first, unless named); the others are read
-    whole for each increment. Files are remembered in ``checkpoint``, so each is
-    processed once even across restarts, and moved to ``archive`` afterwards; the
-    latest batch is archived by the next call. A file delivered under a name that was
-    read before is renamed at the start of a call, and so read too; however old a file
-    is, it is read. ``max_files_per_batch`` bounds an
-    increment, so a backlog is worked off in steps that fit the cluster. With
-    ``every``, the query keeps running and looks for files at that interval.
+    One source is read in increments (the first, unless named); the others are read whole for each increment.
+    Deliveries are remembered in ``checkpoint`` by path, time and length, so each is processed once even across
+    restarts, a name that is delivered again is read again, and however old a file is, it is read. Files are moved to
+    ``archive`` once their increment is committed, by the next look at the folder. ``max_files_per_batch`` bounds an
+    increment, so a backlog is worked off in steps that fit the cluster. With ``every``, the query keeps running and
+    looks for files at that interval.
 
     Each increment is a folder of its own below a file sink, or a partition of a
     table, named by ``batch_id``; a retry replaces it. ``audit`` gets the events of
@@ -47,8 +42,7 @@ def land(
     """
     session = pipeline_session(spark, pipeline)
     source_id = streamed_source or pipeline.sources[0].id
-    _rename_repeated(session, pipeline.source(source_id), checkpoint)
-    increments = _arrivals(session, pipeline, source_id, archive, max_files_per_batch)
+    source = _landed(pipeline, source_id)
     for sink in pipeline.sinks:
         if sink.file_type == "jdbcclient":
             raise SpecError(f"sink {sink.id}: increments are written to files or catalog tables")
@@ -58,57 +52,25 @@ def land(
     retryable = replace(pipeline, sinks=tuple(replace(sink, mode="overwrite") for sink in pipeline.sinks))
     log = audit if audit is not None else AuditLog(spark)
     chosen = session.conf.getAll
+    deliveries = Deliveries(session, source.location, checkpoint, archive, max_files_per_batch)
 
-    def write_increment(arrived: DataFrame, batch_id: int) -> None:
+    def write_increment(claimed: DataFrame, batch_id: int) -> None:
         with log.recorded(pipeline.id, f"increment {batch_id} of {pipeline.id}"):
-            own = arrived.sparkSession
-            frames = {s.id: arrived if s.id == source_id else read(own, s) for s in pipeline.sources}
+            own, delivered = claimed.sparkSession, claimed.collect()
+            paths = deliveries.paths(delivered)
+            if len(paths) < len(delivered):
+                log.info(pipeline.id, f"{len(delivered) - len(paths)} files were replaced before they were read")
+            frames = {s.id: read_files(own, source, paths) if s.id == source_id else read(own, s) for s in pipeline.sources}
             size_tasks(own, frames.values(), chosen)
             write_sinks(own, retryable, given=frames, increment=batch_id, report=lambda w: log.written(pipeline.id, w))
 
-    writer = increments.writeStream.foreachBatch(write_increment).option("checkpointLocation", checkpoint)
-    return started(writer, every)
+    return deliveries.start(deliveries.stream().writeStream.foreachBatch(write_increment), every)
 
 
-def _rename_repeated(session: SparkSession, source: Source, checkpoint: str) -> None:
-    """Give files whose name was read before, at another time, a name of their own.
-
-    The stream knows files by path alone and would pass them over.
-    """
-    log = f"{checkpoint}/sources/0"
-    if not source.location or not exists(session, log):
-        return
-    entry = F.from_json("value", "path string, timestamp long").alias("e")
-    read = session.read.text(log).where(F.col("value").startswith("{")).select(entry).select("e.*")
-    read = read.select(_plain_path(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("known"), "timestamp")
-    read = read.groupBy("known").agg(F.collect_set("timestamp").alias("times"))
-    there = session.read.format("binaryFile").option("recursiveFileLookup", "true").load(source.location)
-    there = there.select("path", F.unix_millis("modificationTime").alias("time"))
-    # only names delivered again reach the driver
-    again = there.join(read, _plain_path(F.col("path")) == F.col("known")).where(~F.array_contains("times", F.col("time")))
-    for row in again.select("path", "time").collect():
-        stem, dot, ending = row.path.rpartition("/")[2].partition(".")
-        rename(session, row.path, f"{stem}-{row.time}{dot}{ending}")
-
-
-def _plain_path(path: Column) -> Column:
-    return F.regexp_replace(path, "^file:/+", "file:/")
-
-
-def _arrivals(
-    session: SparkSession, pipeline: Pipeline, source_id: str, archive: str | None, max_files: int | None
-) -> DataFrame:
+def _landed(pipeline: Pipeline, source_id: str) -> Source:
     source = pipeline.source(source_id)
     if not source.location:
         raise SpecError(f"source {source.id}: increments are read from files")
     if source.infer_schema:
         raise SpecError(f"source {source.id}: a landing folder needs declared columns")
-    reader = session.readStream.format(reader_format(source)).options(**file_options(source))
-    reader = reader.option("maxFileAge", NO_AGE_LIMIT)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if archive is not None:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    if source.file_type == "fixedWidth":
-        return slice_lines(reader.load(source.location), source)
-    return reader.schema(declared_schema(source)).load(source.location)
+    return source

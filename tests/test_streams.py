@@ -11,8 +11,9 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from specflow import AuditLog, JoinKey, Link, Pipeline, Sink, SinkColumn, Source, SourceColumn, SpecError
-from specflow.sinks import write
+from specflow.sinks import storage, write
 from specflow.streaming import keyed_events, land, route_log
+from specflow.streaming.deliveries import Deliveries
 
 COLUMNS = (SourceColumn("k", "Int", 1), SourceColumn("v", "String", 2))
 
@@ -261,3 +262,142 @@ def test_log_keys_can_be_gathered_into_few_files(spark, tmp_path):
     rows = spark.read.schema("value string, key string").text(str(logs))
     assert rows.select("value").distinct().count() == rows.count() == 4000
     assert {len(list(folder.glob("part-*"))) for folder in logs.glob("key=*")} <= {1, 2}
+
+
+# The ledger of deliveries
+
+
+def overwrite(path, *lines, keep_time):
+    """Deliver a name again, with the old time or a new one."""
+    before = path.stat().st_mtime_ns if path.exists() else time.time_ns()
+    path.write_text("\n".join(lines) + "\n")
+    if keep_time:
+        os.utime(path, ns=(before, before))
+
+
+@pytest.mark.parametrize("archived", [True, False])
+@pytest.mark.parametrize("keep_time", [True, False])
+def test_a_landing_that_keeps_running_reads_a_name_again(spark, tmp_path, archived, keep_time):
+    """Also with the old time, if the length differs: deliveries are told apart by path, time and length."""
+    pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
+    deliver(tmp_path, "day [1] *.csv", "1,a")
+    archive = str(tmp_path / "archive") if archived else None
+    query = land(spark, pipeline, str(tmp_path / "checkpoint"), archive, every="1 second")
+    try:
+        query.processAllAvailable()
+        overwrite(tmp_path / "landing/day [1] *.csv", "22,b", keep_time=keep_time)
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    overwrite(tmp_path / "landing/day [1] *.csv", "333,c", keep_time=keep_time)
+    for _ in range(2):
+        land(spark, pipeline, str(tmp_path / "checkpoint"), archive)
+    assert sorted(r.k for r in spark.read.json(pipeline.sinks[0].path).collect()) == [1, 22, 333]
+    # a file that is overwritten before it is archived is gone, though it was read
+    assert len(list((tmp_path / "archive").rglob("*.csv"))) in ((1, 2, 3) if archived else (0,))
+
+
+def test_a_running_landing_finds_files_by_itself(spark, tmp_path):
+    pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
+    query = land(spark, pipeline, str(tmp_path / "checkpoint"), every="1 second")
+    try:
+        deliver(tmp_path, "one.csv", "1,a")
+        for _ in range(120):
+            if Path(pipeline.sinks[0].path, "batch_id=0", "_SUCCESS").exists():
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert [r.v for r in spark.read.json(pipeline.sinks[0].path).collect()] == ["A"]
+
+
+def test_the_ledger_forgets_what_has_left_the_folder(spark, tmp_path):
+    """Settled claims go; what still lies in the folder is remembered in one table."""
+    pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
+    deliver(tmp_path, "stays.csv", "0,x")
+    for number in range(4):
+        deliver(tmp_path, "day.csv", f"{number + 1},{'x' * number}")
+        run_once(spark, tmp_path, pipeline)
+    checkpoint = tmp_path / "checkpoint"
+    assert len(list((checkpoint / "deliveries").glob("[0-9]*.json"))) <= 1
+    land(spark, pipeline, str(checkpoint))  # from here on without an archive
+    deliver(tmp_path, "more.csv", "9,z")
+    land(spark, pipeline, str(checkpoint))
+    land(spark, pipeline, str(checkpoint))
+    (known,) = [p for p in (checkpoint / "known").iterdir() if not p.name.startswith(".")]
+    assert {Path(r.path).name for r in spark.read.parquet(str(known)).collect()} <= {"more.csv", "stays.csv", "day.csv"}
+    assert sorted(r.k for r in spark.read.json(pipeline.sinks[0].path).collect()) == [0, 1, 2, 3, 4, 9]
+
+
+def test_a_file_replaced_before_it_was_read_is_its_own_delivery(spark, tmp_path, monkeypatch):
+    """The claim of the old file finds nothing; the new one is claimed by the next look."""
+    pipeline, audit = pipeline_of(tmp_path, arrivals(tmp_path)), AuditLog(spark)
+    deliver(tmp_path, "one.csv", "1,a")
+    checkpoint = str(tmp_path / "checkpoint")
+    Deliveries(spark, pipeline.sources[0].location, checkpoint).look()
+    deliver(tmp_path, "one.csv", "22,b")
+    land(spark, pipeline, checkpoint, audit=audit)
+    assert sorted(r.k for r in spark.read.schema("k int").json(pipeline.sinks[0].path).collect()) == [22]
+    assert audit.frame().where("message like '%replaced before%'").count() == 1
+
+
+def test_a_checkpoint_that_knows_paths_only_is_refused(spark, tmp_path):
+    pipeline = pipeline_of(tmp_path, arrivals(tmp_path))
+    deliver(tmp_path, "old.csv", "1,a")
+    stream = spark.readStream.schema("k int, v string").csv(str(tmp_path / "landing")).writeStream.foreachBatch(lambda df, n: None)
+    stream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    with pytest.raises(SpecError, match="paths alone"):
+        land(spark, pipeline, str(tmp_path / "checkpoint"))
+
+
+@pytest.mark.parametrize("keep_time", [True, False])
+def test_the_log_router_reads_a_name_again(spark, tmp_path, keep_time):
+    topic, logs, checkpoint = tmp_path / "topic", str(tmp_path / "logs"), str(tmp_path / "checkpoint")
+    topic.mkdir()
+    (topic / "day.json").write_text('{"key":"a","value":"1"}\n')
+    route_log(keyed_events(spark, str(topic)), logs, checkpoint)
+    overwrite(topic / "day.json", '{"key":"b","value":"22"}', keep_time=keep_time)
+    for _ in range(2):
+        route_log(keyed_events(spark, str(topic)), logs, checkpoint)
+    assert sorted((r.key, r.value) for r in spark.read.text(logs).collect()) == [("a", "1"), ("b", "22")]
+
+
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_a_routed_batch_that_broke_off_arrives_once(spark, tmp_path, monkeypatch, moved):
+    """Between staging, moving and committing, however many files have been moved."""
+    topic, logs, checkpoint = tmp_path / "topic", str(tmp_path / "logs"), str(tmp_path / "checkpoint")
+    topic.mkdir()
+    (topic / "one.json").write_text('{"key":"a","value":"1"}\n{"key":"b","value":"2"}\n')
+
+    def breaks_off(session, staged, target):
+        for path, place in list(storage.files_below(session, staged))[:moved]:
+            storage.move(session, path, f"{target}/{place}")
+        raise OSError("broke off")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("specflow.streaming.log_route.move_into", breaks_off)
+        with pytest.raises(StreamingQueryException, match="broke off"):
+            route_log(keyed_events(spark, str(topic)), logs, checkpoint)
+    route_log(keyed_events(spark, str(topic)), logs, checkpoint)
+    assert sorted((r.key, r.value) for r in spark.read.text(logs).collect()) == [("a", "1"), ("b", "2")]
+    assert not list(Path(logs).glob("_specflow*"))
+
+
+def test_frequent_keys_get_files_by_their_share(spark, tmp_path):
+    events = spark.range(0, 6000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 400)) as key", "cast(id as string) as value")
+    events.write.json(str(tmp_path / "topic"))
+    logs = tmp_path / "logs"
+    route_log(keyed_events(spark, str(tmp_path / "topic")), str(logs), str(tmp_path / "checkpoint"), rows_per_file=500)
+    rows = spark.read.text(str(logs))
+    assert rows.select("value").distinct().count() == rows.count() == 6000
+    files = {folder.name: len(list(folder.glob("part-*"))) for folder in logs.glob("key=*")}
+    assert files.pop("key=hot") == 4 and set(files.values()) == {1} and len(files) == 400
+
+
+def test_a_streams_own_sink_is_not_mixed_with_files(spark, tmp_path):
+    (tmp_path / "logs/_spark_metadata").mkdir(parents=True)
+    with pytest.raises(SpecError, match="another folder"):
+        route_log(keyed_events(spark, str(tmp_path / "topic")), str(tmp_path / "logs"), str(tmp_path / "checkpoint"))
+    with pytest.raises(SpecError, match="events from files"):
+        route_log(spark.readStream.format("rate").load().selectExpr("'a' as key", "'b' as value"), "x", "y", rows_per_file=3)
