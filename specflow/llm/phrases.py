@@ -42,8 +42,12 @@ COVERED = 80
 #: A filter of frequent words or pairs has at most so many bytes.
 FILTER_BYTES = 1 << 25
 #: Phrases in a container before it is burst, phrases buffered before equal ones are made one, phrases in a task's trie.
-BURST, BUFFERED, HELD = 1 << 16, 1 << 15, 1 << 20
+BURST, BUFFERED, HELD = 1 << 16, 1 << 15, 1 << 19
 _DIGIT = 4
+#: Bytes of text that a task cuts into words at a time.
+_SLICE = 1 << 20
+#: Parts that a language's phrases are ranked in first, so that no task ranks all of them.
+_PARTS_OF_LANGUAGE = 64
 _SEEDS = 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -63,7 +67,7 @@ def _language_codes(langs: pa.Array, seed: int) -> np.ndarray:
 
 #: The columns of the vocabulary, and how many words a task holds before equal ones become one and go on.
 _WORD = ["id", "lang", "word", "n"]
-WORDS_HELD = 400_000
+WORDS_HELD = 300_000
 
 
 class _Text:
@@ -120,7 +124,7 @@ def _vocabulary(seed: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, most=_SLICE):
                 found = _first_words(piece, seed)
                 if found.num_rows:
                     parts.append(found)
@@ -253,7 +257,7 @@ def _pairs(seed: int, frequent):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, table = HatTrie(2), frequent.value
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, most=_SLICE):
                 text = _Text(piece, seed)
                 fits = contains(table, text.ids)
                 fits[:-1] &= fits[1:] & text.joined[:-1]
@@ -270,7 +274,7 @@ def _longer(seed: int, longest: int, frequent):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, table = HatTrie(longest), frequent.value
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, most=_SLICE):
                 text = _Text(piece, seed)
                 at = np.flatnonzero(text.joined)
                 fits = np.zeros(len(text.ids), bool)
@@ -384,8 +388,10 @@ def collocations(
     often = words.filter(F.col("n") >= least).select("id", "lang", "word")
     lang = worst.join(often.select("id", "lang").hint("merge"), F.col("c1") == F.col("id")).drop("id")
     # ties at the last place stay until the phrases' texts are there
-    best = W.partitionBy("lang").orderBy(F.col("w.score").desc(), F.col("a").desc())
-    lang = lang.withColumn("place", F.rank().over(best)).filter(F.col("place") <= top).drop("place")
+    part = F.pmod(F.xxhash64(*_IDS), F.lit(_PARTS_OF_LANGUAGE))
+    for own in (["lang", "part"], ["lang"]):
+        best = W.partitionBy(*own).orderBy(F.col("w.score").desc(), F.col("a").desc())
+        lang = lang.withColumn("part", part).withColumn("place", F.rank().over(best)).filter(F.col("place") <= top).drop("place", "part")
     ids = F.posexplode(F.filter(F.array(*_IDS), lambda x: x != 0)).alias("i", "id")
     named = lang.select(*_IDS, "lang", "a", "w", ids).join(often.select("id", "word").hint("merge"), "id")
     texts = named.groupBy(*_IDS, "lang", "a", "w").agg(F.sort_array(F.collect_list(F.struct("i", "word"))).alias("words"))
