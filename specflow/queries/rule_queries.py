@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specflow.operators.profiling import profile, profile_frame
-from specflow.plans.audit import AuditLog
-from specflow.plans.run import run, sink_frames
+from specflow.plans.audit import AuditLog, kept_events
+from specflow.plans.run import run, sink_frames, write_sinks
 from specflow.plans.spec import JoinKey, Pipeline, Sink, SinkColumn
 from specflow.queries.common import given, lazy, link, mapped, query, same_columns, session_for
 from specflow.sinks.storage import new_folder
@@ -226,3 +226,45 @@ def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.split("message", " ")[0].alias("word"),
         F.coalesce("rows", F.lit(-1)).cast("bigint").alias("rows_written"),
     )
+
+
+@query(
+    "audit_recovered",
+    """WITH joined AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
+n AS (SELECT count(*) FILTER (o_totalprice >= 1000) AS valid, count(*) FILTER (o_totalprice < 1000) AS invalid FROM joined)
+SELECT pipeline_id, step, level, word, CASE word WHEN 'Wrote' THEN CASE step WHEN 2 THEN valid ELSE invalid END ELSE -1 END AS rows_written,
+1::BIGINT AS times FROM n, (VALUES ('done', 1, 'INFO', 'Started'), ('done', 2, 'INFO', 'Wrote'), ('done', 3, 'INFO', 'Wrote'),
+('done', 4, 'INFO', 'Finished'), ('done', 5, 'INFO', 'Total'), ('lost', 1, 'INFO', 'Started'), ('lost', 2, 'INFO', 'Wrote'),
+('lost', 3, 'ERROR', 'Never')) AS v(pipeline_id, step, level, word)""",
+)
+def audit_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of a driver that finished one pipeline and was lost within another, as two later ones find and gather them."""
+    session = session_for(spark)
+    root = new_folder(session, "query")
+    orders, customer = given("orders", sf_dir), given("customer", sf_dir)
+    columns = (SinkColumn("price", "Double", 1, minimum=1000), SinkColumn("name", "String", 2))
+    links = (link(orders, "o_totalprice", "out", 1), link(customer, "c_name", "out", 2))
+    joins = JoinKey.parse("orders:2=customer:1")
+
+    def joined(name: str) -> Pipeline:
+        sink = Sink("out", "parquet", columns, f"{root}/{name}")
+        return Pipeline(name, (orders, customer), (sink,), links, joins, validation=True)
+
+    first = AuditLog(session, f"{root}/audit")
+    run(session, joined("done"), first)
+    # the driver is gone after the first of two writes: no later event is written
+    work = first.recorded("lost", "lost")
+    work.__enter__()
+    written = []
+    write_sinks(session, joined("lost"), report=written.append)
+    first.written("lost", written[0])
+    first._folder = None
+    work.__exit__(None, None, None)
+    for _ in range(2):
+        later = AuditLog(session, f"{root}/audit")
+        later.recover()
+        later.gather()
+    events = kept_events(session, f"{root}/audit")
+    return events.groupBy(
+        "pipeline_id", "step", "level", F.split("message", " ")[0].alias("word"), F.coalesce("rows", F.lit(-1)).cast("bigint").alias("rows_written")
+    ).agg(F.count("*").alias("times"))

@@ -30,6 +30,7 @@ from specflow import (
     run_all,
     run_processes,
 )
+from specflow.plans.audit import kept_events
 from specflow.plans.run import write_sinks
 from specflow.sinks import storage, write, write_split
 from specflow.sinks.write import distributed, target_of
@@ -507,6 +508,42 @@ def test_audit_rows_can_be_kept_and_published(spark, tmp_path):
     assert json.loads(details["Wrote"])[1] == {"summary": "mean", "k": "2.0"}
 
 
+def test_events_survive_a_lost_driver(spark, tmp_path):
+    """Every event is a file at once; what never ended is found by the next run, and put on record once."""
+    folder = str(tmp_path / "audit")
+    first, live = AuditLog(spark, folder), AuditLog(spark, folder)
+    with first.recorded("a/b c", "one"):
+        first.info("a/b c", "midway")
+    first._add("lost", "INFO", "Started processing x", work="x", event="started")
+    first._add("lost", "INFO", "Started processing y", work="y", event="started")
+    assert kept_events(spark, folder).count() == first.frame().count() == 6
+    assert live.unfinished(idle_seconds=3600).count() == 0 and first.unfinished().count() == 0
+    assert sorted((r.pipeline_id, r.work, r.step) for r in live.unfinished().collect()) == [("lost", "x", 2), ("lost", "y", 2)]
+    first.gather()  # of other runs there is nothing to gather
+    assert AuditLog(spark, folder).recover() == live.recover() + ["lost"] == ["lost"]
+    found = kept_events(spark, folder).where("pipeline_id = 'lost' and level = 'ERROR'").collect()
+    assert sorted((r.run == first.run, r.step, r.message) for r in found) == [
+        (True, 3, "Never finished processing x"), (True, 4, "Never finished processing y")
+    ]
+    before = kept_events(spark, folder).drop("at").collect()
+    live.gather()
+    assert sorted(kept_events(spark, folder).drop("at").collect()) == sorted(before) and live.recover() == []
+    assert not [p for p in (tmp_path / "audit/events").rglob("*.json")]
+
+
+def test_a_broken_off_gathering_shows_events_once(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "audit")
+    first = AuditLog(spark, folder)
+    with first.recorded("p", "p"):
+        pass
+    with monkeypatch.context() as patched:
+        patched.setattr("specflow.plans.audit.delete", lambda spark, path: None)
+        AuditLog(spark, folder).gather()
+    assert kept_events(spark, folder).count() == 3
+    AuditLog(spark, folder).gather()
+    assert kept_events(spark, folder).count() == 3
+
+
 # JDBC: no database is available, so only what is handed to Spark is checked.
 
 
