@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from specflow.operators.profiling import profile, profile_frame
 from specflow.plans.audit import AuditLog, kept_events
 from specflow.plans.run import run, sink_frames, write_sinks
-from specflow.plans.spec import JoinKey, Pipeline, Sink, SinkColumn
-from specflow.queries.common import given, lazy, link, mapped, query, same_columns, session_for
+from specflow.plans.spec import JoinKey, Pipeline, Sink, SinkColumn, Source
+from specflow.queries.common import columns_of, given, lazy, link, mapped, query, same_columns, session_for
 from specflow.sinks.storage import new_folder
 from specflow.sources import read
+from specflow.streaming import increment_profile, land
 
 
 def _checked_sql(table: str, columns: str, *broken: str) -> str:
@@ -198,6 +199,34 @@ def profile_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(profile_frame(session, result.written[0].profile))
 
 
+@query(
+    "profile_increments",
+    "SELECT part, p.* FROM (VALUES ('out'), ('out_INVALID')) AS v(part), LATERAL ("
+    + _profile_sql(
+        "(SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders WHERE (o_totalprice >= 100000) = (part = 'out')) t",
+        ["o_orderkey", "o_custkey", "o_totalprice"],
+        ["o_orderstatus", "o_orderpriority"],
+    )
+    + ") p",
+)
+def profile_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in several increments into checked sinks; the profile of either side from the increments' states alone."""
+    session = session_for(spark)
+    root = new_folder(session, "query")
+    arrivals = Source("orders", "parquet", columns_of("orders"), f"{root}/landing")
+    kept = [("o_totalprice", SinkColumn("o_totalprice", "Double", minimum=100_000))]
+    kept += [(name, column) for name, column in same_columns(arrivals) if name not in ("o_totalprice", "o_orderdate")]
+    columns, links = mapped(arrivals, kept)
+    pipeline = Pipeline("profiled", (arrivals,), (Sink("out", "parquet", columns, root),), links, validation=True)
+    orders = read(session, given("orders", sf_dir))
+    for status in ("F", "O", "P"):
+        orders.where(F.col("o_orderstatus") == status).write.mode("append").parquet(arrivals.location)
+        land(session, pipeline, f"{root}/checkpoint", profiles=f"{root}/profiles", max_files_per_batch=3)
+    found = increment_profile(session, f"{root}/profiles").where(~F.col("column_name").isin("valid", "errMsg"))
+    parts = [_comparable(found.where(F.col("part") == part)).withColumn("part", F.lit(part)) for part in ("out", "out_INVALID")]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "audit_events",
     """WITH joined AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey)

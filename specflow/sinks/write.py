@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -22,12 +22,14 @@ _CONNECTIONS = 8
 
 @dataclass(frozen=True)
 class Written:
-    """What one write did."""
+    """What one write did; ``states`` are what its profile can be merged from, ``part`` the sink and side."""
 
     target: str
     skipped: bool
     rows: int | None
     profile: list[dict[str, Any]]
+    states: list[dict[str, Any]] = field(default_factory=list)
+    part: str = ""
 
 
 #: Names the increments of a landing: a folder level of files, a partition column of tables.
@@ -63,7 +65,7 @@ def write(
         _save_files(counted, sink, target)
     else:
         _save(_writer(counted, sink), sink, target)
-    return Written(target, skipped=False, rows=observation.rows, profile=observation.records())
+    return Written(target, False, observation.rows, observation.records(), observation.states(), sink.id + suffix)
 
 
 def write_split(
@@ -115,7 +117,7 @@ def _write_tagged(checked: DataFrame, sink: Sink, increment: int | None, profile
         delete(spark, staged)
     return tuple(
         Written(targets[flag], skipped=True, rows=None, profile=[]) if flag in skipped
-        else Written(targets[flag], skipped=False, rows=side.rows, profile=side.records())
+        else Written(targets[flag], False, side.rows, side.records(), side.states(), sink.id + _SIDES[flag])
         for flag, side in zip(_SIDES, sides, strict=True)
     )
 

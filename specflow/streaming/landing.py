@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from specflow.operators.profiling import STATE_SCHEMA, finished, merged_states
 from specflow.plans.audit import AuditLog
 from specflow.plans.run import write_sinks
 from specflow.plans.session import pipeline_session, size_tasks
 from specflow.plans.spec import Pipeline, Source, SpecError
-from specflow.sinks.write import INCREMENT
+from specflow.sinks.storage import write_text
+from specflow.sinks.write import INCREMENT, Written
 from specflow.sources import read
 from specflow.sources.files import read_files
 from specflow.streaming.deliveries import Deliveries, RunningDeliveries
@@ -26,6 +29,7 @@ def land(
     max_files_per_batch: int | None = None,
     every: str | None = None,
     audit: AuditLog | None = None,
+    profiles: str | None = None,
 ) -> StreamingQuery | RunningDeliveries:
     """Run a pipeline over the files that arrived since the last call.
 
@@ -38,7 +42,9 @@ def land(
 
     Each increment is a folder of its own below a file sink, or a partition of a
     table, named by ``batch_id``; a retry replaces it. ``audit`` gets the events of
-    every increment. A failed increment ends the query.
+    every increment. A failed increment ends the query. With a folder for ``profiles``, the write
+    of each increment leaves the states of its columns there, from which :func:`increment_profile` makes
+    the profile of all increments.
     """
     session = pipeline_session(spark, pipeline)
     source_id = streamed_source or pipeline.sources[0].id
@@ -62,11 +68,26 @@ def land(
                 log.info(pipeline.id, f"{len(delivered) - len(paths)} files were replaced before they were read")
             frames = {s.id: read_files(own, source, paths) if s.id == source_id else read(own, s) for s in pipeline.sources}
             size_tasks(own, frames.values(), chosen)
-            write_sinks(own, retryable, given=frames, increment=batch_id, report=lambda w: log.written(pipeline.id, w))
+            states: list[dict] = []
+
+            def report(written: Written) -> None:
+                log.written(pipeline.id, written)
+                states.extend({**state, "part": written.part} for state in written.states)
+
+            write_sinks(own, retryable, profiles=profiles is not None, given=frames, increment=batch_id, report=report)
+            if profiles is not None:
+                lines = "".join(json.dumps(state) + "\n" for state in states)
+                write_text(own, f"{profiles}/{INCREMENT}-{batch_id:012d}.json", lines)
 
     return deliveries.start(deliveries.stream().writeStream.foreachBatch(write_increment), every)
 
 
+def increment_profile(spark: SparkSession, profiles: str) -> DataFrame:
+    """``part`` (sink and side), column_name and the statistics of all increments, from their states alone."""
+    states = spark.read.schema(f"{STATE_SCHEMA}, part string").json(profiles)
+    return finished(merged_states(states, "part"), "part")
+
+
 def _landed(pipeline: Pipeline, source_id: str) -> Source:
     source = pipeline.source(source_id)
     if not source.location:

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specflow import JoinKey, Link, Pipeline, Predicate, Sink, SinkColumn, Source, SourceColumn, SpecError
 from specflow import pipeline_session, sink_frames
 from specflow.functions import is_repeatable, mask_first_n, mask_last_n, mask_show_first_n, mask_show_last_n
 from specflow.operators import profile, with_rules
-from specflow.operators.profiling import profile_json, records_of
+from specflow.operators.profiling import finished, merged_states, profile_json, profile_states, records_of
 from specflow.plans.run import combined
 from specflow.plans.session import size_tasks
 from specflow.sources import read
@@ -360,6 +362,28 @@ def test_profile_of_numbers_and_text(session):
     assert '"summary": "mean", "n": "2.0", "t": "6.25"' in profile_json(list(found.values()))
 
 
+def test_states_of_parts_merge_to_the_profile_of_all(session):
+    """However the rows are parted, also into empty parts and parts without numbers; far from zero, and with long keys."""
+    rows = [(2**60 + i, 1e9 + i / 8, None if i % 5 == 0 else f"{i % 7}", "t" if i < 3 else None, -i) for i in range(40)]
+    df = session.createDataFrame(rows, "k long, x double, s string, t string, n int").repartition(4)
+    parts = [df.where("n > 0"), df.where("n = 0"), df.where("n < -20"), df.where("n between -20 and -1"), df.where("n = -3 and t = 'x'")]
+    states = [profile_states(part) for part in parts]
+    merged = finished(merged_states(reduce(DataFrame.unionByName, states)))
+    found, expected = ({r["column_name"]: r for r in records_of(p)} for p in (merged, profile(df)))
+    for name, record in expected.items():
+        for statistic in ("count", "min", "max"):
+            assert found[name][statistic] == record[statistic]
+        for statistic in ("mean", "stddev"):
+            assert found[name][statistic] == pytest.approx(record[statistic], rel=1e-7)
+    assert found["k"]["min"] == str(2**60) and found["k"]["max"] == str(2**60 + 39)
+
+
+def test_a_profile_scans_once(session):
+    df = session.createDataFrame([(1, "a", 2.5)], "n int, t string, x double")
+    plan = profile(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1
+
+
 def test_profile_without_profiled_columns(session):
     assert profile(session.createDataFrame([(True,)], "b boolean")).count() == 0
 
