@@ -17,33 +17,47 @@ from specflow.llm.tables import rows_kept, written
 LEAST_SCORE = 0.5
 
 
+def _wrapped(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, text, ``more``, and all other columns as one, so that no name of theirs can clash with a stage's own."""
+    others = [F.col(_quoted(c)) for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", *more, F.struct(*others).alias("document"))
+
+
+def _unwrapped(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of the documents again."""
+    return rows.select(*(F.col("text") if c == "text" else F.col("document").getField(c).alias(c) for c in docs.columns))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language can't be told."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "held_out", "lang_pred", "score"))
-    told = language.languages(docs, carry=others)
+    told = language.languages(_wrapped(docs, "lang"), carry=("document",))
     kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return told.filter(kept).select(*(c for c in docs.columns if c in ("doc_id", "text", *others)))
+    return _unwrapped(told.filter(kept), docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     kept = exact_dedup.exact_duplicates(docs).filter("kept").select("doc_id", "text_sha256")
     identity = F.sha2(exact_dedup.normalised(F.col("text")), 256)
-    return rows_kept(docs, identity, kept, "text_sha256").select(*docs.columns)
+    return _unwrapped(rows_kept(_wrapped(docs), identity, kept, "text_sha256"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
     kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id", "text_hash")
-    return rows_kept(docs, F.xxhash64("text"), kept, "text_hash").select(*docs.columns)
+    return _unwrapped(rows_kept(_wrapped(docs), F.xxhash64("text"), kept, "text_hash"), docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     taken = mixing.mixed(docs).groupBy("doc_id", "text_hash").agg(F.sum("times").alias("mixture_times"))
-    rows = rows_kept(docs, F.xxhash64("text"), taken.filter("mixture_times > 0"), "text_hash")
+    rows = rows_kept(_wrapped(docs), F.xxhash64("text"), taken.filter("mixture_times > 0"), "text_hash")
     repeated = rows.withColumn("mixture_number", F.explode(F.sequence(F.lit(1).cast("long"), "mixture_times")))
-    return repeated.select(*docs.columns)
+    return _unwrapped(repeated, docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
