@@ -36,6 +36,8 @@ from specflow.llm.tables import written
 WINDOW = 400
 GRAM = 64
 _SLICE = 1 << 20
+#: Suffixes whose bytes are gathered at a time.
+_CONTEXTS = 1 << 10
 _SECOND = mix(_BYTE_CODES)
 #: No byte of UTF-8 text: stands where a text has ended.
 _END = 0xFF
@@ -116,8 +118,8 @@ def _suffixes(window: int):
                 head = np.ones(len(order), bool)
                 head[1:] = (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])
                 several = np.diff(np.append(np.flatnonzero(head), len(order))) > 1
-                for begin in range(0, len(several), 1 << 13):
-                    some = slice(begin, begin + (1 << 13))
+                for begin in range(0, len(several), _CONTEXTS):
+                    some = slice(begin, begin + _CONTEXTS)
                     own = order[head][some]
                     columns = {
                         "gram": pa.array(found.grams[own].view(np.int64)), "context": _context(found, own, window),
@@ -206,15 +208,18 @@ def _classes(common: np.ndarray) -> Iterator[tuple[int, int, int]]:
             stack.append((shared, first))
 
 
-def repeats_of_group(common: np.ndarray, left: np.ndarray, n_left: np.ndarray, places: np.ndarray, window: int, first: bool) -> list[list[int]]:
-    """The repeats around each suffix of a group: begin and end relative to its anchor, alternating.
+def repeats_of_group(
+    common: np.ndarray, left: np.ndarray, n_left: np.ndarray, places: np.ndarray, window: int, first: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """The repeat around each suffix of a group: how far it goes before its anchor and behind it, zero if there is none.
 
-    ``common`` is what neighbours in suffix order share, ``left`` their bytes before the anchor, backwards.
+    ``common`` is what neighbours in suffix order share, ``left`` their bytes before the anchor, backwards. All repeats
+    of a suffix have its anchor in common, so together they are one.
     """
-    spans: list[list[int]] = [[] for _ in places]
+    before, behind = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
     order = np.argsort(np.ascontiguousarray(left).view(f"S{left.shape[1]}")[:, 0], kind="stable")
-    before = np.minimum(_common(left[order]), np.minimum(n_left[order][1:], n_left[order][:-1]))
-    for depth, low, high in _classes(before):
+    shared_left = np.minimum(_common(left[order]), np.minimum(n_left[order][1:], n_left[order][:-1]))
+    for depth, low, high in _classes(shared_left):
         ranks = np.sort(order[low : high + 1])
         shared = np.minimum.reduceat(common[: ranks[-1]], ranks[:-1])
         if depth + shared.max() < window:
@@ -222,14 +227,14 @@ def repeats_of_group(common: np.ndarray, left: np.ndarray, n_left: np.ndarray, p
         factors = previous_factors(places[ranks], shared)
         if not first:
             factors = np.maximum(factors, previous_factors(-places[ranks], shared))
-        for rank, r in zip(ranks.tolist(), factors.tolist(), strict=True):
-            if depth + r >= window:
-                spans[rank] += [-depth, r]
-    return spans
+        long = depth + factors >= window
+        before[ranks[long]] = np.maximum(before[ranks[long]], depth)
+        behind[ranks[long]] = np.maximum(behind[ranks[long]], factors[long])
+    return before, behind
 
 
 def _factors(window: int, first: bool):
-    """c1, c2, own_k1, own_pos, spans, others: the repeats around the first place of a suffix, and around its others."""
+    """c1, c2, own_k1, own_pos, and how far the repeat goes around the first place of a suffix, and around its others."""
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -275,36 +280,34 @@ def _spans(rows: pa.RecordBatch, window: int, first: bool) -> pa.RecordBatch:
     common = np.minimum(_common(right), np.minimum(n_right[1:], n_right[:-1]))
     places = np.empty(len(heads), np.int64)
     places[np.lexsort((column["pos"][least], column["k1"][least], column["first_id"][least]))] = np.arange(len(heads))
-    spans: list[list[int]] = [[] for _ in heads]
+    before, behind = np.zeros(len(heads), np.int64), np.zeros(len(heads), np.int64)
     edges = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
     sizes = np.diff(np.append(edges, len(grams)))
     # groups of two are one comparison before the anchor and one behind it
     twos = edges[sizes == 2]
-    if len(twos):
-        pair = np.stack([twos, twos + 1], axis=1).reshape(-1)
-        before = np.minimum(_common(left[pair])[::2], np.minimum(n_left[twos], n_left[twos + 1]))
-        for i, d, r in zip(twos.tolist(), before.tolist(), common[twos].tolist(), strict=True):
-            if d + r >= window:
-                for j in (i, i + 1) if not first else (i if places[i] > places[i + 1] else i + 1,):
-                    spans[j] = [-d, r]
+    pair = np.stack([twos, twos + 1], axis=1).reshape(-1)
+    d = np.minimum(_common(left[pair])[::2], np.minimum(n_left[twos], n_left[twos + 1])) if len(twos) else twos
+    long = d + common[twos] >= window if len(twos) else np.zeros(0, bool)
+    for i in (twos, twos + 1):
+        told = long & (places[i] > places[2 * twos + 1 - i]) if first else long
+        before[i[told]], behind[i[told]] = d[told], common[twos[told]]
     for e, size in zip(edges[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
         own = slice(e, e + size)
-        spans[own] = repeats_of_group(common[e : e + size - 1], left[own], n_left[own], places[own], window, first)
-    long = several & (n_left + n_right >= window)
-    others = [[-int(a), int(b)] if w else [] for w, a, b in zip(long, n_left, n_right, strict=True)]
-    spans = [o if o and not first else s for s, o in zip(spans, others, strict=True)]
-    told = [i for i, (s, o) in enumerate(zip(spans, others, strict=True)) if s or o]
+        before[own], behind[own] = repeats_of_group(common[e : e + size - 1], left[own], n_left[own], places[own], window, first)
+    # at several places, all of the suffix and of the bytes before it repeats, at its first place too unless that stays
+    whole = several & (n_left + n_right >= window)
+    other_before, other_behind = np.where(whole, n_left, before), np.where(whole, n_right, behind)
+    if not first:
+        before, behind = other_before, other_behind
+    told = np.flatnonzero((behind > 0) | (other_behind > 0))
     at = least[told]
-    lists = pa.list_(pa.int32())
-    columns = {
-        "c1": pa.array(column["c1"][at]), "c2": pa.array(column["c2"][at]), "own_k1": pa.array(column["k1"][at]),
-        "own_pos": pa.array(column["pos"][at]), "spans": pa.array([spans[i] for i in told], lists),
-        "others": pa.array([others[i] if others[i] else spans[i] for i in told], lists),
-    }
-    return pa.RecordBatch.from_pydict(columns)
+    columns = {"c1": column["c1"][at], "c2": column["c2"][at], "own_k1": column["k1"][at], "own_pos": column["pos"][at]}
+    for name, values in (("before", before), ("behind", behind), ("other_before", other_before), ("other_behind", other_behind)):
+        columns[name] = values[told].astype(np.int32)
+    return pa.RecordBatch.from_pydict({name: pa.array(values) for name, values in columns.items()})
 
 
-_FACTORS = "c1 long, c2 long, own_k1 long, own_pos int, spans array<int>, others array<int>"
+_FACTORS = "c1 long, c2 long, own_k1 long, own_pos int, before int, behind int, other_before int, other_behind int"
 _CUT = "k1 long, k2 long, first_id long, n long, n_bytes long, removed array<struct<begin: int, end: int>>, kept binary"
 
 
@@ -364,10 +367,11 @@ def cut_texts(docs: DataFrame, window: int = WINDOW, keep: str = "none") -> Data
     factors = suffixes.mapInArrow(_factors(window, first), _FACTORS)
     members = anchored.mapInArrow(_members(window), "c1 long, c2 long, k1 long, k2 long, pos int")
     told = members.join(factors.hint("merge"), ["c1", "c2"])
-    spans = F.when((F.col("own_k1") == F.col("k1")) & (F.col("own_pos") == F.col("pos")), F.col("spans")).otherwise(F.col("others"))
-    pairs = told.select(*key, F.col("pos").cast("long").alias("pos"), spans.alias("s"))
-    mark = F.expr("transform(sequence(0, cast(size(s) / 2 as int) - 1), i -> shiftleft(pos + s[2 * i], 32) + pos + s[2 * i + 1])")
-    marks = pairs.filter("size(s) > 0").select(*key, F.explode(mark).alias("mark"))
+    own = (F.col("own_k1") == F.col("k1")) & (F.col("own_pos") == F.col("pos"))
+    begin = F.col("pos").cast("long") - F.when(own, F.col("before")).otherwise(F.col("other_before"))
+    behind = F.when(own, F.col("behind")).otherwise(F.col("other_behind"))
+    mark = (F.shiftleft(begin, 32) + F.col("pos") + behind).alias("mark")
+    marks = told.filter(behind > 0).select(*key, mark)
     marks = marks.groupBy(*key).agg(F.collect_set("mark").alias("marks"))
     return texts.join(marks.hint("merge"), key, "left").select(*key, "text", "first_id", "n", "marks").mapInArrow(_without(window, first), _CUT)
 

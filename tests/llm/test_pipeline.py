@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from specflow.llm import language, mixing, near_dedup
@@ -82,3 +83,24 @@ def test_empty_and_repeated_rows(spark, sf_dir, docs_of):
             if name != "packing":
                 assert out.columns == docs.columns
         assert {r.doc_id for r in out.collect()} <= {1, 2}
+
+
+CLASHING = ("score", "lang_pred", "held_out", "id_key", "content_key", "mixture_times", "mixture_number", "document", "keep_id", "n", "a.b", "text_hash")
+
+
+@pytest.mark.parametrize("change", [str, str.upper])
+def test_clashing_names(spark, sf_dir, documents, change):
+    """Columns named like those that stages use inside, in either case, come through with their values."""
+    names = [change(name) for name in CLASHING]
+    docs = documents.limit(120)
+    docs = written(docs.select("*", *((F.col("doc_id") * 10 + i).alias(name) for i, name in enumerate(names))), "clashing")
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(stage(spark, out, sf_dir), name)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        for row in out.collect():
+            assert all(row[name] == row.doc_id * 10 + i for i, name in enumerate(names))
+    plain = documents.limit(120)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = written(stage(spark, plain, sf_dir), name)
+    assert _ids(plain) == _ids(out) and out.count() > 20
