@@ -1,25 +1,28 @@
 """WARC derivatives: from each response a linked metadata record and a plain-text conversion record.
 
 Records are WARC/1.1 bytes in a column. A derivative has an id of its own, made from its source's id and its type,
-names its source in WARC-Refers-To, and keeps the source's target, date, digests and HTTP headers: the
-metadata record lists them as fields, the conversion record holds the page's text.
-
-Files are written by Spark's text writer, with the blank lines that end a record as separator, and read as whole files,
-each by one task, as a gzip stream can't be split.
-
-Defined results: a null url gives records without a target; a null or empty page gives an empty text; records other
-than responses have no derivatives; a response whose HTTP head doesn't end has headers only; repeated rows give
-repeated records with equal ids; extra columns are ignored.
+names its source in WARC-Refers-To, and keeps the source's target, date and digests in its head. The metadata record
+lists all WARC and HTTP headers of the source as fields, the conversion record holds the page's text. Transfer and
+content encodings (chunked, gzip, deflate) are undone first; a body in another encoding is read as it stands. Pages are
+read in one pass, in time in proportion to their length.
+
+Files are written by Spark's text writer, with the blank lines that end a record as separator, and read by one task
+each, as a gzip stream can't be split: piece by piece, so that a task holds the packed file and one record.
+
+Defined results: a null url gives records without a target; line breaks and other controls in a header's value, and
+blanks at its ends, are written as ``%0A`` and the like, so that a head stays one; a null or empty page gives an empty
+text; records other than responses have no derivatives; a response whose HTTP head doesn't end has headers only; repeated
+rows give repeated records with equal ids; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,12 +32,16 @@ from pyspark.sql import functions as F
 VERSION = "WARC/1.1"
 _ENDS = "\r\n\r\n"
 
-_UNSEEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<head\b.*?</head\s*>", re.S | re.I)
-_BREAKS = re.compile(
-    r"</?(?:p|div|br|hr|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|aside|main|blockquote|pre|body|html)\b[^>]*>", re.I
-)
-_TAG = re.compile(r"</?[a-zA-Z!?][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+#: Elements that a reader doesn't see, and those that stand on lines of their own.
+_UNSEEN = ("script", "style", "noscript", "template", "head")
+_BREAKS = {
+    "p", "div", "br", "hr", "li", "ul", "ol", "tr", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "header",
+    "footer", "nav", "aside", "main", "blockquote", "pre", "body", "html",
+}
+_TAG = re.compile(r"<(/?)([a-zA-Z!?][^\s/<>]*)")
+_ENDS_OF = {name: re.compile(rf"</{name}\s*>", re.I) for name in (*_UNSEEN, "title")}
+_TITLE = re.compile(r"<title(?:\s[^<>]*)?>", re.I)
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]|^ +| +$")
 _CHARSET = re.compile(r"charset\s*=\s*\"?([\w.:-]+)", re.I)
 
 
@@ -48,10 +55,15 @@ def derived_id(source_id: str, kind: str) -> str:
 
 def make_record(headers: list[tuple[str, str | None]], block: bytes) -> bytes:
     """A record without the blank lines that follow it. Headers without a value are left out."""
-    lines = [VERSION, *(f"{name}: {value}" for name, value in headers if value is not None), f"Content-Length: {len(block)}"]
+    lines = [VERSION, *(f"{name}: {one_line(value)}" for name, value in headers if value is not None), f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
+def one_line(value: str) -> str:
+    """The value with what would end its line, or be lost at its ends, percent-encoded."""
+    return _CONTROL.sub(lambda found: "".join(f"%{ord(c):02X}" for c in found[0]), value)
+
+
 def parse_head(head: bytes) -> tuple[str, list[tuple[str, str]]]:
     """The first line of a WARC or HTTP head, and its headers in order; folded lines are joined."""
     first, *lines = head.decode("utf-8", "replace").split("\r\n")
@@ -71,11 +83,98 @@ def header(headers: list[tuple[str, str]], name: str) -> str | None:
 
 def plain_text(page: str) -> str:
     """What a reader sees: no scripts, styles, comments or head; blocks on lines of their own."""
-    seen = _TAG.sub("", _BREAKS.sub("\n", _UNSEEN.sub(" ", page)))
-    lines = (" ".join(line.split()) for line in html.unescape(seen).split("\n"))
+    lines = (" ".join(line.split()) for line in html.unescape("".join(_seen(page))).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _seen(page: str) -> Iterator[str]:
+    """The page without tags, in one pass.
+
+    An end that was once looked for in vain is not looked for again, so each character is passed a fixed number of times.
+    """
+    at, missing = 0, set()
+
+    def end_of(what: str, begin: int) -> int:
+        """Behind the next end of an element, comment or tag; -1 if there is none."""
+        if what in missing:
+            return -1
+        if what in _ENDS_OF:
+            found = _ENDS_OF[what].search(page, begin)
+            end = found.end() if found else -1
+        else:
+            end = page.find(what, begin)
+            end = end + len(what) if end >= 0 else -1
+        if end < 0:
+            missing.add(what)
+        return end
+
+    while (i := page.find("<", at)) >= 0:
+        yield page[at:i]
+        if page.startswith("<!--", i) and (end := end_of("-->", i + 4)) >= 0:
+            yield " "
+            at = end
+            continue
+        tag = _TAG.match(page, i)
+        name = tag[2].lower() if tag else ""
+        if tag and not tag[1] and name in _UNSEEN and (end := end_of(name, i)) >= 0:
+            yield " "
+            at = end
+            continue
+        if not tag or (end := end_of(">", i)) < 0:
+            yield "<"
+            at = i + 1
+            continue
+        if name in _BREAKS:
+            yield "\n"
+        at = end
+    yield page[at:]
+
+
+def title_of(page: str) -> str:
+    begin = _TITLE.search(page)
+    end = _ENDS_OF["title"].search(page, begin.end()) if begin else None
+    return " ".join(html.unescape("".join(_seen(page[begin.end() : end.start()]))).split()) if end else ""
+
+
+def decoded(payload: bytes, http: list[tuple[str, str]]) -> bytes:
+    """The body as the page was before it was packed for the way; what can't be unpacked stays as it is."""
+    codings = []
+    for name in ("Content-Encoding", "Transfer-Encoding"):
+        codings += [c.strip().lower() for key, value in http if key.lower() == name.lower() for c in value.split(",")]
+    for coding in reversed(codings):
+        try:
+            if coding == "chunked":
+                payload = _unchunked(payload)
+            elif coding in ("gzip", "x-gzip"):
+                payload = _unpacked(payload, 31)
+            elif coding == "deflate":
+                payload = _unpacked(payload, 15 if payload[:1] == b"\x78" else -15)
+        except (zlib.error, ValueError):
+            return payload
+    return payload
+
+
+def _unpacked(payload: bytes, bits: int) -> bytes:
+    """All members of a packed stream; of one that is cut off, what is there."""
+    parts = []
+    while payload:
+        stream = zlib.decompressobj(bits)
+        parts.append(stream.decompress(payload))
+        payload = stream.unused_data
+    return b"".join(parts)
+
+
+def _unchunked(payload: bytes) -> bytes:
+    parts, at = [], 0
+    while (end := payload.find(b"\r\n", at)) >= 0:
+        size = int(payload[at:end].partition(b";")[0].strip() or b"x", 16)
+        if size == 0:
+            break
+        parts.append(payload[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(parts)
+
+
 def _response(page_id: int | None, url: str | None, page: str | None, date: str) -> bytes:
     payload = (page or "").encode()
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
@@ -112,6 +211,10 @@ def _parts(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+#: Headers of the source that its derivatives name otherwise.
+_NAMED = {"warc-record-id", "warc-block-digest", "warc-payload-digest"}
+
+
 def _derivatives_of(record: bytes) -> Iterator[dict]:
     head, _, block = record.partition(b"\r\n\r\n")
     _, headers = parse_head(head)
@@ -119,12 +222,13 @@ def _derivatives_of(record: bytes) -> Iterator[dict]:
         return
     http_head, _, payload = block.partition(b"\r\n\r\n")
     status, http = parse_head(http_head)
+    body = decoded(payload, http)
     kind = header(http, "Content-Type") or ""
     charset = _CHARSET.search(kind)
     try:
-        page = payload.decode(charset[1] if charset else "utf-8", "replace")
+        page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
+        page = body.decode("utf-8", "replace")
     source_id = header(headers, "WARC-Record-ID") or ""
     kept = {
         "refers_to": source_id,
@@ -134,18 +238,18 @@ def _derivatives_of(record: bytes) -> Iterator[dict]:
         "source_status": status,
         "source_content_type": kind,
     }
-    title = _TITLE.search(page)
     fields = [
         ("source-record-id", source_id),
         ("source-block-digest", kept["source_block_digest"]),
         ("source-payload-digest", kept["source_payload_digest"]),
         ("http-status", status),
+        *((f"warc-header-{name.lower()}", value) for name, value in headers if name.lower() not in _NAMED),
         *((f"http-header-{name.lower()}", value) for name, value in http),
-        ("title", " ".join(html.unescape(_TAG.sub("", title[1])).split()) if title else ""),
+        ("title", title_of(page)),
     ]
     text = plain_text(page).encode()
     blocks = {
-        "metadata": ("application/warc-fields", "".join(f"{name}: {value}\r\n" for name, value in fields).encode()),
+        "metadata": ("application/warc-fields", "".join(f"{name}: {one_line(value)}\r\n" for name, value in fields).encode()),
         "conversion": ("text/plain; charset=utf-8", text),
     }
     for name, (content_type, content) in blocks.items():
@@ -157,6 +261,8 @@ def _derivatives_of(record: bytes) -> Iterator[dict]:
                 ("WARC-Date", header(headers, "WARC-Date")),
                 ("WARC-Refers-To", source_id),
                 ("WARC-Target-URI", kept["target_uri"]),
+                ("WARC-Source-Block-Digest", kept["source_block_digest"]),
+                ("WARC-Source-Payload-Digest", kept["source_payload_digest"]),
                 ("WARC-Block-Digest", digest(content)),
                 ("Content-Type", content_type),
             ],
@@ -199,19 +305,54 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None
     rows.write.option("lineSep", _ENDS).option("compression", compression).text(path)
 
 
+def _pieces(content: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The file's bytes, unpacked member by member, in pieces of a bounded size."""
+    if content[:2] != b"\x1f\x8b":
+        yield from (content[at : at + size] for at in range(0, len(content), size))
+        return
+    at, stream = 0, zlib.decompressobj(31)
+    while at < len(content) or stream.unconsumed_tail:
+        packed = stream.unconsumed_tail or content[at : at + size]
+        at += 0 if stream.unconsumed_tail else len(packed)
+        yield stream.decompress(packed, size)
+        if stream.eof:
+            at -= len(stream.unused_data)
+            stream = zlib.decompressobj(31)
+    yield stream.flush()
+
+
 def _split(content: bytes) -> Iterator[bytes]:
-    at = 0
-    while at < len(content):
-        if content[at : at + 2] == b"\r\n":  # between records
+    """The records of a file, of which no more than one and a piece is held."""
+    held, seen, at = bytearray(), 0, 0
+    pieces = _pieces(content)
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while held[at : at + 2] == b"\r\n":  # between records
             at += 2
-            continue
-        end = content.find(b"\r\n\r\n", at)
-        if not content.startswith(b"WARC/", at) or end < 0:
-            raise ValueError(f"no record begins at byte {at}")
-        _, headers = parse_head(content[at:end])
-        after = end + 4 + int(header(headers, "Content-Length") or 0)
-        yield content[at:after]
-        at = after
+        del held[:at]
+        seen, at = seen + at, 0
+        if len(held) < 2 or held[:2] == b"\r\n":
+            if more():
+                continue
+            if not held:
+                return
+        looked = 0
+        while (end := held.find(b"\r\n\r\n", looked)) < 0:
+            looked = max(0, len(held) - 3)
+            if not more():
+                break
+        if not held.startswith(b"WARC/") or end < 0:
+            raise ValueError(f"no record begins at byte {seen}")
+        _, headers = parse_head(bytes(held[:end]))
+        at = end + 4 + int(header(headers, "Content-Length") or 0)
+        while len(held) < at and more():
+            pass
+        yield bytes(held[:at])
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -221,7 +362,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 some: list[bytes] = []
-                for record in _split(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content):
+                for record in _split(content):
                     some.append(record)
                     if len(some) == 1000:
                         yield pa.RecordBatch.from_pydict({"path": [name] * len(some), "record": some})
