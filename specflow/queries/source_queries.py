@@ -63,6 +63,38 @@ def src_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _declared_text(spark, path, "part", header=True, options={"recursiveFileLookup": "true"})
 
 
+@query("src_csv_header_order", "SELECT * FROM part")
+def src_csv_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight files whose headers name the columns in different orders, some with a column more."""
+    path = new_folder(spark, "query")
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    names = [column.name for column in columns_of("part")]
+    for file in range(8):
+        order = names[file % len(names) :] + names[: file % len(names)]
+        rows = parts.where(F.pmod("p_partkey", F.lit(8)) == file).select(*order, *([F.lit("x").alias("more")] if file % 2 else []))
+        rows.coalesce(1).write.option("header", True).mode("append").csv(path)
+    return _declared_text(spark, path, "part", header=True)
+
+
+@query(
+    "src_csv_infer_order",
+    "SELECT o_orderkey, o_orderstatus, o_totalprice, o_custkey, o_custkey % 2 = 0 AS even FROM orders",
+)
+def src_csv_infer_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred types of two files that name the columns in different orders: whole prices in one, cents in the other."""
+    path = new_folder(spark, "query")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+    orders = orders.withColumn("even", F.col("o_custkey") % 2 == 0)
+    whole = F.col("o_totalprice") == F.floor("o_totalprice")
+    first, second = orders.where(whole | (F.col("o_orderkey") % 3 == 0)), orders.where(~whole & (F.col("o_orderkey") % 3 != 0))
+    first.coalesce(1).write.option("header", True).csv(f"{path}/a")
+    second.select("even", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderkey").coalesce(1).write.option("header", True).csv(f"{path}/b")
+    back = Source("back", "csv", (), path, header=True, infer_schema=True, options={"recursiveFileLookup": "true"})
+    rows = read(session_for(spark), back)
+    kinds = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+    return rows.select(*(F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in ("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey", "even")))
+
+
 @query(
     "src_csv_infer",
     "SELECT c_custkey::INTEGER AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",

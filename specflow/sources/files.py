@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specflow.plans.spec import Source, SourceColumn, SpecError
+from specflow.sources.headers import by_header, read_declared, read_inferred
 from specflow.sources.schema import declared_schema
 
 
@@ -28,10 +31,14 @@ def reader_format(source: Source) -> str:
 
 
 def read_file(spark: SparkSession, source: Source) -> DataFrame:
-    """A batch frame over the source's files."""
+    """A batch frame over the source's files. Delimited files whose headers name the columns are read by name."""
     reader = spark.read.format(reader_format(source)).options(**file_options(source))
     if source.file_type == "fixedWidth":
         return slice_lines(reader.load(source.location), source)
+    if _has_names(source):
+        found = _read_by_name(spark, source, _files_of(spark, source))
+        if found is not None:
+            return found
     if not source.infer_schema:
         reader = reader.schema(declared_schema(source))
     return reader.load(source.location)
@@ -45,9 +52,40 @@ def read_files(spark: SparkSession, source: Source, paths: list[str]) -> DataFra
     reader = spark.read.format(reader_format(source)).options(**file_options(source)).option("__globPaths__", "false")
     if source.file_type == "fixedWidth":
         return slice_lines(reader.load(paths), source)
+    if _has_names(source):
+        found = _read_by_name(spark, source, paths)
+        if found is not None:
+            return found
     return reader.schema(declared_schema(source)).load(paths)
 
 
+def _has_names(source: Source) -> bool:
+    return source.file_type in ("csv", "delimited") and source.header and "header" not in {name.lower() for name in source.options}
+
+
+def _files_of(spark: SparkSession, source: Source) -> list[str]:
+    """The files at the source's location, as its reader lists them; their contents are not read."""
+    listed = spark.read.format("text").options(**{k: v for k, v in file_options(source).items() if k.lower() in ("recursivefilelookup", "pathglobfilter", "modifiedafter", "modifiedbefore")})
+    return [_decoded(path) for path in listed.load(source.location).inputFiles()]
+
+
+def _decoded(uri: str) -> str:
+    """Listings name files as URIs."""
+    return unquote(uri)
+
+
+def _read_by_name(spark: SparkSession, source: Source, paths: list[str]) -> DataFrame | None:
+    groups = by_header(spark, sorted(paths), source)
+    plain = {name: value for name, value in file_options(source).items() if name.lower() not in ("recursivefilelookup", "pathglobfilter")}
+    reader = spark.read.format("csv").options(**plain).option("__globPaths__", "false")
+    if source.infer_schema:
+        return read_inferred(reader, groups, source)
+    schema = declared_schema(source)
+    if set(groups) == {tuple(schema.names)}:
+        return None  # by position is by name
+    return read_declared(reader, groups, source, schema)
+
+
 def slice_lines(lines: DataFrame, source: Source) -> DataFrame:
     """Cut each line into trimmed text fields by position and length.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import math
 from functools import reduce
 
@@ -10,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from specflow import JoinKey, Link, Pipeline, Predicate, Sink, SinkColumn, Source, SourceColumn, SpecError
 from specflow import pipeline_session, sink_frames
@@ -19,6 +21,7 @@ from specflow.operators.profiling import finished, merged_states, profile_json,
 from specflow.plans.run import combined
 from specflow.plans.session import size_tasks
 from specflow.sources import read
+from specflow.sources.headers import wider
 
 
 @pytest.fixture(scope="module")
@@ -472,3 +475,61 @@ def test_aes_gives_the_published_cipher_text(session):
     """The example of Spark's own function reference."""
     cipher = session.sql("SELECT base64(aes_encrypt('Spark SQL', '1234567890abcdef', 'ECB', 'PKCS'))").head()[0]
     assert cipher == "3lmwu+Mw0H3fi5NDvcu9lg=="
+
+
+# Headers
+
+
+def headed(tmp_path, files, columns=("Int", "String", "Double"), **fields):
+    folder = tmp_path / "headed"
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / name).write_bytes(gzip.compress(text.encode()) if name.endswith(".gz") else text.encode())
+    names = ("a", "b", "c")
+    declared = tuple(SourceColumn(n, kind, i) for i, (n, kind) in enumerate(zip(names, columns), 1))
+    return Source("s", "csv", declared, str(folder), header=True, **fields)
+
+
+def test_columns_are_read_by_their_header(spark, tmp_path):
+    """Other orders, case, quotes, further columns, byte order marks, blank lines, packed and empty files, odd file names."""
+    files = {
+        "1.csv": "a,b,c\n1,x,1.5\n", "2.csv": "c,a,b\n2.5,2,y\n", "3 [x] %41.csv": 'B,"more, or less",A,c\nz,?,3,3.5\n',
+        "4.csv.gz": "b,c,a\nw,4.5,4\n", "5.csv": "", "6.csv": "\ufeffc,b,a\n5.5,v,5\n", "7.csv": "c,b,a\n",
+    }
+    found = read(pipeline_session(spark), headed(tmp_path, files))
+    assert found.dtypes == [("a", "int"), ("b", "string"), ("c", "double")]
+    assert sorted(map(tuple, found.collect())) == [(1, "x", 1.5), (2, "y", 2.5), (3, "z", 3.5), (4, "w", 4.5), (5, "v", 5.5)]
+
+
+@pytest.mark.parametrize(
+    "header, message",
+    [("a,c,d", "no column b"), ("a,b,c,B", "column b more than once")],
+)
+def test_headers_that_lack_a_column_are_refused(spark, tmp_path, header, message):
+    with pytest.raises(SpecError, match=message):
+        read(pipeline_session(spark), headed(tmp_path, {"1.csv": "a,b,c\n1,x,1.5\n", "2.csv": f"{header}\n1,2,3\n"}))
+
+
+def test_files_with_other_names_are_read_by_position(spark, tmp_path):
+    source = headed(tmp_path, {"1.csv": "x;y;z\n1;p;1.5\n", "2.csv": "u;v;w\n2;q;2.5\n"}, delimiter=";")
+    assert sorted(map(tuple, read(pipeline_session(spark), source).collect())) == [(1, "p", 1.5), (2, "q", 2.5)]
+
+
+def test_inferred_types_are_agreed_on_by_name(spark, tmp_path):
+    files = {"1.csv": "a,b,c\n1,01,7\n", "2.csv": "c,a,b\n8,2.5,x\n", "3.csv": "b,d,a\ny,true,3000000000\n"}
+    found = read(pipeline_session(spark), headed(tmp_path, files, infer_schema=True))
+    assert found.dtypes == [("a", "double"), ("b", "string"), ("c", "int"), ("d", "boolean")]
+    rows = sorted(tuple(r)[:3] for r in found.collect())
+    assert rows == [(1.0, "01", 7), (2.5, "x", 8), (3e9, "y", None)]
+
+
+def test_the_lattice_of_types():
+    kinds = [T.NullType(), T.IntegerType(), T.LongType(), T.DecimalType(20, 0), T.DoubleType(), T.BooleanType(), T.DateType(), T.TimestampType(), T.StringType()]
+    for a in kinds:
+        assert wider(a, a) == a
+        for b in kinds:
+            assert wider(a, b) == wider(b, a)
+            for c in kinds:
+                if not {type(x) for x in (a, b, c)} >= {T.DecimalType}:
+                    assert wider(wider(a, b), c) == wider(a, wider(b, c))
+    assert wider(T.IntegerType(), T.DoubleType()) == T.DoubleType() and wider(T.BooleanType(), T.LongType()) == T.StringType()
