@@ -1,14 +1,12 @@
-"""Substring dedup: every run of words that occurs elsewhere, found in suffix trees split by prefix.
+"""Substring dedup: every run of words that occurs elsewhere, found by sorted hashes of windows.
 
-A suffix is followed for ``window`` words, in four steps: its first eight words (its prefix) and three
-blocks of the others, so a suffix is a path of four edges, named by hashes (128 bits in all). Range
-partitioning by the path gives each task the subtrees of a range of prefixes, as short as the data allow:
-a prefix with few suffixes shares a task with others, a very frequent one is cut at its following blocks.
-Spark's sort lays a subtree's leaves side by side (and spills, so no subtree has to fit in memory); one
-pass over them meets the internal nodes at full depth as runs of equal paths, and all leaves below such
-a node start a repeated window. Runs of such starts are the maximal repeats.
+Not suffix trees: a window of ``window`` words is named by hashes of four parts of it, its first eight words and three
+blocks of the others (128 bits in all). Range partitioning by these names gives each task a range of windows, Spark's
+sort lays equal ones side by side (and spills), and one pass over them tells which windows occur several times. There
+are no common prefixes and no nodes of other depths, so maximal repeats are not named; the words that repeated windows
+cover are, which is all that the removal needs. The code calls groups of equal beginnings subtrees and their windows leaves.
 
-Two measures keep the trees small; neither loses a repeat:
+Two measures keep the groups small; neither loses a repeat:
 
 * A suffix is only planted if it can have a twin. Each window is represented by the least hash among its
   runs of eight words. Equal windows have equal representatives at equal places, so a window whose

@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 
 from specflow.llm.arrays import slices
 
+# Capitals with lower-case forms that the library's case table has and Python's is too old for.
+_NEWER_CASE = {"\ua7cb": "\u0264", "\ua7dc": "\u019b"}
+
 _REMEMBERED = 400_000
 _AT_ONCE = 50_000
 
@@ -133,6 +136,8 @@ class Counter:
         if not text.isascii():
             # a final sigma is like any other here, while lower() tells them apart
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            for capital, small in _NEWER_CASE.items():
+                text = text.replace(capital, small)
         return self.vocabulary.pattern.findall(text.lower())
 
     def counts(self, texts: list[str | None]) -> list[int]:

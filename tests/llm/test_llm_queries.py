@@ -131,6 +131,20 @@ def test_token_counts_of_odd_texts():
     assert counter.counts(odd) == [len(reference.encode(t, add_special_tokens=False).ids) for t in odd]
 
 
+def test_token_counts_of_every_code_point():
+    """One text for each code point, by itself and between letters."""
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(tokenizer_path())
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        counter = tokens.Counter(file.read())
+    points = [chr(i) for i in range(0x20000) if not 0xD800 <= i < 0xE000]
+    for texts in (points, [f"a{c}b" for c in points]):
+        expected = [len(e.ids) for e in reference.encode_batch(texts, add_special_tokens=False)]
+        found = counter.counts(texts)
+        assert [t for t, a, b in zip(texts, found, expected, strict=True) if a != b] == []
+
+
 def _targets(sizes: dict) -> dict:
     order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
