@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,6 +151,31 @@ def join_mixed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return related(spark, (customer, nation), mapped, joins=JoinKey.parse("customer:3=nation:1"))
 
 
+@query(
+    "join_table",
+    """SELECT o_orderkey AS id, c_name AS name, o_totalprice AS price
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""",
+)
+def join_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files joined with a catalog table, of which the declared columns are read."""
+    session, names = session_for(spark), f"specflow_{uuid.uuid4().hex}"
+    copy(session, given("customer", sf_dir), "hivetable", table=names, options={"path": new_folder(session, "query")})
+    orders = given("orders", sf_dir)
+    customer = Source("customer", "hivetable", columns_of("customer", ["c_custkey", "c_name", "c_mktsegment"]), table=names)
+    mapped = [
+        (orders, "o_orderkey", SinkColumn("id", "Long")),
+        (customer, "c_name", SinkColumn("name", "String")),
+        (orders, "o_totalprice", SinkColumn("price", "Double")),
+    ]
+    return related(
+        session,
+        (orders, customer),
+        mapped,
+        joins=JoinKey.parse("orders:2=customer:1"),
+        predicate=Predicate.parse("customer:3@ = 'BUILDING'"),
+    )
+
+
 @query(
     "join_filter_map",
     """SELECT c_custkey AS id, c_mktsegment || '_X_Y_Z' AS segment, n_name AS nation, 'new' AS state

@@ -50,6 +50,20 @@ def src_csv_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _declared_text(spark, path, "documents", quote="?", options={"escape": "?", "multiLine": "true"})
 
 
+@query("src_csv_multiline_split", "SELECT *, true AS many_tasks FROM documents")
+def src_csv_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of texts with line breaks, delimiters and quotes, cut into blocks of 64 KB that tasks read by themselves."""
+    session, path = session_for(spark), new_folder(spark, "query")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents.select(_lines("documents", ",", "?")).coalesce(1).write.text(path)
+    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    options = {"escape": "?", "multiLine": "true", "splitRecords": "true"}
+    source = Source("text", "csv", columns_of("documents"), path, quote="?", options=options)
+    tasks = session.read.text(path).rdd.getNumPartitions()
+    return read(session, source).withColumn("many_tasks", F.lit(tasks >= 4))
+
+
 @query("src_csv_header", "SELECT * FROM part")
 def src_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight files, each beginning with a header line."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from specflow.plans.spec import Source, SourceColumn, SpecError
 from specflow.sources.headers import by_header, read_declared, read_inferred
+from specflow.sources.multiline import SPLIT_RECORDS, read_records
 from specflow.sources.schema import declared_schema
 
 
@@ -35,6 +36,8 @@ def read_file(spark: SparkSession, source: Source) -> DataFrame:
     reader = spark.read.format(reader_format(source)).options(**file_options(source))
     if source.file_type == "fixedWidth":
         return slice_lines(reader.load(source.location), source)
+    if _is_split(source):
+        return read_records(spark, source.location, file_options(source), declared_schema(source))
     if _has_names(source):
         found = _read_by_name(spark, source, _files_of(spark, source))
         if found is not None:
@@ -59,6 +62,13 @@ def read_files(spark: SparkSession, source: Source, paths: list[str]) -> DataFra
     return reader.schema(declared_schema(source)).load(paths)
 
 
+def _is_split(source: Source) -> bool:
+    asked = {name.lower(): str(value).lower() for name, value in source.options.items()}.get(SPLIT_RECORDS.lower()) == "true"
+    if asked and (source.file_type not in ("csv", "delimited") or source.infer_schema):
+        raise SpecError(f"source {source.id}: {SPLIT_RECORDS} is for delimited text with declared columns")
+    return asked
+
+
 def _has_names(source: Source) -> bool:
     return source.file_type in ("csv", "delimited") and source.header and "header" not in {name.lower() for name in source.options}
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import math
+from collections import Counter
 from functools import reduce
 
 import pytest
@@ -533,3 +534,38 @@ def test_the_lattice_of_types():
                 if not {type(x) for x in (a, b, c)} >= {T.DecimalType}:
                     assert wider(wider(a, b), c) == wider(a, wider(b, c))
     assert wider(T.IntegerType(), T.DoubleType()) == T.DoubleType() and wider(T.BooleanType(), T.LongType()) == T.StringType()
+
+
+# Records over several lines, cut by many tasks
+
+
+@pytest.mark.parametrize("escape", ['"', "\\"])
+@pytest.mark.parametrize("block", ["7b", "40b", "1m"])
+@pytest.mark.parametrize("header", [True, False])
+def test_records_over_several_blocks(spark, tmp_path, escape, block, header):
+    """However small the blocks, and over however many a record goes: what Spark reads from the whole files."""
+    texts = ["plain", 'quo"ted', "two\nlines", "a\n\n\nb" * 9, '"\n"', "", None, "comma, and\nbreak", '\n', "x" * 99, 'end"', "cr\r\nlf", "ü\nß"]
+    session = pipeline_session(spark)
+    session.conf.set("spark.sql.files.maxPartitionBytes", block)
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    rows = [(i, text, -i) for i, text in enumerate(texts * 3)]
+    options = {"escape": escape, "nullValue": "NULL", "multiLine": "true"}
+    frame = session.createDataFrame(rows, "i int, t string, n int")
+    frame.coalesce(1).write.options(header=header, **options).csv(str(tmp_path / "in"))
+    frame.coalesce(1).write.mode("append").options(header=header, **options).csv(str(tmp_path / "in"))
+    columns = tuple(SourceColumn(n, k, i) for i, (n, k) in enumerate((("i", "Int"), ("t", "String"), ("n", "Int")), 1))
+    whole = Source("s", "csv", columns, str(tmp_path / "in"), header=header, options=options)
+    split = Source("s", "csv", columns, str(tmp_path / "in"), header=header, options={**options, "splitRecords": "true"})
+    found, expected = (Counter(map(tuple, read(session, source).collect())) for source in (split, whole))
+    assert found == expected and sum(found.values()) == 2 * len(rows)
+
+
+def test_split_records_need_declared_text(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a\n")
+    columns = (SourceColumn("a", "String", 1),)
+    for settings, message in (({"quote": "||"}, "one character"), ({"options": {"splitRecords": "true", "encoding": "UTF-16"}}, "UTF-8")):
+        fields = {"options": {"splitRecords": "true"}, **settings}
+        with pytest.raises(SpecError, match=message):
+            read(spark, Source("s", "csv", columns, str(tmp_path / "x.csv"), **fields))
+    with pytest.raises(SpecError, match="declared columns"):
+        read(spark, Source("s", "csv", (), str(tmp_path / "x.csv"), header=True, infer_schema=True, options={"splitRecords": "true"}))
