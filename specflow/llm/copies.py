@@ -2,18 +2,24 @@
 
 Texts are UTF-8 bytes. Suffixes are planted at anchors only: each window of ``window`` bytes is represented by the
 least hash among its runs of 64 bytes. Equal windows have equal representatives at equal places, so windows that are
-equal share an anchor, and about one byte in 170 is one. Anchors whose 64 bytes occur at one place only are dropped, by
-counts that are summed in tasks before they travel; they have no equal window.
-
-An anchor's suffix travels with the ``window`` bytes from it, and with the bytes before it that a window around it can
-have, backwards. Equal ones of a batch travel once. Spark deals them out by the anchor's hash and sorts them, so that
-each group of equal anchors is a suffix array. Its longest common prefixes come from neighbours. Suffixes with the same
+equal share an anchor, and about one byte in 170 is one. A window has more than half of its other bytes on one side of
+its anchor, so equal windows also share a core: the anchor and that half. Anchors are known by their two cores, and
+cores that occur at one place only are dropped, by counts that are summed in tasks before they travel: a line that all
+documents have makes no group, unless a window's half around it is the same.
+
+An anchor's suffix travels once for each core, with the bytes that windows on that side can have, those before the
+anchor backwards. Equal ones of a batch travel once. Spark deals them out by the core's hash and sorts them, so that
+each group of equal cores is a suffix array. Its longest common prefixes come from neighbours. Suffixes with the same
 bytes before them form classes, one for each branching of those bytes; in each class, in suffix order, the previous and
 the next suffix of smaller position give the longest previous factor of every suffix, those of greater position its
 longest next factor. A class that agrees in d bytes before the anchor and a factor of r bytes from it make a repeat of
 d + r bytes; those of a window and more are marked at all places of the suffix. Bytes behind such marks are removed:
 everywhere (``keep="none"``), or at all places but the first (``keep="first"``, in the order of doc_id).
 
+A passage that very many documents share has a suffix for each of its surroundings. Cores with more than ``most_places``
+places are not gathered: the windows that have them are counted by their hashes, with the first and the last place of
+each summed in tasks, and those with two are joined back to their places, a join that Spark splits.
+
 Equal texts are one text here, with a count: copies beyond one are whole repeats, and no place of theirs travels.
 
 Defined results: a null or empty text has no bytes and nothing to remove; texts shorter than a window lose nothing; rows
@@ -35,6 +41,8 @@ from specflow.llm.tables import written
 
 WINDOW = 400
 GRAM = 64
+#: Places of a core up to which its suffixes meet in one task.
+MOST_PLACES = 1 << 14
 _SLICE = 1 << 20
 #: Suffixes whose bytes are gathered at a time.
 _CONTEXTS = 1 << 10
@@ -63,23 +71,59 @@ def least_places(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
+#: An anchor with one of its cores is a number: the place doubled, plus the side.
+_BEHIND, _BEFORE = 0, 1
+
+
+class _Cores:
+    """Where the cores of anchors, and the windows that have them, begin and end."""
+
+    def __init__(self, window: int) -> None:
+        # windows that begin ``far`` bytes before their anchor, or more, have the core before it; the others that behind
+        far = (window - GRAM + 1) // 2
+        self.before = (far, window - GRAM)
+        self.behind = (window - far + 1, window - far)
+        self.window = window
+
+    def core(self, at: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begins = np.where(side == _BEHIND, at, at - self.before[0])
+        return begins, np.where(side == _BEHIND, at + self.behind[0], at + GRAM)
+
+    def reach(self, at: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes that windows with the core can have."""
+        begins = at - np.where(side == _BEHIND, self.before[0] - 1, self.before[1])
+        return begins, at + np.where(side == _BEHIND, self.window, self.behind[1])
+
+
+def _core_hashes(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray, side: np.ndarray) -> np.ndarray:
+    return mix(span_hashes(codes, begins, ends) ^ side.astype(np.uint64))
+
+
 def _anchors(window: int):
+    cores = _Cores(window)
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, most=_SLICE):
                 data, offsets = text_bytes(piece.column("text"))
-                grams = run_hashes(_BYTE_CODES[data], GRAM)
-                places = least_places(grams, window - GRAM + 1)
+                codes = _BYTE_CODES[data]
+                places = least_places(run_hashes(codes, GRAM), window - GRAM + 1)
                 # windows that stay in their text: their starts end where the text's last window begins
                 inside = np.zeros(len(places) + 1, np.int32)
                 long = np.flatnonzero(np.diff(offsets) >= window)
                 np.add.at(inside, offsets[:-1][long], 1)
                 np.add.at(inside, np.minimum(offsets[1:][long] - window + 1, len(places)), -1)
-                at = np.unique(places[np.cumsum(inside[:-1]) > 0])
+                at = np.unique(places[np.cumsum(inside[:-1]) > 0]).astype(np.int64)
+                at, side = np.repeat(at, 2), np.tile([_BEHIND, _BEFORE], len(at))
                 rows = np.searchsorted(offsets, at, side="right") - 1
+                begins, ends = cores.core(at, side)
+                # where a core would leave the text, no window has it
+                whole = (begins >= offsets[rows]) & (ends <= offsets[rows + 1])
+                at, side, rows = at[whole], side[whole], rows[whole]
+                hashes = _core_hashes(codes, begins[whole], ends[whole], side)
                 columns = {
-                    "gram": pa.array(grams[at].view(np.int64)), "k1": piece.column("k1").take(pa.array(rows)),
-                    "k2": piece.column("k2").take(pa.array(rows)), "pos": pa.array((at - offsets[rows]).astype(np.int32)),
+                    "core": pa.array(hashes.view(np.int64)), "k1": piece.column("k1").take(pa.array(rows)),
+                    "k2": piece.column("k2").take(pa.array(rows)), "anchor": pa.array(2 * (at - offsets[rows]) + side),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
 
@@ -87,25 +131,29 @@ def _anchors(window: int):
 
 
 class _Anchored:
-    """The anchors of some texts: places in the bytes, and the begin and end of the bytes around each."""
+    """The anchors of some texts, each with a core: places in the bytes, and the begin and end of the bytes around each."""
 
-    def __init__(self, rows: pa.RecordBatch, window: int) -> None:
+    def __init__(self, rows: pa.RecordBatch, window: int, column: str = "anchors") -> None:
         self.data, offsets = text_bytes(rows.column("text"))
-        lists = rows.column("positions")
+        self.text_begins = offsets
+        lists, cores = rows.column(column), _Cores(window)
         self.rows = np.repeat(np.arange(rows.num_rows), np.asarray(lists.value_lengths()))
-        self.pos = np.asarray(lists.flatten())
+        anchors = np.asarray(lists.flatten())
+        side = anchors & 1
+        self.pos = (anchors >> 1).astype(np.int32)
         self.at = offsets[self.rows] + self.pos
-        self.begins = np.maximum(offsets[self.rows], self.at - (window - GRAM))
-        self.ends = np.minimum(offsets[self.rows + 1], self.at + window)
+        begins, ends = cores.reach(self.at, side)
+        self.begins, self.ends = np.maximum(offsets[self.rows], begins), np.minimum(offsets[self.rows + 1], ends)
         codes = _BYTE_CODES[self.data]
         left = (self.at - self.begins).astype(np.uint64)
-        self.grams = span_hashes(codes, self.at, self.at + GRAM)
+        self.cores = _core_hashes(codes, *cores.core(self.at, side), side)
+        # bytes before the anchor tell the sides apart, too: one side has fewer than any of the other
         self.c1 = mix(span_hashes(codes, self.begins, self.ends) ^ left)
         self.c2 = mix(span_hashes(_SECOND[self.data], self.begins, self.ends) + left)
 
 
 def _suffixes(window: int):
-    """gram, context, c1, c2, n_left, n_right, first_id, k1, pos, several: one row for equal ones of a slice."""
+    """core, context, c1, c2, n_left, n_right, first_id, k1, pos, several: one row for equal ones of a slice."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +170,7 @@ def _suffixes(window: int):
                     some = slice(begin, begin + _CONTEXTS)
                     own = order[head][some]
                     columns = {
-                        "gram": pa.array(found.grams[own].view(np.int64)), "context": _context(found, own, window),
+                        "core": pa.array(found.cores[own].view(np.int64)), "context": _context(found, own, window),
                         "c1": pa.array(found.c1[own].view(np.int64)), "c2": pa.array(found.c2[own].view(np.int64)),
                         "n_left": pa.array((found.at - found.begins)[own].astype(np.int32)),
                         "n_right": pa.array((found.ends - found.at)[own].astype(np.int32)),
@@ -134,8 +182,35 @@ def _suffixes(window: int):
     return cut
 
 
+def _windows(window: int):
+    """Every window around the places of much-used cores: its two hashes, text and begin."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, most=_SLICE):
+                found = _Anchored(piece, window, "hot")
+                codes, more = _BYTE_CODES[found.data], _SECOND[found.data]
+                starts = [np.arange(b, e - window + 1) for b, e in zip(found.begins.tolist(), found.ends.tolist(), strict=True)]
+                rows = np.repeat(found.rows, [len(x) for x in starts])
+                starts = np.concatenate([*starts, np.zeros(0, np.int64)])
+                starts, first = np.unique(starts, return_index=True)  # neighbouring anchors share windows
+                rows = rows[first]
+                for begin in range(0, len(starts), 1 << 16):
+                    own, of = starts[begin : begin + (1 << 16)], pa.array(rows[begin : begin + (1 << 16)])
+                    offsets = found.text_begins[rows[begin : begin + (1 << 16)]]
+                    columns = {
+                        "w1": pa.array(span_hashes(codes, own, own + window).view(np.int64)),
+                        "w2": pa.array(span_hashes(more, own, own + window).view(np.int64)),
+                        "first_id": piece.column("first_id").fill_null(_LAST).take(of), "k1": piece.column("k1").take(of),
+                        "k2": piece.column("k2").take(of), "begin": pa.array((own - offsets).astype(np.int64)),
+                    }
+                    yield pa.RecordBatch.from_pydict(columns)
+
+    return name
+
+
 _SUFFIX = (
-    "gram long, context binary, c1 long, c2 long, n_left int, n_right int, first_id long, k1 long, pos int, several boolean"
+    "core long, context binary, c1 long, c2 long, n_left int, n_right int, first_id long, k1 long, pos int, several boolean"
 )
 
 
@@ -239,9 +314,9 @@ def _factors(window: int, first: bool):
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            grams = batch.column("gram").to_numpy()
-            ends = np.flatnonzero(grams[1:] != grams[:-1]) + 1
-            if held and batch.num_rows and held[-1].column("gram")[held[-1].num_rows - 1].as_py() != grams[0]:
+            cores = batch.column("core").to_numpy()
+            ends = np.flatnonzero(cores[1:] != cores[:-1]) + 1
+            if held and batch.num_rows and held[-1].column("core")[held[-1].num_rows - 1].as_py() != cores[0]:
                 ends = np.append(0, ends)
             if not len(ends):
                 held.append(batch)
@@ -266,13 +341,13 @@ def _spans(rows: pa.RecordBatch, window: int, first: bool) -> pa.RecordBatch:
     # equal suffixes of different slices are neighbours: one suffix, the least place of which is its place
     head = np.ones(rows.num_rows, bool)
     head[1:] = (column["c1"][1:] != column["c1"][:-1]) | (column["c2"][1:] != column["c2"][:-1])
-    head[1:] |= column["gram"][1:] != column["gram"][:-1]
+    head[1:] |= column["core"][1:] != column["core"][:-1]
     number = np.cumsum(head) - 1
     order = np.lexsort((column["pos"], column["k1"], column["first_id"], number))
     least = order[np.flatnonzero(np.append(True, number[order][1:] != number[order][:-1]))]
     heads = np.flatnonzero(head)
     several = np.logical_or.reduceat(column["several"], heads) | (np.diff(np.append(heads, rows.num_rows)) > 1)
-    n_left, n_right, grams = (column[name][heads].astype(np.int64) for name in ("n_left", "n_right", "gram"))
+    n_left, n_right, cores = (column[name][heads].astype(np.int64) for name in ("n_left", "n_right", "core"))
     context = rows.column("context")
     begin = np.frombuffer(context.buffers()[1], np.int32)[context.offset]
     bytes_ = np.frombuffer(context.buffers()[2], np.uint8)[begin : begin + rows.num_rows * width].reshape(-1, width)[heads]
@@ -281,8 +356,8 @@ def _spans(rows: pa.RecordBatch, window: int, first: bool) -> pa.RecordBatch:
     places = np.empty(len(heads), np.int64)
     places[np.lexsort((column["pos"][least], column["k1"][least], column["first_id"][least]))] = np.arange(len(heads))
     before, behind = np.zeros(len(heads), np.int64), np.zeros(len(heads), np.int64)
-    edges = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
-    sizes = np.diff(np.append(edges, len(grams)))
+    edges = np.flatnonzero(np.append(True, cores[1:] != cores[:-1]))
+    sizes = np.diff(np.append(edges, len(cores)))
     # groups of two are one comparison before the anchor and one behind it
     twos = edges[sizes == 2]
     pair = np.stack([twos, twos + 1], axis=1).reshape(-1)
@@ -343,7 +418,7 @@ def _united(marks: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begins[new].tolist(), ends[np.append(new[1:] - 1, len(ends) - 1)].tolist(), strict=True))
 
 
-def cut_texts(docs: DataFrame, window: int = WINDOW, keep: str = "none") -> DataFrame:
+def cut_texts(docs: DataFrame, window: int = WINDOW, keep: str = "none", most_places: int = MOST_PLACES) -> DataFrame:
     """k1, k2, first_id, n, n_bytes, ``removed`` (spans), ``kept``: every distinct text, of n documents, without repeats.
 
     With ``keep="first"`` it is what the text's first document keeps; the others keep nothing if it has a window.
@@ -353,17 +428,19 @@ def cut_texts(docs: DataFrame, window: int = WINDOW, keep: str = "none") -> Data
     first = keep == "first"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_keys(), "text")
     key = ["k1", "k2"]
-    anchors = rows.select(*key, "text").mapInArrow(_anchors(window), "gram long, k1 long, k2 long, pos int")
+    anchors = rows.select(*key, "text").mapInArrow(_anchors(window), "core long, k1 long, k2 long, anchor long")
     anchors = written(anchors, "copies-anchors")
-    place = F.xxhash64(*key, "pos")
-    twice = anchors.groupBy("gram").agg(F.min(place).alias("least"), F.max(place).alias("most")).filter("least <> most")
-    twice = written(twice.select("gram"), "copies-grams")
-    met = anchors.join(twice.hint("merge"), "gram", "semi")
-    positions = met.groupBy(*key).agg(F.collect_set("pos").alias("positions"))
+    place = F.xxhash64(*key, "anchor")
+    twice = anchors.groupBy("core").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.count("*").alias("n"))
+    twice = twice.filter("least <> most").select("core", (F.col("n") > most_places).alias("is_hot"))
+    twice = written(twice, "copies-cores")
+    met = anchors.join(twice.hint("merge"), "core")
+    chosen = (F.collect_set(F.when(hot, F.col("anchor"))) for hot in (~F.col("is_hot"), F.col("is_hot")))
+    lists = met.groupBy(*key).agg(*(c.alias(name) for c, name in zip(chosen, ("anchors", "hot"), strict=True)))
     # one exchange of the texts serves the suffixes, their places, and the cut
     texts = rows.groupBy(*key).agg(F.first("text").alias("text"), F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
-    anchored = texts.join(positions.hint("merge"), key)
-    suffixes = anchored.mapInArrow(_suffixes(window), _SUFFIX).repartition("gram").sortWithinPartitions("gram", "context")
+    anchored = texts.join(lists.hint("merge"), key)
+    suffixes = anchored.mapInArrow(_suffixes(window), _SUFFIX).repartition("core").sortWithinPartitions("core", "context")
     factors = suffixes.mapInArrow(_factors(window, first), _FACTORS)
     members = anchored.mapInArrow(_members(window), "c1 long, c2 long, k1 long, k2 long, pos int")
     told = members.join(factors.hint("merge"), ["c1", "c2"])
@@ -372,10 +449,25 @@ def cut_texts(docs: DataFrame, window: int = WINDOW, keep: str = "none") -> Data
     behind = F.when(own, F.col("behind")).otherwise(F.col("other_behind"))
     mark = (F.shiftleft(begin, 32) + F.col("pos") + behind).alias("mark")
     marks = told.filter(behind > 0).select(*key, mark)
+    if not twice.filter("is_hot").isEmpty():
+        marks = marks.unionByName(_hot_marks(anchored, window, first))
     marks = marks.groupBy(*key).agg(F.collect_set("mark").alias("marks"))
     return texts.join(marks.hint("merge"), key, "left").select(*key, "text", "first_id", "n", "marks").mapInArrow(_without(window, first), _CUT)
 
 
+def _hot_marks(anchored: DataFrame, window: int, first: bool) -> DataFrame:
+    """k1, k2, mark: the windows around the places of much-used cores that are several times there."""
+    columns = "w1 long, w2 long, first_id long, k1 long, k2 long, begin long"
+    windows = anchored.where(F.size("hot") > 0).mapInArrow(_windows(window), columns)
+    place = F.struct("first_id", "k1", "begin")
+    several = windows.groupBy("w1", "w2").agg(F.min(place).alias("least"), F.max(place).alias("most")).filter("least <> most")
+    several = written(several.select("w1", "w2", "least"), "copies-windows")
+    found = windows.join(several.hint("merge"), ["w1", "w2"])
+    if first:
+        found = found.filter(place != F.col("least"))
+    return found.select("k1", "k2", (F.shiftleft("begin", 32) + F.col("begin") + window).alias("mark"))
+
+
 def of_documents(docs: DataFrame, cut: DataFrame, window: int = WINDOW, keep: str = "none") -> DataFrame:
     """doc_id and ``whole``, with the columns of the cut texts, for each document.
 
@@ -389,9 +481,9 @@ def of_documents(docs: DataFrame, cut: DataFrame, window: int = WINDOW, keep: st
     return joined.withColumn("whole", whole).drop("k1", "k2", "alike", "number", "first_id", "n")
 
 
-def without_copies(docs: DataFrame, window: int = WINDOW, keep: str = "none") -> DataFrame:
+def without_copies(docs: DataFrame, window: int = WINDOW, keep: str = "none", most_places: int = MOST_PLACES) -> DataFrame:
     """doc_id, n_bytes, ``removed`` (spans), ``kept`` (binary) for every document."""
-    found = of_documents(docs, cut_texts(docs, window, keep), window, keep)
+    found = of_documents(docs, cut_texts(docs, window, keep, most_places), window, keep)
     all_of_it = F.array(F.struct(F.lit(0).alias("begin"), F.col("n_bytes").cast("int").alias("end")))
     return found.select(
         "doc_id", "n_bytes", F.when(F.col("whole"), all_of_it).otherwise(F.col("removed")).alias("removed"),

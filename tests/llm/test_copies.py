@@ -37,8 +37,8 @@ def _expected(rows, window):
     return out
 
 
-def _found(docs, window, keep="none"):
-    rows = copies.without_copies(docs, window, keep).collect()
+def _found(docs, window, keep="none", most_places=copies.MOST_PLACES):
+    rows = copies.without_copies(docs, window, keep, most_places).collect()
     return Counter((r.doc_id, r.n_bytes, tuple((s.begin, s.end) for s in r.removed), bytes(r.kept)) for r in rows)
 
 
@@ -61,11 +61,12 @@ def _mosaics(seed: int, n: int) -> list[str]:
     return texts
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_mosaics(docs_of, seed):
+@pytest.mark.parametrize("seed, most_places", [(0, copies.MOST_PLACES), (1, copies.MOST_PLACES), (2, copies.MOST_PLACES), (3, 0), (4, 9)])
+def test_mosaics(docs_of, seed, most_places):
+    """Whether no group, all groups or some are too large for a task."""
     rows = list(enumerate(_mosaics(seed, 150)))
     expected = _expected(rows, 150)
-    assert _found(docs_of(rows), 150) == expected
+    assert _found(docs_of(rows), 150, most_places=most_places) == expected
     assert sum(bool(r[2]) for r in expected) > 40 and any(len(r[2]) > 1 for r in expected)
 
 
@@ -82,7 +83,8 @@ def test_odd_texts(docs_of):
     assert _found(docs_of([(None, base), (None, base)]), 400) == {(None, 900, ((0, 900),), b""): 2}
 
 
-def test_first_copies_stay(docs_of):
+@pytest.mark.parametrize("most_places", [copies.MOST_PLACES, 0])
+def test_first_copies_stay(docs_of, most_places):
     """With keep="first" each string that repeats is removed at all places but its first, by id."""
     texts = _mosaics(7, 80)
     rows = [(100 + i, t) for i, t in enumerate(texts)] + [(5, texts[3]), (5, texts[3]), (None, texts[9])]
@@ -97,7 +99,7 @@ def test_first_copies_stay(docs_of):
                 stays[at : at + window] = False
         expected[rows[i][0], np.frombuffer(data, np.uint8)[stays].tobytes()] += 1
     found = Counter()
-    for (doc_id, _, _, kept), n in _found(docs_of(rows), window, "first").items():
+    for (doc_id, _, _, kept), n in _found(docs_of(rows), window, "first", most_places).items():
         found[doc_id, kept] += n
     assert sum(found.values()) == len(rows)
     # texts of one id that are equal have no order; all others do
