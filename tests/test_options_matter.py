@@ -49,6 +49,9 @@ def test_read_options(spark, monkeypatch, key, option):
 def test_write_options(spark, monkeypatch, key, ignored):
     """The reader is told the same, so that a round trip alone would not notice."""
     monkeypatch.setattr(writing, "_writer", lambda df, sink, whole=writing._writer: whole(df, replace(sink, **ignored)))
+    if "mode" in ignored:  # an overwrite is staged, so its mode is decided before there is a writer
+        files_of = writing._save_files
+        monkeypatch.setattr(writing, "_save_files", lambda df, sink, target: files_of(df, replace(sink, **ignored), target))
     told = {name: value for name, value in ignored.items() if name in ("header", "delimiter", "quote")}
     read_options = files.file_options
     monkeypatch.setattr(files, "file_options", lambda s: read_options(replace(s, **told) if s.file_type != "parquet" else s))
