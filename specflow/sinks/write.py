@@ -51,6 +51,8 @@ def write(
     An ``increment`` of a table replaces that partition and no other.
     """
     target = target_of(sink, suffix, increment)
+    if sink.is_file:
+        recover(df.sparkSession, target)
     if sink.mode == "ignore":
         if sink.file_type == "jdbcclient":
             _save(_writer(distributed(df, sink), sink), sink, target)
@@ -98,6 +100,8 @@ def _write_sides(rows: DataFrame, sink: Sink, increment: int | None, profiles: b
 def _write_tagged(checked: DataFrame, sink: Sink, increment: int | None, profiles: bool) -> tuple[Written, Written]:
     spark = checked.sparkSession
     targets = {flag: target_of(sink, suffix, increment) for flag, suffix in _SIDES.items()}
+    for target in targets.values():
+        recover(spark, target)
     there = {flag: _is_there(spark, sink, target) for flag, target in targets.items()}
     if sink.mode == "errorifexists" and any(there.values()):
         raise AnalysisException(f"[PATH_ALREADY_EXISTS] a path of sink {sink.id} is there already: {', '.join(targets.values())}")
@@ -188,7 +192,6 @@ def _save(writer: DataFrameWriter, sink: Sink, target: str) -> None:
 def _save_files(df: DataFrame, sink: Sink, target: str) -> None:
     """Write files; what they overwrite stays until they are all there."""
     spark = df.sparkSession
-    recover(spark, target)
     if sink.mode != "overwrite" or _is_dynamic(spark, sink):
         _save(_writer(df, sink), sink, target)
         return

@@ -319,6 +319,16 @@ def test_a_swap_that_broke_off_is_finished(session, tmp_path, name, step):
     assert session.read.parquet(path).count() == (5 if step else 3)
 
 
+@pytest.mark.parametrize("mode, expected", [("append", [1, 2, 7]), ("ignore", [1, 2])])
+@pytest.mark.parametrize("split", [True, False])
+def test_a_write_finds_what_a_broken_off_swap_left(session, tmp_path, mode, expected, split):
+    target = sink(tmp_path, mode=mode)
+    checked(session, [(1, "Y", ""), (2, "Y", "")]).write.parquet(storage.beside(target.path, "new"))
+    rows = checked(session, [(7, "Y", "")])
+    write_split(rows, target) if split else write(rows, target)
+    assert sorted(r.id for r in session.read.parquet(target.path).collect()) == expected
+
+
 @pytest.mark.parametrize("n_sinks, scans", [(1, 1), (3, 1)])
 def test_sources_are_scanned_once(spark, tmp_path, n_sinks, scans):
     """However many sinks there are, and with both sides of each: rows read from the source, as its tasks report them."""
