@@ -41,8 +41,8 @@ from specflow.llm.tables import written
 
 WINDOW = 400
 GRAM = 64
-#: Places of a core up to which its suffixes meet in one task.
-MOST_PLACES = 1 << 14
+#: Places of a core up to which its suffixes meet in one task: about a hundred megabytes of their bytes.
+MOST_PLACES = 1 << 17
 _SLICE = 1 << 20
 #: Suffixes whose bytes are gathered at a time.
 _CONTEXTS = 1 << 10
