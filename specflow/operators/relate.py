@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from specflow.operators.layout import SPREAD, co_located
 from specflow.plans.spec import JoinKey, Predicate, Source, SpecError, quoted
 
 
@@ -20,7 +21,8 @@ def join_sources(
     Sources are attached one at a time to those already joined; several keys
     between the same sources form one condition. How each join runs is left to
     the optimizer, which broadcasts a side only when its measured size allows it
-    and splits hot keys while the query runs.
+    and splits hot keys while the query runs. A table that is laid out on the keys
+    is joined where its buckets lie.
     """
     ids = list(frames)
     joined, joined_ids = frames[ids[0]].alias(ids[0]), {ids[0]}
@@ -33,7 +35,8 @@ def join_sources(
         reachable = joined_ids | {new_id}
         used = [k for k in waiting if new_id in (k.left_id, k.right_id) and {k.left_id, k.right_id} <= reachable]
         condition = reduce(lambda a, b: a & b, (_key_equality(frames, sources, key) for key in used))
-        joined = joined.join(frames[new_id].alias(new_id), condition, "inner")
+        joined, new, placed = co_located(joined, joined_ids, frames[new_id].alias(new_id), new_id, used, sources, frames)
+        joined = joined.join(new, condition if placed is None else condition & placed, "inner")
         joined_ids = reachable
         waiting = [key for key in waiting if key not in used]
     if joined_ids != set(ids):
@@ -78,5 +81,5 @@ def sql_step(spark: SparkSession, frames: Mapping[str, DataFrame], query: str) -
     The views belong to the given session, so each pipeline run should bring its own.
     """
     for source_id, frame in frames.items():
-        frame.createOrReplaceTempView(quoted(source_id))
+        frame.drop(SPREAD).createOrReplaceTempView(quoted(source_id))
     return spark.sql(query)

@@ -115,7 +115,7 @@ def sink_from(record: dict[str, Any], columns: list[dict[str, Any]]) -> Sink:
         mode=record.get("mode") or "errorifexists",
         compression=record.get("compression"),
         num_partitions=whole(record.get("numPartitions")),
-        partition_by=_partition_columns(sink_id, record.get("partitionBy"), sink_columns),
+        partition_by=_columns_named(sink_id, "partitionBy", record.get("partitionBy"), sink_columns),
         header=flag(record.get("header")),
         delimiter=record.get("delimiter") or ",",
         quote=record.get("quote") or '"',
@@ -126,6 +126,8 @@ def sink_from(record: dict[str, Any], columns: list[dict[str, Any]]) -> Sink:
         password=record.get("password"),
         options=record.get("options") or {},
         rebalance=flag(record.get("rebalance"), default=True),
+        bucket_by=_columns_named(sink_id, "bucketBy", record.get("bucketBy"), sink_columns),
+        buckets=whole(record.get("buckets")),
     )
 
 
@@ -145,14 +147,14 @@ def _sink_column(column: dict[str, Any]) -> SinkColumn:
     )
 
 
-def _partition_columns(sink_id: str, given: Any, columns: tuple[SinkColumn, ...]) -> tuple[str, ...]:
+def _columns_named(sink_id: str, what: str, given: Any, columns: tuple[SinkColumn, ...]) -> tuple[str, ...]:
     if not given:
         return ()
     names = []
     for reference in given if isinstance(given, list) else [given]:
         owner, _, col_id = str(reference).rpartition(":")
         if owner != sink_id:
-            raise SpecError(f"sink {sink_id}: partitionBy {reference!r} names another sink")
+            raise SpecError(f"sink {sink_id}: {what} {reference!r} names another sink")
         matching = [column.name for column in columns if column.col_id == whole(col_id)]
         if not matching:
             raise SpecError(f"sink {sink_id} has no column with id {col_id}")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specflow.functions.templates import is_repeatable
+from specflow.operators.layout import SPREAD
 from specflow.operators.profiling import profile, profile_json, records_of
 from specflow.operators.project import project, sink_columns
 from specflow.operators.relate import join_sources, sql_step, where
@@ -52,7 +53,7 @@ def combined(session: SparkSession, pipeline: Pipeline, given: dict[str, DataFra
     source.column.
     """
     given = given or {}
-    frames = {s.id: given[s.id] if s.id in given else read(session, s) for s in pipeline.sources}
+    frames = {s.id: given[s.id] if s.id in given else read(session, s, bool(pipeline.joins)) for s in pipeline.sources}
     if pipeline.query is not None:
         return sql_step(session, frames, pipeline.query)
     sources = {source.id: source for source in pipeline.sources}
@@ -148,11 +149,11 @@ def run(
     try:
         with audit.recorded(pipeline.id, pipeline.id):
             session = pipeline_session(spark, pipeline)
-            frames = {source.id: read(session, source) for source in pipeline.sources}
+            frames = {source.id: read(session, source, bool(pipeline.joins)) for source in pipeline.sources}
             size_tasks(session, frames.values())
             if profiles:
                 for source_id, frame in frames.items():
-                    audit.profiled(pipeline.id, source_id, profile_json(records_of(profile(frame))))
+                    audit.profiled(pipeline.id, source_id, profile_json(records_of(profile(frame.drop(SPREAD)))))
             write_sinks(session, pipeline, profiles, given=frames, report=report)
     except Exception as failure:
         result.error = f"{type(failure).__name__}: {failure}"

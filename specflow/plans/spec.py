@@ -168,6 +168,8 @@ class Sink:
     password: str | None = field(default=None, repr=False)
     options: MappingType[str, Any] = field(default_factory=dict, repr=False)
     rebalance: bool = True
+    bucket_by: tuple[str, ...] = ()
+    buckets: int | None = None
 
     def __post_init__(self) -> None:
         _check_choice(f"sink {self.id}: file type", self.file_type, SINK_FILE_TYPES)
@@ -184,6 +186,19 @@ class Sink:
             raise SpecError(f"sink {self.id}: a JDBC table cannot be partitioned by a column")
         if self.num_partitions is not None and self.num_partitions < 1:
             raise SpecError(f"sink {self.id}: numPartitions must be at least 1")
+        self._check_buckets()
+
+    def _check_buckets(self) -> None:
+        if not self.bucket_by and self.buckets is None:
+            return
+        if not self.bucket_by or self.buckets is None or self.buckets < 1:
+            raise SpecError(f"sink {self.id}: a layout for joins needs its columns and a number of buckets")
+        if self.file_type != "hivetable":
+            raise SpecError(f"sink {self.id}: only catalog tables can be laid out for joins")
+        if self.num_partitions is not None:
+            raise SpecError(f"sink {self.id}: the buckets decide the number of files")
+        if set(self.bucket_by) & set(self.partition_by):
+            raise SpecError(f"sink {self.id}: a column either parts the table or its buckets")
 
     def column(self, col_id: int) -> SinkColumn:
         for column in self.columns:

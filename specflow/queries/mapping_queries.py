@@ -176,6 +176,50 @@ def join_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def laid_out(session: SparkSession, sf_dir: str, table: str, key: str, buckets: int) -> Source:
+    """A given table, written to the catalog bucketed and sorted by a key, as a source."""
+    name, options = f"specflow_{uuid.uuid4().hex}", {"path": new_folder(session, "query")}
+    copy(session, given(table, sf_dir), "hivetable", table=name, options=options, bucket_by=(key,), buckets=buckets)
+    return Source(table, "hivetable", columns_of(table), table=name)
+
+
+@query(
+    "join_bucketed",
+    """SELECT l_orderkey AS id, l_linenumber AS line, l_extendedprice AS price, o_orderdate AS ordered
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+)
+def join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table laid out by its key, which the join reads as it lies."""
+    session = session_for(spark)
+    lineitem, orders = laid_out(session, sf_dir, "lineitem", "l_orderkey", 16), given("orders", sf_dir)
+    mapped = [
+        (lineitem, "l_orderkey", SinkColumn("id", "Long")),
+        (lineitem, "l_linenumber", SinkColumn("line", "Int")),
+        (lineitem, "l_extendedprice", SinkColumn("price", "Double")),
+        (orders, "o_orderdate", SinkColumn("ordered", "Timestamp")),
+    ]
+    return related(session, (lineitem, orders), mapped, joins=JoinKey.parse("lineitem:1=orders:1"))
+
+
+@query(
+    "join_bucketed_frequent",
+    """SELECT c_custkey AS id, n_name AS nation, r_name AS region
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+)
+def join_bucketed_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key has more rows than an even bucket, so each lies in several."""
+    session = session_for(spark)
+    customer = laid_out(session, sf_dir, "customer", "c_nationkey", 64)
+    nation, region = given("nation", sf_dir), given("region", sf_dir)
+    mapped = [
+        (customer, "c_custkey", SinkColumn("id", "Long")),
+        (nation, "n_name", SinkColumn("nation", "String")),
+        (region, "r_name", SinkColumn("region", "String")),
+    ]
+    joins = JoinKey.parse("customer:3=nation:1,nation:3=region:1")
+    return related(session, (customer, nation, region), mapped, joins=joins)
+
+
 @query(
     "join_filter_map",
     """SELECT c_custkey AS id, c_mktsegment || '_X_Y_Z' AS segment, n_name AS nation, 'new' AS state

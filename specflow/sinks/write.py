@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from specflow.operators.layout import KEYS_SUFFIX, SPREAD, bucket_number, frequent_keys, keys_frame, spread
 from specflow.operators.profiling import observed, observed_sides
 from specflow.operators.rules import VALID_COLUMN
 from specflow.plans.spec import Sink, SpecError, quoted
@@ -18,6 +19,7 @@ from specflow.sources.tables import connection_options
 
 _INVALID_SUFFIX = "_INVALID"
 _CONNECTIONS = 8
+_BUCKET = f"{SPREAD}_bucket"
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,8 @@ def write(
             return Written(target, skipped=False, rows=None, profile=[])
         if _is_there(df.sparkSession, sink, target):
             return Written(target, skipped=True, rows=None, profile=[])
+    if sink.bucket_by:
+        return _write_laid_out(df, sink, target, suffix, profiles)
     # above the last shuffle, so that only tasks that commit their output count
     counted, observation = observed(distributed(df, sink), f"rows of {target}", profiles)
     if increment is not None and not sink.is_file:
@@ -70,6 +74,32 @@ def write(
     return Written(target, False, observation.rows, observation.records(), observation.states(), sink.id + suffix)
 
 
+def _write_laid_out(df: DataFrame, sink: Sink, target: str, suffix: str, profiles: bool) -> Written:
+    """Write a table bucketed and sorted by its keys, with frequent keys spread over buckets.
+
+    The rows are stored once, as their keys are counted before they are dealt out. Frequent keys are listed before the
+    rows are there: a list that names more than the table holds is harmless, one that names less would lose rows of joins.
+    """
+    spark = df.sparkSession
+    with written_once(df) as rows:
+        listed = frequent_keys(rows, sink.bucket_by, sink.buckets)
+        keys = replace(sink, table=target + KEYS_SUFFIX, partition_by=(), bucket_by=(), buckets=None, compression=None, options=_beside_options(sink))
+        _save(_writer(keys_frame(spark, listed), replace(keys, mode="append")), keys, keys.table)
+        counted, observation = observed(distributed(spread(rows, sink.bucket_by, listed), sink), f"rows of {target}", profiles)
+        _save(_writer(counted, sink), sink, target)
+        if sink.mode != "append":
+            _save(_writer(keys_frame(spark, listed), replace(keys, mode="overwrite")), keys, keys.table)
+    profile, states = (
+        [column for column in columns if column["column_name"] != SPREAD] for columns in (observation.records(), observation.states())
+    )
+    return Written(target, False, observation.rows, profile, states, sink.id + suffix)
+
+
+def _beside_options(sink: Sink) -> dict[str, str]:
+    """A table with a place of its own has its keys beside it."""
+    return {name: value.rstrip("/") + KEYS_SUFFIX for name, value in _own_options(sink).items() if name.lower() == "path"}
+
+
 def write_split(
     checked: DataFrame, sink: Sink, increment: int | None = None, profiles: bool = False, repeatable: bool = False
 ) -> tuple[Written, Written]:
@@ -150,12 +180,15 @@ def distributed(df: DataFrame, sink: Sink) -> DataFrame:
     keeps its full width; a database gets a bounded number of connections either
     way. Output partitioned by column is rebalanced on those columns: each value
     lands in few, evenly sized files, and a value holding a large share of the rows
-    is split over many tasks. All other output is written where it is computed.
+    is split over many tasks; so are buckets of a table that is laid out for joins. All other output is written where it is computed.
     """
     if sink.num_partitions is not None:
         return df.repartition(sink.num_partitions)
     if sink.file_type == "jdbcclient":
         return df.repartition(_CONNECTIONS)
+    if sink.bucket_by and sink.rebalance:
+        placed = df.withColumn(_BUCKET, bucket_number(sink.bucket_by, sink.buckets))
+        return placed.hint("rebalance", *(F.col(quoted(name)) for name in (*sink.partition_by, _BUCKET))).drop(_BUCKET)
     if sink.partition_by and sink.rebalance:
         return df.hint("rebalance", *(F.col(quoted(name)) for name in sink.partition_by))
     return df
@@ -173,6 +206,9 @@ def _writer(df: DataFrame, sink: Sink) -> DataFrameWriter:
         writer = writer.option("compression", sink.compression)
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)
+    if sink.bucket_by:
+        placed = (*sink.bucket_by, SPREAD)
+        writer = writer.bucketBy(sink.buckets, *placed).sortBy(*placed)
     return writer.options(**_own_options(sink))
 
 

@@ -12,9 +12,10 @@ from specflow.sources.tables import read_jdbc, read_table
 __all__ = ["declared_schema", "read"]
 
 
-def read(spark: SparkSession, source: Source) -> DataFrame:
+def read(spark: SparkSession, source: Source, placed: bool = False) -> DataFrame:
+    """``placed`` is for joins: tables that are laid out for them then show where their rows lie."""
     if source.file_type == "hivetable":
-        return read_table(spark, source)
+        return read_table(spark, source, placed)
     if source.file_type == "jdbcclient":
         return read_jdbc(spark, source)
     return read_file(spark, source)

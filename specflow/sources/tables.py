@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from specflow.operators.layout import SPREAD
 from specflow.plans.spec import Sink, Source, SpecError, quoted, secret
 
 # The four reader options that together split a JDBC read into parallel ranges.
 RANGE_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
 
-def read_table(spark: SparkSession, source: Source) -> DataFrame:
-    """The declared columns of a catalog table, so the scan reads no others."""
-    return spark.table(source.table).select(*(quoted(column.name) for column in source.columns))
+def read_table(spark: SparkSession, source: Source, placed: bool = False) -> DataFrame:
+    """The declared columns of a catalog table, so the scan reads no others.
+
+    With ``placed``, a table that is laid out for joins also shows where its rows lie.
+    """
+    table = spark.table(source.table)
+    names = [column.name for column in source.columns]
+    if placed and SPREAD in table.columns and SPREAD not in names:
+        names.append(SPREAD)
+    return table.select(*(quoted(name) for name in names))
 
 
 def connection_options(end: Source | Sink) -> dict[str, str]:

@@ -54,6 +54,8 @@ def land(
             raise SpecError(f"sink {sink.id}: increments are written to files or catalog tables")
         if any(column.name.lower() == INCREMENT for column in sink.columns):
             raise SpecError(f"sink {sink.id}: {INCREMENT} names the increments")
+        if sink.bucket_by:
+            raise SpecError(f"sink {sink.id}: increments are not laid out for joins")
     # Each increment has a place of its own, replaced when the increment is retried.
     retryable = replace(pipeline, sinks=tuple(replace(sink, mode="overwrite") for sink in pipeline.sinks))
     log = audit if audit is not None else AuditLog(spark)
