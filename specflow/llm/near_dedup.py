@@ -348,7 +348,8 @@ def _buckets(texts: DataFrame) -> DataFrame:
     drawn = F.min(F.struct(F.xxhash64("words", "band").alias("drawn"), "words", "weight"))
     buckets = members.groupBy("band", "key").agg(drawn.alias("hub"), F.count("*").alias("n"), F.sum("weight").alias("heft")).filter("n > 1")
     buckets = buckets.select("band", "key", "n", "heft", F.col("hub.words").alias("hub"), F.col("hub.weight").alias("hub_weight"))
-    return written(members.join(buckets, ["band", "key"]), "buckets")
+    # written, so that Spark can split the join at a large bucket
+    return written(members.join(written(buckets, "hubs"), ["band", "key"]), "buckets")
 
 
 def _stars(members: DataFrame, similarity: float) -> DataFrame:
@@ -361,7 +362,8 @@ def _stars(members: DataFrame, similarity: float) -> DataFrame:
 def _texts_of(rows: DataFrame, signed: DataFrame, wanted: DataFrame) -> DataFrame:
     """words and text of the wanted texts, each once."""
     holder = F.min(F.struct("doc_id", "hash")).alias("holder")
-    holders = signed.join(wanted, "words", "left_semi").groupBy("words").agg(holder).select("words", "holder.*")
+    # one holder of equal texts before they meet, however many there are
+    holders = signed.filter(F.col("words").isNotNull()).groupBy("words").agg(holder).join(wanted, "words", "left_semi").select("words", "holder.*")
     same = F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("r.hash") == F.col("h.hash"))
     found = rows.alias("r").join(holders.alias("h"), same).select("words", "text")
     return written(found.dropDuplicates(["words"]), "candidates")
@@ -379,10 +381,12 @@ def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members of buckets that hold several classes, with their class and whether it is their bucket's largest (main)."""
     known = members.join(classes.withColumnRenamed("node", "words"), "words", "left")
     known = known.withColumn("class", F.coalesce("class", "words"))
+    known = written(known, "known")
     sizes = known.groupBy("band", "key", "class").agg(F.count("*").alias("members"))
     several = sizes.groupBy("band", "key").agg(F.count("*").alias("classes"), F.max(F.struct("members", "class")).alias("most"))
     several = several.filter("classes > 1").select("band", "key", F.col("most.class").alias("largest"))
-    known = known.join(several, ["band", "key"]).withColumn("main", F.col("class") == F.col("largest"))
+    # written, so that Spark can split the join at a large bucket
+    known = known.join(written(several, "several"), ["band", "key"]).withColumn("main", F.col("class") == F.col("largest"))
     return written(known.select("band", "key", "n", "heft", "words", "weight", "class", "main"), "unresolved")
 
 
