@@ -23,7 +23,8 @@ classes.
 Comparing a bucket in full is one task's work on texts that it holds together: those outside the bucket's largest
 class against all of other classes. Only links that join classes leave the task, no pairs. A bucket of more than
 ``BLOCK`` texts, or of texts that weigh more than ``BLOCK_WEIGHT`` together (about as many words), is dealt out as pairs
-of blocks, so no task holds more than about two blocks, and there is no cap.
+of blocks, so no task holds more than about two blocks, and there is no cap. What is known of a bucket is written before
+its members are joined with it, so that Spark can split a large one.
 
 Defined results: null and blank texts have no shingles and are alone in their classes; rows alike in id and
 text are in one class; rows without an id are classed by their text, and a class of them alone has a null id; a
