@@ -25,6 +25,8 @@ from specflow.plans.spec import SpecError
 
 SPLIT_RECORDS = "splitRecords"
 _LISTING = ("recursivefilelookup", "pathglobfilter", "modifiedafter", "modifiedbefore")
+#: Rows and characters that a task holds before it hands them on.
+_ROWS_HELD, _TEXT_HELD = 10_000, 4 << 20
 _NOT_PARSING = (*_LISTING, "multiline", "header", "inferschema", "linesep", SPLIT_RECORDS.lower())
 
 
@@ -95,11 +97,11 @@ def _cut(quote: str, escape: str, begins):
     """Records of a block; what the block before has begun as ``goes on`` or ``ends``, what the next goes on with as ``opens``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, is_open, goes_on, seen = None, [], False, False, False
+        at, held, is_open, goes_on, seen, size = None, [], False, False, False, 0
         out: list[tuple] = []
 
         def told(kind: str) -> None:
-            nonlocal held, seen
+            nonlocal held, seen, size
             record = "\n".join(held)
             if kind in ("whole", "ends"):
                 record = record.removesuffix("\r")
@@ -107,6 +109,7 @@ def _cut(quote: str, escape: str, begins):
             if record.strip() or kind != "whole":
                 out.append((*at, kind, at[1] == 0 and not seen, record))
                 seen = True
+                size += len(record)
 
         def block_ends() -> None:
             if held:
@@ -127,9 +130,10 @@ def _cut(quote: str, escape: str, begins):
                 if not is_open:
                     told("ends" if goes_on else "whole")
                     goes_on = False
-                if len(out) >= 10_000:
+                if len(out) >= _ROWS_HELD or size >= _TEXT_HELD:
                     yield _rows(out)
                     out.clear()
+                    size = 0
         if at is not None:
             block_ends()
         if out:

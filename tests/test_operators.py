@@ -21,6 +21,7 @@ from specflow.operators import profile, with_rules
 from specflow.operators.profiling import finished, merged_states, profile_json, profile_states, records_of
 from specflow.plans.run import combined
 from specflow.plans.session import size_tasks
+from specflow.queries import QUERIES
 from specflow.sources import read
 from specflow.sources.headers import wider
 
@@ -561,6 +562,19 @@ def test_records_over_several_blocks(spark, tmp_path, escape, block, header):
     assert found == expected and sum(found.values()) == 2 * len(rows)
 
 
+def test_blocks_of_a_larger_file_share_tasks(spark, tmp_path):
+    """As many blocks of 64 KB as the file has, but not a task for each: every record comes once, and soon."""
+    text = F.concat(F.col("doc_id").cast("string"), F.repeat(F.lit('a line, "of" text?\n'), 5000))
+    documents = spark.range(120).select(F.col("id").alias("doc_id"))
+    documents = documents.select("doc_id", text.alias("text"), F.lit("en").alias("lang"), F.lit("s,t").alias("source"), F.length(text).cast("long").alias("n_chars"))
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["src_csv_multiline_split"](spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() < 100  # 174 blocks
+    expected = documents.withColumn("many_tasks", F.lit(True))
+    assert found.columns == expected.columns and found.count() == 120
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
 def test_split_records_need_declared_text(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a\n")
     columns = (SourceColumn("a", "String", 1),)
