@@ -6,7 +6,7 @@ the number of keys: past that, more keys pass that were never put in, and none t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,13 +54,22 @@ def contains(table: np.ndarray, keys: np.ndarray, blocks: np.ndarray | None = No
 _WORDS = [f"w{i}" for i in range(BLOCK_WORDS)]
 
 
-def _partial(n_blocks: int):
+#: The keys of a batch and their blocks; keys in blocks below zero are left out.
+Placed = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
+
+
+def _as_given(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column("key").to_numpy().view(np.uint64), batch.column("block").to_numpy()
+
+
+def _partial(n_blocks: int, placed: Placed):
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: np.ndarray | None = None
         for batch in batches:
             table = np.zeros((n_blocks, BLOCK_WORDS), np.uint64) if table is None else table
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            blocks = batch.column("block").to_numpy()
+            keys, blocks = placed(batch)
+            if len(blocks) and blocks.min() < 0:
+                keys, blocks = keys[blocks >= 0], blocks[blocks >= 0]
             for word, mask in _bits(keys):
                 np.bitwise_or.at(table, (blocks, word), mask)
         if table is not None:
@@ -73,13 +82,14 @@ def _partial(n_blocks: int):
     return fill
 
 
-def filter_of(keys: DataFrame, n_blocks: int) -> np.ndarray:
+def filter_of(keys: DataFrame, n_blocks: int, placed: Placed = _as_given) -> np.ndarray:
     """The table of a filter of the frame's ``key`` (long) in ``block`` (long): tasks fill their own, Spark unites them.
 
-    What reaches the driver is the table itself, ``n_blocks`` blocks at most.
+    Keys that numpy derives come from ``placed``, in the same pass: one more would have a second worker in each task, and
+    workers that have no more work stay in an executor's memory for a while. What reaches the driver is the table itself, ``n_blocks`` blocks at most.
     """
     schema = "block long, " + ", ".join(f"{w} long" for w in _WORDS)
-    parts = keys.select("key", "block").mapInArrow(_partial(n_blocks), schema)
+    parts = keys.mapInArrow(_partial(n_blocks, placed), schema)
     found = parts.groupBy("block").agg(*(F.bit_or(w).alias(w) for w in _WORDS)).toArrow()
     table = np.zeros((n_blocks, BLOCK_WORDS), np.uint64)
     at = found.column("block").to_numpy()

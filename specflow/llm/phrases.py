@@ -303,14 +303,12 @@ def _filter(spark, hashes: DataFrame, most_bytes: int):
     keys = hashes.count()
     n_blocks = blocks_for(keys, most_bytes)
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column(i).to_numpy().view(np.uint64) for i in range(batch.num_columns)]
-            key = columns[0] if len(columns) == 1 else _hash(np.stack(columns, axis=1))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(key.view(np.int64)), "block": pa.array(block_of(key, n_blocks))})
+    def placed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        columns = [batch.column(i).to_numpy().view(np.uint64) for i in range(batch.num_columns)]
+        key = columns[0] if len(columns) == 1 else _hash(np.stack(columns, axis=1))
+        return key, block_of(key, n_blocks)
 
-    table = filter_of(hashes.mapInArrow(placed, "key long, block long"), n_blocks)
-    return spark.sparkContext.broadcast(table)
+    return spark.sparkContext.broadcast(filter_of(hashes, n_blocks, placed))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, filter_bytes: int = FILTER_BYTES) -> tuple[DataFrame, DataFrame]:

@@ -177,12 +177,9 @@ class _Shards:
 
 
 def _placed(shards: _Shards):
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            blocks = shards.block(keys, batch.column("length").to_numpy().astype(np.int64))
-            own = blocks >= 0
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys[own].view(np.int64)), "block": pa.array(blocks[own])})
+    def place(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        keys = batch.column("key").to_numpy().view(np.uint64)
+        return keys, shards.block(keys, batch.column("length").to_numpy().astype(np.int64))
 
     return place
 
@@ -213,8 +210,8 @@ def neighbours(words: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     found = None
     for part in range(parts):
         shards = _Shards(counts, part, parts)
-        keys = words.select("key", F.length("word").alias("length")).mapInArrow(_placed(shards), "key long, block long")
-        table = spark.sparkContext.broadcast(filter_of(keys, max(1, shards.n_blocks)))
+        keys = words.select("key", F.length("word").alias("length"))
+        table = spark.sparkContext.broadcast(filter_of(keys, max(1, shards.n_blocks), _placed(shards)))
         met = words.select("key", "word").mapInArrow(_probed(shards, table), "key long, near_key long")
         found = met if found is None else found.unionByName(met)
     near = words.select(F.col("key").alias("near_key"), F.col("word").alias("near"), F.col("n").alias("near_n"))

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.classic import dataframe as classic
 
 from specflow.llm import filters, phrases, spelling
 
@@ -90,6 +91,25 @@ def test_filters(spark):
     assert filters.blocks_for(10**12, 1 << 20) * 64 == 1 << 20
 
 
+def test_filters_are_built_in_one_python_pass(spark, monkeypatch):
+    """A second one would have a second worker in each task, whose memory an executor keeps."""
+    plans, real = [], classic.DataFrame.toArrow
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(classic.DataFrame, "toArrow", seen)
+    pairs = spark.createDataFrame([(i, -i) for i in range(1, 200)], "c1 long, c2 long")
+    table = phrases._filter(spark, pairs, 1 << 20).value
+    ids = np.arange(1, 200)
+    assert filters.contains(table, phrases._hash(np.stack([ids, -ids], axis=1).view(np.uint64))).all()
+    words = spark.createDataFrame([("abcdef", 9), ("abcdeg", 7), ("klmnop", 5)], "word string, n long")
+    words = words.mapInArrow(spelling._keyed, "key long, word string, n long").localCheckpoint()
+    assert spelling.neighbours(words).count() == 2
+    assert [plan.count("MapInArrow") for plan in plans] == [1, 1]
+
+
 def _collocations(rows, least, top, covered=80):
     split, words = re.compile("[.,;:!?\n\x0b\x0c\r]"), re.compile("[^ \t]+")
     f, n = Counter(), Counter()
