@@ -16,12 +16,13 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -132,7 +133,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ftrl(
-    vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, width: int,
+    vectors: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, width: int,
     passes: int = 4, alpha: float = 1.0, beta: float = 1.0, absolute: float = 1e-3, squared: float = 1e-3,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and bias by follow-the-regularised-leader (proximal), one document at a time in a fixed random order.
@@ -204,37 +205,54 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "hash", "columns", "counts"])
 
 
+class _Vectors(Sequence):
+    """The columns and values of packed documents, each unpacked when it is asked for: the driver holds only the packed ones."""
+
+    def __init__(self, packed: pa.Table, rows: Iterable[int], inverse: np.ndarray) -> None:
+        self.packed, self.rows, self.inverse = packed, list(rows), inverse
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        columns, counts = (self.packed.column(name)[self.rows[i]].as_buffer() for name in ("columns", "counts"))
+        columns, counts = np.frombuffer(columns, np.uint16).astype(np.int64), np.frombuffer(counts, np.int32)
+        return columns, counts / counts.sum() * self.inverse[columns] * 10
+
+    def of(self, numbers: np.ndarray) -> _Vectors:
+        return _Vectors(self.packed, (self.rows[i] for i in numbers), self.inverse)
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from the documents that have an id outside the held-out fold, a text and a language."""
     usable = docs.select(F.col("doc_id").cast("long"), "text", "lang").filter(
         (fold_of(F.col("doc_id")) != HELD_OUT_REMAINDER) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     rows = usable.select("text").mapInArrow(_frequencies, "column long, n long")
-    frequency = {r["column"]: r["n"] for r in rows.groupBy("column").agg(F.sum("n").alias("n")).collect()}
-    documents = frequency.pop(-1, 0)
+    found = rows.groupBy("column").agg(F.sum("n").alias("n")).toArrow()
+    column, count = (found.column(name).to_numpy() for name in ("column", "n"))
+    documents = int(count[column < 0].sum())
     names = sampled(usable, sample).select("doc_id", "hash").distinct()  # ``sample`` rows for each language at most
     chosen = usable.withColumn("hash", F.xxhash64("text")).join(F.broadcast(names), ["doc_id", "hash"])
     vectors = chosen.select("doc_id", "lang", "hash", "text").mapInArrow(
         _vectors, "doc_id long, lang string, hash long, columns binary, counts binary"
     )
     # a row that is there several times is learned from once
-    rows = vectors.dropDuplicates(["doc_id", "lang", "hash"]).collect()
-    picked = sorted((r for r in rows if r["columns"]), key=lambda r: (r["doc_id"], r["lang"], r["hash"]))
+    rows = vectors.dropDuplicates(["doc_id", "lang", "hash"]).toArrow()
+    keys = list(zip(*(rows.column(name).to_pylist() for name in ("doc_id", "lang", "hash")), strict=True))
+    picked = sorted((i for i, size in enumerate(pc.binary_length(rows.column("columns")).to_pylist()) if size), key=keys.__getitem__)
     if not picked:
         return None
-    languages = sorted({r["lang"] for r in picked})
+    languages = sorted({keys[i][1] for i in picked})
     inverse = np.zeros(1 << BITS)
-    for column, count in frequency.items():
-        inverse[column] = np.log((1 + documents) / (1 + count)) + 1
-    vectors = []
-    for row in picked:
-        columns, counts = np.frombuffer(row["columns"], np.uint16), np.frombuffer(row["counts"], np.int32)
-        vectors.append((columns.astype(np.int64), counts / counts.sum() * inverse[columns] * 10))
-    labels = np.array([languages.index(r["lang"]) for r in picked])
+    counted = column >= 0
+    inverse[column[counted]] = np.log((1 + documents) / (1 + count[counted])) + 1
+    vectors = _Vectors(rows.select(["columns", "counts"]), picked, inverse)
+    labels = np.array([languages.index(keys[i][1]) for i in picked])
     aside = np.random.default_rng(11).permutation(len(picked))
     aside, fitted = aside[: len(picked) // 5], aside[len(picked) // 5 :]
-    weights, bias = ftrl([vectors[i] for i in fitted], labels[fitted], len(languages), 1 << BITS)
-    logits = np.array([vectors[i][1] @ weights[vectors[i][0]] + bias for i in aside]).reshape(len(aside), len(languages))
+    weights, bias = ftrl(vectors.of(fitted), labels[fitted], len(languages), 1 << BITS)
+    logits = np.array([values @ weights[columns] + bias for columns, values in vectors.of(aside)]).reshape(len(aside), len(languages))
     scaled = np.vstack([weights * inverse[:, None] * 10, np.zeros(len(languages))])
     return Model(languages, np.asfortranarray(scaled.astype(np.float32)), bias, temperature(logits, labels[aside]))
 
