@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from specflow.llm import LLM_QUERIES, copies
+from specflow.sinks.storage import shared_folder
 
 
 def _removed(texts: list[bytes], window: int) -> list[list[tuple[int, int]]]:
@@ -131,6 +135,42 @@ def test_factors_against_brute_force():
         assert classes == wanted
 
 
+def test_anchors_are_found_in_little_memory():
+    """A worker hashes a quarter of a megabyte at a time, whatever a batch has."""
+    draw = random.Random(8)
+    texts = ["".join(draw.choices("abcdefgh \n", k=4000)) for _ in range(300)]
+    keys = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_pydict({"k1": keys, "k2": keys, "text": texts})
+    find = copies._anchors(copies.WINDOW)
+    n = sum(found.num_rows for found in find(iter([batch])))
+    tracemalloc.start()
+    try:
+        assert sum(found.num_rows for found in find(iter([batch]))) == n > 10_000
+        assert tracemalloc.get_traced_memory()[1] < 32_000_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_cores_are_few_files(spark, docs_of):
+    """Cores that occur twice are short rows: however many the partitions, they make no more files than tasks run at once."""
+    rows = list(enumerate(_mosaics(9, 150)))
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("llm-copies-cores-*"))
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert _found(docs_of(rows), 150) == _expected(rows, 150)
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    (made,) = set(folder.rglob("llm-copies-cores-*")) - before
+    files = list(made.glob("part-*"))
+    assert 0 < len(files) <= spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(str(made)).count() > 60
+
+
 def test_documents(spark, sf_dir, texts):
     """The query over the whole table."""
     import hashlib
